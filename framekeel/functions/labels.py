@@ -43,7 +43,8 @@ TRACK_STEP = 13
 
 def category_table(spark: SparkSession) -> DataFrame:
     """The categories as a table ``(class, name, health_weight)``; always six rows."""
-    return spark.createDataFrame(CATEGORIES, "class INT, name STRING, health_weight DOUBLE")
+    rows = ", ".join(f"({key}, '{name}', {weight}D)" for key, name, weight in CATEGORIES)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(class, name, health_weight)")
 
 
 def _lookup(column: int) -> Column:

@@ -24,15 +24,17 @@ def _checked(
         if field.name not in df.columns:
             cast.append(F.lit(None).cast(field.dataType).alias(field.name))
             continue
-        source = F.col(field.name)
-        value = source.try_cast(field.dataType)
-        bad = source.isNotNull() & value.isNull()
-        if isinstance(field.dataType, T.ArrayType):
+        source, wanted = F.col(field.name), field.dataType
+        value = source.try_cast(wanted)
+        if df.schema[field.name].dataType == wanted:
+            bad = F.lit(False)
+        elif isinstance(wanted, T.ArrayType):
             lost = F.exists(
-                F.arrays_zip(source.alias("a"), value.alias("b")),
-                lambda e: e["a"].isNotNull() & e["b"].isNull(),
+                source, lambda e: e.isNotNull() & e.try_cast(wanted.elementType).isNull()
             )
-            bad = bad | F.coalesce(lost, F.lit(False))
+            bad = F.coalesce(lost, F.lit(False))
+        else:
+            bad = source.isNotNull() & value.isNull()
         if not field.nullable:
             bad = bad | source.isNull()
         if field.name in lists:

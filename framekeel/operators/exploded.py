@@ -87,8 +87,9 @@ def drawable(
         ranked = Window.partitionBy("frame_id").orderBy(dropped, *order)
         first_dropped = F.first(dropped).over(ranked.rowsBetween(Window.unboundedPreceding, 0))
         rows = (
-            detections.withColumn("pos", F.row_number().over(ranked))
-            .withColumn("first_dropped", first_dropped)
+            detections.select(
+                "*", F.row_number().over(ranked).alias("pos"), first_dropped.alias("first_dropped")
+            )
             .where(F.col("pos") <= max_boxes)
             .where(dropped == F.col("first_dropped"))
             .drop("first_dropped")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,17 +16,14 @@ def score_by_ts(rows: DataFrame, *keys: str) -> DataFrame:
 
     Rows of weight 0 and of unknown class take no part, so a ``ts`` with only such rows is left out.
     """
+    return rows.where(F.col("health_weight") != 0).groupBy(*keys, "ts").agg(_health().alias("health"))
+
+
+def _health() -> Column:
     score, weight = F.col("health_score"), F.col("health_weight")
-    return (
-        rows.where(weight != 0)
-        .groupBy(*keys, "ts")
-        .agg(
-            (
-                F.coalesce(F.max(F.when(weight > 0, score)), F.lit(0.0))
-                + F.coalesce(F.min(F.when(weight < 0, score)), F.lit(0.0))
-            ).alias("health")
-        )
-    )
+    best = F.max(F.when(weight > 0, score))
+    worst = F.min(F.when(weight < 0, score))
+    return F.coalesce(best, F.lit(0.0)) + F.coalesce(worst, F.lit(0.0))
 
 
 def running_sum(scores: DataFrame, *keys: str, value: str = "health", chunk_seconds: int = DAY) -> DataFrame:
@@ -34,8 +31,12 @@ def running_sum(scores: DataFrame, *keys: str, value: str = "health", chunk_seco
 
     Works in two levels: sums run inside time chunks, and each chunk starts from the total of the
     chunks before it. A long session is split over tasks; the per-key window sees one row per chunk.
+    Rows without a key or ``ts`` have no place in a running sum and are left out.
     """
-    chunked = scores.withColumn("chunk", F.floor(F.col("ts") / chunk_seconds))
+    # Asking for keys up front gives both uses of `chunked` the same plan, so its shuffle is shared.
+    chunked = scores.withColumn("chunk", F.col("ts") - F.pmod("ts", F.lit(chunk_seconds)))
+    for name in (*keys, "chunk"):
+        chunked = chunked.where(F.col(name).isNotNull())
     inside = Window.partitionBy(*keys, "chunk").orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     before = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -97,8 +98,9 @@ def polynomial_trend(points: DataFrame, *keys: str, degree: int, x: str = "ts",
     only the small system of equations of each key is solved in Python, many keys at a time.
     Keys with too few points for the degree have null results.
     """
+    # Counting `y` keeps this side's plan equal to the other use of `points`, so Spark shares it.
     domain = points.groupBy(*keys).agg(
-        F.count("*").alias("n"), F.min(x).alias("x_min"), F.max(x).alias("x_max")
+        F.count(y).alias("n"), F.min(x).alias("x_min"), F.max(x).alias("x_max")
     )
     low, high = F.col("x_min"), F.col("x_max")
     span = F.when(high > low, high - low)
@@ -150,13 +152,16 @@ def nested_records(
     detection is left out. The per-window steps see one row per second at most.
     """
     group = [key, "window_start"]
-    sizes = rows.groupBy(*group, "ts").agg(F.count("*").alias("size"))
-    health = score_by_ts(rows, *group)
+    for name in (*group, "ts"):
+        rows = rows.where(F.col(name).isNotNull())
+    sizes = rows.groupBy(*group, "ts").agg(
+        F.count("*").alias("size"),
+        F.when(F.count_if(F.col("health_weight") != 0) > 0, _health()).alias("health"),
+    )
     by_time = Window.partitionBy(*group).orderBy("ts")
     upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
     per_ts = (
-        sizes.join(health, [*group, "ts"], "left")
-        .withColumn("part", F.floor((F.sum("size").over(upto) - F.col("size")) / max_elements))
+        sizes.withColumn("part", F.floor((F.sum("size").over(upto) - F.col("size")) / max_elements))
         .withColumn("slices", F.ceil(F.col("size") / max_elements))
         .withColumn("cumsum", F.when(F.col("health").isNotNull(), F.sum("health").over(upto)))
     )

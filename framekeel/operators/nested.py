@@ -76,25 +76,33 @@ def drawable(detections: Column, max_boxes: int | None = 20, min_score: float =
     return F.filter(first, lambda d: d["score"].isNull() | (d["score"] > min_score))
 
 
-def overlay_boxes(drawn: Column, *, agnostic: bool = False) -> Column:
-    """One element per box location: its labels in position order and the colour of the last."""
+def overlay_boxes(frames: DataFrame, drawn: str = "drawn", *, agnostic: bool = False) -> DataFrame:
+    """Add ``overlay``: per box location its labels in position order and the colour of the last box."""
 
     def location(d: Column) -> Column:
         return F.struct(*(d[n].alias(n) for n in BoxCols._fields))
 
-    def overlay(place: Column) -> Column:
+    def at(place: Column) -> Column:
         same = F.filter(drawn, lambda d: location(d) == place)
-        last = F.try_element_at(same, F.lit(-1))
-        scored = F.filter(same, lambda d: d["score"].isNotNull())
+        return F.struct(place.alias("place"), same.alias("same"))
+
+    def overlay(group: Column) -> Column:
+        scored = F.filter(group["same"], lambda d: d["score"].isNotNull())
+        last = F.try_element_at(group["same"], F.lit(-1))
         return F.struct(
-            *(place[n].alias(n) for n in BoxCols._fields),
+            *(group["place"][n].alias(n) for n in BoxCols._fields),
             F.transform(
                 scored, lambda d: display_label(d["class"], d["score"], agnostic=agnostic)
             ).alias("labels"),
             box_color(last["class"], last["score"], agnostic=agnostic).alias("color"),
         )
 
-    return F.transform(F.array_distinct(F.transform(drawn, location)), overlay)
+    places = F.array_distinct(F.transform(drawn, location))
+    return (
+        frames.withColumn("_places", F.transform(places, at))
+        .withColumn("overlay", F.transform("_places", overlay))
+        .drop("_places")
+    )
 
 
 def explode_detections(frames: DataFrame, *keep: str) -> DataFrame:

@@ -41,10 +41,9 @@ def frame_overlays(
     """
     has_image = F.coalesce(F.octet_length(image) > 0, F.lit(False))
     drawn = drawable(F.col("effective.detections"), max_boxes, min_score)
+    marked = effective_annotations(frames.where(has_image)).withColumn("drawn", drawn)
     plans = (
-        effective_annotations(frames.where(has_image))
-        .withColumn("drawn", drawn)
-        .withColumn("overlay", overlay_boxes(F.col("drawn")))
+        overlay_boxes(marked)
         .withColumn("outpath", frame_path(bucket, base_path, module, "jpg", protocol))
         .drop(image, "effective", "drawn")
     )

@@ -50,7 +50,7 @@ def sessions(df: DataFrame, key: str, gap_seconds: int, order_id: str, *carry: s
     gap = gap_seconds * MICROS
     micros = F.unix_micros("event_time")
     latest = F.struct(micros.alias("us"), order_id, *(c for c in carry if c != order_id))
-    slots = df.groupBy(key, F.expr("floor(unix_micros(event_time) / {0})".format(gap)).alias("slot")).agg(
+    slots = df.groupBy(key, (micros - F.pmod(micros, F.lit(gap))).alias("slot")).agg(
         F.min(micros).alias("first_us"),
         F.max(micros).alias("last_us"),
         F.count("*").alias("n_rows"),

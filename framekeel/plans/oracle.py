@@ -136,7 +136,7 @@ _FRAME_PATH = f"{_PATH} || datesegment || '/' || session || '/jpg/' || CAST(ts A
 
 _EMBEDDING = "SELECT vec_id, embedding AS e, len(embedding) // 4 AS n FROM embeddings"
 _MODEL = """out AS (
-  SELECT vec_id, least(len(e) // 6, 40) AS num_detections, CAST(i + 1 AS INTEGER) AS pos,
+  SELECT vec_id, CAST(least(len(e) // 6, 40) AS INTEGER) AS num_detections, CAST(i + 1 AS INTEGER) AS pos,
     CAST(floor(abs(e[i * 6 + 5]::double) * 1000) % 6 AS INTEGER) + 1 AS class,
     abs(e[i * 6 + 6]::double) - floor(abs(e[i * 6 + 6]::double)) AS score,
     abs(e[i * 6 + 1]::double) AS ymin, abs(e[i * 6 + 2]::double) AS xmin,

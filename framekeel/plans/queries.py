@@ -273,9 +273,8 @@ def nested_drawable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nested_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = nested.drawable(F.col("detections"), 5, 0.2)
-    rows = tables.nested_frames(spark, sf_dir).select(
-        "frame_id", F.inline(nested.overlay_boxes(drawn))
-    )
+    marked = tables.nested_frames(spark, sf_dir).withColumn("drawn", drawn)
+    rows = nested.overlay_boxes(marked).select("frame_id", F.inline("overlay"))
     return rows.withColumn("labels", F.array_join("labels", ";"))
 
 
@@ -284,7 +283,7 @@ def nested_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def window_health(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames, detections, kept detections and range of health per session and window."""
-    seen = windows.with_window(tables.calibrated_frames(spark, sf_dir), WINDOW)
+    seen = windows.with_window(tables.frames(spark, sf_dir), WINDOW)
     found = exploded.with_overlap(
         windows.with_window(
             tables.calibrated_detections(spark, sf_dir, "session", "event_time"), WINDOW

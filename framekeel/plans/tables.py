@@ -116,9 +116,9 @@ def nested_frames(spark: SparkSession, sf_dir: str, *, datesegment: bool = False
         )
 
     numbers = F.filter(F.sequence(F.lit(0).cast("bigint"), key % 8), lambda i: i > 0)
-    return frames(spark, sf_dir, device=True, datesegment=datesegment).withColumn(
-        "detections", F.transform(numbers, detection)
-    )
+    # A generator of one element is worked out once, however often later steps use the array.
+    once = F.explode(F.array(F.transform(numbers, detection)))
+    return frames(spark, sf_dir, device=True, datesegment=datesegment).withColumn("detections", once)
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
