@@ -34,17 +34,12 @@ def percent_intersection(box: BoxCols, area: BoxCols) -> Column:
 
     Boxes that are apart give 0, and so does a box without any area. A missing area gives null.
     """
-    top = F.greatest(area.ymin, box.ymin)
-    left = F.greatest(area.xmin, box.xmin)
-    bottom = F.least(area.ymax, box.ymax)
-    right = F.least(area.xmax, box.xmax)
-    box_area = (box.ymax - box.ymin) * (box.xmax - box.xmin)
-    share = F.try_divide((bottom - top) * (right - left), box_area)
-    return (
-        F.when(area.ymin.isNull(), F.lit(None).cast("double"))
-        .when((bottom < top) | (right < left), F.lit(0.0))
-        .otherwise(F.coalesce(share, F.lit(0.0)))
-    )
+    nothing = F.lit(0.0)
+    height = F.greatest(F.least(area.ymax, box.ymax) - F.greatest(area.ymin, box.ymin), nothing)
+    width = F.greatest(F.least(area.xmax, box.xmax) - F.greatest(area.xmin, box.xmin), nothing)
+    box_area = F.abs((box.ymax - box.ymin) * (box.xmax - box.xmin))
+    share = F.coalesce(F.try_divide(height * width, box_area), nothing)
+    return F.when(area.ymin.isNotNull(), share)
 
 
 def arrays_to_boxes(ymin: Column, xmin: Column, ymax: Column, xmax: Column) -> Column:

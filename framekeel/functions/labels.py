@@ -47,13 +47,14 @@ def category_table(spark: SparkSession) -> DataFrame:
     return spark.sql(f"SELECT * FROM VALUES {rows} AS t(class, name, health_weight)")
 
 
-def _lookup(column: int) -> Column:
-    return F.create_map(*(F.lit(v) for row in CATEGORIES for v in (row[0], row[column])))
+def _lookup(label: Column, column: int) -> Column:
+    """Value of a category by its id, which counts up from 0; null outside the table."""
+    return F.get(F.array(*(F.lit(row[column]) for row in CATEGORIES)), label.cast("int"))
 
 
 def health_weight(label: Column, strict: bool = False) -> Column:
     """Health weight of a class; an unknown class gives null, or an error when ``strict``."""
-    weight = F.try_element_at(_lookup(2), label.cast("int"))
+    weight = _lookup(label, 2)
     if not strict:
         return weight
     problem = F.concat(F.lit("unknown class "), F.coalesce(label.cast("string"), F.lit("null")))
@@ -61,7 +62,7 @@ def health_weight(label: Column, strict: bool = False) -> Column:
 
 
 def category_name(label: Column) -> Column:
-    return F.coalesce(F.try_element_at(_lookup(1), label.cast("int")), F.lit("N/A"))
+    return F.coalesce(_lookup(label, 1), F.lit("N/A"))
 
 
 def display_label(

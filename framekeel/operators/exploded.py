@@ -117,14 +117,18 @@ def by_location(drawn: DataFrame, *carry: str, ignored: Column | None = None) ->
         box_color(F.col("class")).alias("color"),
         (ignored if ignored is not None else F.lit(False)).alias("ignored"),
     )
-    merged = rows.groupBy("frame_id", *carry, *BoxCols._fields).agg(
-        F.sort_array(F.collect_list(F.struct("pos", "label"))).alias("labels"),
-        F.max_by("color", "pos").alias("color"),
-        F.max_by("ignored", "pos").alias("ignored"),
+    places = rows.groupBy("frame_id", *carry, *BoxCols._fields).agg(
+        F.sort_array(F.collect_list(F.struct("pos", "label", "color", "ignored"))).alias("boxes")
     )
-    suffix = F.when(F.col("ignored"), F.lit(" (ignored)")).otherwise(F.lit(""))
-    return merged.withColumn(
-        "labels", F.transform("labels", lambda item: F.concat(item["label"], suffix))
+    last = F.element_at("boxes", -1)
+    suffix = F.when(last["ignored"], F.lit(" (ignored)")).otherwise(F.lit(""))
+    return places.select(
+        "frame_id",
+        *carry,
+        *BoxCols._fields,
+        F.transform("boxes", lambda b: F.concat(b["label"], suffix)).alias("labels"),
+        last["color"].alias("color"),
+        last["ignored"].alias("ignored"),
     )
 
 

@@ -58,14 +58,24 @@ def trend(points: DataFrame, *keys: str, x: str = "ts", y: str = "cumsum") -> Da
     Coefficients ``c0`` and ``c1`` refer to ``x`` scaled from ``[x_min, x_max]`` to ``[-1, 1]``; the
     root is in units of ``x``. A single point has no coefficients, a flat line no root.
     """
-    fitted = points.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.min(x).alias("x_min"),
-        F.max(x).alias("x_max"),
-        F.regr_slope(y, x).alias("slope"),
-        F.regr_avgx(y, x).alias("x_mean"),
-        F.regr_avgy(y, x).alias("y_mean"),
-    )
+    fitted = points.groupBy(*keys).agg(*(c.alias(n) for n, c in _line_aggregates(x, y).items()))
+    return _with_line(fitted).select(*keys, "n", "x_min", "x_max", "c0", "c1", "root")
+
+
+def _line_aggregates(x: str, y: str) -> dict[str, Column]:
+    counted = F.when(F.col(y).isNotNull(), F.col(x))
+    return {
+        "n": F.count(y),
+        "x_min": F.min(counted),
+        "x_max": F.max(counted),
+        "slope": F.regr_slope(y, x),
+        "x_mean": F.regr_avgx(y, x),
+        "y_mean": F.regr_avgy(y, x),
+    }
+
+
+def _with_line(fitted: DataFrame) -> DataFrame:
+    """Add ``c0``, ``c1`` and ``root`` to the aggregates of a line."""
     low, high = F.col("x_min"), F.col("x_max")
     return (
         fitted.withColumn("c1", F.col("slope") * (high - low) / 2)
@@ -74,7 +84,6 @@ def trend(points: DataFrame, *keys: str, x: str = "ts", y: str = "cumsum") -> Da
             "root",
             F.when(F.abs("c1") > FLAT, low + (1 - F.col("c0") / F.col("c1")) / 2 * (high - low)),
         )
-        .select(*keys, "n", "x_min", "x_max", "c0", "c1", "root")
     )
 
 
@@ -116,22 +125,32 @@ def polynomial_trend(points: DataFrame, *keys: str, degree: int, x: str = "ts",
     def solve(batches):
         import numpy as np
 
+        size = degree + 1
+        shift = np.arange(size)[:, None] + np.arange(size)
         for batch in batches:
-            coefs, roots = [], []
-            for n, lo, hi, s, t in zip(
-                batch["n"], batch["x_min"], batch["x_max"], batch["moments"], batch["products"]
-            ):
-                if n <= degree:
-                    coefs.append(None)
-                    roots.append(None)
-                    continue
-                system = np.array([s[i : i + degree + 1] for i in range(degree + 1)], dtype=float)
-                c = np.linalg.lstsq(system, np.asarray(t, dtype=float), rcond=None)[0]
-                r = np.polynomial.polynomial.polyroots(np.where(np.abs(c) > FLAT, c, 0.0))
-                r = np.sort(r[np.abs(r.imag) < FLAT].real)
-                coefs.append(c.tolist())
-                roots.append((lo + (r + 1) / 2 * (hi - lo)).tolist())
             out = batch.drop(columns=["moments", "products"])
+            coefs, roots = [None] * len(batch), [None] * len(batch)
+            at = np.flatnonzero(batch["n"].to_numpy() > degree)
+            if len(at):
+                moments = np.stack(batch["moments"].to_numpy()[at]).astype(float)
+                products = np.stack(batch["products"].to_numpy()[at]).astype(float)
+                # Pseudo-inverses also serve systems without a unique solution.
+                inverse = np.linalg.pinv(moments[:, shift], hermitian=True)
+                fitted = (inverse @ products[:, :, None])[:, :, 0]
+                low = batch["x_min"].to_numpy()[at].astype(float)
+                half = (batch["x_max"].to_numpy()[at] - low) / 2
+                for i, c in zip(at, fitted):
+                    coefs[i], roots[i] = c, np.empty(0)
+                tall = np.abs(fitted) > FLAT
+                order = np.where(tall.any(axis=1), degree - np.argmax(tall[:, ::-1], axis=1), 0)
+                for m in range(1, size):
+                    same = np.flatnonzero(order == m)
+                    companion = np.zeros((len(same), m, m))
+                    companion[:, np.arange(1, m), np.arange(m - 1)] = 1.0
+                    companion[:, :, -1] -= fitted[same, :m] / fitted[same, m : m + 1]
+                    for i, r in zip(same, np.linalg.eigvals(companion)):
+                        real = np.sort(r[np.abs(r.imag) < FLAT].real)
+                        roots[at[i]] = low[i] + (real + 1) * half[i]
             out["coef"], out["roots"] = coefs, roots
             yield out
 
@@ -158,47 +177,55 @@ def nested_records(
         F.count("*").alias("size"),
         F.when(F.count_if(F.col("health_weight") != 0) > 0, _health()).alias("health"),
     )
-    by_time = Window.partitionBy(*group).orderBy("ts")
-    upto = by_time.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy(*group)
+    upto = whole.orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     per_ts = (
         sizes.withColumn("part", F.floor((F.sum("size").over(upto) - F.col("size")) / max_elements))
         .withColumn("slices", F.ceil(F.col("size") / max_elements))
         .withColumn("cumsum", F.when(F.col("health").isNotNull(), F.sum("health").over(upto)))
     )
-    fitted = trend(per_ts.where(F.col("cumsum").isNotNull()), *group)
-    series = per_ts.groupBy(*group, "part").agg(
-        F.transform(
-            F.sort_array(F.collect_list(F.when(F.col("cumsum").isNotNull(), F.struct("ts", "cumsum")))),
-            lambda p: p["cumsum"],
-        ).alias("cumsum")
-    )
+    located = rows.join(per_ts.select(*group, "ts", "part", "slices"), [*group, "ts"])
     detection = F.struct(
         "ts", *order_id, "health_score", "health_weight", "detection_class", "detection_score"
     )
-    located = rows.join(per_ts.select(*group, "ts", "part", "slices"), [*group, "ts"])
+    detections = located.select(
+        *group,
+        "part",
+        F.pmod(F.xxhash64(*order_id), F.col("slices")).cast("int").alias("slice"),
+        detection.alias("d"),
+    )
+    # Points of the running sum join the detections as further rows, each with the window's trend.
+    lines = per_ts.select("*", *(c.over(whole).alias(n) for n, c in _line_aggregates("ts", "cumsum").items()))
+    slices = F.sequence(F.lit(0), F.col("slices").cast("int") - 1)
+    points = trend_struct(_with_line(lines)).select(
+        *group,
+        "part",
+        F.explode(slices).alias("slice"),
+        F.when(F.col("cumsum").isNotNull(), F.struct("ts", "cumsum")).alias("p"),
+        F.when(F.col("n") > 0, F.col("trend")).alias("poly"),
+    )
     records = (
-        located.withColumn("slice", F.pmod(F.xxhash64(*order_id), F.col("slices")).cast("int"))
+        detections.unionByName(points, allowMissingColumns=True)
         .groupBy(*group, "part", "slice")
-        .agg(F.sort_array(F.collect_list(detection)).alias("d"))
-    )
-    poly = trend_struct(fitted).select(*group, F.col("trend").alias("poly"))
-    return (
-        records.join(series, [*group, "part"], "left")
-        .join(poly, group, "left")
-        .select(
-            key,
-            "window_start",
-            (F.col("window_start") + period_seconds).alias("window_end"),
-            "part",
-            "slice",
-            *(
-                F.col(f"d.{c}").alias(c)
-                for c in ("health_score", "health_weight", "detection_class", "detection_score")
-            ),
-            "cumsum",
-            F.col("poly.coef").alias("poly_coef"),
-            F.col("poly.domain").alias("poly_domain"),
-            F.col("poly.roots").alias("poly_roots"),
-            F.col("poly.degree").alias("poly_degree"),
+        .agg(
+            F.sort_array(F.collect_list("d")).alias("d"),
+            F.sort_array(F.collect_list("p")).alias("p"),
+            F.first("poly", ignorenulls=True).alias("poly"),
         )
     )
+    return records.select(
+        key,
+        "window_start",
+        (F.col("window_start") + period_seconds).alias("window_end"),
+        "part",
+        "slice",
+        *(
+            F.col(f"d.{c}").alias(c)
+            for c in ("health_score", "health_weight", "detection_class", "detection_score")
+        ),
+        F.col("p.cumsum").alias("cumsum"),
+        F.col("poly.coef").alias("poly_coef"),
+        F.col("poly.domain").alias("poly_domain"),
+        F.col("poly.roots").alias("poly_roots"),
+        F.col("poly.degree").alias("poly_degree"),
+    )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -83,7 +86,10 @@ def overlay_boxes(frames: DataFrame, drawn: str = "drawn", *, agnostic: bool = F
         return F.struct(*(d[n].alias(n) for n in BoxCols._fields))
 
     def at(place: Column) -> Column:
-        same = F.filter(drawn, lambda d: location(d) == place)
+        def there(d: Column) -> Column:
+            return reduce(and_, (d[n] == place[n] for n in BoxCols._fields))
+
+        same = F.filter(drawn, there)
         return F.struct(place.alias("place"), same.alias("same"))
 
     def overlay(group: Column) -> Column:

@@ -249,10 +249,17 @@ def _merged(spark, sf_dir, **kwargs):
 
 
 def nested_aoi_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = F.inline("annotations_filtered.detections")
-    return _merged(spark, sf_dir).select("frame_id", kept).select(
-        "frame_id", "pos", "class", "score", "health_weight"
-    )
+    kept = _inline(_merged(spark, sf_dir), "annotations_filtered.detections", "pos")
+    return kept.select("frame_id", "pos", "class", "score", "health_weight")
+
+
+def _inline(rows, column, field):
+    """One row per element of a computed array.
+
+    The outer form with a filter behind it, as the plain form would work the array out twice: Spark
+    adds a test for empty arrays below it.
+    """
+    return rows.select("frame_id", F.inline_outer(column)).where(F.col(field).isNotNull())
 
 
 def nested_effective(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -268,13 +275,13 @@ def nested_effective(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_drawable(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = nested.effective_annotations(_merged(spark, sf_dir))
     drawn = nested.drawable(F.col("effective.detections"), 5, 0.66)
-    return rows.select("frame_id", F.inline(drawn)).select("frame_id", "pos", "class", "score")
+    return _inline(rows, drawn, "pos").select("frame_id", "pos", "class", "score")
 
 
 def nested_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = nested.drawable(F.col("detections"), 5, 0.2)
     marked = tables.nested_frames(spark, sf_dir).withColumn("drawn", drawn)
-    rows = nested.overlay_boxes(marked).select("frame_id", F.inline("overlay"))
+    rows = _inline(nested.overlay_boxes(marked), "overlay", "ymin")
     return rows.withColumn("labels", F.array_join("labels", ";"))
 
 
