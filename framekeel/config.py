@@ -10,7 +10,6 @@ class HealthJobConfig:
     """Frame job: score, filter, archive, and ask for a video when a session goes quiet."""
 
     bucket: str
-    calibration_path: str
     checkpoint: str
     base_path: str = "dataflow/sliding_window_health/"
     protocol: str = "gs://"
