@@ -83,8 +83,11 @@ def drawable(
     frame to ``max_boxes`` rows before the shuffle, so a hot frame stays small. Adds ``pos``.
     """
     if effective:
+        # These rows come from a join on the frame. Partitioning by another form of its id makes Spark
+        # shuffle for the ranking, and so cut the frames before that, in the tasks of the join.
+        frame = F.bitwise_not("frame_id")
         dropped = ~F.coalesce(F.col("kept"), F.lit(False))
-        ranked = Window.partitionBy("frame_id").orderBy(dropped, *order)
+        ranked = Window.partitionBy(frame).orderBy(dropped, *order)
         first_dropped = F.first(dropped).over(ranked.rowsBetween(Window.unboundedPreceding, 0))
         rows = (
             detections.select(

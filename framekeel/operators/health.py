@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .lookups import per_key
+
 # A slope below this, over the whole domain, counts as flat: no root is given.
 FLAT = 1e-9
 DAY = 86_400
@@ -108,8 +110,8 @@ def polynomial_trend(points: DataFrame, *keys: str, degree: int, x: str = "ts",
     Keys with too few points for the degree have null results.
     """
     # Counting `y` keeps this side's plan equal to the other use of `points`, so Spark shares it.
-    domain = points.groupBy(*keys).agg(
-        F.count(y).alias("n"), F.min(x).alias("x_min"), F.max(x).alias("x_max")
+    domain = per_key(
+        points, list(keys), F.count(y).alias("n"), F.min(x).alias("x_min"), F.max(x).alias("x_max")
     )
     low, high = F.col("x_min"), F.col("x_max")
     span = F.when(high > low, high - low)
@@ -124,40 +126,56 @@ def polynomial_trend(points: DataFrame, *keys: str, degree: int, x: str = "ts",
 
     def solve(batches):
         import numpy as np
+        import pyarrow as pa
 
         size = degree + 1
         shift = np.arange(size)[:, None] + np.arange(size)
+
+        def numbers(batch, name, width=None):
+            column = batch.column(name)
+            if width:
+                return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+            return column.to_numpy(zero_copy_only=False).astype(float)
+
+        def lists(rows, given):
+            """Rows of a matrix as lists without their NaN values; null where not ``given``."""
+            filled = ~np.isnan(rows)
+            ends = np.concatenate([[0], np.cumsum(filled.sum(axis=1))]).astype(np.int32)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(rows[filled]), mask=pa.array(~given))
+
         for batch in batches:
-            out = batch.drop(columns=["moments", "products"])
-            coefs, roots = [None] * len(batch), [None] * len(batch)
-            at = np.flatnonzero(batch["n"].to_numpy() > degree)
-            if len(at):
-                moments = np.stack(batch["moments"].to_numpy()[at]).astype(float)
-                products = np.stack(batch["products"].to_numpy()[at]).astype(float)
-                # Pseudo-inverses also serve systems without a unique solution.
-                inverse = np.linalg.pinv(moments[:, shift], hermitian=True)
-                fitted = (inverse @ products[:, :, None])[:, :, 0]
-                low = batch["x_min"].to_numpy()[at].astype(float)
-                half = (batch["x_max"].to_numpy()[at] - low) / 2
-                for i, c in zip(at, fitted):
-                    coefs[i], roots[i] = c, np.empty(0)
-                tall = np.abs(fitted) > FLAT
-                order = np.where(tall.any(axis=1), degree - np.argmax(tall[:, ::-1], axis=1), 0)
-                for m in range(1, size):
-                    same = np.flatnonzero(order == m)
-                    companion = np.zeros((len(same), m, m))
-                    companion[:, np.arange(1, m), np.arange(m - 1)] = 1.0
-                    companion[:, :, -1] -= fitted[same, :m] / fitted[same, m : m + 1]
-                    for i, r in zip(same, np.linalg.eigvals(companion)):
-                        real = np.sort(r[np.abs(r.imag) < FLAT].real)
-                        roots[at[i]] = low[i] + (real + 1) * half[i]
-            out["coef"], out["roots"] = coefs, roots
-            yield out
+            given = numbers(batch, "n") > degree
+            moments = numbers(batch, "moments", 2 * degree + 1)[given]
+            products = numbers(batch, "products", size)[given]
+            # Pseudo-inverses also serve systems without a unique solution.
+            inverse = np.linalg.pinv(moments[:, shift], hermitian=True)
+            coefs = np.full((len(given), size), np.nan)
+            coefs[given] = (inverse @ products[:, :, None])[:, :, 0]
+
+            # Roots are the eigenvalues of the companion matrix, for the degree the fit really has.
+            roots = np.full((len(given), degree), np.nan)
+            tall = np.abs(coefs) > FLAT
+            order = np.where(tall.any(axis=1), degree - np.argmax(tall[:, ::-1], axis=1), 0)
+            for m in range(1, size):
+                same = np.flatnonzero(order == m)
+                companion = np.zeros((len(same), m, m))
+                companion[:, np.arange(1, m), np.arange(m - 1)] = 1.0
+                companion[:, :, -1] -= coefs[same, :m] / coefs[same, m : m + 1]
+                found = np.linalg.eigvals(companion)
+                roots[same, :m] = np.where(np.abs(found.imag) < FLAT, found.real, np.nan)
+            low, high = numbers(batch, "x_min")[:, None], numbers(batch, "x_max")[:, None]
+            roots = np.sort(low + (roots + 1) / 2 * (high - low), axis=1)
+
+            kept = [c for c in batch.schema.names if c not in ("moments", "products")]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in kept), lists(coefs, given), lists(roots, given)],
+                names=[*kept, "coef", "roots"],
+            )
 
     schema = sums.drop("moments", "products").schema
     doubles = T.ArrayType(T.DoubleType())
     schema = schema.add("coef", doubles).add("roots", doubles)
-    return sums.mapInPandas(solve, schema)
+    return sums.mapInArrow(solve, schema)
 
 
 def nested_records(
@@ -184,36 +202,29 @@ def nested_records(
         .withColumn("slices", F.ceil(F.col("size") / max_elements))
         .withColumn("cumsum", F.when(F.col("health").isNotNull(), F.sum("health").over(upto)))
     )
-    located = rows.join(per_ts.select(*group, "ts", "part", "slices"), [*group, "ts"])
-    detection = F.struct(
-        "ts", *order_id, "health_score", "health_weight", "detection_class", "detection_score"
+    lines = _with_line(
+        per_ts.select("*", *(c.over(whole).alias(n) for n, c in _line_aggregates("ts", "cumsum").items()))
     )
-    detections = located.select(
-        *group,
-        "part",
-        F.pmod(F.xxhash64(*order_id), F.col("slices")).cast("int").alias("slice"),
-        detection.alias("d"),
+    line = ["n", "x_min", "x_max", "c0", "c1", "root"]
+    located = rows.join(
+        lines.select(*group, "ts", "part", "slices", "cumsum", F.struct(*line).alias("line")), [*group, "ts"]
     )
-    # Points of the running sum join the detections as further rows, each with the window's trend.
-    lines = per_ts.select("*", *(c.over(whole).alias(n) for n, c in _line_aggregates("ts", "cumsum").items()))
-    slices = F.sequence(F.lit(0), F.col("slices").cast("int") - 1)
-    points = trend_struct(_with_line(lines)).select(
-        *group,
-        "part",
-        F.explode(slices).alias("slice"),
-        F.when(F.col("cumsum").isNotNull(), F.struct("ts", "cumsum")).alias("p"),
-        F.when(F.col("n") > 0, F.col("trend")).alias("poly"),
+    detection = F.struct(
+        "ts", *order_id, "health_score", "health_weight", "detection_class", "detection_score"
     )
+    point = F.when(F.col("cumsum").isNotNull(), F.struct("ts", "cumsum"))
     records = (
-        detections.unionByName(points, allowMissingColumns=True)
+        located.withColumn("slice", F.pmod(F.xxhash64(*order_id), F.col("slices")).cast("int"))
         .groupBy(*group, "part", "slice")
         .agg(
-            F.sort_array(F.collect_list("d")).alias("d"),
-            F.sort_array(F.collect_list("p")).alias("p"),
-            F.first("poly", ignorenulls=True).alias("poly"),
+            F.sort_array(F.collect_list(detection)).alias("d"),
+            F.sort_array(F.collect_set(point)).alias("p"),
+            F.first("line").alias("line"),
         )
+        .select("*", "line.*")
     )
-    return records.select(
+    poly = F.when(F.col("n") > 0, F.col("trend"))
+    return trend_struct(records).select(
         key,
         "window_start",
         (F.col("window_start") + period_seconds).alias("window_end"),
@@ -224,8 +235,8 @@ def nested_records(
             for c in ("health_score", "health_weight", "detection_class", "detection_score")
         ),
         F.col("p.cumsum").alias("cumsum"),
-        F.col("poly.coef").alias("poly_coef"),
-        F.col("poly.domain").alias("poly_domain"),
-        F.col("poly.roots").alias("poly_roots"),
-        F.col("poly.degree").alias("poly_degree"),
+        poly["coef"].alias("poly_coef"),
+        poly["domain"].alias("poly_domain"),
+        poly["roots"].alias("poly_roots"),
+        poly["degree"].alias("poly_degree"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import join_path, typed_path
+from ..operators.lookups import per_key
 from ..schemas import METADATA
 from ..sources.messages import encode
 
@@ -81,7 +82,7 @@ def render_manifest(
 
 def render_frames(requests: DataFrame, frames: DataFrame) -> DataFrame:
     """The frames of requested sessions, one row each."""
-    wanted = requests.select("datesegment", "session").distinct()
+    wanted = per_key(requests, ["datesegment", "session"])
     return frames.join(wanted, ["datesegment", "session"]).select(
         "session", "datesegment", "ts", "outpath"
     )

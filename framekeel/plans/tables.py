@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.boxes import BoxCols
+from ..operators.lookups import per_key
 
 # Total order of the detections in a frame.
 POSITION = [
@@ -40,6 +41,9 @@ def frames(spark: SparkSession, sf_dir: str, *, device: bool = False, datesegmen
         event_time.alias("event_time"),
         F.col("o_orderpriority").alias("payload"),
     )
+    if datesegment:
+        first = F.date_format(F.min("event_time"), "yyyy/MM/dd").alias("datesegment")
+        out = out.join(per_key(out, ["user_id"], first), "user_id")
     if device:
         customer = table(spark, sf_dir, "customer")
         out = out.join(
@@ -47,11 +51,6 @@ def frames(spark: SparkSession, sf_dir: str, *, device: bool = False, datesegmen
             "user_id",
             "left",
         )
-    if datesegment:
-        starts = orders.groupBy(F.col("o_custkey").alias("user_id")).agg(
-            F.date_format(F.min(F.col("o_orderdate").cast("timestamp")), "yyyy/MM/dd").alias("datesegment")
-        )
-        out = out.join(starts, "user_id")
     return out
 
 
