@@ -23,7 +23,7 @@ def frame_path(
     )
 
 
-def frame_overlays(
+def overlay_plans(
     frames: DataFrame,
     *,
     bucket: str,
@@ -32,23 +32,28 @@ def frame_overlays(
     max_boxes: int | None = 10,
     min_score: float = 0.5,
     protocol: str = "gs://",
-    image: str = "image_data",
-) -> tuple[DataFrame, DataFrame]:
-    """Overlay plan and output path of every frame, and the frames that have no image.
-
-    ``frames`` carry ``annotations_all`` and ``annotations_filtered``. The plan has one element per box
-    location. The image itself is only tested for being there.
-    """
-    has_image = F.coalesce(F.octet_length(image) > 0, F.lit(False))
+) -> DataFrame:
+    """Add ``overlay``, one element per box location, and ``outpath`` to annotated frames."""
     drawn = drawable(F.col("effective.detections"), max_boxes, min_score)
-    marked = effective_annotations(frames.where(has_image)).withColumn("drawn", drawn)
-    plans = (
+    marked = effective_annotations(frames).withColumn("drawn", drawn)
+    return (
         overlay_boxes(marked)
         .withColumn("outpath", frame_path(bucket, base_path, module, "jpg", protocol))
-        .drop(image, "effective", "drawn")
+        .drop("effective", "drawn")
     )
-    errors = frames.where(~has_image).drop(image)
-    return plans, errors
+
+
+def frame_overlays(
+    frames: DataFrame, *, image: str = "image_data", **options
+) -> tuple[DataFrame, DataFrame]:
+    """Overlay plan and output path of every frame with an image, and the frames that have none.
+
+    ``frames`` carry ``annotations_all`` and ``annotations_filtered``; ``options`` are those of
+    :func:`overlay_plans`. The image itself is only tested for being there.
+    """
+    has_image = F.coalesce(F.octet_length(image) > 0, F.lit(False))
+    plans = overlay_plans(frames.where(has_image).drop(image), **options)
+    return plans, frames.where(~has_image).drop(image)
 
 
 def manifest(plans: DataFrame, *carry: str) -> DataFrame:

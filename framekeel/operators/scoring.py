@@ -25,7 +25,7 @@ def score_frames(
 
     ``load_model`` is called once per task and returns a function from a list of images to a list of
     ``(boxes, classes, scores, count)``. Images go to the model in batches; turning its output
-    into annotations happens in Spark expressions.
+    into annotations happens in Spark expressions. A frame whose image is null keeps null annotations.
     """
     kept = [f for f in frames.schema.fields if f.name != image]
     schema = T.StructType(
@@ -46,42 +46,40 @@ def score_frames(
                 ("count", pa.float64()),
             ]
         )
+
+        def record(boxes, classes, scores, count):
+            return {
+                "boxes": [[float(v) for v in b] for b in boxes],
+                "classes": [float(v) for v in classes],
+                "scores": [float(v) for v in scores],
+                "count": float(count),
+            }
+
         for whole in batches:
             for at in range(0, whole.num_rows, batch_size):
                 batch = whole.slice(at, batch_size)
-                images = batch.column(image).to_pylist()
+                every = batch.column(image).to_pylist()
+                images = [i for i in every if i is not None]
                 start = time.monotonic()
-                results = model(images)
+                results = iter(model(images) if images else [])
                 elapsed = int((time.monotonic() - start) * 1000 / max(len(images), 1))
-                raw = pa.array(
-                    [
-                        {
-                            "boxes": [[float(v) for v in b] for b in boxes],
-                            "classes": [float(v) for v in classes],
-                            "scores": [float(v) for v in scores],
-                            "count": float(count),
-                        }
-                        for boxes, classes, scores, count in results
-                    ],
-                    type=raw_type,
-                )
+                raw = pa.array([None if i is None else record(*next(results)) for i in every], type=raw_type)
+                spent = pa.array([None if i is None else elapsed for i in every], pa.int64())
                 columns = [batch.column(f) for f in batch.schema.names if f != image]
                 names = [f for f in batch.schema.names if f != image]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, raw, pa.array([elapsed] * batch.num_rows, pa.int64())],
+                    [*columns, raw, spent],
                     names=[*names, "raw", "predict_ms"],
                 )
 
     scored = frames.mapInArrow(predict, schema)
     raw = F.col("raw")
-    return scored.withColumn(
-        "annotations_all",
-        postprocess(
-            raw["boxes"],
-            raw["classes"],
-            raw["scores"],
-            raw["count"],
-            cut_to_count=cut_to_count,
-            strict=strict,
-        ),
-    ).drop("raw")
+    found = postprocess(
+        raw["boxes"],
+        raw["classes"],
+        raw["scores"],
+        raw["count"],
+        cut_to_count=cut_to_count,
+        strict=strict,
+    )
+    return scored.withColumn("annotations_all", F.when(raw.isNotNull(), found)).drop("raw")

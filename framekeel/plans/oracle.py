@@ -156,6 +156,21 @@ _COLOR7 = """CASE class WHEN 0 THEN 'AliceBlue' WHEN 1 THEN 'Chartreuse' WHEN 2
   WHEN 3 THEN 'Aquamarine' WHEN 4 THEN 'Azure' WHEN 5 THEN 'Beige' ELSE 'Bisque' END"""
 
 
+# Messages that arrive whole, and the detections the payload model makes of their images.
+_SCORED = f"""{_FRAMES}, {_CATS}, {_CALS}, arrived AS (SELECT * FROM frames WHERE frame_id % 97 <> 0),
+imaged AS (SELECT * FROM arrived WHERE frame_id % 89 <> 0),
+found AS (
+  SELECT f.*, CAST(i AS INTEGER) AS pos, ord(substr(payload, i + 1, 1)) % 6 + 1 AS class,
+    ord(substr(payload, i + 1, 1)) / 128.0::double AS score, 0.2::double * i AS ymin, 0.1::double AS xmin,
+    0.2::double * i + 0.2::double AS ymax, 0.5::double AS xmax
+  FROM imaged f, unnest(range(0, least(strlen(payload), 4))) AS t(i)),
+kept AS (SELECT f.*, c.c_ymin, {_share('f.', 'c.')} AS overlap FROM found f LEFT JOIN cals c ON c.device_id = f.device_id),
+flagged AS (SELECT *, count(*) FILTER (WHERE overlap > 0.75) OVER (PARTITION BY frame_id) AS n_kept FROM kept),
+effective AS (
+  SELECT *, row_number() OVER (PARTITION BY frame_id ORDER BY pos) AS rank
+  FROM flagged WHERE n_kept = 0 OR overlap > 0.75)"""
+
+
 def _palette() -> str:
     from ..functions import PALETTE
 
@@ -357,6 +372,28 @@ SELECT user_id, window_start, window_start + 18000 AS window_end, n, total, low,
 {_CLOSED.format(size=18000)}""",
         "stream_session_latest": f"""WITH {_EVENT_SESSIONS}
 SELECT * FROM event_sessions WHERE end_us - 1 <= {_MARK}""",
+        "stream_publish": """SELECT event_id, epoch_us(ts) AS us, user_id, event_type, false AS is_malformed FROM events""",
+        "stream_drop_repeats": "SELECT event_id, user_id, value FROM events",
+        "job_annotate": f"""WITH {_SCORED}
+SELECT f.session, f.ts, {_FRAME_PATH.replace('datesegment', 'f.datesegment').replace('session', 'f.session').replace('CAST(ts', 'CAST(f.ts')} AS outpath,
+  coalesce(string_agg(coalesce(name, 'N/A') || ': ' || CAST(trunc(100 * score) AS INTEGER) || '%', ';' ORDER BY pos), '') AS labels
+FROM imaged f LEFT JOIN effective e ON e.frame_id = f.frame_id AND rank <= 5 AND score > 0.66
+LEFT JOIN cats c ON c.class = e.class
+GROUP BY f.frame_id, f.session, f.ts, f.datesegment""",
+        "job_archive": f"""WITH {_SCORED}
+SELECT (ts // {_WINDOW} * {_WINDOW}) || '_' || (ts // {_WINDOW} * {_WINDOW} + {_WINDOW}) AS "window",
+  count(*) AS n_frames, CAST(sum(least(strlen(payload), 4)) AS BIGINT) AS n_detections FROM imaged GROUP BY ts // {_WINDOW}
+UNION ALL SELECT 'malformed', count(*), NULL FROM frames WHERE frame_id % 97 = 0
+UNION ALL SELECT 'frames_without_image', count(*), NULL FROM arrived WHERE frame_id % 89 = 0""",
+        "job_alerts": f"""WITH {_FRAMES}, arrived AS (SELECT * FROM frames WHERE frame_id % 97 <> 0),
+breaks AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY session ORDER BY ts) < {2 * _WINDOW} THEN 0 ELSE 1 END AS b FROM arrived),
+numbered AS (SELECT *, sum(b) OVER (PARTITION BY session ORDER BY ts, b DESC ROWS UNBOUNDED PRECEDING) AS session_no FROM breaks),
+finished AS (
+  SELECT session, datesegment, device_id, max(ts) AS ts FROM numbered GROUP BY session, session_no, datesegment, device_id
+  HAVING max(ts) + {2 * _WINDOW} <= (SELECT max(ts) FROM arrived))
+SELECT 'media/uploads/PrintSessionAlert/' || datesegment || '/' || session AS cdn_output_path, session, ts, device_id,
+  false AS is_malformed FROM finished WHERE session IN (SELECT session FROM frames WHERE frame_id % 89 <> 0)""",
         "stream_late_drop": f"""WITH e AS (
   SELECT *, epoch_us(ts) AS us, (SELECT (min(epoch_us(ts)) + max(epoch_us(ts))) // 2 FROM events) AS middle FROM events),
 c AS (

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import HealthJobConfig, RenderJobConfig
 from ..functions import (
     BoxCols,
     arrays_to_boxes,
@@ -21,7 +22,7 @@ from ..operators import exploded, health, metrics, nested, overlay, scoring, win
 from ..schemas import MONITORING_IMAGE, TELEMETRY_EVENT, VIDEO_RENDER_REQUEST
 from ..session import fresh_dir
 from ..sources import archive, calibrations, messages
-from ..streaming import runner
+from ..streaming import jobs, runner
 from ..streaming import windows as stream_windows
 from . import render, tables
 from .tables import AREA, GAP, POSITION, WINDOW
@@ -706,6 +707,120 @@ def stream_late_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(schema).parquet(out)
 
 
+def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Publish events as messages, then read and decode what arrived."""
+    rows = tables.event_stream(spark, sf_dir).withColumn("us", F.unix_micros(F.col("ts").cast("timestamp")))
+    sent = rows.select(messages.encode("event_id", "us", "user_id", "event_type"))
+    out, checkpoint = fresh_dir(spark, "published"), fresh_dir(spark, "published-checkpoint")
+    messages.publish(sent, out, checkpoint=checkpoint).awaitTermination()
+    schema = rows.select("event_id", "us", "user_id", "event_type").schema
+    arrived = messages.read_messages(spark, out, streaming=False)
+    return messages.decode(arrived, schema).select("message.*", "is_malformed")
+
+
+def stream_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of which every fifth is delivered a second time later."""
+    source = tables.table(spark, sf_dir, "events")
+    base, out = fresh_dir(spark, "deliveries"), fresh_dir(spark, "drop-repeats")
+    checkpoint = fresh_dir(spark, "drop-repeats-checkpoint")
+    for delivered in (source, source.where(F.col("event_id") % 5 == 0)):
+        delivered.write.mode("append").parquet(base)
+        rows = spark.readStream.schema(source.schema).parquet(base)
+        rows = stream_windows.with_lateness(
+            rows.withColumn("event_time", F.col("ts").cast("timestamp")), "365 days"
+        )
+        once = stream_windows.drop_repeats(rows, "event_id").select("event_id", "user_id", "value")
+        runner.to_files(once, out, checkpoint).awaitTermination()
+    return spark.read.schema(once.schema).parquet(out)
+
+
+# --- the two jobs --------------------------------------------------------------------------------
+
+
+def payload_model():
+    """Loader of a stand-in model: a detection from each of the first bytes of the image."""
+
+    def load():
+        def predict(images):
+            results = []
+            for image in images:
+                found = list(enumerate(bytes(image)[:4]))
+                boxes = [[0.2 * i, 0.1, 0.2 * i + 0.2, 0.5] for i, _ in found]
+                results.append((boxes, [b % 6 for _, b in found], [b / 128 for _, b in found], len(found)))
+            return results
+
+        return predict
+
+    return load
+
+
+def _job_messages(spark, sf_dir):
+    """Frame messages in a folder, as a stream; some are cut off and some have no image."""
+    rows = tables.frames(spark, sf_dir, device=True, datesegment=True)
+    image = F.when(F.col("frame_id") % 89 != 0, F.col("payload").cast("binary"))
+    value = messages.encode(image.alias("data"), render.metadata_struct(rows).alias("metadata"))
+    cut = F.when(F.col("frame_id") % 97 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    inbox = fresh_dir(spark, "inbox")
+    rows.select("frame_id", value).select(cut.alias("value")).write.parquet(inbox)
+    return messages.read_messages(spark, inbox)
+
+
+def _annotate(spark, sf_dir):
+    config = HealthJobConfig(BUCKET, fresh_dir(spark, "job-checkpoint"), window_period_seconds=WINDOW)
+    out = fresh_dir(spark, "job")
+    jobs.annotate_and_archive(
+        _job_messages(spark, sf_dir),
+        lambda: tables.calibrations(spark, sf_dir),
+        payload_model(),
+        config,
+        out,
+    ).awaitTermination()
+    return out
+
+
+def job_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame job: what is drawn on each frame."""
+    drawn = spark.read.parquet(f"{_annotate(spark, sf_dir)}/manifest")
+    labels = F.flatten(F.col("overlay.labels"))
+    return drawn.select("session", "ts", "outpath", F.array_join(labels, ";").alias("labels"))
+
+
+def job_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame job: rows in the archive and in the two error outputs."""
+    out = _annotate(spark, sf_dir)
+    archived = spark.read.parquet(f"{out}/archive").groupBy("window").agg(
+        F.count("*").alias("n_frames"), F.sum("annotations_all.num_detections").alias("n_detections")
+    )
+    errors = [
+        spark.read.parquet(f"{out}/{name}")
+        .groupBy(F.lit(name).alias("window"))
+        .agg(F.count("*").alias("n_frames"), F.lit(None).cast("bigint").alias("n_detections"))
+        for name in ("malformed", "frames_without_image")
+    ]
+    return archived.unionByName(errors[0]).unionByName(errors[1])
+
+
+def job_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both jobs in a row: requests of finished sessions, rendered and alerted."""
+    health_config = HealthJobConfig(BUCKET, fresh_dir(spark, "job-checkpoint"), window_period_seconds=WINDOW)
+    requests, out = fresh_dir(spark, "requests"), fresh_dir(spark, "render")
+    jobs.request_renders(_job_messages(spark, sf_dir), health_config, requests).awaitTermination()
+    jobs.render_and_alert(
+        messages.read_messages(spark, requests),
+        lambda: _manifest(spark, sf_dir),
+        RenderJobConfig(BUCKET, fresh_dir(spark, "render-checkpoint")),
+        out,
+    ).awaitTermination()
+    sent = messages.decode(spark.read.parquet(f"{out}/alerts"), VIDEO_RENDER_REQUEST)
+    return sent.select(
+        "message.cdn_output_path",
+        "message.metadata.session",
+        "message.metadata.ts",
+        "message.metadata.device_id",
+        "is_malformed",
+    )
+
+
 QUERIES = {
     "decode_frames": decode_frames,
     "decode_render_request": decode_render_request,
@@ -762,4 +877,9 @@ QUERIES = {
     "stream_sliding_health": stream_sliding_health,
     "stream_session_latest": stream_session_latest,
     "stream_late_drop": stream_late_drop,
+    "stream_publish": stream_publish,
+    "stream_drop_repeats": stream_drop_repeats,
+    "job_annotate": job_annotate,
+    "job_archive": job_archive,
+    "job_alerts": job_alerts,
 }

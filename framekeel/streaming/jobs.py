@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..config import HealthJobConfig, RenderJobConfig
 from ..operators import windows
 from ..operators.nested import merge_filtered
-from ..operators.overlay import frame_overlays
+from ..operators.overlay import manifest, overlay_plans
 from ..operators.scoring import score_frames
 from ..plans import render
 from ..schemas import METADATA, MONITORING_IMAGE, VIDEO_RENDER_REQUEST
@@ -21,18 +21,20 @@ from . import runner
 from .windows import session_latest, with_lateness
 
 
-def frames_from_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Frames with event time from raw messages, and the malformed messages."""
+def frames_from_messages(messages: DataFrame) -> DataFrame:
+    """Frames with event time from raw messages. Malformed messages keep only ``malformed``, their text."""
     decoded = decode(messages, MONITORING_IMAGE)
-    good = decoded.where(~F.col("is_malformed")).select(
-        F.col("message.data").alias("image_data"), "message.metadata.*"
+    image = F.col("message.data")
+    frames = decoded.select(
+        F.when(F.col("is_malformed"), F.col("value").cast("string")).alias("malformed"),
+        F.when(F.octet_length(image) > 0, image).alias("image_data"),
+        "message.metadata.*",
     )
-    bad = decoded.where("is_malformed").select("value")
-    return windows.assign_event_time(good), bad
+    return windows.assign_event_time(frames)
 
 
-def _write_if_any(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").parquet(path)
+def _write(rows: DataFrame, path: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(runner.batch_path(path, batch_id))
 
 
 def annotate_and_archive(
@@ -45,26 +47,27 @@ def annotate_and_archive(
 ) -> StreamingQuery:
     """Score frames, then write the overlay manifest, the archive and two error outputs below ``out``.
 
-    The model runs once per frame: the scored micro-batch, without images, is kept for both branches.
-    ``calibrations`` is read anew for every batch, so new devices are seen.
+    Messages are read and scored once per micro-batch: the scored frames, without images, are kept
+    for the four outputs. ``calibrations`` is read anew for every batch, so new devices are seen.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        frames, bad = frames_from_messages(batch)
-        has_image = F.octet_length("image_data") > 0
-        flagged = frames.withColumn("has_image", F.coalesce(has_image, F.lit(False)))
-        _write_if_any(
-            flagged.where(~F.col("has_image")).drop("image_data"),
-            runner.batch_path(f"{out}/frames_without_image", batch_id),
-        )
-        _write_if_any(bad, runner.batch_path(f"{out}/malformed", batch_id))
-        scored = score_frames(flagged.where("has_image").drop("has_image"), load_model)
-        annotated = scored.withColumn("detections", F.col("annotations_all.detections")).persist()
+        scored = score_frames(frames_from_messages(batch), load_model).persist()
         try:
-            filtered = merge_filtered(annotated, calibrations())
-            # The image was checked above and left behind; any non-empty value marks it as there.
-            plans, _ = frame_overlays(
-                filtered.withColumn("image_data", F.lit("x")),
+            _write(
+                scored.where(F.col("malformed").isNotNull()).select(F.col("malformed").alias("value")),
+                f"{out}/malformed",
+                batch_id,
+            )
+            frames = scored.where(F.col("malformed").isNull()).drop("malformed")
+            has_image = F.col("annotations_all").isNotNull()
+            _write(frames.where(~has_image), f"{out}/frames_without_image", batch_id)
+            annotated = frames.where(has_image)
+            merged = merge_filtered(
+                annotated.withColumn("detections", F.col("annotations_all.detections")), calibrations()
+            )
+            plans = overlay_plans(
+                merged,
                 bucket=config.bucket,
                 base_path=config.base_path,
                 module=config.module,
@@ -72,19 +75,16 @@ def annotate_and_archive(
                 min_score=config.min_score_threshold,
                 protocol=config.protocol,
             )
-            _write_if_any(
-                plans.select("session", "datesegment", "ts", "outpath", "overlay"),
-                runner.batch_path(f"{out}/manifest", batch_id),
-            )
+            _write(manifest(plans, "datesegment", "ts", "overlay"), f"{out}/manifest", batch_id)
             write_windowed_archive(
-                annotated.drop("detections"),
+                annotated,
                 runner.batch_path(f"{out}/archive", batch_id),
                 config.window_period_seconds,
                 layout="window",
                 mode="overwrite",
             )
         finally:
-            annotated.unpersist()
+            scored.unpersist()
 
     return runner.each_batch(messages, write, f"{config.checkpoint}/annotate", trigger=trigger)
 
@@ -93,8 +93,8 @@ def request_renders(
     messages: DataFrame, config: HealthJobConfig, out: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Publish a render request when a session has been quiet for the gap. Needs no model and no images."""
-    frames, _ = frames_from_messages(messages)
-    narrow = with_lateness(frames.drop("image_data"), config.watermark_delay)
+    frames = frames_from_messages(messages).where(F.col("malformed").isNull())
+    narrow = with_lateness(frames.drop("image_data", "malformed"), config.watermark_delay)
     carry = [f.name for f in METADATA.fields if f.name not in ("session", "ts")]
     finished = session_latest(narrow, "session", config.session_gap_seconds, "ts", *carry)
     requests = render.render_requests(render.latest_metadata(finished))
@@ -119,7 +119,7 @@ def render_and_alert(
             F.col("message.metadata.datesegment").alias("datesegment"),
         )
         frames = frame_manifest()
-        manifest = render.render_manifest(
+        renders = render.render_manifest(
             good,
             frames,
             bucket=config.bucket,
@@ -127,17 +127,11 @@ def render_and_alert(
             module=config.module,
             protocol=config.protocol,
         )
-        _write_if_any(manifest, runner.batch_path(f"{out}/renders", batch_id))
-        render.write_render_frames(
-            render.render_frames(good, frames), runner.batch_path(f"{out}/frames", batch_id), "overwrite"
-        )
-        _write_if_any(
-            render.alerts(manifest).select("value"), runner.batch_path(f"{out}/alerts", batch_id)
-        )
-        _write_if_any(
-            decoded.where("is_malformed").select("value"),
-            runner.batch_path(f"{out}/malformed", batch_id),
-        )
+        _write(renders, f"{out}/renders", batch_id)
+        listed = render.render_frames(good, frames)
+        render.write_render_frames(listed, runner.batch_path(f"{out}/frames", batch_id), "overwrite")
+        _write(render.alerts(renders).select("value"), f"{out}/alerts", batch_id)
+        _write(decoded.where("is_malformed").select("value"), f"{out}/malformed", batch_id)
 
     return runner.each_batch(requests, write, f"{config.checkpoint}/render", trigger=trigger)
 

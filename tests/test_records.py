@@ -151,3 +151,17 @@ def test_explode_keeps_position(spark):
     got = nested.explode_detections(rows).collect()
     columns = ("pos", "detection_class", "health_weight", "health_score")
     assert [tuple(r[c] for c in columns) for r in got] == [(1, 3, -0.5, -0.25), (2, 6, None, None)]
+
+
+def test_null_images_pass_the_model_by(spark):
+    def load():
+        def predict(images):
+            assert None not in images
+            return [([], [], [], 0) for _ in images]
+
+        return predict
+
+    frames = spark.sql("SELECT 1 id, cast('x' AS binary) image_data UNION ALL SELECT 2, cast(null AS binary)")
+    got = {r["id"]: r for r in score_frames(frames.coalesce(1), load).collect()}
+    assert got[1]["annotations_all"]["num_detections"] == 0
+    assert (got[2]["annotations_all"], got[2]["predict_ms"]) == (None, None)
