@@ -81,7 +81,10 @@ def drawable(
 
     With ``effective``, frames with kept detections draw only those, others draw all. Spark cuts each
     frame to ``max_boxes`` rows before the shuffle, so a hot frame stays small. Adds ``pos``.
+    Without a limit, use the array form: there a frame is one row.
     """
+    if not max_boxes:
+        raise ValueError("max_boxes must be at least 1")
     if effective:
         # These rows come from a join on the frame. Partitioning by another form of its id makes Spark
         # shuffle for the ranking, and so cut the frames before that, in the tasks of the join.
