@@ -4,20 +4,59 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import recipes
+from . import mixing, recipes
 from .common import table
 
 
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = mixing.mix(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recipes.deduplicate(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
 QUERIES = {
+    "op7_source_mix": op7_source_mix,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL = {
+    "op7_source_mix": r"""
+        WITH RECURSIVE d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint AS size
+            FROM documents
+        ), s AS (
+            SELECT source, sum(size)::bigint AS source_size,
+                [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::int]::double AS w
+            FROM d GROUP BY source
+        ), shared AS (
+            SELECT 0 AS round, source, w, source_size, false AS stopped,
+                w * (sum(source_size) OVER ())::double / sum(w) OVER () AS target
+            FROM s
+            UNION ALL
+            SELECT round + 1, source, w, source_size, stopped OR target >= 3 * source_size,
+                CASE WHEN stopped OR target >= 3 * source_size THEN 3.0::double * source_size
+                ELSE w * ((sum(source_size) OVER ())::double - coalesce(
+                        sum(CASE WHEN stopped OR target >= 3 * source_size THEN 3.0::double * source_size END) OVER (), 0))
+                    / sum(CASE WHEN stopped OR target >= 3 * source_size THEN 0 ELSE w END) OVER () END
+            FROM shared WHERE round < 40
+        ), t AS (
+            SELECT source, source_size, target FROM shared WHERE round = 40
+        ), placed AS (
+            SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::bigint AS quota,
+                sum(d.size) OVER (
+                    PARTITION BY d.source ORDER BY md5('mix ' || d.doc_id::varchar), d.doc_id
+                ) - d.size AS place
+            FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        )
+        SELECT doc_id, size, source_size, target,
+            CASE WHEN source_size = 0 THEN 0
+            ELSE quota // source_size * size + greatest(0, least(quota % source_size, place + size) - place)
+            END::bigint AS taken
+        FROM placed""",
     "op10_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
