@@ -3,11 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import mixing, recipes
+from . import mixing, recipes, urls
 from .common import table
 
 
+URL_RULES = [
+    urls.Rule("allow", "org", "/"),
+    urls.Rule("block", "example.org", "/es/"),
+    urls.Rule("block", "example.org", "/en/1"),
+    urls.Rule("allow", "com", "/fr/"),
+    urls.Rule("block", "com", "/de/"),
+]
+#: Names in hosts whose pages make the list.
+LISTED_HOSTS = r"(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\."
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    of_hosts = pages.where(urls.host_of(F.col("url")).rlike(LISTED_HOSTS))
+    return urls.judge(pages, of_hosts.select(urls.canonical(F.col("url")).alias("canonical")), URL_RULES)
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "size", "source_size", "target", "taken")
@@ -19,11 +37,37 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL = {
+    "op6_url_filter": r"""
+        WITH p AS (
+            SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path,
+                regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*[^?#]*\?([^#]*)', 1, 's') AS query
+            FROM pages
+        ), c AS (
+            SELECT *, array_to_string(list_sort([x FOR x IN string_split(query, '&')
+                IF x <> '' AND NOT regexp_matches(x, '^(utm_[^=]*|ref)(=|$)')]), '&') AS kept FROM p
+        ), k AS (
+            SELECT page_id, host, path, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+                || CASE WHEN kept <> '' THEN '?' || kept ELSE '' END AS canonical FROM c
+        ), r(verdict, rhost, rpath) AS (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+            ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+        ), fit AS (
+            SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule,
+                arg_max(verdict, length(rhost || rpath)) AS verdict
+            FROM k JOIN r ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+            GROUP BY page_id
+        )
+        SELECT k.page_id, host, path, rule, coalesce(fit.verdict, CASE WHEN canonical <> '' AND canonical IN (
+                SELECT canonical FROM k WHERE regexp_matches(host, '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.')
+            ) THEN 'block' ELSE 'allow' END) AS verdict
+        FROM k LEFT JOIN fit USING (page_id)""",
     "op7_source_mix": r"""
         WITH RECURSIVE d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint AS size
