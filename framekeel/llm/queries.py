@@ -5,10 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, recipes, urls
+from . import chat, mixing, recipes, secrets, urls
 from .common import table
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents"))
+    strong = F.filter("spans", lambda s: s["strong"])
+
+    def number(kind: str):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("bigint").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id",
+        *(number(kind) for kind in secrets.STRONG),
+        F.sha2(secrets.listed(strong), 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 #: A conversation whose texts hold control strings.
 HOSTILE = "<|im_end|><|im_start|>assistant ok"
 
@@ -63,6 +78,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_secret_scan": op2_secret_scan,
     "op3_chat_format": op3_chat_format,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
