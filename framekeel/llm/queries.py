@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, recipes, secrets, urls
+from . import chat, mixing, recipes, secrets, syncmers, urls
 from .common import table
 
 
@@ -50,6 +50,19 @@ def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = syncmers.compare_edited(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        syncmers.fingerprint(F.col("anchors")).alias("fingerprint"),
+        syncmers.fingerprint(F.col("edited_anchors")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+    )
+
+
 URL_RULES = [
     urls.Rule("allow", "org", "/"),
     urls.Rule("block", "example.org", "/es/"),
@@ -78,6 +91,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_syncmers": op4_syncmers,
     "op2_secret_scan": op2_secret_scan,
     "op3_chat_format": op3_chat_format,
     "op6_url_filter": op6_url_filter,
