@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, recipes, secrets, syncmers, urls
+from . import chat, mixing, packing, recipes, secrets, syncmers, urls
 from .common import table
 
 
@@ -85,6 +85,17 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
+    return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recipes.deduplicate(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -96,6 +107,7 @@ QUERIES = {
     "op3_chat_format": op3_chat_format,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
+    "op8_best_fit_packing": op8_best_fit_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
