@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, packing, recipes, secrets, syncmers, urls
+from . import chat, jaccard, mixing, packing, recipes, secrets, syncmers, urls
 from .common import table
 
 
@@ -96,6 +96,11 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jaccard.similar_classes(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recipes.deduplicate(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -108,6 +113,7 @@ QUERIES = {
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
