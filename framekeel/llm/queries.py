@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, mixing, packing, recipes, secrets, syncmers, urls
+from . import chat, jaccard, language, mixing, packing, recipes, secrets, syncmers, urls
 from .common import table
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = language.identify(table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "held_out", "lang_pred", "score", "accepted")
+
+
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents"))
     strong = F.filter("spans", lambda s: s["strong"])
@@ -107,6 +112,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_syncmers": op4_syncmers,
     "op2_secret_scan": op2_secret_scan,
     "op3_chat_format": op3_chat_format,

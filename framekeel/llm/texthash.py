@@ -125,3 +125,37 @@ def shingle_set(words: np.ndarray, width: int) -> np.ndarray:
     for k in range(1, width):
         hashes = mix(hashes) + words[k : k + rows]
     return np.unique(mix(hashes))
+
+
+def word_and_prefix_hashes(raw: np.ndarray, prefixes: tuple[int, ...]) -> np.ndarray:
+    """The distinct hashes of a text's words and of the first bytes of longer words, ``prefixes`` of them."""
+    found = []
+    for a, b in _cuts(raw):
+        piece = raw[a:b]
+        solid = ~_SPACE[piece]
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]])))
+        starts, ends = edge[::2], edge[1::2]
+        if not len(starts):
+            continue
+        up, down = _powers_up_to(len(piece))
+        parts = _VALUES[piece] * up[: len(piece)]
+        parts[~solid] = 0
+        found.append(mix(np.add.reduceat(parts, starts) * down[starts]))
+        longest = max(prefixes, default=0)
+        long = starts[ends - starts > min(prefixes, default=0)]
+        size = (ends - starts)[ends - starts > min(prefixes, default=0)]
+        total = np.zeros(len(long), dtype=np.uint64)
+        for k in range(longest):
+            at = np.minimum(long + k, len(piece) - 1)
+            total += np.where(k < size, parts[at], np.uint64(0))
+            if k + 1 in prefixes:
+                longer = size > k + 1
+                found.append(mix(total[longer] * down[long[longer]] ^ np.uint64((k + 1) << 56)))
+    return np.unique(np.concatenate(found)) if found else np.empty(0, dtype=np.uint64)
+
+
+def raw_texts(column: pa.Array) -> Iterator[np.ndarray]:
+    """The bytes of each text of a column."""
+    raw, offsets = _packed(column)
+    for a, b in zip(offsets, offsets[1:]):
+        yield raw[a:b]
