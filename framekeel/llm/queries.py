@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, mixing, packing, recipes, secrets, syncmers, urls
+from . import chat, jaccard, language, mixing, packing, recipes, secrets, syncmers, toxicity, urls
 from .common import table
 
 
@@ -68,6 +68,10 @@ def op4_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 URL_RULES = [
     urls.Rule("allow", "org", "/"),
     urls.Rule("block", "example.org", "/es/"),
@@ -116,6 +120,7 @@ QUERIES = {
     "op4_syncmers": op4_syncmers,
     "op2_secret_scan": op2_secret_scan,
     "op3_chat_format": op3_chat_format,
+    "op5_toxicity": op5_toxicity,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
     "op8_best_fit_packing": op8_best_fit_packing,
