@@ -57,34 +57,36 @@ def branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
     jumps = nodes.join(known, own, "left").select(
         "tree", "node", "place", F.col("_node").alias("up"), F.lit(1).cast("bigint").alias("depth"), F.col("score").alias("total")
     )
-    rounds = [staged(jumps, "jumps")]
-    while not (last := rounds[-1]).where("up IS NOT NULL").isEmpty() and len(rounds) < 62:
-        target = last.select(
+    state = staged(jumps, "jumps")
+    finished, active, rounds = state.where("up IS NULL"), state.where("up IS NOT NULL"), []
+    while not active.isEmpty():
+        rounds.append(active)
+        target = active.unionByName(finished).select(
             F.col("node").alias("up"), F.col("up").alias("_up"), F.col("depth").alias("_depth"), F.col("total").alias("_total")
         )
-        jumped = last.join(target, "up", "left").select(
+        jumped = active.join(target, "up").select(
             "tree",
             "node",
             "place",
             F.col("_up").alias("up"),
-            (F.col("depth") + F.coalesce("_depth", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("_total", F.lit(0.0))).alias("total"),
+            (F.col("depth") + F.col("_depth")).alias("depth"),
+            (F.col("total") + F.col("_total")).alias("total"),
         )
-        # A cycle's pointers never end; its messages count as many as the rounds reach and are dropped there.
-        following = staged(jumped, "jumps")
-        rounds.append(following)
-        if following.where("up IS NULL").count() == last.where("up IS NULL").count():
-            break
-    rooted = rounds[-1].where("up IS NULL").select("tree", "node", "place", "depth", "total")
-    parents = rounds[0].where("up IS NOT NULL").select(F.col("up").alias("node")).distinct()
+        state = staged(jumped, "jumps")
+        arrived, active = state.where("up IS NULL"), state.where("up IS NOT NULL")
+        if arrived.isEmpty():
+            break  # only messages on or below a cycle are left
+        finished = finished.unionByName(arrived)
+    rooted = finished.select("tree", "node", "place", "depth", "total")
+    parents = nodes.select(F.col("parent").alias("node")).where("node IS NOT NULL").distinct()
     leaves = rooted.join(parents, "node", "left_anti")
     order = Window.partitionBy("tree").orderBy(F.col("total").desc(), "place", "node")
     leaves = leaves.withColumn("rank", F.row_number().over(order))
     if best is not None:
         leaves = leaves.where(F.col("rank") <= best)
     chosen = staged(leaves.select("tree", F.col("node").alias("leaf"), "rank", "depth", "node"), "leaves")
-    for pointers in reversed(rounds[:-1]):
-        step = pointers.where("up IS NOT NULL").select("node", "up", F.col("depth").alias("steps"))
+    for pointers in reversed(rounds):
+        step = pointers.select("node", "up", F.col("depth").alias("steps"))
         above = chosen.join(step, "node").select(
             "tree", "leaf", "rank", (F.col("depth") - F.col("steps")).alias("depth"), F.col("up").alias("node")
         )
