@@ -32,6 +32,11 @@ def unused(df: DataFrame, name: str) -> str:
     return name
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns, by names in quotes, so that dots in them do no harm."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def numbered(df: DataFrame, name: str = "row_id") -> DataFrame:
     """Add a number that is unique to the row; write the result before using it twice."""
     return df.withColumn(name, F.monotonically_increasing_id())

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..operators.lookups import per_key
 from . import texthash
-from .common import keyed, numbered, staged, text_of, unused
+from .common import columns_of, keyed, numbered, staged, text_of, unused
 from .components import components
 
 WIDTH = 5
@@ -327,4 +327,4 @@ def representative_documents(docs: DataFrame, width: int = WIDTH, percent: int =
     best = found.where("component IS NOT NULL").groupBy("component").agg(first.alias("first"))
     kept = best.select(F.col("first.row_id").alias(key))
     kept = kept.unionByName(found.where("component IS NULL").select(F.col("row_id").alias(key)))
-    return rows.join(kept, key, "left_semi").select(*docs.columns)
+    return rows.join(kept, key, "left_semi").select(*columns_of(docs))

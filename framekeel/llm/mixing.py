@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, keyed, numbered, staged, text_of, unused
+from .common import WORD, columns_of, keyed, numbered, staged, text_of, unused
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -157,6 +157,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     key = unused(docs, "_row")
     rows = staged(numbered(docs, key), "rows")
     taken = mix(rows, key).where("taken > 0")
-    copies = taken.select(F.col("row_id").alias(key), F.floor(F.col("taken") / F.col("size") + 0.5).alias("_copies"))
-    times = copies.where("_copies > 0").select(key, F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))).alias("_copy"))
-    return rows.join(times, key).select(*docs.columns)
+    copy = unused(docs, "_copy")
+    copies = F.floor(F.col("taken") / F.col("size") + 0.5)
+    times = taken.select(F.col("row_id").alias(key), F.explode(F.array_repeat(F.lit(1), copies.cast("int"))).alias(copy))
+    return rows.join(times, key).select(*columns_of(docs))

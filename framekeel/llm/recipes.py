@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookups import per_key
-from .common import keyed, numbered, staged, text_of, unused
+from .common import columns_of, keyed, numbered, staged, text_of, unused
 
 MIN_CHUNK = 256
 MAX_CHUNK = 4096
@@ -111,4 +111,4 @@ def distinct_documents(docs: DataFrame) -> DataFrame:
     key = unused(docs, "_row")
     rows = staged(numbered(docs, key), "rows")
     kept = deduplicate(rows, key).where("kept").select(F.col("row_id").alias(key))
-    return rows.join(kept, key, "left_semi").select(*docs.columns)
+    return rows.join(kept, key, "left_semi").select(*columns_of(docs))
