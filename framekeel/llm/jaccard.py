@@ -42,7 +42,7 @@ PERCENT = 80
 PARTS = 256
 BLOCK = 512
 #: Code points of text for each counter, and the bounds of the table's size.
-CHARS_PER_COUNTER = 256
+CHARS_PER_COUNTER = 64
 MIN_COUNTERS, MAX_COUNTERS = 1 << 16, 1 << 26
 SLICE = 1 << 16
 
@@ -179,8 +179,8 @@ def _shingles(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 # --- candidate pairs -----------------------------------------------------------------------------
 
 
-def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: the suffix filter on signatures, then the sets."""
+def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar: the suffix filter on signatures, then the sets of those that are left."""
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -200,7 +200,10 @@ def _linked(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, percent: int) -
     def of(side: str) -> DataFrame:
         return nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("signature").alias(f"s_{side}"))
 
-    passed = pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(possible, "a bigint, b bigint")
+    passed = staged(pairs.join(of("a"), "a").join(of("b"), "b").mapInArrow(possible, "a bigint, b bigint"), "possible")
+    involved = passed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = staged(nodes.select("node", "doc_id", *SAME).join(involved, "node", "left_semi"), "wanted")
+    sets = staged(_shingles(texts, wanted, width), "sets")
     whole = passed.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a")
     whole = whole.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
     return whole.mapInArrow(similar, "a bigint, b bigint").distinct()
@@ -302,13 +305,10 @@ def similar_classes(docs: DataFrame, key: str | None = None, width: int = WIDTH,
     postings = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
     several = per_key(postings, ["token"], F.count(F.lit(1)).alias("all")).where(F.col("all") > 1)
     shared = staged(postings.join(several.select("token"), "token", "left_semi"), "shared")
-    involved = nodes.join(shared.select("node").distinct(), "node", "left_semi").select("node", "doc_id", *SAME)
-    sets = staged(_shingles(texts.select("doc_id", "text"), staged(involved, "involved"), width), "sets")
-    slim = nodes.select("node", "n", "signature")
     pairs = staged(_hub_pairs(shared, percent), "hub-pairs")
-    links = staged(_linked(pairs, slim, sets, percent), "hub-links")
-    rest = _cross_pairs(shared, components(links), slim, percent).join(pairs, ["a", "b"], "left_anti")
-    links = links.unionByName(_linked(staged(rest, "cross-pairs"), slim, sets, percent))
+    links = staged(_linked(pairs, nodes, texts, width, percent), "hub-links")
+    rest = _cross_pairs(shared, components(links), nodes, percent).join(pairs, ["a", "b"], "left_anti")
+    links = links.unionByName(_linked(staged(rest, "cross-pairs"), nodes, texts, width, percent))
     labels = components(links)
     labelled = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = per_key(labelled, ["component"], F.min("least").alias("component_id"))
