@@ -164,14 +164,14 @@ def train(docs: DataFrame, learnable) -> Model | None:
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [counts(raw) for raw in texthash.raw_texts(batch.column("text"))]
-            at = [np.flatnonzero(c) for c in found]
-            columns = [
-                batch.column("lang"),
-                batch.column("_cell"),
-                pa.array([a.astype("<u2").tobytes() for a in at], pa.binary()),
-                pa.array([c[a].astype("<f4").tobytes() for c, a in zip(found, at)], pa.binary()),
-            ]
+            places, numbers = [], []
+            for raw in texthash.raw_texts(batch.column("text")):
+                seen = counts(raw)
+                at = np.flatnonzero(seen)
+                places.append(at.astype("<u2").tobytes())
+                numbers.append(seen[at].astype("<f4").tobytes())
+            columns = [batch.column("lang"), batch.column("_cell")]
+            columns += [pa.array(x, pa.binary()) for x in (places, numbers)]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "cell", "buckets", "counts"])
 
     # At most SAMPLE rows of six bytes a bucket.
