@@ -19,6 +19,7 @@ class HealthJobConfig:
     min_score_threshold: float = 0.66
     max_boxes_to_draw: int = 5
     watermark_delay: str = "0 seconds"
+    repeats_within: str | None = None
 
     @property
     def session_gap_seconds(self) -> int:

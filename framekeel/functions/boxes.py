@@ -32,13 +32,15 @@ class BoxCols(NamedTuple):
 def percent_intersection(box: BoxCols, area: BoxCols) -> Column:
     """Share of ``box`` that lies inside ``area``: intersection divided by the area of ``box``.
 
-    Boxes that are apart give 0, and so does a box without any area. A missing area gives null.
+    Boxes that are apart give 0, and so does a box without any area, or with a coordinate that is not
+    a number. A missing area gives null.
     """
     nothing = F.lit(0.0)
     height = F.greatest(F.least(area.ymax, box.ymax) - F.greatest(area.ymin, box.ymin), nothing)
     width = F.greatest(F.least(area.xmax, box.xmax) - F.greatest(area.xmin, box.xmin), nothing)
     box_area = F.abs((box.ymax - box.ymin) * (box.xmax - box.xmin))
-    share = F.coalesce(F.try_divide(height * width, box_area), nothing)
+    # Spark puts NaN above all numbers, so it must not reach a comparison.
+    share = F.nanvl(F.coalesce(F.try_divide(height * width, box_area), nothing), nothing)
     return F.when(area.ymin.isNotNull(), share)
 
 

@@ -80,7 +80,8 @@ def display_label(
     if not skip_labels and not agnostic:
         parts.append(category_name(label))
     if not skip_scores:
-        parts.append(F.concat((100 * score).cast("int").cast("string"), F.lit("%")))
+        # A score that is no finite number has no percentage.
+        parts.append(F.concat((100 * score).try_cast("int").cast("string"), F.lit("%")))
     if track_id is not None and not skip_track_ids:
         parts.append(F.concat(F.lit("ID "), track_id.cast("string")))
     return F.concat_ws(": ", *parts) if parts else F.lit("")
@@ -98,7 +99,8 @@ def box_color(
     if agnostic:
         color = F.lit(AGNOSTIC_COLOR)
     elif track_id is not None:
-        color = F.get(palette, F.pmod(track_id * TRACK_STEP, F.lit(len(PALETTE))).cast("int"))
+        turn = F.pmod(track_id.cast("bigint"), F.lit(len(PALETTE))) * TRACK_STEP
+        color = F.get(palette, F.pmod(turn, F.lit(len(PALETTE))).cast("int"))
     else:
         color = F.get(palette, F.pmod(label, F.lit(len(PALETTE))).cast("int"))
     if score is None:

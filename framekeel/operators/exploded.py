@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import BoxCols, box_color, category_table, display_label, health_weight, percent_intersection
-from .nested import MIN_OVERLAP
+from .nested import MIN_OVERLAP, is_drawn
 
 
 def with_overlap(detections: DataFrame, min_overlap: float = MIN_OVERLAP) -> DataFrame:
@@ -72,7 +72,7 @@ def annotation_counts(frames: DataFrame, detections: DataFrame) -> DataFrame:
 def drawable(
     detections: DataFrame,
     order: list[str],
-    max_boxes: int = 20,
+    max_boxes: int | None = 20,
     min_score: float = 0.5,
     *,
     effective: bool = False,
@@ -80,15 +80,15 @@ def drawable(
     """First ``max_boxes`` detections of each frame in ``order``, of these the ones above ``min_score``.
 
     With ``effective``, frames with kept detections draw only those, others draw all. Spark cuts each
-    frame to ``max_boxes`` rows before the shuffle, so a hot frame stays small. Adds ``pos``.
-    Without a limit, use the array form: there a frame is one row.
+    frame to ``max_boxes`` rows before the shuffle, so a hot frame stays small. Without a limit all
+    detections qualify; one without a score always does, one whose score is not a number never.
+    Adds ``pos``.
     """
-    if not max_boxes:
-        raise ValueError("max_boxes must be at least 1")
+    first = F.col("pos") <= max_boxes if max_boxes else F.lit(True)
     if effective:
         # These rows come from a join on the frame. Partitioning by another form of its id makes Spark
         # shuffle for the ranking, and so cut the frames before that, in the tasks of the join.
-        frame = F.bitwise_not("frame_id")
+        frame = F.struct("frame_id")
         dropped = ~F.coalesce(F.col("kept"), F.lit(False))
         ranked = Window.partitionBy(frame).orderBy(dropped, *order)
         first_dropped = F.first(dropped).over(ranked.rowsBetween(Window.unboundedPreceding, 0))
@@ -96,31 +96,30 @@ def drawable(
             detections.select(
                 "*", F.row_number().over(ranked).alias("pos"), first_dropped.alias("first_dropped")
             )
-            .where(F.col("pos") <= max_boxes)
+            .where(first)
             .where(dropped == F.col("first_dropped"))
             .drop("first_dropped")
         )
     else:
         ranked = Window.partitionBy("frame_id").orderBy(*order)
-        rows = detections.withColumn("pos", F.row_number().over(ranked)).where(
-            F.col("pos") <= max_boxes
-        )
-    return rows.where(F.col("score") > min_score)
+        rows = detections.withColumn("pos", F.row_number().over(ranked)).where(first)
+    return rows.where(is_drawn(F.col("score"), min_score))
 
 
 def by_location(drawn: DataFrame, *carry: str, ignored: Column | None = None) -> DataFrame:
     """One row per frame and box location: labels in position order, colour of the last one.
 
-    Takes the output of :func:`drawable`, so a group holds at most ``max_boxes`` rows. With
-    ``ignored``, the flag of the last box at a location marks all its labels.
+    Takes the output of :func:`drawable`, so a group holds at most ``max_boxes`` rows. A box without
+    a score has no label and its own colour. With ``ignored``, the flag of the last box at a location
+    marks all its labels.
     """
     rows = drawn.select(
         "frame_id",
         *carry,
         *BoxCols._fields,
         "pos",
-        display_label(F.col("class"), F.col("score")).alias("label"),
-        box_color(F.col("class")).alias("color"),
+        F.when(F.col("score").isNotNull(), display_label(F.col("class"), F.col("score"))).alias("label"),
+        box_color(F.col("class"), F.col("score")).alias("color"),
         (ignored if ignored is not None else F.lit(False)).alias("ignored"),
     )
     places = rows.groupBy("frame_id", *carry, *BoxCols._fields).agg(
@@ -132,7 +131,7 @@ def by_location(drawn: DataFrame, *carry: str, ignored: Column | None = None) ->
         "frame_id",
         *carry,
         *BoxCols._fields,
-        F.transform("boxes", lambda b: F.concat(b["label"], suffix)).alias("labels"),
+        F.array_compact(F.transform("boxes", lambda b: F.concat(b["label"], suffix))).alias("labels"),
         last["color"].alias("color"),
         last["ignored"].alias("ignored"),
     )

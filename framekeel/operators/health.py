@@ -8,8 +8,11 @@ from pyspark.sql import types as T
 
 from .lookups import per_key
 
-# A slope below this, over the whole domain, counts as flat: no root is given.
+# A coefficient below this share of the largest counts as zero.
 FLAT = 1e-9
+# Roots this close to the real axis, relative to their size, are real: a double root comes in two
+# halves that rounding moves apart by the square root of its error.
+NEARLY_REAL = 1e-6
 DAY = 86_400
 
 
@@ -17,14 +20,16 @@ def score_by_ts(rows: DataFrame, *keys: str) -> DataFrame:
     """Best positive plus worst negative health score at each ``ts``; a missing side counts 0.
 
     Rows of weight 0 and of unknown class take no part, so a ``ts`` with only such rows is left out.
+    A score that is not a number counts as missing.
     """
     return rows.where(F.col("health_weight") != 0).groupBy(*keys, "ts").agg(_health().alias("health"))
 
 
 def _health() -> Column:
     score, weight = F.col("health_score"), F.col("health_weight")
-    best = F.max(F.when(weight > 0, score))
-    worst = F.min(F.when(weight < 0, score))
+    number = ~F.isnan(score)
+    best = F.max(F.when(number & (weight > 0), score))
+    worst = F.min(F.when(number & (weight < 0), score))
     return F.coalesce(best, F.lit(0.0)) + F.coalesce(worst, F.lit(0.0))
 
 
@@ -33,7 +38,8 @@ def running_sum(scores: DataFrame, *keys: str, value: str = "health", chunk_seco
 
     Works in two levels: sums run inside time chunks, and each chunk starts from the total of the
     chunks before it. A long session is split over tasks; the per-key window sees one row per chunk.
-    Rows without a key or ``ts`` have no place in a running sum and are left out.
+    Rows without a key or ``ts`` have no place in a running sum and are left out. A null value adds
+    nothing and gets the sum so far.
     """
     # Asking for keys up front gives both uses of `chunked` the same plan, so its shuffle is shared.
     chunked = scores.withColumn("chunk", F.col("ts") - F.pmod("ts", F.lit(chunk_seconds)))
@@ -49,7 +55,7 @@ def running_sum(scores: DataFrame, *keys: str, value: str = "health", chunk_seco
     return (
         chunked.withColumn("inside", F.sum(value).over(inside))
         .join(offsets, [*keys, "chunk"])
-        .withColumn("cumsum", F.col("inside") + F.col("offset"))
+        .withColumn("cumsum", F.coalesce("inside", F.lit(0.0)) + F.col("offset"))
         .drop("chunk", "inside", "offset")
     )
 
@@ -84,7 +90,10 @@ def _with_line(fitted: DataFrame) -> DataFrame:
         .withColumn("c0", F.col("y_mean") + F.col("slope") * ((low + high) / 2 - F.col("x_mean")))
         .withColumn(
             "root",
-            F.when(F.abs("c1") > FLAT, low + (1 - F.col("c0") / F.col("c1")) / 2 * (high - low)),
+            F.when(
+                F.abs("c1") > FLAT * F.greatest(F.abs("c0"), F.abs("c1")),
+                low + (1 - F.col("c0") / F.col("c1")) / 2 * (high - low),
+            ),
         )
     )
 
@@ -107,8 +116,9 @@ def polynomial_trend(points: DataFrame, *keys: str, degree: int, x: str = "ts",
 
     Spark sums the powers of the scaled ``x`` (these add up across tasks, so no key is gathered);
     only the small system of equations of each key is solved in Python, many keys at a time.
-    Keys with too few points for the degree have null results.
+    Points without ``x`` or ``y`` take no part. Keys with too few points for the degree have null results.
     """
+    points = points.where(F.col(x).isNotNull() & F.col(y).isNotNull())
     # Counting `y` keeps this side's plan equal to the other use of `points`, so Spark shares it.
     domain = per_key(
         points, list(keys), F.count(y).alias("n"), F.min(x).alias("x_min"), F.max(x).alias("x_max")
@@ -154,7 +164,7 @@ def polynomial_trend(points: DataFrame, *keys: str, degree: int, x: str = "ts",
 
             # Roots are the eigenvalues of the companion matrix, for the degree the fit really has.
             roots = np.full((len(given), degree), np.nan)
-            tall = np.abs(coefs) > FLAT
+            tall = np.abs(coefs) > FLAT * np.nan_to_num(np.abs(coefs)).max(axis=1, keepdims=True)
             order = np.where(tall.any(axis=1), degree - np.argmax(tall[:, ::-1], axis=1), 0)
             for m in range(1, size):
                 same = np.flatnonzero(order == m)
@@ -162,7 +172,8 @@ def polynomial_trend(points: DataFrame, *keys: str, degree: int, x: str = "ts",
                 companion[:, np.arange(1, m), np.arange(m - 1)] = 1.0
                 companion[:, :, -1] -= coefs[same, :m] / coefs[same, m : m + 1]
                 found = np.linalg.eigvals(companion)
-                roots[same, :m] = np.where(np.abs(found.imag) < FLAT, found.real, np.nan)
+                real = np.abs(found.imag) <= NEARLY_REAL * (1 + np.abs(found))
+                roots[same, :m] = np.where(real, found.real, np.nan)
             low, high = numbers(batch, "x_min")[:, None], numbers(batch, "x_max")[:, None]
             roots = np.sort(low + (roots + 1) / 2 * (high - low), axis=1)
 
@@ -179,62 +190,48 @@ def polynomial_trend(points: DataFrame, *keys: str, degree: int, x: str = "ts",
 
 
 def nested_records(
-    rows: DataFrame, key: str, period_seconds: int, order_id: list[str], max_elements: int = 10_000
+    rows: DataFrame, key: str, period_seconds: int, order_id: list[str], *carry: str
 ) -> DataFrame:
-    """One record per key and window with its detections, health and trend as arrays.
+    """One record per key, window and ``ts``: its detections as arrays, its health and the running sum.
 
-    ``rows`` are detections with ``window_start``, ``ts`` and the health columns. A record holds whole
-    timestamps up to about ``max_elements`` detections; a window with more is continued in further
-    records, numbered by ``part`` in time order (``slice`` splits a single overfull timestamp). No
-    detection is left out. The per-window steps see one row per second at most.
+    ``rows`` are detections with ``window_start``, ``ts`` and the health columns; the grouping is the same
+    whatever their number, and a record holds what one second has. ``carry`` are further columns of
+    which a record has the first. Each point of the running sum, which starts anew in every window, is
+    in one record; the trend of the window's points is in the window's last one.
     """
     group = [key, "window_start"]
     for name in (*group, "ts"):
         rows = rows.where(F.col(name).isNotNull())
-    sizes = rows.groupBy(*group, "ts").agg(
-        F.count("*").alias("size"),
+    detection = F.struct(*order_id, "health_score", "health_weight", "detection_class", "detection_score")
+    first = F.min(F.struct(*order_id, *(c for c in carry if c not in order_id)))
+    records = rows.groupBy(*group, "ts").agg(
+        F.sort_array(F.collect_list(detection)).alias("d"),
         F.when(F.count_if(F.col("health_weight") != 0) > 0, _health()).alias("health"),
+        first.alias("first"),
     )
     whole = Window.partitionBy(*group)
     upto = whole.orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
-    per_ts = (
-        sizes.withColumn("part", F.floor((F.sum("size").over(upto) - F.col("size")) / max_elements))
-        .withColumn("slices", F.ceil(F.col("size") / max_elements))
-        .withColumn("cumsum", F.when(F.col("health").isNotNull(), F.sum("health").over(upto)))
-    )
+    records = records.withColumn("cumsum", F.when(F.col("health").isNotNull(), F.sum("health").over(upto)))
     lines = _with_line(
-        per_ts.select("*", *(c.over(whole).alias(n) for n, c in _line_aggregates("ts", "cumsum").items()))
-    )
-    line = ["n", "x_min", "x_max", "c0", "c1", "root"]
-    located = rows.join(
-        lines.select(*group, "ts", "part", "slices", "cumsum", F.struct(*line).alias("line")), [*group, "ts"]
-    )
-    detection = F.struct(
-        "ts", *order_id, "health_score", "health_weight", "detection_class", "detection_score"
-    )
-    point = F.when(F.col("cumsum").isNotNull(), F.struct("ts", "cumsum"))
-    records = (
-        located.withColumn("slice", F.pmod(F.xxhash64(*order_id), F.col("slices")).cast("int"))
-        .groupBy(*group, "part", "slice")
-        .agg(
-            F.sort_array(F.collect_list(detection)).alias("d"),
-            F.sort_array(F.collect_set(point)).alias("p"),
-            F.first("line").alias("line"),
+        records.select(
+            "*",
+            (F.col("ts") == F.max("ts").over(whole)).alias("closing"),
+            *(c.over(whole).alias(n) for n, c in _line_aggregates("ts", "cumsum").items()),
         )
-        .select("*", "line.*")
     )
-    poly = F.when(F.col("n") > 0, F.col("trend"))
-    return trend_struct(records).select(
+    poly = F.when(F.col("closing") & (F.col("n") > 0), F.col("trend"))
+    return trend_struct(lines).select(
         key,
         "window_start",
         (F.col("window_start") + period_seconds).alias("window_end"),
-        "part",
-        "slice",
+        "ts",
+        *(F.col(f"first.{c}").alias(c) for c in carry),
         *(
             F.col(f"d.{c}").alias(c)
             for c in ("health_score", "health_weight", "detection_class", "detection_score")
         ),
-        F.col("p.cumsum").alias("cumsum"),
+        "health",
+        "cumsum",
         poly["coef"].alias("poly_coef"),
         poly["domain"].alias("poly_domain"),
         poly["roots"].alias("poly_roots"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import and_
 
@@ -21,14 +22,17 @@ def drop_images(frames: DataFrame) -> DataFrame:
 
 def annotations(detections: Column, strict: bool = False) -> Column:
     """Annotation struct: the detections with their health weights, and how many there are."""
-    weighted = F.transform(
-        detections,
-        lambda d: d.withField("health_weight", health_weight(d["class"], strict)),
-    )
-    return F.struct(
-        F.coalesce(F.size(detections), F.lit(0)).alias("num_detections"),
-        weighted.alias("detections"),
-    )
+
+    def annotated(found: Column) -> Column:
+        weighted = F.transform(
+            found, lambda d: d.withField("health_weight", health_weight(d["class"], strict))
+        )
+        return F.struct(
+            F.coalesce(F.size(found), F.lit(0)).alias("num_detections"), weighted.alias("detections")
+        )
+
+    # Through a list of one, an array that is itself the result of work is worked out once.
+    return F.transform(F.array(detections), annotated)[0]
 
 
 def keep_in_area(detections: Column, area: BoxCols, min_overlap: float = MIN_OVERLAP) -> Column:
@@ -73,14 +77,34 @@ def effective_annotations(frames: DataFrame) -> DataFrame:
 def drawable(detections: Column, max_boxes: int | None = 20, min_score: float = 0.5) -> Column:
     """The first ``max_boxes`` detections by position, of these the ones above ``min_score``.
 
-    Without ``max_boxes`` all detections qualify; a detection without a score always does.
+    Without ``max_boxes`` all detections qualify; a detection without a score always does, one whose
+    score is not a number never.
     """
     first = F.slice(detections, 1, max_boxes) if max_boxes else detections
-    return F.filter(first, lambda d: d["score"].isNull() | (d["score"] > min_score))
+    return F.filter(first, lambda d: is_drawn(d["score"], min_score))
+
 
+def is_drawn(score: Column, min_score: float) -> Column:
+    """Whether a box among the first ones is drawn."""
+    return score.isNull() | ((score > min_score) & ~F.isnan(score))
 
-def overlay_boxes(frames: DataFrame, drawn: str = "drawn", *, agnostic: bool = False) -> DataFrame:
-    """Add ``overlay``: per box location its labels in position order and the colour of the last box."""
+
+def overlay_boxes(
+    frames: DataFrame,
+    drawn: str = "drawn",
+    *,
+    agnostic: bool = False,
+    skip_labels: bool = False,
+    skip_scores: bool = False,
+    track_ids: bool = False,
+    ignored: Callable[[Column], Column] | None = None,
+) -> DataFrame:
+    """Add ``overlay``: per box location its labels in position order and the colour of the last box.
+
+    Without scores, as in ground truth, boxes have no labels and one colour. With ``track_ids``,
+    detections have a ``track_id`` that goes into labels and colours. With ``ignored``, a condition on a
+    detection, the flag of the last box at a location marks all its labels.
+    """
 
     def location(d: Column) -> Column:
         return F.struct(*(d[n].alias(n) for n in BoxCols._fields))
@@ -95,12 +119,25 @@ def overlay_boxes(frames: DataFrame, drawn: str = "drawn", *, agnostic: bool = F
     def overlay(group: Column) -> Column:
         scored = F.filter(group["same"], lambda d: d["score"].isNotNull())
         last = F.try_element_at(group["same"], F.lit(-1))
+        flag = F.coalesce(ignored(last), F.lit(False)) if ignored else F.lit(False)
+
+        def label(d: Column) -> Column:
+            text = display_label(
+                d["class"],
+                d["score"],
+                d["track_id"] if track_ids else None,
+                skip_labels=skip_labels,
+                skip_scores=skip_scores,
+                agnostic=agnostic,
+            )
+            return F.concat(text, F.when(flag, F.lit(" (ignored)")).otherwise("")) if ignored else text
+
+        track = last["track_id"] if track_ids else None
         return F.struct(
             *(group["place"][n].alias(n) for n in BoxCols._fields),
-            F.transform(
-                scored, lambda d: display_label(d["class"], d["score"], agnostic=agnostic)
-            ).alias("labels"),
-            box_color(last["class"], last["score"], agnostic=agnostic).alias("color"),
+            F.transform(scored, label).alias("labels"),
+            box_color(last["class"], last["score"], track, agnostic=agnostic).alias("color"),
+            flag.alias("ignored"),
         )
 
     places = F.array_distinct(F.transform(drawn, location))

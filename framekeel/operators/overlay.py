@@ -32,12 +32,16 @@ def overlay_plans(
     max_boxes: int | None = 10,
     min_score: float = 0.5,
     protocol: str = "gs://",
+    **drawing,
 ) -> DataFrame:
-    """Add ``overlay``, one element per box location, and ``outpath`` to annotated frames."""
+    """Add ``overlay``, one element per box location, and ``outpath`` to annotated frames.
+
+    ``drawing`` are options of :func:`framekeel.operators.nested.overlay_boxes`.
+    """
     drawn = drawable(F.col("effective.detections"), max_boxes, min_score)
     marked = effective_annotations(frames).withColumn("drawn", drawn)
     return (
-        overlay_boxes(marked)
+        overlay_boxes(marked, **drawing)
         .withColumn("outpath", frame_path(bucket, base_path, module, "jpg", protocol))
         .drop("effective", "drawn")
     )

@@ -20,21 +20,31 @@ def score_frames(
     batch_size: int = 64,
     cut_to_count: bool = False,
     strict: bool = False,
+    keep_image: bool = False,
 ) -> DataFrame:
-    """Add ``annotations_all`` and ``predict_ms`` to every frame; the image column is dropped.
+    """Add ``annotations_all``, ``predict_ms`` and ``predict_images``; the image goes unless ``keep_image``.
 
     ``load_model`` is called once per task and returns a function from a list of images to a list of
     ``(boxes, classes, scores, count)``. Images go to the model in batches; turning its output
     into annotations happens in Spark expressions. A frame whose image is null keeps null annotations.
+    The first frame of a batch has the duration of the model's call and its number of images, the
+    others have nulls, so each call counts once.
     """
-    kept = [f for f in frames.schema.fields if f.name != image]
+    kept = [f for f in frames.schema.fields if keep_image or f.name != image]
     schema = T.StructType(
-        [*kept, T.StructField("raw", MODEL_OUTPUT), T.StructField("predict_ms", T.LongType())]
+        [
+            *kept,
+            T.StructField("raw", MODEL_OUTPUT),
+            T.StructField("predict_ms", T.LongType()),
+            T.StructField("predict_images", T.LongType()),
+        ]
     )
+    carried = [f.name for f in kept]
 
     def predict(batches):
         import time
 
+        import numpy as np
         import pyarrow as pa
 
         model = load_model()
@@ -47,13 +57,31 @@ def score_frames(
             ]
         )
 
-        def record(boxes, classes, scores, count):
-            return {
-                "boxes": [[float(v) for v in b] for b in boxes],
-                "classes": [float(v) for v in classes],
-                "scores": [float(v) for v in scores],
-                "count": float(count),
-            }
+        def lists(parts, missing):
+            """One list of numbers per frame; null where the frame has no image."""
+            sizes = [0 if p is None else len(p) for p in parts]
+            whole = np.concatenate([np.empty(0), *(np.asarray(p, dtype=np.float64).ravel() for p in parts if p is not None)])
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            return whole, ends, pa.array(missing)
+
+        def output(results):
+            missing = [r is None for r in results]
+
+            def part(k):
+                return [None if r is None else r[k] for r in results]
+
+            flat, ends, none = lists(part(0), missing)
+            corners = np.concatenate(
+                [np.empty(0, dtype=np.int64), *(np.full(len(p), np.shape(p)[1]) for p in part(0) if p is not None and len(p))]
+            )
+            inner = np.concatenate([[0], np.cumsum(corners)]).astype(np.int32)
+            boxes = pa.ListArray.from_arrays(pa.array(inner), pa.array(flat))
+            columns = [pa.ListArray.from_arrays(pa.array(ends), boxes, mask=none)]
+            for k in (1, 2):
+                flat, ends, none = lists(part(k), missing)
+                columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=none))
+            columns.append(pa.array([None if c is None else float(c) for c in part(3)], pa.float64()))
+            return pa.StructArray.from_arrays(columns, fields=list(raw_type), mask=none)
 
         for whole in batches:
             for at in range(0, whole.num_rows, batch_size):
@@ -62,14 +90,16 @@ def score_frames(
                 images = [i for i in every if i is not None]
                 start = time.monotonic()
                 results = iter(model(images) if images else [])
-                elapsed = int((time.monotonic() - start) * 1000 / max(len(images), 1))
-                raw = pa.array([None if i is None else record(*next(results)) for i in every], type=raw_type)
-                spent = pa.array([None if i is None else elapsed for i in every], pa.int64())
-                columns = [batch.column(f) for f in batch.schema.names if f != image]
-                names = [f for f in batch.schema.names if f != image]
+                elapsed = int((time.monotonic() - start) * 1000)
+                first = next((k for k, i in enumerate(every) if i is not None), None)
+                raw = output([None if i is None else next(results) for i in every])
+                spent, seen = (
+                    pa.array([value if k == first else None for k in range(len(every))], pa.int64())
+                    for value in (elapsed, len(images))
+                )
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, raw, spent],
-                    names=[*names, "raw", "predict_ms"],
+                    [*(batch.column(f) for f in carried), raw, spent, seen],
+                    names=[*carried, "raw", "predict_ms", "predict_images"],
                 )
 
     scored = frames.mapInArrow(predict, schema)

@@ -134,14 +134,15 @@ fit AS (
 _PATH = "'gs://frame-archive/dataflow/sliding_window_health/monitoring_pb2.AnnotatedMonitoringImage/'"
 _FRAME_PATH = f"{_PATH} || datesegment || '/' || session || '/jpg/' || CAST(ts AS VARCHAR) || '.jpg'"
 
-_EMBEDDING = "SELECT vec_id, embedding AS e, len(embedding) // 4 AS n FROM embeddings"
+_EMBEDDING = "SELECT vec_id, embedding AS e, (len(embedding) + 3) // 4 AS n FROM embeddings"
 _MODEL = """out AS (
-  SELECT vec_id, CAST(least(len(e) // 6, 40) AS INTEGER) AS num_detections, CAST(i + 1 AS INTEGER) AS pos,
+  SELECT vec_id, CAST((n + 5) // 6 AS INTEGER) AS num_detections, CAST(i + 1 AS INTEGER) AS pos,
     CAST(floor(abs(e[i * 6 + 5]::double) * 1000) % 6 AS INTEGER) + 1 AS class,
     abs(e[i * 6 + 6]::double) - floor(abs(e[i * 6 + 6]::double)) AS score,
     abs(e[i * 6 + 1]::double) AS ymin, abs(e[i * 6 + 2]::double) AS xmin,
     abs(e[i * 6 + 3]::double) AS ymax, abs(e[i * 6 + 4]::double) AS xmax
-  FROM (SELECT vec_id, embedding AS e FROM embeddings) v, unnest(range(0, least(len(e) // 6, 40))) AS t(i))
+  FROM (SELECT vec_id, list_concat(embedding, [0, 0, 0, 0, 0, 0]) AS e, len(embedding) AS n FROM embeddings) v,
+    unnest(range(0, (n + 5) // 6)) AS t(i))
 SELECT out.*, w AS health_weight FROM out LEFT JOIN cats ON cats.class = out.class"""
 
 _REJECT_LISTS = " UNION ALL ".join(
@@ -161,9 +162,9 @@ _SCORED = f"""{_FRAMES}, {_CATS}, {_CALS}, arrived AS (SELECT * FROM frames WHER
 imaged AS (SELECT * FROM arrived WHERE frame_id % 89 <> 0),
 found AS (
   SELECT f.*, CAST(i AS INTEGER) AS pos, ord(substr(payload, i + 1, 1)) % 6 + 1 AS class,
-    ord(substr(payload, i + 1, 1)) / 128.0::double AS score, 0.2::double * i AS ymin, 0.1::double AS xmin,
+    CASE WHEN substr(payload, i + 1, 1) = ' ' THEN 0 ELSE ord(substr(payload, i + 1, 1)) / 128.0::double END AS score, 0.2::double * i AS ymin, 0.1::double AS xmin,
     0.2::double * i + 0.2::double AS ymax, 0.5::double AS xmax
-  FROM imaged f, unnest(range(0, least(strlen(payload), 4))) AS t(i)),
+  FROM imaged f, unnest(range(0, strlen(payload))) AS t(i)),
 kept AS (SELECT f.*, c.c_ymin, {_share('f.', 'c.')} AS overlap FROM found f LEFT JOIN cals c ON c.device_id = f.device_id),
 flagged AS (SELECT *, count(*) FILTER (WHERE overlap > 0.75) OVER (PARTITION BY frame_id) AS n_kept FROM kept),
 effective AS (
@@ -171,10 +172,26 @@ effective AS (
   FROM flagged WHERE n_kept = 0 OR overlap > 0.75)"""
 
 
-def _palette() -> str:
-    from ..functions import PALETTE
+# Colour names in palette order, kept here as well so that the SQL does not rest on the code it checks.
+_PALETTE = """
+    AliceBlue Chartreuse Aqua Aquamarine Azure Beige Bisque BlanchedAlmond BlueViolet BurlyWood CadetBlue
+    AntiqueWhite Chocolate Coral CornflowerBlue Cornsilk Crimson Cyan DarkCyan DarkGoldenRod DarkGrey DarkKhaki
+    DarkOrange DarkOrchid DarkSalmon DarkSeaGreen DarkTurquoise DarkViolet DeepPink DeepSkyBlue DodgerBlue
+    FireBrick FloralWhite ForestGreen Fuchsia Gainsboro GhostWhite Gold GoldenRod Salmon Tan HoneyDew HotPink
+    IndianRed Ivory Khaki Lavender LavenderBlush LawnGreen LemonChiffon LightBlue LightCoral LightCyan
+    LightGoldenRodYellow LightGray LightGrey LightGreen LightPink LightSalmon LightSeaGreen LightSkyBlue
+    LightSlateGray LightSlateGrey LightSteelBlue LightYellow Lime LimeGreen Linen Magenta MediumAquaMarine
+    MediumOrchid MediumPurple MediumSeaGreen MediumSlateBlue MediumSpringGreen MediumTurquoise MediumVioletRed
+    MintCream MistyRose Moccasin NavajoWhite OldLace Olive OliveDrab Orange OrangeRed Orchid PaleGoldenRod
+    PaleGreen PaleTurquoise PaleVioletRed PapayaWhip PeachPuff Peru Pink Plum PowderBlue Purple Red RosyBrown
+    RoyalBlue SaddleBrown Green SandyBrown SeaGreen SeaShell Sienna Silver SkyBlue SlateBlue SlateGray SlateGrey
+    Snow SpringGreen SteelBlue GreenYellow Teal Thistle Tomato Turquoise Violet Wheat White WhiteSmoke Yellow
+    YellowGreen
+"""
+
 
-    return "[" + ", ".join(f"'{name}'" for name in PALETTE) + "]"
+def _palette() -> str:
+    return "[" + ", ".join(f"'{name}'" for name in _PALETTE.split()) + "]"
 
 
 def oracle_sql() -> dict[str, str]:
@@ -201,7 +218,7 @@ UNION ALL SELECT frame_id, 'user_id' FROM frames WHERE frame_id % 53 = 0
 UNION ALL SELECT frame_id, 'detection_classes' FROM frames
   WHERE frame_id % 41 = 0 OR (frame_id % 59 = 0 AND frame_id % 8 > 0)""",
         "conform_good": f"""WITH {_NESTED}
-SELECT f.session, f.ts, CAST(f.user_id AS INTEGER) AS user_id, f.device_id,
+SELECT f.session, f.ts, CAST(f.user_id AS BIGINT) AS user_id, f.device_id,
   CAST(f.frame_id % 8 AS INTEGER) AS num_detections,
   coalesce(string_agg(CAST(class AS VARCHAR), ',' ORDER BY pos), '') AS classes
 FROM frames f LEFT JOIN nested n ON n.frame_id = f.frame_id
@@ -249,9 +266,11 @@ FROM frames f LEFT JOIN effective e ON e.frame_id = f.frame_id GROUP BY f.frame_
         "nested_drawable": f"WITH {_NESTED} SELECT frame_id, pos, class, score FROM drawn",
         "nested_overlay": f"""WITH {_NESTED}
 SELECT frame_id, ymin, xmin, ymax, xmax,
-  string_agg(coalesce(name, 'N/A') || ': ' || CAST(trunc(100 * score) AS INTEGER) || '%', ';' ORDER BY pos) AS labels,
-  arg_max({_COLOR7.replace('class', 'n.class')}, pos) AS color
-FROM nested n LEFT JOIN cats c ON c.class = n.class WHERE pos <= 5 AND score > 0.2
+  string_agg(coalesce(name, 'N/A') || ': ' || CAST(trunc(100 * score) AS INTEGER) || '%'
+    || CASE WHEN last_class = 6 THEN ' (ignored)' ELSE '' END, ';' ORDER BY pos) AS labels,
+  arg_max({_COLOR7.replace('class', 'n.class')}, pos) AS color, any_value(last_class) = 6 AS ignored
+FROM (SELECT *, arg_max(class, pos) OVER (PARTITION BY frame_id, ymin, xmin, ymax, xmax) AS last_class
+  FROM nested WHERE pos <= 5 AND score > 0.2) n LEFT JOIN cats c ON c.class = n.class
 GROUP BY frame_id, ymin, xmin, ymax, xmax""",
         "window_health": f"""WITH {_OVERLAP}, {_CATS}, per_window AS (
   SELECT session, ts // {_WINDOW} * {_WINDOW} AS window_start, count(*) AS n_frames FROM seen GROUP BY 1, 2),
@@ -285,37 +304,51 @@ SELECT event_type, count(ms) AS count, CAST(sum(ms) AS BIGINT) AS sum, min(ms) A
 SELECT session, ts, round(health, 6) AS health, round(cumsum, 6) AS cumsum FROM cum""",
         "health_trend": f"""WITH {_TREND}
 SELECT session, n, x_min, x_max, round(c0, 6) AS c0, round(c1, 6) AS c1,
-  CASE WHEN abs(c1) > 1e-9 THEN round(x_min + (1 - c0 / c1) / 2 * (x_max - x_min), 0) END AS root FROM fit""",
+  CASE WHEN abs(c1) > 1e-9 * greatest(abs(c0), abs(c1)) THEN round(x_min + (1 - c0 / c1) / 2 * (x_max - x_min), 0) END AS root FROM fit""",
         "health_trend_record": f"""WITH {_TREND}
 SELECT session, CASE WHEN n > 1 THEN 2 ELSE 0 END AS n_coef, x_min::double AS domain_min, x_max::double AS domain_max,
   -1.0::double AS window_min, 1.0::double AS window_max,
-  CASE WHEN n > 1 AND abs(c1) > 1e-9 THEN 1 ELSE 0 END AS n_roots, 1 AS degree FROM fit""",
+  CASE WHEN n > 1 AND abs(c1) > 1e-9 * greatest(abs(c0), abs(c1)) THEN 1 ELSE 0 END AS n_roots, 1 AS degree FROM fit""",
         "polynomial_trend": f"""WITH {_TREND}, s AS (
-  SELECT session, n, sum(u) AS s1, sum(u * u) AS s2, sum(u * u * u) AS s3, sum(u * u * u * u) AS s4,
-    sum(cumsum) AS t0, sum(u * cumsum) AS t1, sum(u * u * cumsum) AS t2 FROM scaled GROUP BY session, n),
-det AS (SELECT *, n * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2) AS d FROM s)
-SELECT session, n,
-  CASE WHEN n > 2 THEN round((t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / d, 6) END AS c0,
-  CASE WHEN n > 2 THEN round((n * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s2 * s3) + s2 * (s1 * t2 - t1 * s2)) / d, 6) END AS c1,
-  CASE WHEN n > 2 THEN round((n * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2)) / d, 6) END AS c2
-FROM det""",
+  SELECT session, n, x_min, x_max, sum(u) AS s1, sum(u * u) AS s2, sum(u * u * u) AS s3, sum(u * u * u * u) AS s4,
+    sum(cumsum) AS t0, sum(u * cumsum) AS t1, sum(u * u * cumsum) AS t2 FROM scaled GROUP BY session, n, x_min, x_max),
+det AS (SELECT *, n * (s2 * s4 - s3 * s3) - s1 * (s1 * s4 - s2 * s3) + s2 * (s1 * s3 - s2 * s2) AS d FROM s),
+c AS (
+  SELECT *,
+    CASE WHEN n > 2 THEN (t0 * (s2 * s4 - s3 * s3) - s1 * (t1 * s4 - s3 * t2) + s2 * (t1 * s3 - s2 * t2)) / d END AS c0,
+    CASE WHEN n > 2 THEN (n * (t1 * s4 - s3 * t2) - t0 * (s1 * s4 - s2 * s3) + s2 * (s1 * t2 - t1 * s2)) / d END AS c1,
+    CASE WHEN n > 2 THEN (n * (s2 * t2 - t1 * s3) - s1 * (s1 * t2 - t1 * s2) + t0 * (s1 * s3 - s2 * s2)) / d END AS c2
+  FROM det),
+m AS (SELECT *, 1e-9 * greatest(abs(c0), abs(c1), abs(c2)) AS zero, c1 * c1 - 4 * c0 * c2 AS disc FROM c),
+r AS (
+  SELECT *, CASE WHEN abs(c2) > zero AND disc >= 0 THEN (-c1 - sign(c2) * sqrt(greatest(disc, 0))) / (2 * c2)
+      WHEN abs(c2) <= zero AND abs(c1) > zero THEN -c0 / c1 END AS u0,
+    CASE WHEN abs(c2) > zero AND disc >= 0 THEN (-c1 + sign(c2) * sqrt(greatest(disc, 0))) / (2 * c2) END AS u1 FROM m)
+SELECT session, n, round(c0, 6) AS c0, round(c1, 6) AS c1, round(c2, 6) AS c2,
+  round((u0 + 1) / 2, 4) AS root0, round((u1 + 1) / 2, 4) AS root1 FROM r""",
         "nested_trend": f"""WITH {_HEALTH}, w AS (SELECT *, ts // {_WINDOW} * {_WINDOW} AS window_start FROM hr),
 h AS (SELECT *, ts // {_WINDOW} * {_WINDOW} AS window_start FROM byts),
 hc AS (SELECT *, sum(health) OVER (PARTITION BY session, window_start ORDER BY ts) AS cumsum FROM h),
 hd AS (SELECT *, min(ts) OVER p AS lo, max(ts) OVER p AS hi FROM hc WINDOW p AS (PARTITION BY session, window_start)),
 fit AS (
-  SELECT session, window_start, count(*) AS n_cumsum, arg_max(cumsum, ts) AS last_cumsum,
+  SELECT session, window_start, lo, hi,
     CASE WHEN count(*) > 1 THEN regr_intercept(cumsum, -1 + 2 * (ts - lo) / nullif(hi - lo, 0)::double) END AS c0,
     CASE WHEN count(*) > 1 THEN regr_slope(cumsum, -1 + 2 * (ts - lo) / nullif(hi - lo, 0)::double) END AS c1
-  FROM hd GROUP BY session, window_start),
+  FROM hd GROUP BY session, window_start, lo, hi),
 recs AS (
-  SELECT session, window_start, CAST(count(*) AS INTEGER) AS n,
-    string_agg(CAST(class AS VARCHAR), ',' ORDER BY ts, frame_id, pos) AS classes, round(sum(score), 6) AS score_sum
-  FROM w GROUP BY session, window_start)
-SELECT r.session, r.window_start, r.window_start + {_WINDOW} AS window_end, CAST(0 AS BIGINT) AS part, 0 AS slice, n,
-  classes, score_sum, CAST(coalesce(n_cumsum, 0) AS INTEGER) AS n_cumsum, round(last_cumsum, 6) AS last_cumsum,
-  round(c0, 6) AS c0, round(c1, 6) AS c1
-FROM recs r LEFT JOIN fit f ON f.session = r.session AND f.window_start = r.window_start""",
+  SELECT session, window_start, ts, min(frame_id) AS frame_id, CAST(count(*) AS INTEGER) AS n,
+    string_agg(CAST(100 * class AS VARCHAR), ',' ORDER BY frame_id, pos) AS detection_class,
+    string_agg(CAST(round(100 * score)::int AS VARCHAR), ',' ORDER BY frame_id, pos) AS detection_score,
+    string_agg(coalesce(CAST(round(100 * w)::int AS VARCHAR), '-'), ',' ORDER BY frame_id, pos) AS health_weight,
+    string_agg(coalesce(CAST(round(100 * hs)::int AS VARCHAR), '-'), ',' ORDER BY frame_id, pos) AS health_score
+  FROM w GROUP BY session, window_start, ts),
+closing AS (SELECT *, ts = max(ts) OVER (PARTITION BY session, window_start) AS is_last FROM recs)
+SELECT r.session, r.window_start, r.window_start + {_WINDOW} AS window_end, r.ts, frame_id, n, detection_class,
+  detection_score, health_weight, health_score, round(cumsum, 6) AS cumsum,
+  CASE WHEN is_last THEN round(c0, 6) END AS c0, CASE WHEN is_last THEN round(c1, 6) END AS c1,
+  CASE WHEN is_last AND abs(c1) > 1e-9 * greatest(abs(c0), abs(c1)) THEN round(lo + (1 - c0 / c1) / 2 * (hi - lo), 0) END AS root
+FROM closing r LEFT JOIN hc ON hc.session = r.session AND hc.ts = r.ts
+LEFT JOIN fit f ON f.session = r.session AND f.window_start = r.window_start""",
         "overlay_by_location": f"""WITH {_LABELLED}, d AS (
   SELECT *, max(pos) OVER (PARTITION BY frame_id, ymin, xmin, ymax, xmax) AS last_pos
   FROM labelled WHERE pos <= 5 AND score > 0.2),
@@ -382,9 +415,27 @@ LEFT JOIN cats c ON c.class = e.class
 GROUP BY f.frame_id, f.session, f.ts, f.datesegment""",
         "job_archive": f"""WITH {_SCORED}
 SELECT (ts // {_WINDOW} * {_WINDOW}) || '_' || (ts // {_WINDOW} * {_WINDOW} + {_WINDOW}) AS "window",
-  count(*) AS n_frames, CAST(sum(least(strlen(payload), 4)) AS BIGINT) AS n_detections FROM imaged GROUP BY ts // {_WINDOW}
-UNION ALL SELECT 'malformed', count(*), NULL FROM frames WHERE frame_id % 97 = 0
-UNION ALL SELECT 'frames_without_image', count(*), NULL FROM arrived WHERE frame_id % 89 = 0""",
+  count(*) AS n_frames, CAST(sum(strlen(payload)) FILTER (WHERE frame_id % 89 <> 0) AS BIGINT) AS n_detections,
+  CAST(sum(strlen(payload)) FILTER (WHERE frame_id % 89 <> 0) AS BIGINT) AS image_bytes FROM arrived GROUP BY ts // {_WINDOW}
+UNION ALL SELECT 'rejects', count(*), NULL, NULL FROM frames WHERE frame_id % 97 = 0
+UNION ALL SELECT 'output rejects', count(*), NULL, NULL FROM frames WHERE frame_id % 97 = 0
+UNION ALL SELECT 'output frames_without_image', count(*), NULL, NULL FROM arrived WHERE frame_id % 89 = 0""",
+        "decode_rejects": f"""WITH {_FRAMES}, r AS (
+  SELECT frame_id, CASE WHEN frame_id % 97 = 0 OR frame_id % 89 = 0 THEN 'malformed'
+    WHEN frame_id % 13 = 0 THEN 'no metadata.ts' WHEN frame_id % 17 = 0 THEN 'no metadata.session' END AS reject FROM frames)
+SELECT * FROM r WHERE reject IS NOT NULL""",
+        "archive_paths": f"""WITH {_FRAMES}, w AS (SELECT *, ts // 31536000 * 31536000 AS s FROM frames)
+SELECT 'window=' || s || '_' || (s + 31536000) || '/' AS folder, session, count(*) AS n_frames FROM w GROUP BY s, session""",
+        "flat_archive": f"""WITH {_FRAMES}, w AS (SELECT *, ts // 31536000 * 31536000 AS s FROM frames)
+SELECT 'd' || (user_id % 7) AS session, s || '_' || (s + 31536000) AS "window", count(*) AS n_frames,
+  CAST(sum(frame_id) AS BIGINT) AS frame_id_sum FROM w GROUP BY 1, 2""",
+        "no_calibrations": f"WITH {_FRAMES} SELECT frame_id, NULL::double AS c_ymin FROM frames",
+        "list_frames": f"""WITH {_FRAMES} SELECT DISTINCT device_id, strftime(to_timestamp(ts), '%Y') AS stem
+FROM frames WHERE device_id IS NOT NULL""",
+        "drop_images": f"WITH {_FRAMES} SELECT frame_id, session, ts FROM frames",
+        "render_order": f"""WITH {_FRAMES}, r AS (
+  SELECT session, datesegment, ts, {_FRAME_PATH} AS outpath FROM frames WHERE frame_id % 89 <> 0)
+SELECT *, CAST(row_number() OVER (PARTITION BY datesegment, session ORDER BY ts, outpath) AS INTEGER) AS place FROM r""",
         "job_alerts": f"""WITH {_FRAMES}, arrived AS (SELECT * FROM frames WHERE frame_id % 97 <> 0),
 breaks AS (
   SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY session ORDER BY ts) < {2 * _WINDOW} THEN 0 ELSE 1 END AS b FROM arrived),

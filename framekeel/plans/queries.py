@@ -22,6 +22,7 @@ from ..operators import exploded, health, metrics, nested, overlay, scoring, win
 from ..schemas import MONITORING_IMAGE, TELEMETRY_EVENT, VIDEO_RENDER_REQUEST
 from ..session import fresh_dir
 from ..sources import archive, calibrations, messages
+from ..sources import frames as frame_files
 from ..streaming import jobs, runner
 from ..streaming import windows as stream_windows
 from . import render, tables
@@ -81,7 +82,8 @@ def path_of_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _embedding_boxes(spark, sf_dir):
     """Vectors cut into four coordinate arrays, and these zipped to boxes."""
     vector = F.col("embedding")
-    n = F.floor(F.size(vector) / 4).cast("int")
+    # If four does not divide the length, the last coordinates of some boxes are null.
+    n = F.ceil(F.size(vector) / 4).cast("int")
     parts = [F.slice(vector, F.lit(1) + n * k, n) for k in range(4)]
     rows = tables.table(spark, sf_dir, "embeddings")
     return rows.select("vec_id", arrays_to_boxes(*parts).alias("boxes"))
@@ -282,7 +284,8 @@ def nested_drawable(spark: SparkSession, sf_dir: str) -> DataFrame:
 def nested_overlay(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = nested.drawable(F.col("detections"), 5, 0.2)
     marked = tables.nested_frames(spark, sf_dir).withColumn("drawn", drawn)
-    rows = _inline(nested.overlay_boxes(marked), "overlay", "ymin")
+    marked = nested.overlay_boxes(marked, ignored=lambda d: d["class"] == 6)
+    rows = _inline(marked, "overlay", "ymin")
     return rows.withColumn("labels", F.array_join("labels", ";"))
 
 
@@ -442,25 +445,34 @@ def polynomial_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
         "session",
         "n",
         *(F.round(F.get("coef", F.lit(k)), 6).alias(f"c{k}") for k in range(3)),
+        # Roots as shares of the way from the first point to the last.
+        *(
+            F.round((F.get("roots", F.lit(k)) - F.col("x_min")) / (F.col("x_max") - F.col("x_min")), 4).alias(f"root{k}")
+            for k in range(2)
+        ),
     )
 
 
 def nested_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = windows.with_window(_health_rows(spark, sf_dir), WINDOW)
-    records = health.nested_records(rows, "session", WINDOW, ["frame_id", *POSITION])
+    records = health.nested_records(rows, "session", WINDOW, ["frame_id", *POSITION], "frame_id")
+
+    def listed(column):
+        numbers = F.transform(column, lambda x: F.coalesce(F.round(100 * x, 0).cast("int").cast("string"), F.lit("-")))
+        return F.array_join(numbers, ",").alias(column)
+
     return records.select(
         "session",
         "window_start",
         "window_end",
-        "part",
-        "slice",
+        "ts",
+        "frame_id",
         F.size("detection_class").alias("n"),
-        F.concat_ws(",", F.col("detection_class").cast("array<string>")).alias("classes"),
-        F.round(F.aggregate("detection_score", F.lit(0.0), lambda a, b: a + b), 6).alias("score_sum"),
-        F.size("cumsum").alias("n_cumsum"),
-        F.round(F.try_element_at("cumsum", F.lit(-1)), 6).alias("last_cumsum"),
+        *map(listed, ("detection_class", "detection_score", "health_weight", "health_score")),
+        F.round("cumsum", 6).alias("cumsum"),
         F.round(F.get("poly_coef", F.lit(0)), 6).alias("c0"),
         F.round(F.get("poly_coef", F.lit(1)), 6).alias("c1"),
+        F.round(F.get("poly_roots", F.lit(0)), 0).alias("root"),
     )
 
 
@@ -583,12 +595,12 @@ def alert_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_output(vector):
-    """Model output made of a vector: six numbers each for box, class and score."""
-    n = F.least(F.floor(F.size(vector) / 6), F.lit(40)).cast("int")
+    """Model output made of a whole vector: six numbers each for box, class and score, 0 past its end."""
+    n = F.ceil(F.size(vector) / 6).cast("int")
     rows = F.filter(F.sequence(F.lit(0), n), lambda i: i < n)
 
     def at(i, k):
-        return F.get(vector, i * 6 + k).cast("double")
+        return F.coalesce(F.get(vector, i * 6 + k).cast("double"), F.lit(0.0))
 
     return {
         "boxes": F.transform(rows, lambda i: F.array(*(F.abs(at(i, k)) for k in range(4)))),
@@ -623,8 +635,8 @@ def stub_model():
             results = []
             for image in images:
                 v = np.abs(np.asarray(image, dtype=np.float32).astype(np.float64))
-                n = min(len(v) // 6, 40)
-                rows = v[: n * 6].reshape(n, 6)
+                n = -(-len(v) // 6)
+                rows = np.pad(v, (0, 6 * n - len(v))).reshape(n, 6)
                 scores = rows[:, 5] - np.floor(rows[:, 5])
                 results.append((rows[:, :4], np.floor(rows[:, 4] * 1000) % 6, scores, n))
             return results
@@ -738,15 +750,17 @@ def stream_drop_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payload_model():
-    """Loader of a stand-in model: a detection from each of the first bytes of the image."""
+    """Loader of a stand-in model: a detection from each byte of the image, and a broken one for some."""
 
     def load():
         def predict(images):
             results = []
             for image in images:
-                found = list(enumerate(bytes(image)[:4]))
+                found = list(enumerate(bytes(image)))
                 boxes = [[0.2 * i, 0.1, 0.2 * i + 0.2, 0.5] for i, _ in found]
-                results.append((boxes, [b % 6 for _, b in found], [b / 128 for _, b in found], len(found)))
+                # A space makes the model give no number.
+                scores = [float("nan") if b == 32 else b / 128 for _, b in found]
+                results.append((boxes, [b % 6 for _, b in found], scores, len(found)))
             return results
 
         return predict
@@ -786,20 +800,83 @@ def job_annotate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def job_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frame job: rows in the archive and in the two error outputs."""
+    """Frame job: all messages in the archive, by window, and the rows of the two error outputs."""
     out = _annotate(spark, sf_dir)
     archived = spark.read.parquet(f"{out}/archive").groupBy("window").agg(
-        F.count("*").alias("n_frames"), F.sum("annotations_all.num_detections").alias("n_detections")
+        F.count("*").alias("n_frames"),
+        F.sum("annotations_all.num_detections").alias("n_detections"),
+        F.sum(F.octet_length("image_data").cast("bigint")).alias("image_bytes"),
     )
+    nothing = F.lit(None).cast("bigint")
     errors = [
         spark.read.parquet(f"{out}/{name}")
-        .groupBy(F.lit(name).alias("window"))
-        .agg(F.count("*").alias("n_frames"), F.lit(None).cast("bigint").alias("n_detections"))
-        for name in ("malformed", "frames_without_image")
+        .groupBy(F.lit(f"output {name}").alias("window"))
+        .agg(F.count("*").alias("n_frames"), nothing.alias("n_detections"), nothing.alias("image_bytes"))
+        for name in ("rejects", "frames_without_image")
     ]
     return archived.unionByName(errors[0]).unionByName(errors[1])
 
 
+def decode_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Why messages cannot be used: some are cut off, some lack their time or session, some have no body."""
+    rows = tables.frames(spark, sf_dir, device=True, datesegment=True)
+    key = F.col("frame_id")
+    lacking = rows.withColumn("ts", F.when(key % 13 != 0, F.col("ts"))).withColumn(
+        "session", F.when(key % 17 != 0, F.col("session"))
+    )
+    value = messages.encode(F.col("payload").cast("binary").alias("data"), render.metadata_struct(lacking).alias("metadata"))
+    cut = F.when(key % 97 == 0, F.substring("value", 1, 20)).when(key % 89 != 0, F.col("value"))
+    sent = lacking.select("frame_id", value).withColumn("value", cut)
+    found = messages.with_reject(messages.decode(sent, MONITORING_IMAGE), jobs.REQUIRED)
+    return found.where("reject IS NOT NULL").select("frame_id", "reject")
+
+
+def archive_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the archive by session and window, and list what was written."""
+    base = fresh_dir(spark, "archive-paths")
+    rows = tables.frames(spark, sf_dir, datesegment=True)
+    archive.write_windowed_archive(rows, base, 365 * DAY, layout="window", keep_images=True)
+    return archive.archived_paths(spark, base, "session")
+
+
+def flat_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the archive with a folder per session, of one window, and read it back."""
+    base = fresh_dir(spark, "flat-archive")
+    few = tables.frames(spark, sf_dir).withColumn("session", F.concat(F.lit("d"), F.col("user_id") % 7))
+    archive.write_windowed_archive(few, base, 365 * DAY, layout="flat")
+    stored = archive.read_archive(spark, base)
+    return stored.groupBy("session", "window").agg(F.count("*").alias("n_frames"), F.sum("frame_id").alias("frame_id_sum"))
+
+
+def no_calibrations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames where no device has ever been calibrated."""
+    none = calibrations.read_calibrations(spark, fresh_dir(spark, "no-calibrations"))
+    return nested.join_calibration(tables.frames(spark, sf_dir, device=True), none).select("frame_id", "c_ymin")
+
+
+def list_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frame files of devices, one per year of a device, listed."""
+    base = fresh_dir(spark, "frame-files")
+    rows = tables.frames(spark, sf_dir, device=True).where(F.col("device_id").isNotNull())
+    stamped = rows.select("device_id", F.col("frame_id").cast("string").alias("value"), F.date_format("event_time", "yyyy").alias("stem"))
+    stamped.write.partitionBy("device_id", "stem").text(f"{base}/txt")
+    listed = frame_files.list_frames(spark, base, "txt")
+    found = F.regexp_extract("path", r"device_id=([0-9]+)/", 1).cast("int")
+    return listed.select(found.alias("device_id"), F.regexp_extract("path", r"stem=([0-9]+)/", 1).alias("stem")).distinct()
+
+
+def drop_images(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames with their payload as an image, which is dropped."""
+    rows = tables.frames(spark, sf_dir).withColumn("image_data", F.col("payload").cast("binary"))
+    return nested.drop_images(rows.select("frame_id", "session", "ts", "image_data"))
+
+
+def render_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frames to render with their places in the video."""
+    requests = render.render_requests(render.latest_metadata(_latest(spark, sf_dir)))
+    return render.playing_order(render.render_frames(requests, _manifest(spark, sf_dir)))
+
+
 def job_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs in a row: requests of finished sessions, rendered and alerted."""
     health_config = HealthJobConfig(BUCKET, fresh_dir(spark, "job-checkpoint"), window_period_seconds=WINDOW)
@@ -882,4 +959,11 @@ QUERIES = {
     "job_annotate": job_annotate,
     "job_archive": job_archive,
     "job_alerts": job_alerts,
+    "decode_rejects": decode_rejects,
+    "archive_paths": archive_paths,
+    "flat_archive": flat_archive,
+    "no_calibrations": no_calibrations,
+    "list_frames": list_frames,
+    "drop_images": drop_images,
+    "render_order": render_order,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import join_path, typed_path
@@ -60,10 +60,11 @@ def render_manifest(
 ) -> DataFrame:
     """What to render for each request: paths, number of frames, first and last of them.
 
-    ``frames`` is the frame manifest with ``session, datesegment, ts, outpath``. It is reduced to one
-    row per session before the join, so requests for the same session do not multiply its frames.
+    ``frames`` is the frame manifest with ``session, datesegment, ts, outpath``. Only frames of requested
+    sessions are read on: if the manifest is partitioned by ``datesegment``, other days are skipped. They are
+    reduced to one row per session before the join, so requests for the same session do not multiply.
     """
-    per_session = frames.groupBy("datesegment", "session").agg(
+    per_session = requested_frames(requests, frames).groupBy("datesegment", "session").agg(
         F.count("*").alias("frame_count"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),
@@ -80,12 +81,20 @@ def render_manifest(
     )
 
 
+def requested_frames(requests: DataFrame, frames: DataFrame) -> DataFrame:
+    wanted = per_key(requests, ["datesegment", "session"])
+    return frames.join(wanted, ["datesegment", "session"], "left_semi")
+
+
 def render_frames(requests: DataFrame, frames: DataFrame) -> DataFrame:
     """The frames of requested sessions, one row each."""
-    wanted = per_key(requests, ["datesegment", "session"])
-    return frames.join(wanted, ["datesegment", "session"]).select(
-        "session", "datesegment", "ts", "outpath"
-    )
+    return requested_frames(requests, frames).select("session", "datesegment", "ts", "outpath")
+
+
+def playing_order(listed: DataFrame) -> DataFrame:
+    """Add ``place``, the number of the frame in its session's video, from 1."""
+    order = Window.partitionBy("datesegment", "session").orderBy("ts", "outpath")
+    return listed.withColumn("place", F.row_number().over(order))
 
 
 def write_render_frames(listed: DataFrame, path: str, mode: str = "append") -> None:

@@ -19,6 +19,8 @@ def configure(spark: SparkSession) -> SparkSession:
     spark.conf.set("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
     # Merge a key's sessions inside each task before the shuffle, so a hot key sends few rows.
     spark.conf.set("spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition", "true")
+    # Images and long texts reach Python in small batches, so a worker's memory stays small.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1024")
     # Window state lives on disk with incremental checkpoints instead of on the executor heap.
     spark.conf.set(
         "spark.sql.streaming.stateStore.providerClass",

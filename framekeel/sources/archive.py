@@ -58,6 +58,17 @@ def read_archive(spark: SparkSession, base_path: str, fmt: str = "parquet") -> D
     return spark.read.format(fmt).load(base_path)
 
 
+def archived_paths(spark: SparkSession, base_path: str, *keys: str, fmt: str = "parquet") -> DataFrame:
+    """What was written: each folder of the archive, by its path below ``base_path``, with its rows.
+
+    ``keys`` are columns to count by inside a folder, such as the session. No contents are read but these.
+    """
+    stored = read_archive(spark, base_path, fmt)
+    # The path is a URI, in which the escapes of folder names are escaped again.
+    folder = F.url_decode(F.regexp_extract("_metadata.file_path", r"((?:[^/]+=[^/]+/)+)[^/]+$", 1))
+    return stored.select(folder.alias("folder"), *keys).groupBy("folder", *keys).agg(F.count("*").alias("n_frames"))
+
+
 def archive_manifest(
     frames: DataFrame,
     period_seconds: int,

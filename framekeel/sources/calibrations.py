@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +13,18 @@ from ..schemas import CALIBRATION_FILE
 def read_calibrations(spark: SparkSession, base_path: str, filename: str = "calibration.json") -> DataFrame:
     """Calibrations from ``<base>/<device_id>/calibration.json`` as ``(device_id, c_*, fps)``.
 
-    A device without a file has no row. The folder names the device, also when a Spark job wrote it
-    partitioned by ``device_id``; ``filename`` may be a pattern.
+    A device without a file has no row, and without any file there are no rows. The folder names the
+    device, also when a Spark job wrote it partitioned by ``device_id``; ``filename`` may be a pattern.
     """
-    files = (
-        spark.read.schema(CALIBRATION_FILE)
-        .option("multiLine", True)
-        .json(f"{base_path.rstrip('/')}/*/{filename}")
-    )
-    device = F.regexp_extract("_metadata.file_path", r"/(?:device_id=)?([0-9]+)/[^/]+$", 1).cast("int")
+    reader = spark.read.schema(CALIBRATION_FILE).option("multiLine", True)
+    try:
+        files = reader.json(f"{base_path.rstrip('/')}/*/{filename}")
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        none = spark.createDataFrame([], CALIBRATION_FILE)
+        files = none.withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
+    device = F.regexp_extract("_metadata.file_path", r"/(?:device_id=)?([0-9]+)/[^/]+$", 1).try_cast("int")
     corners = (F.get(F.col("box.xy"), F.lit(i)).alias("c_" + n) for i, n in enumerate(BoxCols._fields))
     return files.select(device.alias("device_id"), *corners, "fps")
 

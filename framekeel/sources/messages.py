@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,6 +66,17 @@ def decode_protobuf(df: DataFrame, message_name: str, descriptor: str, value: st
     return df.withColumn("message", parsed).withColumn("is_malformed", F.col("message").isNull())
 
 
+def with_reject(decoded: DataFrame, required: Sequence[str]) -> DataFrame:
+    """Add ``reject``: why a decoded message cannot be used, null if it can.
+
+    ``required`` are fields of the message, such as ``metadata.ts``, that must not be null.
+    """
+    reason = F.when(F.col("is_malformed"), F.lit("malformed"))
+    for field in required:
+        reason = reason.when(F.col(f"message.{field}").isNull(), F.lit(f"no {field}"))
+    return decoded.withColumn("reject", reason)
+
+
 def split_malformed(decoded: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Good messages, and the malformed ones for an error output."""
     good = decoded.where(~F.col("is_malformed")).drop("is_malformed")

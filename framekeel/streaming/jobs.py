@@ -9,32 +9,43 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..config import HealthJobConfig, RenderJobConfig
+from ..functions.paths import window_stem
 from ..operators import windows
-from ..operators.nested import merge_filtered
+from ..operators.metrics import observe_durations
+from ..operators.nested import drop_images, merge_filtered
 from ..operators.overlay import manifest, overlay_plans
 from ..operators.scoring import score_frames
 from ..plans import render
 from ..schemas import METADATA, MONITORING_IMAGE, VIDEO_RENDER_REQUEST
-from ..sources.archive import write_windowed_archive
-from ..sources.messages import decode, publish
+from ..sources.messages import decode, publish, with_reject
 from . import runner
-from .windows import session_latest, with_lateness
+from .windows import drop_repeats, session_latest, with_lateness
+
+
+#: Fields without which a frame has no window, no path and no session.
+REQUIRED = ("metadata.ts", "metadata.session", "metadata.datesegment")
+REJECTS = "rejects"
+HEARTBEAT = "\u0000heartbeat"
 
 
 def frames_from_messages(messages: DataFrame) -> DataFrame:
-    """Frames with event time from raw messages. Malformed messages keep only ``malformed``, their text."""
-    decoded = decode(messages, MONITORING_IMAGE)
-    image = F.col("message.data")
+    """Frames with event time from raw messages, with ``reject``, the reason why a message is no frame.
+
+    A reject keeps its message as text in ``rejected``, a null body as an empty one.
+    """
+    decoded = with_reject(decode(messages, MONITORING_IMAGE), REQUIRED)
+    image, bad = F.col("message.data"), F.col("reject").isNotNull()
     frames = decoded.select(
-        F.when(F.col("is_malformed"), F.col("value").cast("string")).alias("malformed"),
-        F.when(F.octet_length(image) > 0, image).alias("image_data"),
+        "reject",
+        F.when(bad, F.coalesce(F.col("value").cast("string"), F.lit(""))).alias("rejected"),
+        F.when(~bad & (F.octet_length(image) > 0), image).alias("image_data"),
         "message.metadata.*",
     )
     return windows.assign_event_time(frames)
 
 
-def _write(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(runner.batch_path(path, batch_id))
+def _write(rows: DataFrame, path: str, batch_id: int, *partition_by: str) -> None:
+    rows.write.mode("overwrite").partitionBy(*partition_by).parquet(runner.batch_path(path, batch_id))
 
 
 def annotate_and_archive(
@@ -45,58 +56,76 @@ def annotate_and_archive(
     out: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Score frames, then write the overlay manifest, the archive and two error outputs below ``out``.
-
-    Messages are read and scored once per micro-batch: the scored frames, without images, are kept
-    for the four outputs. ``calibrations`` is read anew for every batch, so new devices are seen.
+    """Score frames and archive every message, then write the overlay manifest and two error outputs below ``out``.
+
+    A micro-batch is read, decoded and scored once, on its way into the archive: all frames with their
+    images, in a folder per window, and rejected messages in one of their own, without a shuffle. The
+    other outputs are read from there, without images, so they agree with it also after a lost
+    executor or a replay. The durations of the model's calls are metrics ``predict`` of the query's progress.
+    With ``config.repeats_within``, frames delivered again within that time are dropped, and so are frames
+    that come later than it. ``calibrations`` is read anew for every batch, so new devices are seen.
     """
+    frames = frames_from_messages(messages)
+    if config.repeats_within:
+        good = with_lateness(frames.where("reject IS NULL"), config.repeats_within)
+        once = drop_repeats(good, "session", "ts", "device_id")
+        frames = once.unionByName(frames.where("reject IS NOT NULL"))
+    scored = score_frames(frames, load_model, keep_image=True)
+    scored = observe_durations(scored, "predict_ms", "predict")
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        scored = score_frames(frames_from_messages(batch), load_model).persist()
-        try:
-            _write(
-                scored.where(F.col("malformed").isNotNull()).select(F.col("malformed").alias("value")),
-                f"{out}/malformed",
-                batch_id,
-            )
-            frames = scored.where(F.col("malformed").isNull()).drop("malformed")
-            has_image = F.col("annotations_all").isNotNull()
-            _write(frames.where(~has_image), f"{out}/frames_without_image", batch_id)
-            annotated = frames.where(has_image)
-            merged = merge_filtered(
-                annotated.withColumn("detections", F.col("annotations_all.detections")), calibrations()
-            )
-            plans = overlay_plans(
-                merged,
-                bucket=config.bucket,
-                base_path=config.base_path,
-                module=config.module,
-                max_boxes=config.max_boxes_to_draw,
-                min_score=config.min_score_threshold,
-                protocol=config.protocol,
-            )
-            _write(manifest(plans, "datesegment", "ts", "overlay"), f"{out}/manifest", batch_id)
-            write_windowed_archive(
-                annotated,
-                runner.batch_path(f"{out}/archive", batch_id),
-                config.window_period_seconds,
-                layout="window",
-                mode="overwrite",
-            )
-        finally:
-            scored.unpersist()
-
-    return runner.each_batch(messages, write, f"{config.checkpoint}/annotate", trigger=trigger)
+        start = F.col("ts") - F.pmod("ts", F.lit(config.window_period_seconds))
+        stem = window_stem(start, start + config.window_period_seconds)
+        rows = batch.withColumn("window", F.when(F.col("reject").isNull(), stem).otherwise(REJECTS))
+        _write(rows, f"{out}/archive", batch_id, "window")
+        reader = batch.sparkSession.read.schema(rows.schema)
+        stored = reader.parquet(runner.batch_path(f"{out}/archive", batch_id))
+        rejects = stored.where(F.col("window") == REJECTS).select(F.col("rejected").alias("value"), "reject")
+        _write(rejects, f"{out}/{REJECTS}", batch_id)
+        frames = drop_images(stored.where(F.col("window") != REJECTS)).drop("reject", "rejected", "window")
+        has_image = F.col("annotations_all").isNotNull()
+        _write(frames.where(~has_image), f"{out}/frames_without_image", batch_id)
+        annotated = frames.where(has_image).withColumn("detections", F.col("annotations_all.detections"))
+        plans = overlay_plans(
+            merge_filtered(annotated, calibrations()),
+            bucket=config.bucket,
+            base_path=config.base_path,
+            module=config.module,
+            max_boxes=config.max_boxes_to_draw,
+            min_score=config.min_score_threshold,
+            protocol=config.protocol,
+        )
+        _write(manifest(plans, "datesegment", "ts", "overlay"), f"{out}/manifest", batch_id, "datesegment")
+
+    return runner.each_batch(scored, write, f"{config.checkpoint}/annotate", trigger=trigger)
 
 
 def request_renders(
-    messages: DataFrame, config: HealthJobConfig, out: str, trigger: dict | None = None
+    messages: DataFrame,
+    config: HealthJobConfig,
+    out: str,
+    trigger: dict | None = None,
+    heartbeat: DataFrame | None = None,
 ) -> StreamingQuery:
-    """Publish a render request when a session has been quiet for the gap. Needs no model and no images."""
-    frames = frames_from_messages(messages).where(F.col("malformed").isNull())
-    narrow = with_lateness(frames.drop("image_data", "malformed"), config.watermark_delay)
+    """Publish a render request when a session has been quiet for the gap. Needs no model and no images.
+
+    Event time only moves with rows, so when all devices go quiet their last sessions stay open. A
+    ``heartbeat``, a stream with a ``timestamp`` such as the rate source, moves it on; frames that come
+    later than the heartbeat and the watermark's delay are then dropped.
+    """
     carry = [f.name for f in METADATA.fields if f.name not in ("session", "ts")]
+    frames = frames_from_messages(messages).where("reject IS NULL")
+    frames = frames.select("event_time", "session", "ts", *carry)
+    if heartbeat is not None:
+        nothing = (F.lit(None).cast(frames.schema[c].dataType).alias(c) for c in ("ts", *carry))
+        beat = F.col("timestamp").cast("timestamp").alias("event_time")
+        frames = frames.unionByName(heartbeat.select(beat, F.lit(HEARTBEAT).alias("session"), *nothing))
+    narrow = with_lateness(frames, config.watermark_delay)
+    if config.repeats_within:
+        narrow = drop_repeats(narrow, "session", "event_time", "device_id")
     finished = session_latest(narrow, "session", config.session_gap_seconds, "ts", *carry)
+    # A condition on the session itself would move below the watermark, which must see the heartbeat.
+    finished = finished.where(F.col("latest_ts").isNotNull())
     requests = render.render_requests(render.latest_metadata(finished))
     return publish(requests, out, checkpoint=f"{config.checkpoint}/requests", trigger=trigger)
 
@@ -128,9 +157,12 @@ def render_and_alert(
             protocol=config.protocol,
         )
         _write(renders, f"{out}/renders", batch_id)
-        listed = render.render_frames(good, frames)
+        # Alerts and frame lists are for what was rendered, so they come from there.
+        reader = batch.sparkSession.read.schema(renders.schema)
+        written = render.alerts(reader.parquet(runner.batch_path(f"{out}/renders", batch_id)))
+        _write(written.select("value"), f"{out}/alerts", batch_id)
+        listed = render.render_frames(written, frames)
         render.write_render_frames(listed, runner.batch_path(f"{out}/frames", batch_id), "overwrite")
-        _write(render.alerts(renders).select("value"), f"{out}/alerts", batch_id)
         _write(decoded.where("is_malformed").select("value"), f"{out}/malformed", batch_id)
 
     return runner.each_batch(requests, write, f"{config.checkpoint}/render", trigger=trigger)

@@ -85,3 +85,16 @@ def test_frame_listing_reads_no_content(spark, tmp_path):
     listed = list_frames(spark, str(tmp_path))
     assert sorted((r["ts"] or -1, r["length"]) for r in listed.collect()) == [(-1, 3), (99, 3), (100, 3)]
     assert "content" not in listed._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
+
+
+def test_no_calibration_at_all(spark, tmp_path):
+    assert read_calibrations(spark, str(tmp_path / "nothing")).collect() == []
+
+
+def test_paths_are_what_was_written(spark, tmp_path):
+    base = str(tmp_path / "a")
+    archive.write_windowed_archive(frames(spark), base, 60)
+    listed = archive.archived_paths(spark, base, "frame_id").groupBy("folder").agg(F.sum("n_frames").alias("n"))
+    folders = {str(p.parent.relative_to(tmp_path / "a")) + "/" for p in (tmp_path / "a").rglob("*.parquet")}
+    assert {r["folder"] for r in listed.collect()} == folders
+    assert sum(r["n"] for r in listed.collect()) == 400

@@ -78,6 +78,61 @@ def test_missing_score_is_drawn_black(spark):
     assert (place["labels"], place["color"]) == ([], "black")
 
 
+NAN, INF = float("nan"), float("inf")
+
+
+def test_numbers_that_are_none(spark):
+    box = (0.2, 0.2, 0.4, 0.4)
+    found = [
+        (1, 4, NAN, *box),
+        (2, 4, 0.9, NAN, 0.2, 0.4, 0.4),
+        (3, 4, 0.8, 0.2, 0.2, NAN, 0.4),
+        (4, 4, INF, *box),
+        (5, 4, None, 0.3, 0.3, 0.5, 0.5),
+        (6, 4, 0.7, 0.2, 0.2, 0.4, INF),
+        (7, 4, 0.6, 0.25, 0.25, 0.35, 0.35),
+        (8, 4, 0.5, None, 0.2, 0.4, 0.4),
+        (9, None, 0.95, 0.3, 0.2, 0.4, 0.4),
+    ]
+    source, cals = frames(spark, (1, found)), calibrations(spark, (1, 0.1, 0.1, 0.9, 0.9))
+    merged = nested.effective_annotations(nested.merge_filtered(source, cals))
+    kept = [d["pos"] for d in merged.first()["annotations_filtered"]["detections"]]
+    rows = exploded.with_overlap(nested.join_calibration(long_rows(spark, source), cals))
+    assert kept == sorted(r["pos"] for r in rows.where("kept").collect()) == [1, 4, 5, 7, 9]
+    drawn = merged.withColumn("drawn", nested.drawable(F.col("effective.detections"), None, 0.5))
+    places = nested.overlay_boxes(drawn).first()["overlay"]
+    by_array = {(p["ymin"], p["xmin"]): (p["labels"], p["color"]) for p in places}
+    ranked = exploded.drawable(rows.withColumnRenamed("pos", "place"), ["place"], None, 0.5, effective=True)
+    by_row = {(r["ymin"], r["xmin"]): (r["labels"], r["color"]) for r in exploded.by_location(ranked).collect()}
+    assert by_array == by_row == {
+        (0.2, 0.2): (["print"], "Azure"),
+        (0.3, 0.3): ([], "black"),
+        (0.25, 0.25): (["print: 60%"], "Azure"),
+        (0.3, 0.2): (["N/A: 95%"], None),
+    }
+
+
+def test_overlay_options(spark):
+    found = [(1, 4, 0.9, 0.1, 0.1, 0.2, 0.2), (2, 6, 0.8, 0.1, 0.1, 0.2, 0.2), (3, 4, None, 0.5, 0.5, 0.6, 0.6)]
+    rows = frames(spark, (1, found)).withColumn(
+        "drawn", F.transform("detections", lambda d: d.withField("track_id", d["pos"] + 200_000_000))
+    )
+
+    def drawn(**options):
+        return [(p["labels"], p["color"], p["ignored"]) for p in nested.overlay_boxes(rows, **options).first()["overlay"]]
+
+    assert drawn(ignored=lambda d: d["class"] == 6)[0][0] == ["print: 90% (ignored)", "N/A: 80% (ignored)"]
+    assert drawn(skip_scores=True)[0][0] == ["print", "N/A"] and drawn(skip_labels=True)[0][0] == ["90%", "80%"]
+    assert drawn(track_ids=True)[0][0] == ["print: 90%: ID 200000001", "N/A: 80%: ID 200000002"]
+    assert drawn()[1] == ([], "black", False)
+
+
+def test_frame_ids_of_any_type(spark):
+    rows = spark.sql("SELECT 'f' frame_id, id place, 0.9D score, id % 2 = 0 kept FROM range(6)")
+    found = exploded.drawable(rows, ["place"], 2, effective=True).collect()
+    assert sorted(r["place"] for r in found) == [0, 2]
+
+
 def test_overlay_joins_boxes_at_one_place(spark):
     same, other = (0.1, 0.1, 0.2, 0.2), (0.5, 0.5, 0.6, 0.6)
     found = [(1, 4, 0.9, *same), (2, 1, 0.8, *other), (3, 3, 0.7, *same)]

@@ -92,8 +92,7 @@ def test_short_and_flat_series(spark):
     assert len(poly["flat"]["roots"]) == 0
 
 
-@pytest.mark.parametrize("limit", [3, 7, 10_000])
-def test_nested_records_hold_every_detection_once(spark, limit):
+def test_nested_records_hold_every_detection_once(spark):
     rng = np.random.default_rng(9)
     weights = {0: 0.0, 3: -0.5, 4: 1.0}
     data = []
@@ -103,19 +102,48 @@ def test_nested_records_hold_every_detection_once(spark, limit):
         ts = 30 if i % 10 == 0 else int(rng.integers(0, 180))
         data.append(("a" if i % 3 else "b", ts, label, float(rng.integers(0, 100)) / 100, weights[label], i))
     df = rows(spark, data).withColumn("window_start", F.col("ts") - F.col("ts") % 60)
-    got = health.nested_records(df, "session", 60, ["frame_id"], limit).orderBy("session", "window_start", "part", "slice").collect()
-    found = sorted((r["session"], s) for r in got for s in r["detection_score"])
-    assert found == sorted((d[0], d[3]) for d in data)
+    got = health.nested_records(df, "session", 60, ["frame_id"], "frame_id").orderBy("session", "ts").collect()
+    assert len(got) == len({(d[0], d[1]) for d in data})
+    found = sorted((r["session"], r["ts"], s) for r in got for s in r["detection_score"])
+    assert found == sorted((d[0], d[1], d[3]) for d in data)
     assert all(len(r["detection_class"]) == len(r["health_weight"]) == len(r["health_score"]) for r in got)
+    assert all(r["frame_id"] == min(d[5] for d in data if d[:2] == (r["session"], r["ts"])) for r in got)
     scores = health.score_by_ts(df, "session", "window_start").toPandas().sort_values("ts")
     for (session, start), part in scores.groupby(["session", "window_start"]):
-        expected = part["health"].cumsum().round(9).tolist()
         records = [r for r in got if (r["session"], r["window_start"]) == (session, start)]
-        if limit == 10_000:
-            assert len(records) == 1 and [round(v, 9) for v in records[0]["cumsum"]] == expected
-        else:
-            assert len(records) > 1
-            assert {round(v, 9) for r in records for v in r["cumsum"]} == set(expected)
-        assert all(r["window_end"] == start + 60 and r["poly_degree"] == 1 for r in records)
+        sums = [round(r["cumsum"], 9) for r in records if r["cumsum"] is not None]
+        assert sums == part["health"].cumsum().round(9).tolist()
+        assert all(r["window_end"] == start + 60 for r in records)
+        assert [r["poly_degree"] for r in records] == [None] * (len(records) - 1) + [1]
         fit = np.polynomial.Polynomial.fit(part["ts"], part["health"].cumsum(), 1)
-        np.testing.assert_allclose(records[0]["poly_coef"], fit.coef, atol=1e-9)
+        np.testing.assert_allclose(records[-1]["poly_coef"], fit.coef, atol=1e-9)
+
+
+def test_polynomials_with_nulls_touching_and_small_units(spark):
+    x = np.arange(10)
+    data = [("touch", int(t), float((t - 4) ** 2)) for t in range(9)]
+    data += [("nulls", int(t), float(t * t)) for t in x] + [("nulls", int(t) + 50, None) for t in x]
+    data += [("small", int(t), float(1e-10 * (t - 2.5) * (t - 7))) for t in x]
+    points = spark.createDataFrame(data, "session string, ts long, cumsum double")
+    got = {r["session"]: r for r in health.polynomial_trend(points, "session", degree=2).collect()}
+    assert got["touch"]["roots"] == pytest.approx([4, 4], abs=1e-5)
+    assert got["nulls"]["n"] == 10 and got["nulls"]["x_max"] == 9
+    assert got["nulls"]["coef"] == pytest.approx([20.25, 40.5, 20.25])
+    assert got["nulls"]["roots"] == pytest.approx([0, 0], abs=1e-4)
+    assert got["small"]["roots"] == pytest.approx([2.5, 7])
+    lines = spark.createDataFrame([("s", t, 1e-12 * (t - 3)) for t in range(9)], "session string, ts long, cumsum double")
+    assert health.trend(lines, "session").first()["root"] == pytest.approx(3)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 7, 1000])
+def test_running_sum_carries_on_over_nulls(spark, chunk):
+    values = [None, 1.0, 2.0, None, None, 4.0, None, 3.0, None, 0.5]
+    scores = spark.createDataFrame([("s", t, v) for t, v in enumerate(values)], "session string, ts long, health double")
+    got = [r["cumsum"] for r in health.running_sum(scores, "session", chunk_seconds=chunk).orderBy("ts").collect()]
+    assert got == [0, 1, 3, 3, 3, 7, 7, 10, 10, 10.5]
+
+
+def test_scores_that_are_no_numbers_count_as_missing(spark):
+    data = [("s", 1, 4, float("nan"), 1.0, 1), ("s", 1, 4, 0.5, 1.0, 2), ("s", 2, 3, float("nan"), -0.5, 3)]
+    got = {r["ts"]: r["health"] for r in health.score_by_ts(rows(spark, data), "session").collect()}
+    assert got == {1: 0.5, 2: 0.0}
