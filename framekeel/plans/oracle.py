@@ -53,16 +53,19 @@ _COUNTS = f"""{_OVERLAP}, counts AS (
     max(f.score) AS max_all, max(f.score) FILTER (WHERE overlap > 0.75) AS max_filtered
   FROM seen s LEFT JOIN found f ON f.frame_id = s.frame_id GROUP BY s.frame_id)"""
 
-# Frames with detections worked out from the order's own keys.
+# Frames with detections made of the numbers of a vector.
+def _part(k: str) -> str:
+    return f"(abs(e[{k}]::double) - floor(abs(e[{k}]::double)))"
+
+
 _NESTED = f"""{_FRAMES}, {_CATS}, {_CALS}, nested AS (
-  SELECT f.*, CAST(i AS INTEGER) AS pos,
-    CAST((frame_id * 3 + user_id + i * 5) % 7 AS INTEGER) AS class,
-    ((frame_id * 13 + user_id * 7 + i * 17) % 100) / 100.0::double AS score,
-    ((frame_id + (i // 2) * 3) % 10) / 20.0::double AS ymin,
-    ((user_id + (i // 2) * 7) % 10) / 20.0::double AS xmin,
-    ((frame_id + (i // 2) * 3) % 10) / 20.0::double + ((frame_id + i // 2) % 50 + 1) / 100.0::double AS ymax,
-    ((user_id + (i // 2) * 7) % 10) / 20.0::double + (i // 2 + 1) / 10.0::double AS xmax
-  FROM frames f, unnest(range(1, frame_id % 8 + 1)) AS t(i)),
+  SELECT f.*, CAST(i AS INTEGER) AS pos, CAST(floor(abs(e[i + 44]::double) * 1000) % 7 AS INTEGER) AS class,
+    abs(e[i + 40]::double) * 10 - floor(abs(e[i + 40]::double) * 10) AS score,
+    {_part('(i - 1) // 2 * 4 + 1')} / 2 AS ymin, {_part('(i - 1) // 2 * 4 + 2')} / 2 AS xmin,
+    {_part('(i - 1) // 2 * 4 + 1')} / 2 + {_part('(i - 1) // 2 * 4 + 3')} / 2 AS ymax,
+    {_part('(i - 1) // 2 * 4 + 2')} / 2 + {_part('(i - 1) // 2 * 4 + 4')} / 2 AS xmax
+  FROM frames f JOIN (SELECT vec_id, embedding AS e FROM embeddings) v
+    ON v.vec_id = f.frame_id % (SELECT count(*) FROM embeddings), unnest(range(1, frame_id % 21 + 1)) AS t(i)),
 weighted AS (SELECT n.*, w FROM nested n LEFT JOIN cats c ON c.class = n.class),
 kept AS (
   SELECT n.*, c.c_ymin, {_share('n.', 'c.')} AS overlap
@@ -216,13 +219,14 @@ FROM ({_EMBEDDING}) v, unnest(range(0, n)) AS t(i)""",
         "conform_rejects": f"""WITH {_FRAMES} {_REJECT_LISTS}
 UNION ALL SELECT frame_id, 'user_id' FROM frames WHERE frame_id % 53 = 0
 UNION ALL SELECT frame_id, 'detection_classes' FROM frames
-  WHERE frame_id % 41 = 0 OR (frame_id % 59 = 0 AND frame_id % 8 > 0)""",
+  WHERE frame_id % 41 = 0 OR (frame_id % 59 = 0 AND frame_id % 21 > 0)""",
         "conform_good": f"""WITH {_NESTED}
 SELECT f.session, f.ts, CAST(f.user_id AS BIGINT) AS user_id, f.device_id,
-  CAST(f.frame_id % 8 AS INTEGER) AS num_detections,
-  coalesce(string_agg(CAST(class AS VARCHAR), ',' ORDER BY pos), '') AS classes
+  CAST(f.frame_id % 21 AS INTEGER) AS num_detections,
+  coalesce(string_agg(CAST(class AS VARCHAR), ',' ORDER BY pos), '') AS classes,
+  coalesce(string_agg(CAST(round(1000 * xmax::float)::int AS VARCHAR), ',' ORDER BY pos), '') AS right_edges
 FROM frames f LEFT JOIN nested n ON n.frame_id = f.frame_id
-WHERE f.frame_id % 41 <> 0 AND f.frame_id % 53 <> 0 AND NOT (f.frame_id % 59 = 0 AND f.frame_id % 8 > 0)
+WHERE f.frame_id % 41 <> 0 AND f.frame_id % 53 <> 0 AND NOT (f.frame_id % 59 = 0 AND f.frame_id % 21 > 0)
 GROUP BY f.frame_id, f.session, f.ts, f.user_id, f.device_id""",
         "explode_detections": f"""WITH {_NESTED}
 SELECT ts, session, frame_id, pos, class AS detection_class, score AS detection_score, w AS health_weight,
@@ -259,7 +263,7 @@ SELECT frame_id, f.device_id, c_ymin, c_xmin, c_ymax, c_xmax FROM frames f LEFT
         "nested_aoi_filter": f"""WITH {_NESTED}
 SELECT frame_id, pos, class, score, w AS health_weight FROM kept WHERE overlap > 0.75""",
         "nested_effective": f"""WITH {_NESTED}
-SELECT f.frame_id, CAST(f.frame_id % 8 AS INTEGER) AS num_all,
+SELECT f.frame_id, CAST(f.frame_id % 21 AS INTEGER) AS num_all,
   CASE WHEN f.device_id % 4 <> 0 THEN CAST(count(e.pos) FILTER (WHERE overlap > 0.75) AS INTEGER) END AS num_filtered,
   CAST(count(e.pos) AS INTEGER) AS num_effective, max(score) AS max_score
 FROM frames f LEFT JOIN effective e ON e.frame_id = f.frame_id GROUP BY f.frame_id, f.device_id""",
@@ -373,9 +377,18 @@ SELECT session, (ts // {_WINDOW} * {_WINDOW}) || '_' || (ts // {_WINDOW} * {_WIN
         "parquet_window_path": f"""WITH {_FRAMES}, g AS (SELECT DISTINCT session, ts // {_WINDOW} * {_WINDOW} AS window_start FROM frames)
 SELECT session, window_start, 'gs://frame-archive/health/' || session || '/parquet/' || window_start || '_'
   || (window_start + {_WINDOW}) || '.parquet' AS path FROM g""",
-        "frame_manifest": f"""WITH {_NESTED}, places AS (
-  SELECT frame_id, count(*) AS n FROM (SELECT DISTINCT frame_id, ymin, xmin, ymax, xmax FROM drawn) GROUP BY frame_id)
-SELECT f.frame_id, session, {_FRAME_PATH} AS outpath, CAST(coalesce(n, 0) AS INTEGER) AS n_places
+        "frame_manifest": f"""WITH {_NESTED}, d AS (
+  SELECT n.*, coalesce(name, 'N/A') || ': ' || CAST(trunc(100 * score) AS INTEGER) || '%' AS label,
+    min(pos) OVER p AS first_pos, max(pos) OVER p AS last_pos
+  FROM drawn n LEFT JOIN cats c ON c.class = n.class
+  WINDOW p AS (PARTITION BY frame_id, ymin, xmin, ymax, xmax)),
+places AS (
+  SELECT frame_id, CAST(count(DISTINCT first_pos) AS INTEGER) AS n_places,
+    string_agg(label, ';' ORDER BY first_pos, pos) AS labels,
+    string_agg(CASE WHEN pos = last_pos THEN {_COLOR7.replace('class', 'd.class')} END, ';' ORDER BY first_pos) AS colors
+  FROM d GROUP BY frame_id)
+SELECT f.frame_id, session, {_FRAME_PATH} AS outpath, coalesce(n_places, 0) AS n_places, coalesce(labels, '') AS labels,
+  coalesce(colors, '') AS colors
 FROM frames f LEFT JOIN places p ON p.frame_id = f.frame_id WHERE f.frame_id % 89 <> 0""",
         "frame_errors": f"WITH {_FRAMES} SELECT frame_id, session, ts FROM frames WHERE frame_id % 89 = 0",
         "render_manifest": f"""WITH {_SESSIONS}, per_session AS (

@@ -139,6 +139,9 @@ def conform_good(spark: SparkSession, sf_dir: str) -> DataFrame:
         "device_id",
         "num_detections",
         F.concat_ws(",", F.col("detection_classes").cast("array<string>")).alias("classes"),
+        F.array_join(
+            F.transform("boxes_xmax", lambda x: F.round(1000 * x.cast("double"), 0).cast("int").cast("string")), ","
+        ).alias("right_edges"),
     )
 
 
@@ -549,7 +552,14 @@ def _overlays(spark, sf_dir):
 
 def frame_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     plans, _ = _overlays(spark, sf_dir)
-    return plans.select("frame_id", "session", "outpath", F.size("overlay").alias("n_places"))
+    return plans.select(
+        "frame_id",
+        "session",
+        "outpath",
+        F.size("overlay").alias("n_places"),
+        F.array_join(F.flatten("overlay.labels"), ";").alias("labels"),
+        F.array_join("overlay.color", ";").alias("colors"),
+    )
 
 
 def frame_errors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -97,27 +97,34 @@ def calibrated_detections(spark: SparkSession, sf_dir: str, *carry: str) -> Data
 
 
 def nested_frames(spark: SparkSession, sf_dir: str, *, datesegment: bool = False) -> DataFrame:
-    """Frames that carry up to seven detections each, worked out from the order's own keys."""
-    key, cust = F.col("frame_id"), F.col("user_id")
+    """Frames that carry up to twenty detections each, made of the numbers of a vector; two share a place."""
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    rows = frames(spark, sf_dir, device=True, datesegment=datesegment)
+    rows = rows.withColumn("vec_id", F.col("frame_id") % vectors.count()).join(vectors, "vec_id", "left")
+
+    def number(k):
+        return F.abs(F.get("embedding", k.cast("int")).cast("double"))
+
+    def share(x):
+        return x - F.floor(x)
 
     def detection(i):
-        pair = F.floor(i / 2)
-        ymin = ((key + pair * 3) % 10) / F.lit(20.0)
-        xmin = ((cust + pair * 7) % 10) / F.lit(20.0)
+        corner = F.floor((i - 1) / 2) * 4
+        ymin, xmin, height, width = (share(number(corner + k)) / 2 for k in range(4))
         return F.struct(
             i.cast("int").alias("pos"),
-            ((key * 3 + cust + i * 5) % 7).cast("int").alias("class"),
-            (((key * 13 + cust * 7 + i * 17) % 100) / F.lit(100.0)).alias("score"),
+            (F.floor(number(i + 43) * 1000) % 7).cast("int").alias("class"),
+            share(number(i + 39) * 10).alias("score"),
             ymin.alias("ymin"),
             xmin.alias("xmin"),
-            (ymin + ((key + pair) % 50 + 1) / F.lit(100.0)).alias("ymax"),
-            (xmin + (pair + 1) / F.lit(10.0)).alias("xmax"),
+            (ymin + height).alias("ymax"),
+            (xmin + width).alias("xmax"),
         )
 
-    numbers = F.filter(F.sequence(F.lit(0).cast("bigint"), key % 8), lambda i: i > 0)
+    numbers = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("frame_id") % 21), lambda i: i > 0)
     # A generator of one element is worked out once, however often later steps use the array.
     once = F.explode(F.array(F.transform(numbers, detection)))
-    return frames(spark, sf_dir, device=True, datesegment=datesegment).withColumn("detections", once)
+    return rows.withColumn("detections", once).drop("vec_id", "embedding")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
