@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Bytes hashed at a time; a longer word makes a longer piece.
+#: Bytes hashed at a time.
 PIECE_BYTES = 1 << 20
 
 _BASE = 0x9E3779B97F4A7C15
@@ -59,24 +59,35 @@ def _piece_hashes(raw: np.ndarray) -> np.ndarray:
 
 
 def _cuts(raw: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Bounds of pieces that end behind white space."""
+    """Bounds of pieces: words and white space of at most ``PIECE_BYTES``, or one longer word."""
     start, n = 0, len(raw)
     while n - start > PIECE_BYTES:
-        end, look = start + PIECE_BYTES, PIECE_BYTES
-        found = np.flatnonzero(_SPACE[raw[start:end]])
-        while not len(found) and end < n:
-            piece = raw[end : end + look]
-            found = np.flatnonzero(_SPACE[piece]) + (end - start)
-            end += len(piece)
-        end = start + int(found[-1]) + 1 if len(found) else n
+        found = np.flatnonzero(_SPACE[raw[start : start + PIECE_BYTES]])
+        if len(found):
+            end = start + int(found[-1]) + 1
+        else:
+            end = start + PIECE_BYTES
+            while end < n and not len(found := np.flatnonzero(_SPACE[raw[end : end + PIECE_BYTES]])):
+                end += PIECE_BYTES
+            end = end + int(found[0]) if end < n else n
         yield start, end
         start = end
     yield start, n
 
 
+def _long_word_hash(raw: np.ndarray) -> np.ndarray:
+    """The hash of a word that is longer than a piece."""
+    up, _ = _powers_up_to(PIECE_BYTES)
+    total = 0
+    for at in range(0, len(raw), PIECE_BYTES):
+        part = _VALUES[raw[at : at + PIECE_BYTES]]
+        total += int(np.add.reduce(part * up[: len(part)])) * pow(_BASE, at, 1 << 64)
+    return mix(np.array([total & _MASK], dtype=np.uint64))
+
+
 def word_hashes(raw: np.ndarray) -> np.ndarray:
     """The hash of each word of one text, given as UTF-8 bytes."""
-    pieces = [_piece_hashes(raw[a:b]) for a, b in _cuts(raw)]
+    pieces = [(_piece_hashes if b - a <= PIECE_BYTES else _long_word_hash)(raw[a:b]) for a, b in _cuts(raw)]
     return pieces[0] if len(pieces) == 1 else np.concatenate(pieces)
 
 
@@ -131,6 +142,12 @@ def word_and_prefix_hashes(raw: np.ndarray, prefixes: tuple[int, ...]) -> np.nda
     """The distinct hashes of a text's words and of the first bytes of longer words, ``prefixes`` of them."""
     found = []
     for a, b in _cuts(raw):
+        if b - a > PIECE_BYTES:
+            found.append(_long_word_hash(raw[a:b]))
+            own = word_hashes(raw[a : a + max(prefixes) + 1])
+            begin = word_and_prefix_hashes(raw[a : a + max(prefixes) + 1], prefixes)
+            found.append(np.setdiff1d(begin, own))
+            continue
         piece = raw[a:b]
         solid = ~_SPACE[piece]
         edge = np.flatnonzero(np.diff(np.concatenate([[False], solid, [False]])))
