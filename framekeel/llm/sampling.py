@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import staged
+
 _CELLS = 1 << 30
 
 
@@ -14,9 +16,12 @@ def fold(doc_id: Column) -> Column:
 
 
 def letters(text: Column) -> Column:
-    """The text in lower case with a space for each run of other characters than letters and marks, and around it."""
-    plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{M}]+", " ")
-    return F.concat(F.lit(" "), F.trim(plain), F.lit(" "))
+    """The text in lower case with a space for each run of other characters than letters and marks, and around it.
+
+    A text without letters, or null, is two spaces.
+    """
+    plain = F.regexp_replace(F.lower(text), r"[^\p{L}\p{M}]+", " ")
+    return F.when(text.rlike(r"\p{L}"), F.concat(F.lit(" "), F.trim(plain), F.lit(" "))).otherwise("  ")
 
 
 def per_class(rows: DataFrame, label: str, by: Column, most: int) -> DataFrame:
@@ -27,7 +32,8 @@ def per_class(rows: DataFrame, label: str, by: Column, most: int) -> DataFrame:
     cells = rows.where(F.col(label).isNotNull()).withColumn("_hash", F.xxhash64(by, F.lit("sample")))
     cells = cells.withColumn("_cell", F.pmod("_hash", F.lit(_CELLS)))
     share = F.least(F.lit(1.0), F.lit(float(most)) / F.count(F.lit(1)))
-    limits = cells.groupBy(F.col(label).alias("_label")).agg(share.alias("_share"))
-    chosen = cells.join(F.broadcast(limits), F.col(label) == F.col("_label"))
+    # Written, so that Spark knows its size and broadcasts it while it is small.
+    limits = staged(cells.groupBy(F.col(label).alias("_label")).agg(share.alias("_share")), "class-limits")
+    chosen = cells.join(limits, F.col(label) == F.col("_label"))
     chosen = chosen.where(F.col("_cell") < F.col("_share") * _CELLS).drop("_label", "_share")
     return chosen.dropDuplicates([label, "_hash"]).drop("_hash")
