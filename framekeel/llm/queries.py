@@ -201,6 +201,29 @@ SQL = {
             ELSE quota // source_size * size + greatest(0, least(quota % source_size, place + size) - place)
             END::bigint AS taken
         FROM placed""",
+    "op9_ngram_jaccard": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ')
+                ELSE ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] END AS shingle
+            FROM w, unnest(range(1, greatest(len(ws) - 1, 2))) AS t(i) WHERE len(ws) > 0
+        ), n AS (
+            SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), l AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)
+        ), both_ways AS (
+            SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+        ), reach AS (
+            SELECT doc_id AS node, doc_id AS low FROM w
+            UNION SELECT e.b, r.low FROM reach r JOIN both_ways e ON e.a = r.node
+        )
+        SELECT w.doc_id, coalesce(any_value(n.n), 0)::bigint AS n_shingles, min(low) AS component_id
+        FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN reach ON reach.node = w.doc_id GROUP BY w.doc_id""",
     "op10_exact_dedup": r"""
         WITH d AS (
             SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents
