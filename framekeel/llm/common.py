@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,11 +19,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove, at the end, the tables that were ``staged`` inside and not ``kept``."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def staged(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     """``df`` written to the shared folder and read again, which cuts its lineage and fixes its rows."""
     spark = df.sparkSession
     path = fresh_dir(spark, f"llm-{name}")
     df.write.parquet(path)
+    # A kept table lives as long as what surrounds the innermost scope.
+    scopes = _scopes[:-1] if kept else _scopes
+    if scopes:
+        scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -42,11 +64,34 @@ def numbered(df: DataFrame, name: str = "row_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def keyed(docs: DataFrame, key: str | None, *columns: Column | str) -> DataFrame:
-    """``columns`` of ``docs`` with a ``row_id``: the column ``key`` if there is one, else a new number."""
-    if key is None:
-        return numbered(docs.select(*columns))
-    return docs.select(F.col(key).alias("row_id"), *columns)
+def row_key() -> Column:
+    """128 bits that rows share only if they agree in ``doc_id`` and ``text``."""
+    parts = (F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ("doc_id", "text"))
+    nulls = F.concat(*(F.col(c).isNull().cast("string") for c in ("doc_id", "text")))
+    return F.md5(F.concat_ws("\n", nulls, *parts).cast("binary"))
+
+
+def keyed(docs: DataFrame, *columns: Column | str, key: Column | None = None) -> DataFrame:
+    """``columns`` of ``docs`` with a new number, ``row_id``, and ``key``, null if there is none."""
+    return numbered(docs.select((F.lit(None).cast("string") if key is None else key).alias("key"), *columns))
+
+
+def as_often(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, as often as ``decided`` has their ``row_key`` (``key``, ``times``).
+
+    Of rows that agree in id and text the ``times`` add up, and the other columns are those of one of them.
+    """
+    times = decided.groupBy("key").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("rows"))
+    times = staged(times, "decided", kept=True)
+    key, number = unused(docs, "_key"), unused(docs, "_times")
+    rows = docs.withColumn(key, row_key())
+    if not times.where("rows > 1").isEmpty():
+        rows = rows.dropDuplicates([key])
+    chosen = times.where("times > 0").select(F.col("key").alias(key), F.col("times").cast("int").alias(number))
+    if chosen.where(F.col(number) > 1).isEmpty():
+        return rows.join(chosen, key, "left_semi").select(*columns_of(docs))
+    copies = F.explode(F.array_repeat(F.lit(1), F.col(number)))
+    return rows.join(chosen, key).select(*columns_of(docs), copies.alias(number)).select(*columns_of(docs))
 
 
 def text_of(column: str = "text") -> Column:

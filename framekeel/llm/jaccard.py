@@ -29,12 +29,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookups import per_key
 from . import texthash
-from .common import columns_of, keyed, numbered, staged, text_of, unused
+from .common import as_often, keyed, row_key, scratch, staged, text_of
 from .components import components
 
 WIDTH = 5
@@ -147,13 +147,14 @@ def _features(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 prefixes.append(hashes[rare_first[: prefix_size(n, percent)]].astype(np.int64) if n else hashes.astype(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             values = pa.array(np.concatenate(prefixes) if prefixes else np.empty(0, dtype=np.int64))
-            columns = [batch.column("row_id"), batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (sizes, one, two))]
+            columns = [*(batch.column(c) for c in ("row_id", "key", "doc_id")), *(pa.array(x, pa.int64()) for x in (sizes, one, two))]
             columns += [pa.array(signatures, pa.binary()), pa.ListArray.from_arrays(pa.array(offsets), values)]
-            names = ["row_id", "doc_id", "n", "id1", "id2", "signature", "prefix"]
+            names = ["row_id", "key", "doc_id", "n", "id1", "id2", "signature", "prefix"]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    schema = "row_id bigint, doc_id bigint, n bigint, id1 bigint, id2 bigint, signature binary, prefix array<bigint>"
-    return docs.select("row_id", "doc_id", "text").mapInArrow(featured, schema)
+    schema = "row_id bigint, key string, doc_id bigint, n bigint, id1 bigint, id2 bigint"
+    columns = docs.select("row_id", "key", "doc_id", "text")
+    return columns.mapInArrow(featured, schema + ", signature binary, prefix array<bigint>")
 
 
 SAME = ["n", "id1", "id2"]
@@ -290,13 +291,13 @@ def _filtered(x: _Members, y: _Members, i: np.ndarray, j: np.ndarray, percent: i
 # --- the join ------------------------------------------------------------------------------------
 
 
-def similar_classes(docs: DataFrame, key: str | None = None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: ``row_id``, ``doc_id``, ``n_shingles``, ``component`` and its least ``component_id``.
+def similar_classes(docs: DataFrame, key: Column | None = None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs``: ``row_id``, ``key``, ``doc_id``, ``n_shingles``, ``component`` and its least ``component_id``.
 
     ``component`` is a number that the rows of a component share; it is null for a row without words.
     """
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
-    texts = keyed(docs, key, doc_id, text_of().alias("text"))
+    texts = keyed(docs, doc_id, text_of().alias("text"), key=key)
     features = staged(_features(texts, width, percent), "features")
     least = F.min("doc_id").alias("least")
     classes = staged(per_key(features.where("n > 0"), SAME, F.min("row_id").alias("node"), least), "classes")
@@ -313,18 +314,18 @@ def similar_classes(docs: DataFrame, key: str | None = None, width: int = WIDTH,
     labelled = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = per_key(labelled, ["component"], F.min("least").alias("component_id"))
     named = labelled.join(lows, "component").select(*SAME, "component", "component_id")
-    rows = features.select("row_id", "doc_id", *SAME).join(staged(named, "named"), SAME, "left")
+    rows = features.select("row_id", "key", "doc_id", *SAME).join(staged(named, "named"), SAME, "left")
     own_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("row_id", "doc_id", F.col("n").alias("n_shingles"), "component", own_id.alias("component_id"))
+    return rows.select("row_id", "key", "doc_id", F.col("n").alias("n_shingles"), "component", own_id.alias("component_id"))
 
 
 def representative_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without those whose component has a row of lower ``doc_id``, null last."""
-    key = unused(docs, "_row")
-    rows = staged(numbered(docs, key), "rows")
-    found = staged(similar_classes(rows, key, width, percent), "similar")
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id"))
-    best = found.where("component IS NOT NULL").groupBy("component").agg(first.alias("first"))
-    kept = best.select(F.col("first.row_id").alias(key))
-    kept = kept.unionByName(found.where("component IS NULL").select(F.col("row_id").alias(key)))
-    return rows.join(kept, key, "left_semi").select(*columns_of(docs))
+    with scratch(docs.sparkSession):
+        found = staged(similar_classes(docs, row_key(), width, percent), "similar")
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id")).alias("first")
+        best = per_key(found.where("component IS NOT NULL"), ["component"], first)
+        best = best.select("component", F.col("first.row_id").alias("best"))
+        stays = F.col("component").isNull() | (F.col("best") == F.col("row_id"))
+        decided = found.join(best, "component", "left").select("key", stays.cast("int").alias("times"))
+        return as_often(docs, decided)

@@ -19,10 +19,10 @@ gives an empty result. The list of sources is sorted in one task; nothing else i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, columns_of, keyed, numbered, staged, text_of, unused
+from .common import WORD, as_often, keyed, row_key, scratch, staged, text_of
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -125,10 +125,10 @@ def laid_out(sizes: DataFrame, targets: DataFrame) -> DataFrame:
     return docs.withColumn("at", F.col("before") + F.col("inside"))
 
 
-def mix(docs: DataFrame, key: str | None = None, slots: int = SLOTS) -> DataFrame:
-    """Per row of ``docs``: ``row_id``, ``doc_id``, ``size``, its source's ``source_size`` and ``target``, ``taken``."""
+def mix(docs: DataFrame, key: Column | None = None, slots: int = SLOTS) -> DataFrame:
+    """Per row of ``docs``: ``row_id``, ``key``, ``doc_id``, ``size``, its source's ``source_size`` and ``target``, ``taken``."""
     size = F.regexp_count(text_of(), F.lit(WORD)).cast("bigint").alias("size")
-    sizes = staged(keyed(docs, key, "doc_id", "source", size), "sizes")
+    sizes = staged(keyed(docs, "doc_id", "source", size, key=key), "sizes")
     targets = staged(source_targets(sizes), "targets")
     plan = schedule(targets, slots)
     words = F.greatest(F.ceil(F.col("total") / slots), F.lit(1)).cast("bigint")
@@ -143,7 +143,7 @@ def mix(docs: DataFrame, key: str | None = None, slots: int = SLOTS) -> DataFram
     rows = rows.withColumn("first", F.col("again") * F.col("source_size") + F.col("at"))
     rows = rows.withColumn("last", F.least(F.col("first") + F.col("size"), quota) - 1)
     blocks = F.sequence(F.floor(F.col("first") / F.col("block_words")), F.floor(F.col("last") / F.col("block_words")))
-    columns = ["row_id", "doc_id", "size", "source_size", "target"]
+    columns = ["row_id", "key", "doc_id", "size", "source_size", "target"]
     pieces = rows.select(
         *columns, "source_no", "first", "last", F.explode_outer(F.when(F.col("again").isNotNull(), blocks)).alias("block")
     )
@@ -154,10 +154,6 @@ def mix(docs: DataFrame, key: str | None = None, slots: int = SLOTS) -> DataFram
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` as often as the mix takes them: its words by the document's, rounded half up."""
-    key = unused(docs, "_row")
-    rows = staged(numbered(docs, key), "rows")
-    taken = mix(rows, key).where("taken > 0")
-    copy = unused(docs, "_copy")
-    copies = F.floor(F.col("taken") / F.col("size") + 0.5)
-    times = taken.select(F.col("row_id").alias(key), F.explode(F.array_repeat(F.lit(1), copies.cast("int"))).alias(copy))
-    return rows.join(times, key).select(*columns_of(docs))
+    with scratch(docs.sparkSession):
+        times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0)
+        return as_often(docs, mix(docs, row_key()).select("key", times.alias("times")))

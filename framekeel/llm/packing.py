@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import keyed, staged, text_of
+from .common import numbered, staged, text_of
 
 LENGTH = 2048
 END_ID = 0
@@ -66,12 +66,12 @@ def token_ids(path: str, text: str) -> np.ndarray:
     return np.append(ids, np.uint32(END_ID)).astype("<u4")
 
 
-def pieces_of(docs: DataFrame, path: str, length: int = LENGTH, key: str | None = None, with_ids: bool = True):
+def pieces_of(docs: DataFrame, path: str, length: int = LENGTH, with_ids: bool = True) -> DataFrame:
     """One row per piece: ``number``, ``row_id``, ``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``, ``ids``.
 
     ``ids`` are the piece's ids as little-endian 32-bit numbers, null unless ``with_ids``.
     """
-    rows = keyed(docs, key, F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text"))
+    rows = numbered(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.lookups import per_key
-from .common import columns_of, keyed, numbered, staged, text_of, unused
+from .common import as_often, keyed, row_key, scratch, staged, text_of
 
 MIN_CHUNK = 256
 MAX_CHUNK = 4096
@@ -43,8 +43,8 @@ def chunks(text: Column, least: int = MIN_CHUNK, most: int = MAX_CHUNK) -> Colum
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def _cut(docs: DataFrame, key: str | None, hash_chunk: Callable[[Column], Column]) -> DataFrame:
-    cut = keyed(docs, key, "doc_id", normalised(text_of()).alias("text"))
+def _cut(docs: DataFrame, hash_chunk: Callable[[Column], Column]) -> DataFrame:
+    cut = docs.withColumn("text", normalised(text_of()))
     cut = cut.withColumn("chunks", chunks(F.col("text")))
     cut = cut.withColumn("hashes", F.transform("chunks", lambda c: hash_chunk(c)))
     return cut.withColumn("recipe_hash", F.xxhash64("hashes"))
@@ -60,20 +60,19 @@ def _colliding(contents: DataFrame) -> DataFrame:
 
 
 def recipes(
-    docs: DataFrame, key: str | None = None, hash_chunk: Callable[[Column], Column] = F.xxhash64
+    docs: DataFrame, key: Column | None = None, hash_chunk: Callable[[Column], Column] = F.xxhash64
 ) -> DataFrame:
-    """``row_id``, ``doc_id``, ``text_sha256``, ``n_chars`` and the verified recipe of every row.
+    """``row_id``, ``key``, ``doc_id``, ``text_sha256``, ``n_chars`` and the verified recipe of every row.
 
     The recipe is ``hashes`` with ``numbers``, which holds the places whose chunk has a number above zero.
     """
     sha = F.sha2("text", 256).alias("text_sha256")
     n_chars = F.length("text").cast("bigint").alias("n_chars")
-    rows = staged(
-        _cut(docs, key, hash_chunk).select("row_id", "doc_id", sha, n_chars, "hashes", "recipe_hash"), "recipes"
-    )
+    cut = _cut(keyed(docs, "doc_id", "text", key=key), hash_chunk)
+    rows = staged(cut.select("row_id", "key", "doc_id", sha, n_chars, "hashes", "recipe_hash"), "recipes")
     # Only documents that share all hashes can be equal; their chunks are verified on content.
     shared = rows.groupBy("recipe_hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("recipe_hash")
-    rivals = _cut(docs, key, hash_chunk).join(staged(shared, "shared-recipes"), "recipe_hash", "left_semi")
+    rivals = _cut(docs.select("text"), hash_chunk).join(staged(shared, "shared-recipes"), "recipe_hash", "left_semi")
     contents = rivals.select(F.explode("chunks").alias("chunk")).select(hash_chunk(F.col("chunk")).alias("hash"), "chunk")
     colliding = staged(_colliding(contents), "colliding")
     if colliding.isEmpty():
@@ -89,7 +88,7 @@ def recipes(
 
 
 def deduplicate(
-    docs: DataFrame, key: str | None = None, hash_chunk: Callable[[Column], Column] = F.xxhash64
+    docs: DataFrame, key: Column | None = None, hash_chunk: Callable[[Column], Column] = F.xxhash64
 ) -> DataFrame:
     """Per row of ``docs``: its group's size and the ``doc_id`` that stays, whether the row stays, and its digest."""
     rows = staged(recipes(docs, key, hash_chunk), "verified")
@@ -98,6 +97,7 @@ def deduplicate(
     groups = per_key(rows, same, first, F.count(F.lit(1)).alias("group_size"))
     return rows.join(groups, same).select(
         "row_id",
+        "key",
         "doc_id",
         F.col("first.doc_id").alias("keep_id"),
         "group_size",
@@ -108,7 +108,6 @@ def deduplicate(
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    key = unused(docs, "_row")
-    rows = staged(numbered(docs, key), "rows")
-    kept = deduplicate(rows, key).where("kept").select(F.col("row_id").alias(key))
-    return rows.join(kept, key, "left_semi").select(*columns_of(docs))
+    with scratch(docs.sparkSession):
+        decided = deduplicate(docs, row_key()).select("key", F.col("kept").cast("int").alias("times"))
+        return as_often(docs, decided)

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keyed, staged, text_of
+from .common import numbered, staged, text_of
 
 #: Kinds in the order in which spans of one start are listed.
 STRONG = {
@@ -68,9 +68,9 @@ def _found(kind: str, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.filter(rows, lambda x: x["size"].isNotNull())).otherwise(empty)
 
 
-def _parts(docs: DataFrame, key: str | None) -> DataFrame:
+def _parts(docs: DataFrame) -> DataFrame:
     """One row per match, with its bounds; a document without any has one row without kind."""
-    rows = keyed(docs, key, "doc_id", text_of().alias("text"))
+    rows = numbered(docs.select("doc_id", text_of().alias("text")))
     found = F.concat(*(_found(kind, pattern) for kind, pattern in {**STRONG, **WEAK}.items()))
     rows = rows.select("row_id", "doc_id", F.explode_outer(found).alias("part"))
     rows = staged(rows.select("row_id", "doc_id", "part.*"), "parts")
@@ -125,9 +125,9 @@ def _linked(parts: DataFrame, reach: int) -> DataFrame:
     return links.where(complete).select(parts.columns[:-2])
 
 
-def find_secrets(docs: DataFrame, key: str | None = None, reach: int = REACH) -> DataFrame:
+def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:
     """``row_id``, ``doc_id`` and ``spans`` (start, kind_no, kind, end, strong) in order, of every row."""
-    parts = staged(_parts(docs, key), "spans")
+    parts = staged(_parts(docs), "spans")
     clear = staged(_clear(parts.where("kind IS NOT NULL")), "clear-spans")
     spans = clear.where("strong").unionByName(_linked(clear, reach))
     span = F.struct("start", "kind_no", "kind", "end", "strong")
