@@ -29,19 +29,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import texthash
-from .common import staged
+from .common import columns_of, scratch, staged
 from .sampling import fold, letters
 
 #: Labelled texts to learn from, of each class, at most.
 TOXIC, CLEAN = 4000, 6000
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7)
 SKETCHES = 2
 #: Features that are kept at most, and how surely none of all tried ones is there by chance.
 FEATURES = 1 << 14
 CHANCE = 0.01
 #: Weight of the penalty on score changes, and of the one on the weights' squares.
 COUNTERFACTUAL, RIDGE = 10.0, 0.02
-STEPS = 400
+STEPS = 1500
+#: Features that are counted together in a task.
+TOGETHER = 1 << 20
 THRESHOLD = 0.3
 # Words for groups of people that swap with each other, and a neutral word.
 IDENTITY_TERMS = [
@@ -105,16 +107,15 @@ class Model:
 
     def score(self, found: np.ndarray) -> float:
         if not len(self.hashes):
-            logit = self.bias
-        else:
-            at = np.searchsorted(self.hashes, found)
-            at[at == len(self.hashes)] = 0
-            hit = self.hashes[at] == found
-            logit = self.bias + self.weights[at[hit]].sum()
+            return 0.0
+        at = np.searchsorted(self.hashes, found)
+        at[at == len(self.hashes)] = 0
+        hit = self.hashes[at] == found
+        logit = self.bias + self.weights[at[hit]].sum()
         return float(1 / (1 + np.exp(-np.clip(logit, -700, 700))))
 
 
-NEVER = Model(np.empty(0, dtype=np.uint64), np.empty(0), -1000.0)
+NEVER = Model(np.empty(0, dtype=np.uint64), np.empty(0), 0.0)
 
 
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -150,15 +151,25 @@ def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def _significant(sample: DataFrame, toxic: int, clean: int) -> np.ndarray:
     """The hashes of the features that go with toxic texts, most surely ones first, at most ``FEATURES``."""
 
+    def summed(sets: list[np.ndarray], marks: list[int]) -> pa.RecordBatch:
+        own = np.concatenate([np.empty(0, dtype=np.uint64), *sets])
+        found, at = np.unique(own, return_inverse=True)
+        weights = np.repeat(np.array(marks, dtype=np.int64), [len(x) for x in sets])
+        toxic_of = np.bincount(at, weights=weights, minlength=len(found)).astype(np.int64)
+        columns = [found.astype(np.int64), toxic_of, np.bincount(at, minlength=len(found)).astype(np.int64)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["feature", "toxic", "seen"])
+
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets, marks, held = [], [], 0
         for batch in batches:
-            sets = [features(raw) for raw in texthash.raw_texts(batch.column("plain"))]
-            own = np.concatenate([np.empty(0, dtype=np.uint64), *sets])
-            label = np.repeat(batch.column("label").to_numpy(zero_copy_only=False), [len(s) for s in sets])
-            found, at = np.unique(own, return_inverse=True)
-            toxic_of = np.bincount(at, weights=label == 1, minlength=len(found)).astype(np.int64)
-            columns = [found.astype(np.int64), toxic_of, np.bincount(at, minlength=len(found)).astype(np.int64)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["feature", "toxic", "seen"])
+            for raw, label in zip(texthash.raw_texts(batch.column("plain")), batch.column("label").to_pylist()):
+                sets.append(features(raw))
+                marks.append(label)
+                held += len(sets[-1])
+                if held > TOGETHER:
+                    yield summed(sets, marks)
+                    sets, marks, held = [], [], 0
+        yield summed(sets, marks)
 
     counts = sample.select("label", "plain").mapInArrow(counted, "feature bigint, toxic bigint, seen bigint")
     counts = counts.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("seen").alias("seen"))
@@ -212,43 +223,48 @@ def fit(rows: list, n_features: int, prior_shift: float) -> tuple[np.ndarray, fl
     swap_at = np.array([i for lost, brought in swaps for i in (*lost, *brought)], dtype=np.int64)
     swap_sign = np.array([s for lost, brought in swaps for s in (*(-1.0 for _ in lost), *(1.0 for _ in brought))])
     swap_row = np.repeat(np.arange(len(swaps)), [len(a) + len(b) for a, b in swaps])
-    weights, bias = np.zeros(n_features), 0.0
-    # Features that many texts have take smaller steps, as their loss is the more curved.
-    curve = np.bincount(at, minlength=n_features) / 4 / len(rows) + RIDGE / len(rows)
-    if len(swaps):
-        curve += COUNTERFACTUAL * np.bincount(swap_at, minlength=n_features) / len(swaps)
-    speed, bias_speed = np.zeros(n_features), 0.0
-    widest = max(1, max((len(x) for x in own), default=1))
-    for _ in range(STEPS):
-        logit = bias + np.bincount(text, weights=weights[at], minlength=len(rows))
+    # A step of one over this bound, feature by feature, cannot overshoot: each text or swap counts for a feature
+    # with the number of features it holds.
+    held = np.array([len(x) + 1 for x in own])
+    curve = np.bincount(at, weights=held[text] / 4 / len(rows), minlength=n_features) + RIDGE / len(rows)
+    if swaps:
+        moved = np.bincount(swap_row, minlength=len(swaps))
+        curve += np.bincount(swap_at, weights=2 * COUNTERFACTUAL * moved[swap_row] / len(swaps), minlength=n_features)
+    bias_curve = held.sum() / 4 / len(rows)
+    weights = ahead = np.zeros(n_features)
+    bias = bias_ahead = 0.0
+    for step in range(STEPS):
+        logit = bias_ahead + np.bincount(text, weights=ahead[at], minlength=len(rows))
         error = (1 / (1 + np.exp(-np.clip(logit, -700, 700))) - label) / len(rows)
-        slope = np.bincount(at, weights=error[text], minlength=n_features) + RIDGE * weights / len(rows)
-        if len(swaps):
-            change = np.bincount(swap_row, weights=swap_sign * weights[swap_at], minlength=len(swaps))
+        slope = np.bincount(at, weights=error[text], minlength=n_features) + RIDGE * ahead / len(rows)
+        if swaps:
+            change = np.bincount(swap_row, weights=swap_sign * ahead[swap_at], minlength=len(swaps))
             push = 2 * COUNTERFACTUAL * change / len(swaps)
             slope += np.bincount(swap_at, weights=swap_sign * push[swap_row], minlength=n_features)
-        speed = 0.9 * speed - slope / (curve * min(widest, 32))
-        weights = weights + speed
-        bias_speed = 0.9 * bias_speed - error.sum()
-        bias += bias_speed
+        before, bias_before = weights, bias
+        weights, bias = ahead - slope / curve, bias_ahead - error.sum() / bias_curve
+        # Nesterov's look ahead.
+        reach = step / (step + 3)
+        ahead, bias_ahead = weights + reach * (weights - before), bias + reach * (bias - bias_before)
     return weights, bias + prior_shift
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """A model of the labelled rows that are not held out."""
-    known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~fold(F.col("doc_id")))
-    everywhere = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
-    sample = _sample(docs, labels)
-    sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
-    if not sizes.get(1):
-        return NEVER
-    terms = np.concatenate([features(t) for t in (*IDENTITY_TERMS, NEUTRAL)])
-    hashes = np.union1d(_significant(sample, sizes[1], sizes.get(0, 0)), terms)
-    rows = _rows(sample, hashes)
-    real = np.log(everywhere[1] / max(everywhere.get(0, 0), 0.5))
-    drawn = np.log(sizes[1] / max(sizes.get(0, 0), 0.5))
-    weights, bias = fit(rows, len(hashes), real - drawn)
-    return Model(hashes, weights, float(bias))
+    with scratch(docs.sparkSession):
+        known = labels.where("doc_id IS NOT NULL AND toxic IN (0, 1)").where(~fold(F.col("doc_id")))
+        everywhere = {r.toxic: r["count"] for r in known.groupBy("toxic").count().collect()}
+        sample = _sample(docs, labels)
+        sizes = {r.label: r["count"] for r in sample.groupBy("label").count().collect()}
+        if not sizes.get(1):
+            return NEVER
+        terms = np.concatenate([features(t) for t in (*IDENTITY_TERMS, NEUTRAL)])
+        hashes = np.union1d(_significant(sample, sizes[1], sizes.get(0, 0)), terms)
+        rows = _rows(sample, hashes)
+        real = np.log(everywhere[1] / max(everywhere.get(0, 0), 0.5))
+        drawn = np.log(sizes[1] / max(sizes.get(0, 0), 0.5))
+        weights, bias = fit(rows, len(hashes), real - drawn)
+        return Model(hashes, weights, float(bias))
 
 
 def score(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
@@ -281,10 +297,12 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = [shared.value.score(features(raw)) < THRESHOLD for raw in texthash.raw_texts(batch.column(plain))]
-            yield batch.drop_columns([plain]).filter(pa.array(keep, pa.bool_()))
-
-    plain = "_plain"
-    while plain in docs.columns:
-        plain += "_"
-    return docs.withColumn(plain, letters(F.col("text"))).mapInArrow(passing, docs.schema)
+            texts = texthash.raw_texts(batch.column(batch.num_columns - 1))
+            keep = [shared.value.score(features(raw)) < THRESHOLD for raw in texts]
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], batch.schema.names[:-1]).filter(pa.array(keep, pa.bool_()))
+
+    # By number, as columns may have any names.
+    names = [f"_{k}" for k in range(len(docs.columns))]
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema))
+    plain = docs.select(*columns_of(docs), letters(F.col("text"))).toDF(*names, "plain")
+    return plain.mapInArrow(passing, schema).toDF(*docs.columns)
