@@ -58,6 +58,26 @@ def read_archive(spark: SparkSession, base_path: str, fmt: str = "parquet") -> D
     return spark.read.format(fmt).load(base_path)
 
 
+def compact_closed(spark: SparkSession, base_path: str, target: str, closed_before: int) -> None:
+    """Write the windows of a frame job's archive that ended by ``closed_before`` (epoch seconds) to ``target``.
+
+    The job writes a file per micro-batch, task and window; here a window has one file, unless it is too
+    big for a task. Run again with a later time, it replaces the windows it writes and leaves others.
+    """
+    stored = read_archive(spark, base_path)
+    end = F.substring_index("window", "_", -1).try_cast("bigint")
+    (
+        stored.where(end <= closed_before)
+        .drop("batch_id")
+        .hint("rebalance", F.col("window"))
+        .sortWithinPartitions("window", "session", "event_time")
+        .write.partitionBy("window")
+        .option("partitionOverwriteMode", "dynamic")
+        .mode("overwrite")
+        .parquet(target)
+    )
+
+
 def archived_paths(spark: SparkSession, base_path: str, *keys: str, fmt: str = "parquet") -> DataFrame:
     """What was written: each folder of the archive, by its path below ``base_path``, with its rows.
 

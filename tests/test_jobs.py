@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from framekeel.config import HealthJobConfig, RenderJobConfig
 from framekeel.plans import render
+from framekeel.sources.archive import compact_closed
 from framekeel.sources.messages import read_messages
 from framekeel.streaming import jobs
 
@@ -62,6 +63,12 @@ def test_frames_to_alerts(spark, tmp_path):
     done = [p["observedMetrics"]["predict"] for p in map(as_dict, annotated.recentProgress) if p.get("observedMetrics")]
     assert sum(m["count"] for m in done) >= 1
 
+    for closed_before in (70, 120):
+        compact_closed(spark, f"{out}/archive", f"{out}/closed", closed_before)
+    closed = [f.parent.name for f in (tmp_path / "out/closed").rglob("*.parquet")]
+    assert sorted(closed) == ["window=0_60", "window=60_120"]
+    assert spark.read.parquet(f"{out}/closed").where("image_data IS NOT NULL").count() == 4
+
     requests = str(tmp_path / "requests")
     jobs.request_renders(messages(), health, requests).awaitTermination()
     sent = [json.loads(r["value"]) for r in spark.read.parquet(requests).collect()]
