@@ -66,9 +66,10 @@ def numbered(df: DataFrame, name: str = "row_id") -> DataFrame:
 
 def row_key() -> Column:
     """128 bits that rows share only if they agree in ``doc_id`` and ``text``."""
-    parts = (F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ("doc_id", "text"))
-    nulls = F.concat(*(F.col(c).isNull().cast("string") for c in ("doc_id", "text")))
-    return F.md5(F.concat_ws("\n", nulls, *parts).cast("binary"))
+    doc_id, text = (F.col(c).cast("string") for c in ("doc_id", "text"))
+    # Lengths first, null as -1, so that no two pairs are spelled alike.
+    sizes = (F.coalesce(F.length(c), F.lit(-1)).cast("string") for c in (doc_id, text))
+    return F.md5(F.concat_ws("\n", *sizes, doc_id, text).cast("binary"))
 
 
 def keyed(docs: DataFrame, *columns: Column | str, key: Column | None = None) -> DataFrame:

@@ -144,7 +144,7 @@ def _features(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 one.append(a), two.append(b)
                 signatures.append(_signature(hashes))
                 rare_first = np.argsort(counts[hashes & mask], kind="stable")  # hashes ascend: ties go by hash
-                prefixes.append(hashes[rare_first[: prefix_size(n, percent)]].astype(np.int64) if n else hashes.astype(np.int64))
+                prefixes.append(hashes[rare_first[: prefix_size(n, percent) if n else 0]].astype(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefixes])]).astype(np.int32)
             values = pa.array(np.concatenate(prefixes) if prefixes else np.empty(0, dtype=np.int64))
             columns = [*(batch.column(c) for c in ("row_id", "key", "doc_id")), *(pa.array(x, pa.int64()) for x in (sizes, one, two))]
