@@ -77,18 +77,6 @@ TELEMETRY_EVENT = T.StructType(
     ]
 )
 
-# One row per detection.
-HEALTH_ROW = T.StructType(
-    [
-        T.StructField("ts", T.LongType()),
-        T.StructField("session", T.StringType()),
-        T.StructField("health_score", T.DoubleType()),
-        T.StructField("health_weight", T.DoubleType()),
-        T.StructField("detection_class", T.IntegerType()),
-        T.StructField("detection_score", T.DoubleType()),
-    ]
-)
-
 # Raw model output for one image, batch dimension already removed.
 MODEL_OUTPUT = T.StructType(
     [

@@ -3,7 +3,6 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from framekeel.functions import BoxCols
 from framekeel.operators import exploded, nested
 from framekeel.operators.overlay import frame_overlays
 from framekeel.schemas import DETECTIONS

@@ -1,4 +1,4 @@
-from datetime import datetime, timedelta, timezone
+from datetime import timezone
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
