@@ -45,6 +45,21 @@ def _checked(
     return cast, F.filter(F.array(*problems), lambda p: p.isNotNull())
 
 
+def checked(
+    df: DataFrame,
+    schema: T.StructType,
+    *,
+    lists: Iterable[str] = TELEMETRY_LISTS,
+    count: str = "num_detections",
+) -> DataFrame:
+    """All rows with ``record``, the row in ``schema``, and ``problems``, the features that do not fit.
+
+    For jobs that write good rows and rejects from one pass.
+    """
+    cast, problems = _checked(df, schema, lists, count)
+    return df.select("*", F.struct(*cast).alias("record"), problems.alias("problems"))
+
+
 def conform(
     df: DataFrame,
     schema: T.StructType,
@@ -58,7 +73,7 @@ def conform(
     is one of ``lists`` and its length differs from ``count``. Columns outside the schema are left
     out of the good rows. Rejects keep the row as it came and gain ``feature``, one row for each.
     """
-    cast, problems = _checked(df, schema, lists, count)
-    good = df.where(F.size(problems) == 0).select(*cast)
-    rejects = df.select("*", F.explode(problems).alias("feature"))
+    rows = checked(df, schema, lists=lists, count=count)
+    good = rows.where(F.size("problems") == 0).select("record.*")
+    rejects = rows.select(*df.columns, F.explode("problems").alias("feature"))
     return good, rejects

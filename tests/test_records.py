@@ -5,7 +5,7 @@ from pyspark.sql import types as T
 from pyspark.testing import assertSchemaEqual
 
 from framekeel.operators import metrics, nested
-from framekeel.operators.conform import conform
+from framekeel.operators.conform import checked, conform
 from framekeel.operators.scoring import score_frames
 from framekeel.plans import render
 from framekeel.schemas import MONITORING_IMAGE, TELEMETRY_EVENT, VIDEO_RENDER_REQUEST
@@ -45,6 +45,8 @@ def test_rejects_name_the_feature(spark):
         ("ts", "ts"),
     ]
     assert "why" not in good.columns
+    every = {r["why"]: (r["record"]["ts"], r["problems"]) for r in checked(rows, SMALL, lists=["scores"], count="n").collect()}
+    assert len(every) == 7 and every["kept"] == (1, []) and every["count"] == (5, ["n", "scores"])
 
 
 def test_conform_gives_the_schema(spark):
