@@ -141,7 +141,8 @@ def _features(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 n = len(hashes)
                 sizes.append(n)
                 a, b = _identity(hashes)
-                one.append(a), two.append(b)
+                one.append(a)
+                two.append(b)
                 signatures.append(_signature(hashes))
                 rare_first = np.argsort(counts[hashes & mask], kind="stable")  # hashes ascend: ties go by hash
                 prefixes.append(hashes[rare_first[: prefix_size(n, percent) if n else 0]].astype(np.int64))

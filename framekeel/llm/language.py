@@ -71,8 +71,8 @@ def _pieces(raw: np.ndarray) -> Iterator[np.ndarray]:
 def counts(raw: np.ndarray) -> np.ndarray:
     """How often each bucket occurs in one text."""
     total = np.zeros(BUCKETS, dtype=np.int64)
-    for start, piece in ((k * PIECE, p) for k, p in enumerate(_pieces(raw))):
-        last = start + PIECE >= len(raw) - max(ORDERS) + 1
+    for k, piece in enumerate(_pieces(raw)):
+        last = (k + 1) * PIECE >= len(raw) - max(ORDERS) + 1
         for buckets, inside in gram_buckets(piece):
             own = slice(None) if last else slice(0, PIECE)
             total += np.bincount(buckets[own][inside[own]], minlength=BUCKETS)
@@ -194,17 +194,17 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
         for batch in batches:
             names, scores, accepted = [], [], []
             for raw in texthash.raw_texts(batch.column("text")):
-                if len(raw) <= 2:
-                    names.append(UNKNOWN), scores.append(0.0), accepted.append(False)
-                    continue
-                found = own.probabilities(raw)
-                best = int(found.argmax())
-                names.append(own.languages[best])
-                scores.append(float(found[best]))
-                accepted.append(bool(found[best] >= own.threshold))
+                name, score = UNKNOWN, 0.0
+                if len(raw) > 2:
+                    found = own.probabilities(raw)
+                    best = int(found.argmax())
+                    name, score = own.languages[best], float(found[best])
+                names.append(name)
+                scores.append(score)
+                accepted.append(name != UNKNOWN and score >= own.threshold)
             columns = [pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(accepted, pa.bool_())]
-            names = ["doc_id", "held_out", "lang_pred", "score", "accepted"]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("held_out"), *columns], names)
+            columns = [batch.column("doc_id"), batch.column("held_out"), *columns]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "lang_pred", "score", "accepted"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(

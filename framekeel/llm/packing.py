@@ -75,19 +75,18 @@ def pieces_of(docs: DataFrame, path: str, length: int = LENGTH, with_ids: bool =
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            source, piece, start, sizes, sums, kept = [], [], [], [], [], []
-            for k, text in enumerate(batch.column("text")):
+            cuts = []
+            for row, text in enumerate(batch.column("text")):
                 ids = token_ids(path, text.as_py())
                 first = len(ids) % length or length
                 bounds = [0, *range(first, len(ids) + 1, length)]
-                for n, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                    raw = ids[a:b].tobytes()
-                    source.append(k), piece.append(n), start.append(a), sizes.append(b - a)
-                    sums.append(zlib.crc32(raw))
-                    kept.append(raw if with_ids else None)
-            own = pa.array(source, pa.int64())
+                for piece, (start, end) in enumerate(zip(bounds, bounds[1:])):
+                    raw = ids[start:end].tobytes()
+                    cuts.append((row, piece, start, end - start, zlib.crc32(raw), raw if with_ids else None))
+            row, piece, start, size, checksum, kept = zip(*cuts) if cuts else [()] * 6
+            own = pa.array(row, pa.int64())
             columns = [batch.column(c).take(own) for c in ("row_id", "doc_id")]
-            columns += [pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, sizes, sums))]
+            columns += [pa.array(piece, pa.int32()), *(pa.array(x, pa.int64()) for x in (start, size, checksum))]
             names = ["row_id", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary())], names)
 
@@ -183,18 +182,22 @@ def trade(lengths: np.ndarray, bins: list[list[int]], capacity: int, rounds: int
                 gained = True
                 space = capacity - fill[b]
             if space:
-                gained |= _two_for_one(size, bins, fill, home, b, loose, capacity, give)
+                swap = _two_for_one(size, bins, fill, b, loose, space)
+                for item, to in swap:
+                    give(item, to)
+                gained |= bool(swap)
         if not gained:
             break
     return [items for items in bins if items]
 
 
-def _two_for_one(size, bins, fill, home, b, loose, capacity, give) -> bool:
-    """Swap one item of ``b`` for two of the emptiest other bin that fill more of it."""
+def _two_for_one(
+    size: list[int], bins: list[list[int]], fill: list[int], b: int, loose: list[int], space: int
+) -> list[tuple[int, int]]:
+    """The moves that swap one item of ``b`` for two of the emptiest other bin that fill more of it."""
     source = next((s for s in reversed(loose) if bins[s] and s != b and fill[s] < fill[b]), None)
     if source is None or len(bins[source]) < 2:
-        return False
-    space = capacity - fill[b]
+        return []
     pairs = sorted(bins[source], key=lambda i: (size[i], i))
     best = None
     for own in bins[b]:
@@ -208,10 +211,9 @@ def _two_for_one(size, bins, fill, home, b, loose, capacity, give) -> bool:
                     best = gain, own, pairs[low], pairs[high]
                 low += 1
     if best is None:
-        return False
+        return []
     _, own, one, two = best
-    give(one, b), give(two, b), give(own, source)
-    return True
+    return [(one, b), (two, b), (own, source)]
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
