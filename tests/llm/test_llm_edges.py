@@ -402,6 +402,18 @@ def test_packing_of_odd_texts(odd_docs, no_docs):
     assert max(fill.values()) <= packing.LENGTH
 
 
+def test_ids_agree_with_tokenizers():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    texts = ["", " ", "a" * 5000, " " * 3000 + "é<|endoftext|>", "\n\n\t  x\r\n", "😀👩\u200d👧 漢字\u3000かな", "it's we'll I'M"]
+    texts += ["\x00\x01\ufeff", "١٢٣ ½ Ⅷ", "a\u0301e\u0301", "  lead", "tail  ", "\xa0\u2003x", "x\x85y \u2028 z"]
+    for text in texts:
+        expected = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        assert packing.token_ids(tokenizer_path(), text).tolist() == expected
+
+
 def test_trades_never_lose_and_never_need_more():
     rng = np.random.default_rng(2)
     for mean in (200, 600, 900):
