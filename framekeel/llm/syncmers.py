@@ -7,7 +7,7 @@ passage share its anchors, wherever it stands. The fingerprint lists all kept an
 hashes in hexadecimal; ``anchors`` has them with their places, for positional matching.
 
 The likeness of two fingerprints is twice the number of anchors that both have over the sum of the numbers of
-anchors they have, counting distinct ones. Texts of fewer than ``K`` units have one anchor of all their units. A
+anchors they have; an anchor that comes several times counts as often as both have it. Texts of fewer than ``K`` units have one anchor of all their units. A
 text without units has an empty fingerprint; two such are alike (1), one and another are not (0).
 
 The next document is found without gathering ids. Documents are dealt to buckets of neighbouring ids, whose bounds
@@ -73,15 +73,27 @@ def fingerprint(anchors: Column) -> Column:
     return F.array_join(F.transform(anchors, lambda a: F.lpad(F.lower(F.hex(a["hash"])), 8, "0")), "")
 
 
-def distinct_hashes(anchors: Column) -> Column:
-    return F.array_distinct(F.transform(anchors, lambda a: a["hash"]))
+def hashes_of(anchors: Column) -> Column:
+    return F.transform(anchors, lambda a: a["hash"])
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Of two lists of distinct hashes: 0 to 1."""
+    """Of two lists of hashes: 0 to 1."""
     both = F.size(a) + F.size(b)
-    shared = F.size(F.array_intersect(a, b))
-    return F.when(both > 0, 2.0 * shared / both).otherwise(1.0)
+    # In order, with the side as the last bit, equal hashes are neighbours and one pass counts what is unmatched.
+    sided = F.concat(F.transform(a, lambda h: h * 2), F.transform(b, lambda h: h * 2 + 1))
+
+    def step(state: Column, x: Column) -> Column:
+        own, sign = F.shiftright(x, 1), 1 - 2 * (x % 2)
+        same = state["hash"] == own
+        surplus = F.when(same, state["surplus"] + sign).otherwise(sign)
+        unmatched = F.when(same, state["unmatched"]).otherwise(state["unmatched"] + F.abs(state["surplus"]))
+        return F.struct(own.alias("hash"), surplus.alias("surplus"), unmatched.alias("unmatched"))
+
+    zero = F.lit(0).cast("bigint")
+    start = F.struct(F.lit(-1).cast("bigint").alias("hash"), zero.alias("surplus"), zero.alias("unmatched"))
+    unmatched = F.aggregate(F.sort_array(sided), start, step, lambda s: s["unmatched"] + F.abs(s["surplus"]))
+    return F.when(both > 0, 1.0 - unmatched / both).otherwise(1.0)
 
 
 def _bounds(ids: DataFrame) -> list[int]:
@@ -144,8 +156,8 @@ def compare_edited(docs: DataFrame) -> DataFrame:
         F.sha2("edited", 256).alias("edited_sha256"),
         "anchors",
         "edited_anchors",
-        distinct_hashes(F.col("anchors")).alias("hashes"),
-        distinct_hashes(F.col("edited_anchors")).alias("edited_hashes"),
+        hashes_of(F.col("anchors")).alias("hashes"),
+        hashes_of(F.col("edited_anchors")).alias("edited_hashes"),
     )
     rows = rows.withColumn("next_hashes", F.lead("hashes").over(order)).where("NOT guest")
     return rows.select(

@@ -252,6 +252,18 @@ def test_anchors_move_with_a_passage(spark):
     assert {a.hash for a in one} <= {a.hash for a in two}
 
 
+def test_likeness_counts_repeats(spark):
+    from collections import Counter
+
+    rng = np.random.default_rng(8)
+    pairs = [([], []), ([1], []), ([1, 1, 1, 2], [1, 2, 2]), ([0xFFFFFFFF, 0], [0, 0xFFFFFFFF])]
+    pairs += [(rng.integers(0, 6, n).tolist(), rng.integers(0, 6, m).tolist()) for n, m in rng.integers(0, 30, (20, 2))]
+    rows = spark.createDataFrame(pairs, "a array<bigint>, b array<bigint>")
+    found = [r[0] for r in rows.select(syncmers.likeness(F.col("a"), F.col("b"))).collect()]
+    expected = [2 * (Counter(a) & Counter(b)).total() / (len(a) + len(b)) if a or b else 1.0 for a, b in pairs]
+    assert found == pytest.approx(expected)
+
+
 def test_fingerprints_of_odd_texts(odd_docs, no_docs):
     rows = syncmers.compare_edited(odd_docs).collect()
     assert len(rows) == odd_docs.count()
