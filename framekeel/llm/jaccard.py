@@ -10,12 +10,17 @@ The rare-first order comes from a table of counters that every n-gram of every d
 is at most ``MAX_COUNTERS`` bytes, so it can be broadcast; n-grams that share a counter only make the order less
 sharp, never the result wrong, since any order that all tasks share is right.
 
-What is wanted are components, so pairs inside one need no check. First each prefix n-gram's classes are compared
+``similar_classes`` wants components, so pairs inside one need no check. First each prefix n-gram's classes are compared
 with one of them, the hub, the class that shares most prefix n-grams: a family of copies of one original falls
 together there, in as many pairs as it has members. Then only n-grams whose classes are still in several components
 are taken up again, all their pairs across components, in blocks of about ``BLOCK`` classes against each other.
 No partner is capped, and no block holds more than two times ``BLOCK`` classes to speak of.
 
+``linked_documents`` is the join itself: how many classes and rows each row is linked with. Linked classes share a
+component, so it takes the components' whole sets, in blocks of about ``MEMBERS`` classes and ``MEMBER_GRAMS``
+n-grams, and lets each block meet itself and every other block of its component once. A meeting counts the shared
+n-grams of all its pairs in one product of matrices, so every pair is verified once, and no pair is written.
+
 A document with fewer words than an n-gram is one n-gram of all its words; one without words, or with a null text,
 has none and is linked with nothing. Repeated rows are of one class. A null ``doc_id`` is no component's least unless
 all are null. Other columns are not read. An empty table gives an empty result.
@@ -41,6 +46,8 @@ WIDTH = 5
 PERCENT = 80
 PARTS = 256
 BLOCK = 512
+#: Classes, and n-grams of them, in a block of a component whose links are counted; n-grams in a product of matrices.
+MEMBERS, MEMBER_GRAMS, PRODUCT = 1024, 1 << 18, 4096
 #: Code points of text for each counter, and the bounds of the table's size.
 CHARS_PER_COUNTER = 64
 MIN_COUNTERS, MAX_COUNTERS = 1 << 16, 1 << 26
@@ -161,8 +168,8 @@ def _features(docs: DataFrame, width: int, percent: int) -> DataFrame:
 SAME = ["n", "id1", "id2"]
 
 
-def _shingles(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """``node`` and its whole set as bytes, of the ``wanted`` classes, from their members' texts."""
+def _shingles(docs: DataFrame, wanted: DataFrame, width: int, *also: str) -> DataFrame:
+    """``node``, its columns ``also`` and its whole set as bytes, of the ``wanted`` classes, from their members' texts."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, hashes_of in _sets(batches, width):
@@ -175,7 +182,7 @@ def _shingles(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     ids = wanted.select(F.col("doc_id").alias("_doc")).distinct()
     texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi").select("doc_id", "text")
     found = texts.mapInArrow(sets, "_doc bigint, n bigint, id1 bigint, id2 bigint, shingles binary")
-    return found.join(wanted.select("node", *SAME), SAME).select("node", "shingles")
+    return found.join(wanted.select("node", *also, *SAME), SAME).select("node", *also, "shingles")
 
 
 # --- candidate pairs -----------------------------------------------------------------------------
@@ -292,11 +299,10 @@ def _filtered(x: _Members, y: _Members, i: np.ndarray, j: np.ndarray, percent: i
 # --- the join ------------------------------------------------------------------------------------
 
 
-def similar_classes(docs: DataFrame, key: Column | None = None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Per row of ``docs``: ``row_id``, ``key``, ``doc_id``, ``n_shingles``, ``component`` and its least ``component_id``.
-
-    ``component`` is a number that the rows of a component share; it is null for a row without words.
-    """
+def _classified(
+    docs: DataFrame, key: Column | None, width: int, percent: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The numbered texts, their features, and the classes with their ``component`` and least ``doc_id``."""
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
     texts = keyed(docs, doc_id, text_of().alias("text"), key=key)
     features = staged(_features(texts, width, percent), "features")
@@ -313,11 +319,127 @@ def similar_classes(docs: DataFrame, key: Column | None = None, width: int = WID
     links = links.unionByName(_linked(staged(rest, "cross-pairs"), nodes, texts, width, percent))
     labels = components(links)
     labelled = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    return texts, features, labelled
+
+
+def _named(features: DataFrame, labelled: DataFrame, *also: str) -> DataFrame:
+    """Every row with what is known of its class; ids of components and classes are their least ``doc_id``."""
     lows = per_key(labelled, ["component"], F.min("least").alias("component_id"))
-    named = labelled.join(lows, "component").select(*SAME, "component", "component_id")
+    named = labelled.join(lows, "component").select(*SAME, "component", "component_id", *also)
     rows = features.select("row_id", "key", "doc_id", *SAME).join(staged(named, "named"), SAME, "left")
     own_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
-    return rows.select("row_id", "key", "doc_id", F.col("n").alias("n_shingles"), "component", own_id.alias("component_id"))
+    return rows.withColumn("component_id", own_id).withColumnRenamed("n", "n_shingles")
+
+
+def similar_classes(docs: DataFrame, key: Column | None = None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Per row of ``docs``: ``row_id``, ``key``, ``doc_id``, ``n_shingles``, ``component`` and its least ``component_id``.
+
+    ``component`` is a number that the rows of a component share; it is null for a row without words.
+    """
+    _, features, labelled = _classified(docs, key, width, percent)
+    return _named(features, labelled).select("row_id", "key", "doc_id", "n_shingles", "component", "component_id")
+
+
+# --- all links -----------------------------------------------------------------------------------
+
+
+def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """The sizes of the intersections of each set of ``left`` with each of ``right``."""
+    sides = left, right
+    values = [np.concatenate(sets) for sets in sides]
+    rows = [np.repeat(np.arange(len(sets)), [len(x) for x in sets]) for sets in sides]
+    common = np.intersect1d(*values)
+    total = np.zeros((len(left), len(right)), dtype=np.int64)
+    places = []
+    for value, row in zip(values, rows):
+        at = np.searchsorted(common, value)
+        met = np.flatnonzero(at < len(common))
+        met = met[common[at[met]] == value[met]]
+        met = met[np.argsort(at[met], kind="stable")]
+        places.append((at[met], row[met]))
+    for first in range(0, len(common), PRODUCT):
+        parts = []
+        for sets, (at, row) in zip(sides, places):
+            low, high = np.searchsorted(at, (first, first + PRODUCT))
+            part = np.zeros((len(sets), min(PRODUCT, len(common) - first)), dtype=np.float32)
+            part[row[low:high], at[low:high] - first] = 1
+            parts.append(part)
+        total += (parts[0] @ parts[1].T).astype(np.int64)
+    return total
+
+
+def _links_of(meeting: list[tuple], alone: bool, percent: int) -> Iterator[tuple[int, int, int]]:
+    """``node``, linked classes and their rows, of a meeting's (side, node, rows, set); a block ``alone`` meets itself."""
+    left, right = ([m for m in meeting if m[0] == side] for side in (0, 1))
+    right = left if alone else right
+    if not left or not right:
+        return
+    n, m = (np.array([len(x[3]) for x in side]) for side in (left, right))
+    overlap = _overlaps([x[3] for x in left], [x[3] for x in right])
+    linked = 100 * overlap >= percent * (n[:, None] + m[None, :] - overlap)
+    if alone:
+        np.fill_diagonal(linked, False)
+    for side, other, found in ((left, right, linked), (right, left, linked.T))[: 1 if alone else 2]:
+        classes, rows = found.sum(axis=1), found @ np.array([x[2] for x in other], dtype=np.int64)
+        yield from ((x[1], int(c), int(r)) for x, c, r in zip(side, classes, rows) if c)
+
+
+def _link_counts(texts: DataFrame, labelled: DataFrame, width: int, percent: int) -> DataFrame:
+    """``node``, ``linked_classes`` and ``others``, the rows of these, of every class that has a link."""
+    sizes = F.count(F.lit(1)).alias("all"), F.sum("n").alias("grams")
+    several = per_key(labelled, ["component"], *sizes).where(F.col("all") > 1)
+    blocks = F.ceil(F.greatest(F.col("all") / MEMBERS, F.col("grams") / MEMBER_GRAMS)).cast("int")
+    wanted = labelled.join(several.select("component", blocks.alias("blocks")), "component")
+    # Texts are found by any id of the class: all its rows have the same set.
+    wanted = staged(wanted.withColumnRenamed("least", "doc_id"), "members")
+    sets = _shingles(texts, wanted, width, "component", "blocks", "rows", *SAME).dropDuplicates(SAME).drop(*SAME)
+    sets = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    meeting = [F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
+    side = (F.col("block") > F.col("other")).cast("int").alias("side")
+    met = met.select("component", *meeting, side, "node", "rows", "shingles")
+    met = met.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, waiting = None, []
+
+        def batch_of(key: tuple, meeting: list[tuple]) -> pa.RecordBatch:
+            found = list(_links_of(meeting, key[1] == key[2], percent))
+            columns = [pa.array(x, pa.int64()) for x in (zip(*found) if found else [()] * 3)]
+            return pa.RecordBatch.from_arrays(columns, ["node", "classes", "rows"])
+
+        for batch in batches:
+            keys = zip(*(batch.column(c).to_pylist() for c in ("component", "low", "high")))
+            columns = [batch.column(c).to_pylist() for c in ("side", "node", "rows", "shingles")]
+            for key, side, node, rows, raw in zip(keys, *columns):
+                if key != now:
+                    if waiting:
+                        yield batch_of(now, waiting)
+                    now, waiting = key, []
+                waiting.append((side, node, rows, np.frombuffer(raw, dtype=np.uint64)))
+        if waiting:
+            yield batch_of(now, waiting)
+
+    found = met.mapInArrow(counted, "node bigint, classes bigint, rows bigint")
+    return found.groupBy("node").agg(F.sum("classes").alias("linked_classes"), F.sum("rows").alias("others"))
+
+
+def linked_documents(docs: DataFrame, key: Column | None = None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """The columns of ``similar_classes``, ``class_id``, and the numbers of ``linked_classes`` and ``linked_documents``.
+
+    ``class_id`` is the least ``doc_id`` of the rows with the same set. The other rows of a class are linked documents,
+    too; a row without words has no links.
+    """
+    texts, features, labelled = _classified(docs, key, width, percent)
+    sizes = per_key(features.where("n > 0"), SAME, F.count(F.lit(1)).alias("rows"))
+    labelled = staged(labelled.join(sizes, SAME), "labelled")
+    counts = _link_counts(texts, labelled, width, percent)
+    counted = labelled.join(counts, "node", "left").withColumn("linked_classes", F.coalesce("linked_classes", F.lit(0)))
+    counted = counted.withColumn("linked_documents", F.col("rows") - 1 + F.coalesce("others", F.lit(0)))
+    rows = _named(features, counted, "least", "linked_classes", "linked_documents")
+    own_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("class_id")
+    numbers = (F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("linked_classes", "linked_documents"))
+    return rows.select("row_id", "key", "doc_id", "n_shingles", "component", "component_id", own_id, *numbers)
 
 
 def representative_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:

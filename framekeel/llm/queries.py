@@ -110,6 +110,11 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_shingles", "component_id")
 
 
+def op9_ngram_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = jaccard.linked_documents(table(spark, sf_dir, "documents"), width=3, percent=90)
+    return rows.select("doc_id", "n_shingles", "class_id", "component_id", "linked_classes", "linked_documents")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = recipes.deduplicate(table(spark, sf_dir, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -232,3 +237,39 @@ SQL = {
             doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM d WINDOW same AS (PARTITION BY t)""",
 }
+
+#: More outputs of operators that have a query above.
+MORE_QUERIES = {"op9_ngram_jaccard_links": op9_ngram_jaccard_links}
+
+MORE_SQL = {
+    "op9_ngram_jaccard_links": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, CASE WHEN len(ws) < 3 THEN array_to_string(ws, ' ')
+                ELSE ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] END AS shingle
+            FROM w, unnest(range(1, greatest(len(ws) - 1, 2))) AS t(i) WHERE len(ws) > 0
+        ), n AS (
+            SELECT doc_id, n, min(doc_id) OVER (PARTITION BY whole) AS class_id FROM (
+                SELECT doc_id, count(*) AS n, list_sort(list(shingle)) AS whole FROM s GROUP BY doc_id)
+        ), p AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY 1, 2
+        ), l AS (
+            SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 90 * (x.n + y.n - c)
+        ), both_ways AS (
+            SELECT a, b FROM l UNION ALL SELECT b, a FROM l
+        ), linked AS (
+            SELECT e.a, count(*) AS documents, count(DISTINCT y.class_id) FILTER (y.class_id <> x.class_id) AS classes
+            FROM both_ways e JOIN n x ON x.doc_id = e.a JOIN n y ON y.doc_id = e.b GROUP BY e.a
+        ), reach AS (
+            SELECT doc_id AS node, doc_id AS low FROM w
+            UNION SELECT e.b, r.low FROM reach r JOIN both_ways e ON e.a = r.node
+        ), low AS (
+            SELECT node, min(low) AS component_id FROM reach GROUP BY node
+        )
+        SELECT w.doc_id, coalesce(n.n, 0)::bigint AS n_shingles, coalesce(n.class_id, w.doc_id) AS class_id,
+            component_id, coalesce(classes, 0)::bigint AS linked_classes, coalesce(documents, 0)::bigint AS linked_documents
+        FROM w JOIN low ON low.node = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN linked ON linked.a = w.doc_id""",
+}

@@ -478,6 +478,73 @@ def test_families_of_copies_agree_with_brute_force(spark, monkeypatch, block):
         assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == expected
 
 
+def brute_links(texts, width, percent):
+    """``key`` to its class's least key and the numbers of linked classes and keys, all pairs compared."""
+    from test_llm_queries import shingles
+
+    sets = {i: frozenset(shingles(t, width)) for i, t in texts.items()}
+    least = {}
+    for i in sorted(sets):
+        least.setdefault(sets[i], i)
+    found = {}
+    for i, own in sets.items():
+        near = [
+            j
+            for j, other in sets.items()
+            if i != j and own and 100 * len(own & other) >= percent * len(own | other)
+        ]
+        classes = {least[sets[j]] for j in near} - {least[own]}
+        found[i] = (least[own] if own else i, len(classes), len(near))
+    return found
+
+
+@pytest.mark.parametrize("members", [3, 1024])
+def test_every_link_inside_families_is_counted(spark, monkeypatch, members):
+    monkeypatch.setattr(jaccard, "MEMBERS", members)
+    monkeypatch.setattr(jaccard, "PRODUCT", 4096 if members > 3 else 7)
+    rng = np.random.default_rng(11)
+    texts = {}
+    for family in range(4):
+        base = [f"f{family}w{k}" for k in range(60)]
+        for _ in range(25):
+            words = list(base)
+            for _ in range(rng.integers(0, 5)):
+                words[rng.integers(0, 60)] = f"edit{rng.integers(0, 1000)}"
+            texts[len(texts)] = " ".join(words)
+    texts |= {len(texts): None, len(texts) + 1: "", len(texts) + 2: "lone text of its own"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    for width, percent in ((3, 90), (5, 80)):
+        rows = jaccard.linked_documents(docs, width=width, percent=percent).collect()
+        expected = brute_links({i: t or "" for i, t in texts.items()}, width, percent)
+        assert {r.doc_id: (r.class_id, r.linked_classes, r.linked_documents) for r in rows} == expected
+        assert max(r.linked_classes for r in rows) > 2 and len(rows) == len(texts)
+
+
+def test_links_of_odd_texts(spark, odd_docs, no_docs):
+    rows = jaccard.linked_documents(odd_docs).collect()
+    assert len(rows) == 14 and jaccard.linked_documents(no_docs).count() == 0
+    foxes = [r for r in rows if r.n_shingles == 9]
+    assert {(r.class_id, r.linked_classes, r.linked_documents) for r in foxes} == {(1, 0, 3)} and len(foxes) == 4
+    assert {r.doc_id: (r.linked_classes, r.linked_documents) for r in rows if r.doc_id in (6, 7)} == {6: (1, 1), 7: (1, 1)}
+    assert all(r.linked_documents == 0 for r in rows if r.n_shingles == 0)
+    # Classes of several rows, also without an id, and a document that comes twice with different texts.
+    one, two = (" ".join(f"w{k}" for k in range(80)) + tail for tail in (" end", " stop"))
+    docs = [(None, one), (None, one), (1, two), (1, two), (1, "other words"), (2, one), (None, two + " more")]
+    rows = jaccard.linked_documents(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()
+    assert sorted((r.n_shingles, r.linked_classes, r.linked_documents) for r in rows) == sorted(
+        [(77, 2, 5)] * 3 + [(77, 2, 5)] * 2 + [(1, 0, 0), (78, 2, 5)]
+    )
+
+
+def test_links_agree_with_sql(spark, tables):
+    from check import compare
+    from framekeel.llm.queries import MORE_QUERIES, MORE_SQL
+
+    for name, query in MORE_QUERIES.items():
+        problem, n = compare(spark, tables, "/root/testdata/sf0.001", name, query, MORE_SQL[name])
+        assert problem is None and n > 0
+
+
 def test_components(spark):
     rng = np.random.default_rng(4)
     chain = [(k, k + 1) for k in range(100, 160)]
