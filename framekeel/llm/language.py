@@ -3,7 +3,8 @@
 Every run of 2 to 4 bytes inside a word, its edges included, is hashed to one of ``BUCKETS`` embeddings. A text is
 the mean of its embeddings, and a linear layer with a softmax gives the languages' probabilities. Both are trained
 together by stochastic gradient descent in numpy on the driver, on about ``SAMPLE_PER_LANGUAGE`` distinct labelled
-texts of each language, whole texts, of which the tasks send counts per bucket. A fifth of them is kept aside to fit
+texts of each language, or an even share of ``SAMPLE`` if there are many languages, whole texts, of which the tasks
+send counts per bucket. A fifth of them is kept aside to fit
 the softmax's temperature, so the score is a probability that can be relied on, and to find the score from which
 on predictions are ``ACCURACY`` right; those below it are marked as not ``accepted``.
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import texthash
-from .sampling import fold, letters, per_class
+from .sampling import evenly, fold, letters, per_class
 
 UNKNOWN = "und"
 BITS = 14
@@ -33,7 +34,7 @@ BUCKETS = 1 << BITS
 ORDERS = (2, 3, 4)
 DIMENSIONS = 16
 SAMPLE_PER_LANGUAGE = 500
-#: Rows that are kept however many languages there are.
+#: Rows that are kept of all languages, dealt evenly; one of each language at least.
 SAMPLE = 4000
 EPOCHS = 12
 RATE = 0.2
@@ -114,6 +115,9 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7) -> Model:
     # Steps shrink with each parameter's own past gradients.
     past = [np.full(p.shape, 1e-8) for p in (vectors, layer, bias)]
     learn = [k for k in range(len(rows)) if k % 5 or len(rows) < 10]
+    # A language of which all rows are kept aside would never be learned.
+    taught = {rows[k][2] for k in learn}
+    learn += [k for k in range(len(rows)) if rows[k][2] not in taught]
     for _ in range(EPOCHS):
         for k in rng.permutation(learn):
             at, n, name = rows[k]
@@ -131,7 +135,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], seed: int = 7) -> Model:
             past[0][at] += change**2
             vectors[at] -= 0.1 * RATE * change / np.sqrt(past[0][at])
     model = Model(languages, (vectors @ layer).astype(np.float32), bias, 1.0, 0.0)
-    kept = [k for k in range(len(rows)) if not k % 5] if len(rows) >= 10 else []
+    kept = [k for k in range(len(rows)) if not k % 5 and rows[k][2] in taught] if len(rows) >= 10 else []
     return _calibrated(model, [rows[k] for k in kept], number)
 
 
@@ -160,7 +164,7 @@ def train(docs: DataFrame, learnable) -> Model | None:
     known = docs.where(learnable & F.col("lang").isNotNull())
     known = known.select(F.col("lang").cast("string").alias("lang"), letters(F.col("text")).alias("text"))
     sample = per_class(known.where(F.length("text") > 2), "lang", F.col("text"), SAMPLE_PER_LANGUAGE)
-    sample = sample.orderBy("_cell", "lang").limit(SAMPLE).select("lang", "_cell", "text")
+    sample = evenly(sample, "lang", SAMPLE).select("lang", "_cell", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,7 +178,7 @@ def train(docs: DataFrame, learnable) -> Model | None:
             columns += [pa.array(x, pa.binary()) for x in (places, numbers)]
             yield pa.RecordBatch.from_arrays(columns, ["lang", "cell", "buckets", "counts"])
 
-    # At most SAMPLE rows of six bytes a bucket.
+    # At most SAMPLE rows, or one a language, of six bytes a bucket.
     found = sample.mapInArrow(counted, "lang string, cell bigint, buckets binary, counts binary").collect()
     found.sort(key=lambda r: (r.cell, r.lang, bytes(r.buckets)))
     rows = [(np.frombuffer(r.buckets, "<u2").astype(np.int64), np.frombuffer(r.counts, "<f4"), r.lang) for r in found]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import staged
@@ -31,9 +31,17 @@ def per_class(rows: DataFrame, label: str, by: Column, most: int) -> DataFrame:
     """
     cells = rows.where(F.col(label).isNotNull()).withColumn("_hash", F.xxhash64(by, F.lit("sample")))
     cells = cells.withColumn("_cell", F.pmod("_hash", F.lit(_CELLS)))
-    share = F.least(F.lit(1.0), F.lit(float(most)) / F.count(F.lit(1)))
+    share = F.least(F.lit(1.0), F.lit(float(most)) / F.approx_count_distinct("_hash"))
     # Written, so that Spark knows its size and broadcasts it while it is small.
     limits = staged(cells.groupBy(F.col(label).alias("_label")).agg(share.alias("_share")), "class-limits")
     chosen = cells.join(limits, F.col(label) == F.col("_label"))
     chosen = chosen.where(F.col("_cell") < F.col("_share") * _CELLS).drop("_label", "_share")
     return chosen.dropDuplicates([label, "_hash"]).drop("_hash")
+
+
+def evenly(sample: DataFrame, label: str, total: int) -> DataFrame:
+    """About ``total`` rows of ``per_class``: each class's first, then its second, and so on, one of each class at least."""
+    turn = F.row_number().over(Window.partitionBy(label).orderBy("_cell"))
+    ranked = staged(sample.withColumn("_turn", turn), "class-turns")
+    classes = ranked.where("_turn = 1").count()
+    return ranked.orderBy("_turn", "_cell", label).limit(max(total, classes)).drop("_turn")

@@ -101,6 +101,28 @@ def test_calibration_lowers_trust_in_a_noisy_model():
     assert 0.6 < model.of_counts(seen).max() < min(0.9, model.threshold)
 
 
+def test_no_language_is_lost_in_the_sample(spark, monkeypatch):
+    """Twelve languages of very uneven sizes share a sample that the frequent ones alone would fill."""
+    monkeypatch.setattr(language, "SAMPLE", 240)
+    monkeypatch.setattr(language, "SAMPLE_PER_LANGUAGE", 50)
+    seen, fit = Counter(), language.fit
+    monkeypatch.setattr(language, "fit", lambda rows: seen.update(r[2] for r in rows) or fit(rows))
+    letters = [chr(ord("a") + 2 * k) + chr(ord("b") + 2 * k) for k in range(12)]
+    sizes = [2000] * 9 + [60, 30, 5]
+    rng = np.random.default_rng(3)
+
+    def text(k):
+        return " ".join("".join(rng.choice(list(letters[k]), 6)) for _ in range(12))
+
+    rows = [(f"l{k}", text(k)) for k in range(12) for _ in range(sizes[k])]
+    # Copies take no other text's place.
+    rows += [("l9", rows[18_000][1])] * 3000
+    docs = spark.createDataFrame([(n, *r) for n, r in enumerate(rows)], "doc_id bigint, lang string, text string")
+    model = language.train(docs, F.lit(True))
+    assert model.languages == sorted(f"l{k}" for k in range(12)) and sum(seen.values()) == 240
+    assert seen["l11"] == 5 and min(n for name, n in seen.items() if name != "l11") >= 20
+
+
 # --- 2: secrets ----------------------------------------------------------------------------------
 
 
