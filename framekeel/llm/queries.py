@@ -5,7 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, jaccard, language, mixing, packing, recipes, secrets, syncmers, toxicity, urls
+from . import (
+    chat,
+    filter_audit,
+    jaccard,
+    language,
+    mixing,
+    packing,
+    quality,
+    recipes,
+    secrets,
+    source_divergence,
+    syncmers,
+    toxicity,
+    urls,
+)
 from .common import table
 
 
@@ -120,6 +134,19 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = filter_audit.corpus_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return rows.withColumnsRenamed({"lost_good": "good_lost", "lost_toxic": "toxic_lost"})
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op4_syncmers": op4_syncmers,
@@ -131,6 +158,9 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_filter_audit": op11_filter_audit,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_quality": op13_quality,
 }
 
 SQL = {
@@ -236,6 +266,87 @@ SQL = {
         SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
             doc_id = min(doc_id) OVER same AS kept, sha256(t) AS text_sha256
         FROM d WINDOW same AS (PARTITION BY t)""",
+    "op11_filter_audit": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+            FROM documents
+        ), l AS (
+            SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::int) AS good,
+                max((toxic IS NOT DISTINCT FROM 1)::int) AS toxic
+            FROM labels GROUP BY doc_id
+        ), d AS (
+            SELECT part, len(words) < 200 AS a, 100 * list_unique(words) < 50 * len(words) AS b,
+                100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * len(text) AS c,
+                regexp_matches(text, '[#$%&*|]') AS d,
+                coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e,
+                coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+            FROM t LEFT JOIN l USING (doc_id)
+        ), m AS (
+            SELECT part, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * e::int AS mask,
+                count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+            FROM d GROUP BY ALL
+        ), f(letter, bit) AS (
+            VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+        ), o AS (
+            SELECT v.letter || w.letter || x.letter || y.letter || z.letter AS filter_order
+            FROM f v, f w, f x, f y, f z WHERE v.bit + w.bit + x.bit + y.bit + z.bit = 31
+                AND len(list_distinct([v.bit, w.bit, x.bit, y.bit, z.bit])) = 5
+        ), s AS (
+            SELECT filter_order, step, bit, (SELECT coalesce(sum(g.bit), 0) FROM f g
+                WHERE contains(left(filter_order, (step - 1)::int), g.letter)) AS earlier
+            FROM o, range(1, 6) AS r(step), f WHERE letter = substr(filter_order, step, 1)
+        ), r AS (
+            SELECT part, filter_order, step::int AS step, bit,
+                sum(n) FILTER (mask & (earlier::int | bit) = 0) AS kept,
+                sum(n) FILTER (mask & bit > 0 AND mask & earlier::int = 0) AS removed,
+                sum(n) FILTER (mask & bit > 0 AND mask & earlier::int > 0) AS redundant,
+                sum(n) FILTER (mask = bit) AS unique_fails,
+                sum(good) FILTER (mask & bit > 0 AND mask & earlier::int = 0) AS good_lost,
+                sum(toxic) FILTER (mask & bit > 0 AND mask & earlier::int = 0) AS toxic_lost
+            FROM m, s GROUP BY part, filter_order, step, bit
+        )
+        SELECT part, filter_order, step, coalesce(kept, 0)::bigint AS kept, coalesce(removed, 0)::bigint AS removed,
+            coalesce(redundant, 0)::bigint AS redundant, coalesce(unique_fails, 0)::bigint AS unique_fails,
+            coalesce(good_lost, 0)::bigint AS good_lost, coalesce(toxic_lost, 0)::bigint AS toxic_lost,
+            coalesce(sum(removed) OVER (PARTITION BY part, bit), 0)::bigint AS shapley
+        FROM r""",
+    "op12_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents
+        ), t AS (
+            SELECT row, lang, source, unnest(terms) AS term FROM d
+        ), k AS (
+            SELECT lang, term, count(*) AS c FROM t GROUP BY lang, term HAVING count(DISTINCT row) >= 3
+        ), l AS (
+            SELECT lang, count(*) AS v, sum(c) AS n FROM k GROUP BY lang
+        ), c AS (
+            SELECT lang, source, term, count(*) AS c FROM t SEMI JOIN k USING (lang, term) GROUP BY lang, source, term
+        ), g AS (
+            SELECT lang, source, coalesce(sum(c), 0) AS n
+            FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) GROUP BY lang, source
+        ), p AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.c, 0) AS c,
+                1 + 1000000000::hugeint * (coalesce(c.c, 0) + 1) // (g.n + l.v)::hugeint AS p,
+                1 + 1000000000::hugeint * (k.c + 1) // (l.n + l.v)::hugeint AS q
+            FROM g JOIN k USING (lang) JOIN l USING (lang) LEFT JOIN c USING (lang, source, term)
+        ), f AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+            FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+            GROUP BY a.lang, a.source, b.source
+        ), r AS (
+            SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f.value, 0) AS value
+            FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+                LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE c > 0 AND p > q
+        )
+        SELECT lang, source, part, item, value::bigint AS value,
+            (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::int AS rank
+        FROM r QUALIFY part = 'pair' OR rank <= 200""",
 }
 
 #: More outputs of operators that have a query above.

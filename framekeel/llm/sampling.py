@@ -10,9 +10,9 @@ from .common import staged
 _CELLS = 1 << 30
 
 
-def fold(doc_id: Column) -> Column:
-    """Whether the row is held out: the remainder of crc32 of the id as text by 4 is 2. A null id counts as ''."""
-    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
+def fold(doc_id: Column, parts: int = 4, part: int = 2) -> Column:
+    """Whether the row is held out: crc32 of the id as text leaves ``part`` if divided by ``parts``. A null id counts as ''."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % parts == part
 
 
 def letters(text: Column) -> Column:
@@ -45,3 +45,27 @@ def evenly(sample: DataFrame, label: str, total: int) -> DataFrame:
     ranked = staged(sample.withColumn("_turn", turn), "class-turns")
     classes = ranked.where("_turn = 1").count()
     return ranked.orderBy("_turn", "_cell", label).limit(max(total, classes)).drop("_turn")
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
+    """``doc_id``, ``label`` and ``text_hash`` of the labelled rows of ``docs`` that have a text, written.
+
+    Of several labels of a document the highest counts; null ids and labels other than 0 and 1 are left out.
+    """
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull())
+    known = known.groupBy("doc_id").agg(F.max(label).cast("int").alias("label")).where("label IN (0, 1)")
+    texts = docs.where("text IS NOT NULL").select("doc_id", F.xxhash64("text").alias("text_hash"))
+    return staged(texts.join(known, "doc_id"), "labelled")
+
+
+def texts_of_each_label(docs: DataFrame, labelled: DataFrame, most: int) -> DataFrame:
+    """``label``, ``text_hash`` and ``text`` of about ``most`` distinct texts of each label, by ``labelled_texts``.
+
+    Only hashes are sorted out; the texts that were chosen are read last.
+    """
+    chosen = per_class(labelled.select("doc_id", "label", "text_hash"), "label", F.col("text_hash"), most)
+    # About 2 * most rows of three numbers.
+    chosen = F.broadcast(chosen.select(F.col("doc_id").alias("_doc"), "label", F.col("text_hash").alias("_text")))
+    rows = docs.select("doc_id", "text").withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.join(chosen, (F.col("doc_id") == F.col("_doc")) & (F.col("text_hash") == F.col("_text")))
+    return rows.select("label", "text_hash", "text").dropDuplicates(["label", "text_hash"])
