@@ -36,7 +36,7 @@ from .common import scratch, staged, text_of
 LEAST_DOCUMENTS = 3
 TOP = 200
 #: Counts that a task holds before it spills its stripes, and bytes of a text that it splits at a time.
-HELD = 1 << 17
+HELD = 1 << 19
 PIECE = 1 << 20
 #: Counts in a block of merged stripes, about, and pairs of sources that a block works on at a time.
 BLOCK = 1 << 15
@@ -68,18 +68,24 @@ def terms(raw: bytes) -> Iterator[list[bytes]]:
 
 def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Stripes of the documents of a task, spilled whenever they hold ``HELD`` counts."""
-    stripes: dict[str, dict[bytes, list]] = {}
+    # Per language and term the counts by source, and the number of documents under None.
+    stripes: dict[str, dict[bytes, dict[str | None, int]]] = {}
     held = 0
 
     def spilled() -> pa.RecordBatch:
-        rows = [(lang, term, n, counts) for lang, own in stripes.items() for term, (n, counts) in own.items()]
+        found = [(lang, own) for lang, own in stripes.items() if own]
+        every = [stripe for _, own in found for stripe in own.values()]
+        ends = np.cumsum([0, *(len(stripe) - 1 for stripe in every)], dtype=np.int32)
+        sources = pa.array([s for stripe in every for s in stripe if s is not None], pa.string())
+        counts = pa.array([n for stripe in every for s, n in stripe.items() if s is not None], pa.int64())
         columns = [
-            pa.array([r[0] for r in rows], pa.string()),
-            pa.array([r[1] for r in rows], pa.binary()).cast(pa.string()),
-            pa.array([r[2] for r in rows], pa.int64()),
-            pa.array([list(r[3]) for r in rows], pa.list_(pa.string())),
-            pa.array([list(r[3].values()) for r in rows], pa.list_(pa.int64())),
+            pa.array([lang for lang, own in found for _ in own], pa.string()),
+            pa.array([term for _, own in found for term in own], pa.binary()).cast(pa.string()),
+            pa.array([stripe[None] for stripe in every], pa.int64()),
+            pa.ListArray.from_arrays(pa.array(ends), sources),
+            pa.ListArray.from_arrays(pa.array(ends), counts),
         ]
+        stripes.clear()
         return pa.RecordBatch.from_arrays(columns, ["lang", "term", "documents", "sources", "counts"])
 
     for batch in batches:
@@ -92,19 +98,17 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for term, n in found.items():
                 stripe = own.get(term)
                 if stripe is None:
-                    own[term] = [1, {source: n}]
+                    own[term] = {None: 1, source: n}
                     held += 1
                     continue
-                stripe[0] += 1
-                counts = stripe[1]
-                if source in counts:
-                    counts[source] += n
+                stripe[None] += 1
+                if source in stripe:
+                    stripe[source] += n
                 else:
-                    counts[source] = n
+                    stripe[source] = n
                     held += 1
             if held >= HELD:
                 yield spilled()
-                stripes.clear()
                 held = 0
     yield spilled()
 
