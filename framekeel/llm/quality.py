@@ -134,10 +134,20 @@ def latent_directions(rows: np.ndarray, dimensions: int) -> np.ndarray:
     return np.ascontiguousarray(right[:dimensions].T)
 
 
-def fit(found: np.ndarray, label: np.ndarray, share: float) -> Model:
-    """A model of labelled rows of counts; ``share`` is how often label 1 occurs."""
-    rarity = np.log((1 + len(found)) / (1 + (found[:, :BUCKETS] > 0).sum(axis=0))) + 1
-    rows = weighted(found, rarity)
+def fit(found: list[tuple[np.ndarray, np.ndarray]], label: np.ndarray, share: float) -> Model:
+    """A model of labelled rows, given as the places and numbers of their counts; ``share`` is how often label 1 occurs."""
+    held = np.zeros(COLUMNS)
+    for places, _ in found:
+        held[places] += 1
+    rarity = (np.log((1 + len(found)) / (1 + held[:BUCKETS])) + 1).astype(np.float32)
+    # One table of the sample's size, filled a block at a time.
+    rows = np.empty((len(found), COLUMNS), dtype=np.float32)
+    for at in range(0, len(found), BLOCK):
+        block = found[at : at + BLOCK]
+        wide = np.zeros((len(block), COLUMNS), dtype=np.float32)
+        for own, (places, numbers) in zip(wide, block):
+            own[places] = numbers
+        rows[at : at + BLOCK] = weighted(wide, rarity)
     directions = latent_directions(rows, DIMENSIONS)
     real, drawn = np.array([1 - share, share]), np.bincount(label, minlength=2) / len(label)
     vote = (real / np.where(drawn > 0, drawn, 1))[label]
@@ -169,9 +179,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable) -> Model | None:
         # About 2 * SAMPLE rows of six bytes a column that is not 0.
         rows = sample.mapInArrow(counted, "label int, text_hash bigint, places binary, numbers binary").collect()
     rows.sort(key=lambda r: (r.label, r.text_hash))
-    found = np.zeros((len(rows), COLUMNS), dtype=np.float32)
-    for own, r in zip(found, rows):
-        own[np.frombuffer(r.places, "<u2")] = np.frombuffer(r.numbers, "<f4")
+    found = [(np.frombuffer(r.places, "<u2"), np.frombuffer(r.numbers, "<f4")) for r in rows]
     label = np.array([r.label for r in rows])
     return fit(found, label, sizes.get(1, 0) / sum(sizes.values()))
 

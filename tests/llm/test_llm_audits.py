@@ -234,7 +234,7 @@ def test_quality_agrees_with_brute_force(spark, sf_dir):
     found = np.stack([quality.counts(np.frombuffer(r.text.encode(), dtype=np.uint8)) for r in sample])
     label = np.array([r.label for r in sample])
     share = np.mean([held[i] for i in held if i in texts])
-    model = quality.fit(found, label, share)
+    model = quality.fit([(np.flatnonzero(f), f[np.flatnonzero(f)]) for f in found], label, share)
     rows = quality.weighted(found, model.rarity).astype(float)
     exact = np.linalg.svd(rows, full_matrices=False)[2][: quality.DIMENSIONS]
     spans = np.linalg.norm(exact @ model.directions, axis=1)
