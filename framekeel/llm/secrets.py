@@ -2,17 +2,20 @@
 
 Strong kinds are ``assign``, ``access`` and ``hex``. Weak kinds are ``id`` (a named account or key), ``key`` (a
 run of letters and digits) and ``endpoint`` (a URL or IPv4 address). Each kind has a role: access identifier,
-secret or endpoint. A weak identifier is reported if a secret starts within ``REACH`` code points of it, a weak
-secret if an identifier does, an endpoint if both do. A weak span that overlaps a strong one is dropped.
-
-The parts of a document meet in an interval join: starts fall into bins as wide as the reach, the first and last
-start of each role are kept per bin, and a candidate looks into its own bin and the two beside it. Any start in
-the own bin is in reach, and of a bin beside it the nearest start decides, so this is exact and a document full
-of parts makes three rows a candidate. Positions count code points; they are running sums of the lengths that
-``split`` and ``regexp_extract_all`` give for one pattern. Texts stay in the task that reads them.
-
-A null text counts as empty and has no spans. Repeated rows and null or repeated ids are rows of their own;
-other columns are not read. An empty table gives an empty result.
+secret or endpoint. The scope of a part is the part itself and ``REACH`` code points before and after it: a weak
+identifier is reported if a secret reaches into its scope, a weak secret if an identifier does, an endpoint if both
+do, so parts that stand side by side are linked however long they are. A weak span that overlaps a strong one is
+dropped.
+
+The parts of a document meet in an interval join: the text is cut into bins as wide as the reach, a part lies in
+all bins that it covers, and of each role the first and last covered place is kept per bin. A candidate looks into
+the bins of its scope. In the first and last of them the nearest place decides, and any place in a bin between, so
+this is exact, and a document full of parts makes a few rows a candidate. Positions count code points; they are
+running sums of the lengths that ``split`` and ``regexp_extract_all`` give for one pattern. Texts stay in the task
+that reads them, and each pattern takes time in proportion to the text, whatever the text.
+
+A null text counts as empty and has no spans; very long texts are searched whole. Repeated rows and null or repeated
+ids are rows of their own; other columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -31,13 +34,15 @@ STRONG = {
 WEAK = {
     "id": r"""(?i:user(?:name)?|login|account|client_?id|key_?id|access_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9._@+-]{3,}""",
     "key": r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_-]*[0-9])(?=[0-9+/_-]*[A-Za-z])[A-Za-z0-9+/_-]{16,}={0,2}",
-    "endpoint": r"""(?i:https?|ftp|ssh|jdbc:[a-z]+|[a-z]+sql|mongodb|redis|amqp)://[^\x20\x09-\x0D"'<>]+"""
+    "endpoint": r"""(?i:https?|ftp|ssh|(?:jdbc:)?(?:mysql|mariadb|postgres|postgresql|sqlserver|oracle|db2|mssql)"""
+    r"""|mongodb|redis|amqp)://[^\x20\x09-\x0D"'<>]+"""
     r"""|(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9.])""",
 }
 KINDS = [*STRONG, *WEAK]
 ROLES = {"assign": "secret", "hex": "secret", "key": "secret", "access": "access", "id": "access", "endpoint": "endpoint"}
 #: An assignment counts if the assigned value has so many characters.
 ASSIGNED = 8
+#: Code points from the end of a part to the start of the next one that is still in its scope.
 REACH = 256
 
 
@@ -98,31 +103,37 @@ def _clear(parts: DataFrame) -> DataFrame:
 
 
 def _linked(parts: DataFrame, reach: int) -> DataFrame:
-    """Weak parts whose complement starts in reach."""
+    """Weak parts whose complement reaches into their scope."""
     role = F.element_at(F.create_map(*(F.lit(x) for pair in ROLES.items() for x in pair)), F.col("kind"))
-    parts = parts.withColumn("role", role).withColumn("bin", F.floor(F.col("start") / reach))
+    parts = parts.withColumn("role", role)
+
+    def bins_from(first: Column, last: Column) -> Column:
+        return F.explode(F.sequence(F.floor(first / reach), F.floor(last / reach))).alias("bin")
+
+    covered = parts.select("row_id", "role", "start", "end", bins_from(F.col("start"), F.col("end")))
+    low = F.greatest("start", F.col("bin") * reach)
+    high = F.least("end", F.col("bin") * reach + reach - 1)
     ends = [
-        fold(F.when(F.col("role") == r, F.col("start"))).alias(f"{name}_{r}")
+        fold(F.when(F.col("role") == r, place)).alias(f"{name}_{r}")
         for r in ("access", "secret")
-        for name, fold in (("first", F.min), ("last", F.max))
+        for name, fold, place in (("first", F.min, low), ("last", F.max, high))
     ]
-    bins = parts.groupBy("row_id", "bin").agg(*ends)
-    weak = parts.where("NOT strong").withColumn("side", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-    weak = weak.withColumn("bin", F.col("bin") + F.col("side"))
-    met = weak.join(bins, ["row_id", "bin"])
+    bins = covered.groupBy("row_id", "bin").agg(*ends)
+    begin, finish = F.greatest(F.col("start") - reach, F.lit(0)), F.col("end") + reach
+    weak = parts.where("NOT strong").withColumns({"begin": begin, "finish": finish})
+    met = weak.select("*", bins_from(F.col("begin"), F.col("finish"))).join(bins, ["row_id", "bin"])
 
-    def in_reach(role: str) -> Column:
-        below = F.col(f"last_{role}") >= F.col("start") - reach
-        above = F.col(f"first_{role}") <= F.col("start") + reach
-        near = F.when(F.col("side") == 0, F.col(f"first_{role}").isNotNull())
-        return F.max(F.coalesce(near.when(F.col("side") < 0, below).otherwise(above), F.lit(False))).alias(f"by_{role}")
+    def in_scope(role: str) -> Column:
+        # A scope is wider than a bin, so it begins and ends in different ones, unless it begins with the text.
+        inside = (F.col(f"last_{role}") >= F.col("begin")) & (F.col(f"first_{role}") <= F.col("finish"))
+        return F.max(F.coalesce(inside, F.lit(False))).alias(f"by_{role}")
 
     links = met.groupBy("row_id", "kind", "kind_no", "start", "end", "strong", "role").agg(
-        in_reach("access"), in_reach("secret")
+        in_scope("access"), in_scope("secret")
     )
     needs = {"access": "by_secret", "secret": "by_access", "endpoint": "by_access AND by_secret"}
     complete = " OR ".join(f"(role = '{r}' AND {need})" for r, need in needs.items())
-    return links.where(complete).select(parts.columns[:-2])
+    return links.where(complete).select(*(c for c in parts.columns if c != "role"))
 
 
 def find_secrets(docs: DataFrame, reach: int = REACH) -> DataFrame:

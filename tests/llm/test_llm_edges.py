@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -156,11 +157,12 @@ def test_weak_parts_need_their_complement(spark):
 def test_linking_agrees_with_brute_force(spark):
     rng = np.random.default_rng(5)
     parts = {"id": "login: bob%d", "key": "q7w8e9r0t1y2u3%04d", "endpoint": "ftp://h%d.example", "hex": "ab12" * 9 + "%x"}
+    parts |= {"long key": "z9" * 300 + "%d", "long endpoint": "postgresql://h%d/" + "path/" * 150}
     texts = []
-    for _ in range(30):
+    for _ in range(40):
         pieces = []
         for k in range(rng.integers(1, 25)):
-            pieces.append("word " * int(rng.integers(1, 60)))
+            pieces.append("word " * int(rng.integers(1, 100)))
             pieces.append(parts[str(rng.choice(list(parts)))] % k + " ")
         texts.append("".join(pieces))
     for text, found in zip(texts, spans(spark, *texts)):
@@ -173,17 +175,35 @@ def test_linking_agrees_with_brute_force(spark):
         ]
         role = secrets.ROLES
 
-        def near(start, wanted, every=every, role=role):
-            return any(role[k] == wanted and abs(s - start) <= secrets.REACH for s, k, _ in every)
+        def near(start, end, wanted, every=every, role=role):
+            gaps = [max(s - end, start - s - len(v)) for s, k, v in every if role[k] == wanted]
+            return any(gap <= secrets.REACH for gap in gaps)
 
         expected = []
         for start, kind, value in sorted(every, key=lambda x: (x[0], secrets.KINDS.index(x[1]))):
             needs = {"access": ["secret"], "secret": ["access"], "endpoint": ["access", "secret"]}[role[kind]]
-            if kind in secrets.STRONG or all(near(start, n) for n in needs):
+            if kind in secrets.STRONG or all(near(start, start + len(value), n) for n in needs):
                 expected.append((kind, value))
         assert found == expected
 
 
+def test_long_parts_side_by_side_are_linked(spark):
+    host, user, key = "https://h/" + "p" * 320, "user=bob99", "Zk3" * 120
+    gap = " ." * (secrets.REACH // 2)
+    found = spans(spark, f"{host} {user} password=hunter2hunter2", f"{key}{gap}{user}", f"{key}{gap} {user}")
+    assert found[0] == [("endpoint", host), ("id", user), ("assign", "password=hunter2hunter2")]
+    assert found[1] == [("key", key), ("id", user)] and found[2] == []
+
+
+@pytest.mark.parametrize("unit", ["x", "-", "1", "a1", "a", "password", " ", "token=", "http", "1.", "AKIA", "sql"])
+def test_searches_take_time_in_proportion(spark, unit):
+    """A million characters of any kind, with each pattern, in seconds."""
+    text = unit * (1_000_000 // len(unit))
+    start = time.monotonic()
+    found = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
+    assert len(found) == 1 and time.monotonic() - start < 20
+
+
 def test_secrets_of_odd_texts(odd_docs, no_docs):
     assert odd_docs.count() == secrets.find_secrets(odd_docs).count()
     assert secrets.find_secrets(no_docs).count() == 0
