@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,17 +20,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_scopes: list[list[str]] = []
+#: The folders of each open scope, the innermost last; threads and tasks have scopes of their own.
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("scopes", default=())
 
 
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Remove, at the end, the tables that were ``staged`` inside and not ``kept``."""
-    _scopes.append([])
+    own: list[str] = []
+    outer = _scopes.get()
+    _scopes.set((*outer, own))
     try:
         yield
     finally:
-        for path in _scopes.pop():
+        _scopes.set(outer)
+        for path in own:
             folder = spark._jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -40,7 +45,7 @@ def staged(df: DataFrame, name: str, kept: bool = False) -> DataFrame:
     path = fresh_dir(spark, f"llm-{name}")
     df.write.parquet(path)
     # A kept table lives as long as what surrounds the innermost scope.
-    scopes = _scopes[:-1] if kept else _scopes
+    scopes = _scopes.get()[:-1] if kept else _scopes.get()
     if scopes:
         scopes[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -64,12 +69,14 @@ def numbered(df: DataFrame, name: str = "row_id") -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
-def row_key() -> Column:
-    """128 bits that rows share only if they agree in ``doc_id`` and ``text``."""
-    doc_id, text = (F.col(c).cast("string") for c in ("doc_id", "text"))
-    # Lengths first, null as -1, so that no two pairs are spelled alike.
-    sizes = (F.coalesce(F.length(c), F.lit(-1)).cast("string") for c in (doc_id, text))
-    return F.md5(F.concat_ws("\n", *sizes, doc_id, text).cast("binary"))
+def row_key(docs: DataFrame) -> Column:
+    """128 bits that rows of ``docs`` share only if they agree in all columns."""
+    text = F.col("text").cast("string")
+    others = [c.alias(f"c{k}") for k, (n, c) in enumerate(zip(docs.columns, columns_of(docs))) if n != "text"]
+    rest = F.to_json(F.struct(*others)) if others else F.lit("")
+    # The length first, null as -1, so that no two rows are spelled alike.
+    size = F.coalesce(F.length(text), F.lit(-1)).cast("string")
+    return F.md5(F.concat_ws("\n", size, text, rest).cast("binary"))
 
 
 def keyed(docs: DataFrame, *columns: Column | str, key: Column | None = None) -> DataFrame:
@@ -80,12 +87,12 @@ def keyed(docs: DataFrame, *columns: Column | str, key: Column | None = None) ->
 def as_often(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, as often as ``decided`` has their ``row_key`` (``key``, ``times``).
 
-    Of rows that agree in id and text the ``times`` add up, and the other columns are those of one of them.
+    Rows that agree in all columns share a key; their ``times`` add up.
     """
     times = decided.groupBy("key").agg(F.sum("times").alias("times"), F.count(F.lit(1)).alias("rows"))
     times = staged(times, "decided", kept=True)
     key, number = unused(docs, "_key"), unused(docs, "_times")
-    rows = docs.withColumn(key, row_key())
+    rows = docs.withColumn(key, row_key(docs))
     if not times.where("rows > 1").isEmpty():
         rows = rows.dropDuplicates([key])
     chosen = times.where("times > 0").select(F.col("key").alias(key), F.col("times").cast("int").alias(number))

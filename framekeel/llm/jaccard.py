@@ -445,7 +445,7 @@ def linked_documents(docs: DataFrame, key: Column | None = None, width: int = WI
 def representative_documents(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """The rows of ``docs`` without those whose component has a row of lower ``doc_id``, null last."""
     with scratch(docs.sparkSession):
-        found = staged(similar_classes(docs, row_key(), width, percent), "similar")
+        found = staged(similar_classes(docs, row_key(docs), width, percent), "similar")
         first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id")).alias("first")
         best = per_key(found.where("component IS NOT NULL"), ["component"], first)
         best = best.select("component", F.col("first.row_id").alias("best"))

@@ -5,7 +5,9 @@ point, mapped through the sources' cumulative targets, says whose turn it is: an
 the sources nearly in proportion. The slots of a source are ranked, and its slot of rank *r* takes block *r* of
 its documents, shuffled by a hash and laid end to end, again and again if the target exceeds the source. Blocks
 hold the same number of words for all sources. A source's last block is cut off at its target, and a source that
-the points give too few slots gets the missing ones at the end, so it takes its target to the word.
+the points give too few slots gets the missing ones at the end, so it takes its target to the word. A document comes
+where its blocks come: the mix gives out the slots of each of its passes, and the mixed corpus is in their order, so
+that any stretch of it holds the sources nearly in proportion.
 
 Targets: sources in order of code points, null last, have the weights ``WEIGHTS`` in turn and share the words of
 all documents; a target stops at ``MAX_PASSES`` times its source's words, and the excess goes to the others by
@@ -13,8 +15,10 @@ weight. That level is worked out at once from the sources in the order in which
 taken more than ``MAX_PASSES`` times.
 
 Null texts count as empty; texts without words have size 0 and take 0. A null source is a source, as is an empty
-one. Ties in the shuffle go by ``doc_id`` and row. Repeated rows are documents of their own. An empty table
-gives an empty result. The list of sources is sorted in one task; nothing else is.
+one. Ties in the shuffle go by ``doc_id`` and row. Repeated rows are documents of their own; other columns than id,
+text and source are carried, whatever their names. Words of very long texts are counted where the text is read; such
+a text covers many blocks. An empty table gives an empty result. The list of sources is sorted in one task; nothing
+else is.
 """
 
 from __future__ import annotations
@@ -22,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, as_often, keyed, row_key, scratch, staged, text_of
+from .common import WORD, columns_of, keyed, row_key, scratch, staged, text_of, unused
 
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
@@ -126,7 +130,10 @@ def laid_out(sizes: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mix(docs: DataFrame, key: Column | None = None, slots: int = SLOTS) -> DataFrame:
-    """Per row of ``docs``: ``row_id``, ``key``, ``doc_id``, ``size``, its source's ``source_size`` and ``target``, ``taken``."""
+    """Per row of ``docs``: ``row_id``, ``key``, ``doc_id``, ``size``, its source's ``source_size`` and ``target``, ``taken``.
+
+    And where: ``begins``, the first slot of each pass in order of passes, ``first_slot``, ``last_slot``, ``n_slots``.
+    """
     size = F.regexp_count(text_of(), F.lit(WORD)).cast("bigint").alias("size")
     sizes = staged(keyed(docs, "doc_id", "source", size, key=key), "sizes")
     targets = staged(source_targets(sizes), "targets")
@@ -145,15 +152,38 @@ def mix(docs: DataFrame, key: Column | None = None, slots: int = SLOTS) -> DataF
     blocks = F.sequence(F.floor(F.col("first") / F.col("block_words")), F.floor(F.col("last") / F.col("block_words")))
     columns = ["row_id", "key", "doc_id", "size", "source_size", "target"]
     pieces = rows.select(
-        *columns, "source_no", "first", "last", F.explode_outer(F.when(F.col("again").isNotNull(), blocks)).alias("block")
+        *columns, "again", "source_no", "first", "last", F.explode_outer(F.when(F.col("again").isNotNull(), blocks)).alias("block")
     )
     met = pieces.join(plan, ["source_no", "block"], "left")
     overlap = F.least(F.col("last") + 1, "end") - F.greatest("first", "start")
-    return met.groupBy(*columns).agg(F.coalesce(F.sum(overlap), F.lit(0)).cast("bigint").alias("taken"))
+    # A pass that is taken has a block, and of its blocks the first slot says where it comes.
+    begins = [F.min(F.when(F.col("again") == k, F.col("slot"))) for k in range(MAX_PASSES)]
+    return met.groupBy(*columns).agg(
+        F.coalesce(F.sum(overlap), F.lit(0)).cast("bigint").alias("taken"),
+        F.array_compact(F.array(*begins)).alias("begins"),
+        F.min("slot").alias("first_slot"),
+        F.max("slot").alias("last_slot"),
+        F.count("slot").alias("n_slots"),
+    )
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them: its words by the document's, rounded half up."""
+    """The rows of ``docs`` as often as the mix takes them, its words by the document's, rounded half up.
+
+    They are in the order of the schedule, each pass of a document where its first block is: the first partition
+    has the lowest slots, and a partition is sorted.
+    """
     with scratch(docs.sparkSession):
         times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0)
-        return as_often(docs, mix(docs, row_key()).select("key", times.alias("times")))
+        decided = mix(docs, row_key(docs)).where(times > 0)
+        decided = decided.select("key", F.slice("begins", F.lit(1), times.cast("int")).alias("slots"))
+        # Rows that agree in all columns share a key, so their slots are one list.
+        shared = decided.groupBy("key").agg(F.flatten(F.collect_list("slots")).alias("slots"), F.count("*").alias("rows"))
+        shared = staged(shared, "slots-of-rows", kept=True)
+        key, slot = unused(docs, "_key"), unused(docs, "_slot")
+        rows = docs.withColumn(key, row_key(docs))
+        if not shared.where("rows > 1").isEmpty():
+            rows = rows.dropDuplicates([key])
+        chosen = shared.select(F.col("key").alias(key), F.col("slots").alias(slot))
+        placed = rows.join(chosen, key).select(*columns_of(docs), F.explode(F.col(slot)).alias(slot))
+        return placed.repartitionByRange(slot).sortWithinPartitions(slot).select(*columns_of(docs))

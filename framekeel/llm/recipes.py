@@ -109,5 +109,5 @@ def deduplicate(
 def distinct_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     with scratch(docs.sparkSession):
-        decided = deduplicate(docs, row_key()).select("key", F.col("kept").cast("int").alias("times"))
+        decided = deduplicate(docs, row_key(docs)).select("key", F.col("kept").cast("int").alias("times"))
         return as_often(docs, decided)
