@@ -4,21 +4,24 @@ Each document becomes its token ids and an end id. A document longer than a sequ
 with what is left over as its first piece; nothing else is cut. Whole pieces are sequences by themselves. The
 others are dealt to groups of about ``GROUP`` by a hash of their row, and each group is packed on its own from
 lengths alone: longest first, each into the fullest sequence it fits. Then sequences that are not full trade
-pieces, one for one, two for one, or one moved, whenever that raises the sum of squared fills, which drains the
-emptier sequences until they are gone. A group that is packed again gives the same sequences.
+pieces, one for one, two of any other sequence for one, or one moved, whenever that raises the sum of squared fills,
+which drains the emptier sequences until they are gone. The sum rises with each trade, so the search ends by itself,
+when no trade is left. A group that is packed again gives the same sequences.
 
 Tokenising is a map over Arrow batches and keeps no more than one; only piece numbers and lengths are shuffled.
 
-A null text counts as empty, and an empty text is a piece of its end id alone. Repeated rows and null ids are
-documents of their own; other columns are not read. An empty table gives an empty result.
+A null text counts as empty, and an empty text is a piece of its end id alone. Very long texts are tokenised whole, in
+the task that reads them. Repeated rows and null ids are documents of their own; an id may have any type; other columns
+are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -32,8 +35,6 @@ LENGTH = 2048
 END_ID = 0
 #: Pieces packed together, on average.
 GROUP = 8192
-#: Rounds of trading; a round without gain ends it.
-ROUNDS = 20
 #: Numbers of sequences that are one whole piece start here.
 WHOLE = 1 << 62
 #: How byte-level BPE splits text before merging.
@@ -44,7 +45,7 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 def encoder(path: str):
     """The byte-level BPE of a ``tokenizers`` file, run by ``tiktoken``: the same ids, several times faster.
 
-    The strings of special tokens are ordinary text.
+    As there, the string of a special token inside a text is that token.
     """
     import tiktoken
 
@@ -54,15 +55,15 @@ def encoder(path: str):
     printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
     others = [b for b in range(256) if b not in printable]
     byte_of = {chr(b): b for b in printable} | {chr(0x100 + k): b for k, b in enumerate(others)}
-    special = {token["content"] for token in model["added_tokens"]}
+    special = {token["content"]: token["id"] for token in model["added_tokens"]}
     vocabulary = model["model"]["vocab"].items()
     ranks = {bytes(byte_of[c] for c in token): rank for token, rank in vocabulary if token not in special}
-    return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("byte-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def token_ids(path: str, text: str) -> np.ndarray:
     """The ids of a document, the end id last."""
-    ids = encoder(path).encode_to_numpy(text, disallowed_special=())
+    ids = encoder(path).encode_to_numpy(text, allowed_special="all")
     return np.append(ids, np.uint32(END_ID)).astype("<u4")
 
 
@@ -71,7 +72,7 @@ def pieces_of(docs: DataFrame, path: str, length: int = LENGTH, with_ids: bool =
 
     ``ids`` are the piece's ids as little-endian 32-bit numbers, null unless ``with_ids``.
     """
-    rows = numbered(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_of().alias("text")))
+    rows = numbered(docs.select("doc_id", text_of().alias("text")))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,7 +91,10 @@ def pieces_of(docs: DataFrame, path: str, length: int = LENGTH, with_ids: bool =
             names = ["row_id", "doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(kept, pa.binary())], names)
 
-    schema = "row_id bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, ids binary"
+    schema = rows.select("row_id", "doc_id").schema.add("piece", "integer")
+    for name in ("start", "length", "ids_crc32"):
+        schema = schema.add(name, "long")
+    schema = schema.add("ids", "binary")
     pieces = rows.select("row_id", "doc_id", "text").mapInArrow(cut, schema)
     return pieces.withColumn("number", F.monotonically_increasing_id())
 
@@ -117,15 +121,16 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def trade(lengths: np.ndarray, bins: list[list[int]], capacity: int, rounds: int = ROUNDS) -> list[list[int]]:
+def trade(lengths: np.ndarray, bins: list[list[int]], capacity: int) -> list[list[int]]:
     """Move or swap items between bins that are not full while that raises the sum of squared fills.
 
     Each bin in turn, the fullest first, asks for an item, or two, that fill its space or replace one of its items
     by more; a bin with less in it gives them and takes the replaced item. A bin that has nothing left is gone.
+    The sum rises with each trade and is bounded, so a round without any comes.
     """
     size = lengths.tolist()
     fill = [sum(size[i] for i in items) for items in bins]
-    for _ in range(rounds):
+    while True:
         loose = sorted((b for b in range(len(bins)) if 0 < fill[b] < capacity), key=lambda b: (-fill[b], b))
         by_size: list[set[int]] = [set() for _ in range(capacity + 1)]
         home = {}
@@ -181,39 +186,48 @@ def trade(lengths: np.ndarray, bins: list[list[int]], capacity: int, rounds: int
                     give(second, b)
                 gained = True
                 space = capacity - fill[b]
-            if space:
-                swap = _two_for_one(size, bins, fill, b, loose, space)
-                for item, to in swap:
-                    give(item, to)
-                gained |= bool(swap)
+        # Two for one is looked for when nothing simpler is left.
         if not gained:
-            break
-    return [items for items in bins if items]
+            gained = _two_for_one(size, bins, fill, [b for b in loose if bins[b]], capacity, give)
+        if not gained:
+            return [items for items in bins if items]
 
 
 def _two_for_one(
-    size: list[int], bins: list[list[int]], fill: list[int], b: int, loose: list[int], space: int
-) -> list[tuple[int, int]]:
-    """The moves that swap one item of ``b`` for two of the emptiest other bin that fill more of it."""
-    source = next((s for s in reversed(loose) if bins[s] and s != b and fill[s] < fill[b]), None)
-    if source is None or len(bins[source]) < 2:
-        return []
-    pairs = sorted(bins[source], key=lambda i: (size[i], i))
-    best = None
-    for own in bins[b]:
-        low, high = 0, len(pairs) - 1
-        while low < high:
-            gain = size[pairs[low]] + size[pairs[high]] - size[own]
-            if gain > space:
-                high -= 1
-            else:
-                if gain > 0 and (best is None or gain > best[0]):
-                    best = gain, own, pairs[low], pairs[high]
-                low += 1
-    if best is None:
-        return []
-    _, own, one, two = best
-    return [(one, b), (two, b), (own, source)]
+    size: list[int], bins: list[list[int]], fill: list[int], loose: list[int], capacity: int, give: Callable[[int, int], None]
+) -> bool:
+    """Swap one item of a bin for two of another that fill more of it, wherever that raises the squares.
+
+    ``loose`` are the bins, the fullest first. The pairs of all of them are found by size; a bin trades once.
+    """
+    by_size: dict[int, list[tuple[int, int, int]]] = {}
+    for b in loose:
+        # Of a bin's pairs of one size any will do.
+        own = {size[one] + size[two]: (b, one, two) for one, two in combinations(bins[b], 2)}
+        for pair, found in own.items():
+            by_size.setdefault(pair, []).append(found)
+    sizes = sum(1 << s for s in by_size)
+    traded: set[int] = set()
+    for b in loose:
+        best = None
+        for own in bins[b] if b not in traded else ():
+            most, least = size[own] + capacity - fill[b], size[own] + (best[0] if best else 0)
+            left = sizes & ((1 << (most + 1)) - 1)
+            while left and (s := left.bit_length() - 1) > least:
+                # The emptiest bin comes last.
+                givers = (p for p in reversed(by_size[s]) if p[0] != b and p[0] not in traded)
+                pair = next(givers, None)
+                if pair and fill[pair[0]] < fill[b] + s - size[own]:
+                    best = (s - size[own], own, *pair)
+                    break
+                left ^= 1 << s
+        if best:
+            _, own, source, one, two = best
+            give(one, b)
+            give(two, b)
+            give(own, source)
+            traded |= {b, source}
+    return bool(traded)
 
 
 def pack(pieces: DataFrame, length: int = LENGTH, group: int = GROUP) -> DataFrame:
