@@ -4,17 +4,20 @@ A text's features are its words and the first bytes of longer words, each once h
 long text is not diluted. Of the features in a bounded sample of labelled texts, those are kept that come with toxic
 labels far more often than chance allows over all features tried (a Chernoff bound on the binomial tail, with a
 Bonferroni correction), and all features of identity terms. Copies would make any of their words look significant,
-so texts of the sample that agree in a min-hash of their word shingles count once, for each of ``SKETCHES`` hashes.
+so labelled texts that agree in a min-hash of their word shingles count once, for each of ``SKETCHES`` hashes. That
+is sorted out by ids and hashes alone before the sample is drawn, so neither copies nor labels without a text take a
+place in it.
 
-A logistic regression on these features is fitted in numpy. For each sentence of the sample that names a group, the
+A logistic regression on these features is fitted in numpy. In each sentence of the sample that names a group, the
 term is swapped for every other one of its list and for a neutral word, and the squared change of the sentence's
-logit is penalised. So the weights of identity terms shrink towards each other and towards a neutral word's, while
+logit is penalised; sentences of a text in which a swap changes the same features count once. So the weights of identity terms shrink towards each other and towards a neutral word's, while
 what is said about a group keeps its weight. The sample has more toxic texts than the corpus; the intercept takes
 that back, so the score is a probability.
 
 A null text counts as empty; texts without a kept feature score the base rate of such texts. Of several labels of a
 document the highest counts; null labels and labels without a document are not learned from. Without toxic labels
-all scores are 0. Repeated rows and null ids are scored like others. An empty table gives an empty result.
+all scores are 0. Repeated rows and null ids are scored like others; other columns may have any name and type. Very long
+texts are read whole. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -36,8 +39,7 @@ from .sampling import fold, letters
 TOXIC, CLEAN = 4000, 6000
 PREFIXES = (4, 5, 6, 7)
 SKETCHES = 2
-#: Features that are kept at most, and how surely none of all tried ones is there by chance.
-FEATURES = 1 << 14
+#: How surely none of all tried features is kept by chance.
 CHANCE = 0.01
 #: Weight of the penalty on score changes, and of the one on the weights' squares.
 COUNTERFACTUAL, RIDGE = 10.0, 0.02
@@ -75,14 +77,14 @@ def counterfactuals(text: str) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     lower = text.lower()
     if not _TERMS.search(lower):
         return
+    # What a swap changes depends on the two words alone once the sentence's other features are set aside.
     swaps = {}
     for sentence in _SENTENCES.split(lower):
         for term in set(_TERMS.findall(sentence)):
             rest = re.sub(rf"\b{term}\b", " ", sentence)
-            kept = features(_plain(rest))
-            swaps.setdefault(term, np.setdiff1d(features(term), kept))
-    # What a swap changes depends on the two words alone once the sentence's other features are set aside.
-    for term, lost in sorted(swaps.items()):
+            lost = np.setdiff1d(features(term), features(_plain(rest)))
+            swaps[term, lost.tobytes()] = lost
+    for (term, _), lost in sorted(swaps.items(), key=lambda s: s[0]):
         for other in (*IDENTITY_TERMS, NEUTRAL):
             if other != term:
                 yield lost, features(other)
@@ -121,35 +123,40 @@ NEVER = Model(np.empty(0, dtype=np.uint64), np.empty(0), 0.0)
 def _sample(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """``label``, ``text`` as it is and ``plain`` of a bounded number of labelled texts, one of each set of copies."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~fold(F.col("doc_id")))
-    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
-    known = staged(known.where("label IN (0, 1)").withColumn("turn", F.xxhash64("doc_id", F.lit("toxic"))), "labels")
-    chosen = known.where("label = 1").orderBy("turn").limit(TOXIC)
-    chosen = chosen.unionByName(known.where("label = 0").orderBy("turn").limit(CLEAN))
-    # At most TOXIC + CLEAN rows of two numbers.
-    ids = F.broadcast(chosen.select(F.col("doc_id").alias("_doc"), "label", "turn"))
-    rows = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("_doc")).where("text IS NOT NULL")
-    rows = rows.select("label", "turn", "text", letters(F.col("text")).alias("plain"))
+    known = known.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label")).where("label IN (0, 1)")
+    rows = docs.where("doc_id IS NOT NULL AND text IS NOT NULL").select(
+        "doc_id", F.xxhash64("text").alias("text_hash"), letters(F.col("text")).alias("plain")
+    )
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = np.array([_sketch(raw) for raw in texthash.raw_texts(batch.column("plain"))], dtype=np.int64)
             marks = marks.reshape(-1, SKETCHES)
-            names = [*batch.schema.names, *(f"mark{k}" for k in range(SKETCHES))]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(marks[:, k]) for k in range(SKETCHES))], names)
+            names = ["doc_id", "text_hash", *(f"mark{k}" for k in range(SKETCHES))]
+            columns = [batch.column("doc_id"), batch.column("text_hash")]
+            yield pa.RecordBatch.from_arrays([*columns, *(pa.array(marks[:, k]) for k in range(SKETCHES))], names)
 
-    schema = "label int, turn bigint, text string, plain string, " + ", ".join(f"mark{k} bigint" for k in range(SKETCHES))
-    marked = staged(rows.mapInArrow(sketched, schema), "marked")
-    # Numbers alone decide which texts stay; the text joins them afterwards.
-    kept = marked.select("label", "turn", *(f"mark{k}" for k in range(SKETCHES)))
+    schema = rows.select("doc_id", "text_hash").schema
+    for k in range(SKETCHES):
+        schema = schema.add(f"mark{k}", "long")
+    # From here to the sample, rows are an id and some numbers.
+    turn = F.xxhash64("doc_id", F.lit("toxic")).alias("turn")
+    kept = staged(rows.mapInArrow(sketched, schema).join(known, "doc_id").select("*", turn), "sketches")
     for k in range(SKETCHES):
         first = kept.groupBy("label", f"mark{k}").agg(F.min("turn").alias("turn"))
         kept = kept.join(first.select("label", "turn"), ["label", "turn"], "left_semi")
-    kept = F.broadcast(kept.select("label", "turn").distinct())
-    return staged(marked.join(kept, ["label", "turn"], "left_semi").select("label", "turn", "text", "plain"), "sample")
+    chosen = kept.where("label = 1").orderBy("turn", "text_hash").limit(TOXIC)
+    chosen = chosen.unionByName(kept.where("label = 0").orderBy("turn", "text_hash").limit(CLEAN))
+    # At most TOXIC + CLEAN rows of four numbers.
+    ids = chosen.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_text"), "label", "turn").distinct()
+    ids = F.broadcast(staged(ids, "sampled-ids"))
+    same = (F.col("doc_id") == F.col("_doc")) & (F.xxhash64("text") == F.col("_text"))
+    found = docs.select("doc_id", "text").join(ids, same).dropDuplicates(["label", "turn", "_text"])
+    return staged(found.select("label", "turn", "text", letters(F.col("text")).alias("plain")), "sample")
 
 
 def _significant(sample: DataFrame, toxic: int, clean: int) -> np.ndarray:
-    """The hashes of the features that go with toxic texts, most surely ones first, at most ``FEATURES``."""
+    """The hashes of the features that go with toxic texts; each of them is in many texts of the sample."""
 
     def summed(sets: list[np.ndarray], marks: list[int]) -> pa.RecordBatch:
         own = np.concatenate([np.empty(0, dtype=np.uint64), *sets])
@@ -185,8 +192,7 @@ def _significant(sample: DataFrame, toxic: int, clean: int) -> np.ndarray:
     surely = F.col("seen") * (part(share, base) + part(1 - share, 1 - base))
     kept = counts.where(share > base).withColumn("surely", surely)
     kept = kept.where(F.col("surely") >= float(np.log(max(tried, 1) / CHANCE)))
-    best = kept.orderBy(F.col("surely").desc(), "feature").limit(FEATURES)
-    return np.array([r.feature for r in best.select("feature").collect()], dtype=np.int64).astype(np.uint64)
+    return np.array([r.feature for r in kept.select("feature").collect()], dtype=np.int64).astype(np.uint64)
 
 
 def _rows(sample: DataFrame, hashes: np.ndarray) -> list:
@@ -280,8 +286,7 @@ def score(docs: DataFrame, model: Model, *columns: str) -> DataFrame:
             arrays = [*kept, pa.array(found, pa.float64()), pa.array(toxic, pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, [*columns, "score", "predicted"])
 
-    kinds = [f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns]
-    return plain.mapInArrow(scored, ", ".join([*kinds, "score double, predicted int"]))
+    return plain.mapInArrow(scored, plain.select(*columns).schema.add("score", "double").add("predicted", "integer"))
 
 
 def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -303,6 +308,5 @@ def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     # By number, as columns may have any names.
     names = [f"_{k}" for k in range(len(docs.columns))]
-    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema))
     plain = docs.select(*columns_of(docs), letters(F.col("text"))).toDF(*names, "plain")
-    return plain.mapInArrow(passing, schema).toDF(*docs.columns)
+    return plain.mapInArrow(passing, plain.select(*names).schema).toDF(*docs.columns)
