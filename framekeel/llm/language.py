@@ -6,13 +6,14 @@ together by stochastic gradient descent in numpy on the driver, on about ``SAMPL
 texts of each language, or an even share of ``SAMPLE`` if there are many languages, whole texts, of which the tasks
 send counts per bucket. A fifth of them is kept aside to fit
 the softmax's temperature, so the score is a probability that can be relied on, and to find the score from which
-on predictions are ``ACCURACY`` right; those below it are marked as not ``accepted``.
+on predictions are ``ACCURACY`` right; those below it are marked as not ``accepted``. Fewer than ten rows are too few
+to keep any aside: then the temperature is 1 and every prediction is accepted.
 
 Prediction adds up one small table of the embeddings' products with the layer, in pieces of whole texts.
 
 A null text, or one without letters, is ``und`` with score 0, as is every text if no labelled row was there to learn
 from. Repeated rows and null ids are predicted like others; a null language is not learned from. The language,
-source and id are no inputs of a prediction. An empty table gives an empty result.
+source and id are no inputs of a prediction, and other columns are not read. An empty table gives an empty result.
 """
 
 from __future__ import annotations

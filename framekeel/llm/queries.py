@@ -93,19 +93,25 @@ URL_RULES = [
     urls.Rule("allow", "com", "/fr/"),
     urls.Rule("block", "com", "/de/"),
 ]
-#: Names in hosts whose pages make the list.
+#: Names in hosts whose pages are on the list.
 LISTED_HOSTS = r"(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\."
 
 
+def listed_urls(pages: DataFrame) -> DataFrame:
+    """A list that no rule on hosts makes up: beside whole hosts, pages of any host that a hash of their URL reports."""
+    rows = pages.select(urls.host_of(F.col("url")).alias("host"), urls.canonical(F.col("url")).alias("canonical"))
+    reported = F.md5("canonical") < "8"
+    return rows.where(F.col("host").rlike(LISTED_HOSTS) | reported).select("canonical")
+
+
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    of_hosts = pages.where(urls.host_of(F.col("url")).rlike(LISTED_HOSTS))
-    return urls.judge(pages, of_hosts.select(urls.canonical(F.col("url")).alias("canonical")), URL_RULES)
+    return urls.judge(pages, listed_urls(pages), URL_RULES)
 
 
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mixing.mix(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "size", "source_size", "target", "taken")
+    return rows.select("doc_id", "size", "source_size", "target", "taken", "first_slot", "last_slot", "n_slots")
 
 
 def tokenizer_path() -> str:
@@ -200,7 +206,8 @@ SQL = {
             GROUP BY page_id
         )
         SELECT k.page_id, host, path, rule, coalesce(fit.verdict, CASE WHEN canonical <> '' AND canonical IN (
-                SELECT canonical FROM k WHERE regexp_matches(host, '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.')
+                SELECT canonical FROM k WHERE md5(canonical) < '8'
+                    OR regexp_matches(host, '(^|\.)(ads-track|adult-x|casino-win|cheap-pills|free-bets|spam-farm)\.')
             ) THEN 'block' ELSE 'allow' END) AS verdict
         FROM k LEFT JOIN fit USING (page_id)""",
     "op7_source_mix": r"""
@@ -228,14 +235,45 @@ SQL = {
             SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::bigint AS quota,
                 sum(d.size) OVER (
                     PARTITION BY d.source ORDER BY md5('mix ' || d.doc_id::varchar), d.doc_id
-                ) - d.size AS place
+                )::bigint - d.size AS place, d.source
             FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+        ), b AS (
+            SELECT source, round(target)::bigint AS quota,
+                greatest(ceil((SELECT sum(size) FROM d) / 262144), 1)::bigint AS words,
+                sum(share) OVER line - share AS low, sum(share) OVER line AS high,
+                row_number() OVER (ORDER BY source DESC NULLS FIRST) = 1 AS last
+            FROM (SELECT *, target / sum(target) OVER () AS share FROM t WHERE target > 0)
+            WINDOW line AS (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING)
+        ), dealt AS (
+            SELECT i AS slot, source, quota, words,
+                row_number() OVER (PARTITION BY source ORDER BY i) - 1 AS block
+            FROM (SELECT i, (i + 0.5::double) * 0.6180339887498949::double AS turn FROM range(262144) AS r(i)) p
+            JOIN b ON low <= turn - floor(turn) AND (turn - floor(turn) < high OR last)
+        ), slots AS (
+            SELECT slot, source, block FROM dealt WHERE block * words < quota
+            UNION ALL
+            SELECT 262144 + block, b.source, block FROM b
+                LEFT JOIN (SELECT source, count(*) AS n FROM dealt GROUP BY source) g
+                    ON g.source IS NOT DISTINCT FROM b.source,
+                unnest(range(coalesce(n, 0), ceil(quota / words)::bigint)) AS m(block)
+        ), touched AS (
+            SELECT doc_id, place, p.source, unnest(range(a // words, (z - 1) // words + 1)) AS block
+            FROM (
+                SELECT doc_id, place, source, again * source_size + place AS a,
+                    least(again * source_size + place + size, quota) AS z
+                FROM placed, unnest([0, 1, 2]) AS n(again) WHERE size > 0
+            ) p JOIN b ON p.source IS NOT DISTINCT FROM b.source WHERE a < z
+        ), held AS (
+            SELECT doc_id, place, t.source, min(slot) AS first_slot, max(slot) AS last_slot, count(*) AS n_slots
+            FROM touched t JOIN slots s ON s.source IS NOT DISTINCT FROM t.source AND s.block = t.block
+            GROUP BY doc_id, place, t.source
         )
-        SELECT doc_id, size, source_size, target,
+        SELECT p.doc_id, size, source_size, target,
             CASE WHEN source_size = 0 THEN 0
-            ELSE quota // source_size * size + greatest(0, least(quota % source_size, place + size) - place)
-            END::bigint AS taken
-        FROM placed""",
+            ELSE quota // source_size * size + greatest(0, least(quota % source_size, p.place + size) - p.place)
+            END::bigint AS taken, first_slot, last_slot, coalesce(n_slots, 0) AS n_slots
+        FROM placed p LEFT JOIN held h
+            ON h.doc_id = p.doc_id AND h.place = p.place AND h.source IS NOT DISTINCT FROM p.source AND p.size > 0""",
     "op9_ngram_jaccard": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',

@@ -94,9 +94,8 @@ def bloom_filter(listed: DataFrame) -> tuple[DataFrame, int]:
     return staged(masks.groupBy("block").agg(*words), "bloom"), n_blocks
 
 
-def listed_rows(rows: DataFrame, listed: DataFrame) -> DataFrame:
-    """``rows`` with whether their ``canonical`` is in ``listed``, as ``listed``; ``canonical`` may be null."""
-    listed = staged(listed.select("canonical").where("canonical <> ''").distinct(), "listed")
+def possible_hits(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """``rows`` with ``may``, whether the filter of ``listed`` passes their ``canonical``, written."""
     words, n_blocks = bloom_filter(listed)
     if n_blocks * 8 * (WORDS + 1) <= BROADCAST_BYTES:
         words = F.broadcast(words)
@@ -105,7 +104,13 @@ def listed_rows(rows: DataFrame, listed: DataFrame) -> DataFrame:
     may = F.lit(True)
     for k in range(WORDS):
         may = may & (F.col(f"word{k}").bitwiseAND(F.col(f"mask{k}")) == F.col(f"mask{k}"))
-    probed = staged(probe.select(*rows.columns, F.coalesce(may, F.lit(False)).alias("may")), "probed")
+    return staged(probe.select(*rows.columns, F.coalesce(may, F.lit(False)).alias("may")), "probed")
+
+
+def listed_rows(rows: DataFrame, listed: DataFrame) -> DataFrame:
+    """``rows`` with whether their ``canonical`` is in ``listed``, as ``listed``; ``canonical`` may be null."""
+    listed = staged(listed.select("canonical").where("canonical <> ''").distinct(), "listed")
+    probed = possible_hits(rows, listed)
     found = listed.withColumn("listed", F.lit(True))
     hits = probed.where("may").join(found, "canonical", "left")
     hits = hits.select(*rows.columns, F.coalesce("listed", F.lit(False)).alias("listed"))

@@ -3,6 +3,7 @@
 import hashlib
 import re
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -10,6 +11,7 @@ import pyarrow as pa
 import pytest
 from framekeel.llm import (
     chat,
+    common,
     components,
     jaccard,
     language,
@@ -365,6 +367,46 @@ def test_toxicity_of_odd_texts(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns and kept.count() == 14
 
 
+def test_sample_is_not_used_up(spark, monkeypatch):
+    """Neither labels without a text nor copies take a place in the sample."""
+    monkeypatch.setattr(toxicity, "TOXIC", 40)
+    monkeypatch.setattr(toxicity, "CLEAN", 60)
+    rng = np.random.default_rng(5)
+
+    def text():
+        return " ".join("w" + "".join(rng.choice(list("abcdefgh"), 5)) for _ in range(30))
+
+    copied = text()
+    docs = [(k, text()) for k in range(100)] + [(k, copied + f" x{k}") for k in range(100, 900)]
+    docs += [(k, None) for k in range(900, 1500)]
+    marks = [(k, 0, 1) for k in range(50)] + [(k, 0, 0) for k in range(50, 100)] + [(k, 0, 1) for k in range(100, 4000)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    sample = toxicity._sample(frame, labels(spark, marks)).collect()
+    own = [i for i in range(50) if not i_is_held_out(i)]
+    texts = {r.text for r in sample if r.label == 1}
+    assert len(texts & {docs[i][1] for i in own}) >= min(len(own), 40) - 3
+    assert sum(t.startswith(copied) for t in texts) <= 3
+
+
+def i_is_held_out(i):
+    return zlib.crc32(str(i).encode()) % 4 == 2
+
+
+def test_each_sentence_with_a_term_is_swapped():
+    whole = list(toxicity.counterfactuals("the women left. womens women left, the men too."))
+    terms = len(toxicity.IDENTITY_TERMS)
+    # women in two sentences, with its prefixes in one of them kept by womens, and men in one.
+    assert len(whole) == 3 * terms
+    assert list(toxicity.counterfactuals("nobody here")) == []
+
+
+def test_columns_of_any_name_and_type_pass(spark):
+    docs = spark.sql("SELECT 1L doc_id, 'a text' text, named_struct('x y', 1, 'z', map('k', 2)) `a struct`, 1.5BD `d e c`")
+    marks = [(k, 1, k % 2) for k in range(1, 5)]
+    kept = toxicity.clean_documents(docs, labels(spark, marks))
+    assert kept.schema == docs.schema
+
+
 # --- 6: URLs -------------------------------------------------------------------------------------
 
 
@@ -406,6 +448,26 @@ def test_filter_loses_no_listed_url(spark, monkeypatch, most):
     assert words.count() <= n_blocks == 188
 
 
+def test_the_exact_join_removes_what_the_filter_lets_through(spark):
+    rows = spark.range(200_000).select(F.concat(F.lit("h/"), "id").alias("canonical"))
+    listed = rows.where(F.md5("canonical") < "8")
+    probed = urls.possible_hits(rows, listed)
+    exact = listed.count()
+    passed = probed.where("may").count()
+    # No listed URL is lost; some hundredths of the others pass the filter, and the join takes them out.
+    assert 0 < passed - exact < 0.05 * (200_000 - exact)
+    assert urls.listed_rows(rows, listed).where("listed").count() == exact
+
+
+def test_listed_and_other_pages_share_hosts(spark):
+    """Verdicts cannot be read off hosts: the list decides page by page, and spellings of a URL count as one."""
+    from framekeel.llm.queries import op6_url_filter
+
+    judged = op6_url_filter(spark, "/root/testdata/sf0.01").where("rule IS NULL AND host <> ''")
+    verdicts = judged.groupBy("host").agg(F.count_distinct("verdict").alias("n"), F.count("*").alias("pages"))
+    assert verdicts.where("n = 2").count() > 0
+
+
 # --- 7: mixing -----------------------------------------------------------------------------------
 
 
@@ -415,10 +477,79 @@ def test_mix_of_odd_texts(odd_docs, no_docs):
     assert all(r.taken <= 3 * r.size for r in rows)
     total = sum(r.size for r in rows)
     assert abs(sum({(r.source_size, r.target) for r in rows} and [r.taken for r in rows]) - total) <= 6
+    assert all((r.n_slots > 0) == (r.taken > 0) == (r.first_slot is not None) for r in rows)
     copies = mixing.mixed_documents(odd_docs)
     assert copies.columns == odd_docs.columns and mixing.mixed_documents(no_docs).count() == 0
 
 
+def test_rows_that_differ_in_source_alone_are_two(spark):
+    """The mix, and the deduplications, keep the columns of each row."""
+    rows = [(1, "a b c d", "s1", {"k x": 1}), (1, "a b c d", "s2", None), (2, "e f", "s1", None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, `my map` map<string,int>")
+    taken = {(r.doc_id, r.source_size): r.taken for r in mixing.mix(docs).collect()}
+    mixed = Counter((r.doc_id, r.source) for r in mixing.mixed_documents(docs).collect())
+    assert mixed == {(1, "s1"): round(taken[1, 6] / 4), (1, "s2"): round(taken[1, 4] / 4), (2, "s1"): round(taken[2, 6] / 2)}
+    for kept in (recipes.distinct_documents(docs), jaccard.representative_documents(docs)):
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == [(1, "a b c d"), (2, "e f")]
+        assert {tuple(r)[:3] for r in kept.collect()} <= {r[:3] for r in rows}
+
+
+def mixed_sources(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    mixed = mixing.mixed_documents(docs).select("source", F.size(F.split("text", r"\s+")).alias("n")).collect()
+    return docs, [(r.source, r.n) for r in mixed]
+
+
+def test_any_prefix_of_the_mix_is_in_proportion(spark, sf_dir):
+    docs, mixed = mixed_sources(spark, sf_dir)
+    targets = {r.source: r.target for r in mixing.mix(docs).collect() and mixing.source_targets(
+        docs.select("source", F.regexp_count("text", F.lit(mixing.WORD)).cast("bigint").alias("size"))).collect()}
+    total, longest, seen, taken = sum(targets.values()), max(n for _, n in mixed), 0, Counter()
+    apart = 0.0
+    for source, n in mixed:
+        taken[source] += n
+        seen += n
+        apart = max(apart, max(abs(taken[s] - seen * t / total) for s, t in targets.items()))
+    # A source is never ahead or behind by more than a few of the longest documents.
+    assert apart < 4 * longest
+
+
+def test_the_points_shape_the_mix(spark, sf_dir, monkeypatch):
+    """With all points equal the schedule is no longer even, so the slots and the order differ."""
+    docs, even = mixed_sources(spark, sf_dir)
+    slots = {r.doc_id: (r.first_slot, r.last_slot) for r in mixing.mix(docs).collect()}
+    monkeypatch.setattr(mixing, "GOLDEN", 0.0)
+    _, uneven = mixed_sources(spark, sf_dir)
+    moved = {r.doc_id: (r.first_slot, r.last_slot) for r in mixing.mix(docs).collect()}
+    assert uneven != even and sum(moved[i] != slots[i] for i in slots) > 0.5 * len(slots)
+
+
+def test_scopes_of_threads_are_apart(spark):
+    """A table that one thread has staged is still there when another thread's scope ends."""
+    from threading import Barrier, Thread
+
+    meet, seen = Barrier(2), {}
+
+    def stage(name, first):
+        with common.scratch(spark):
+            if not first:
+                meet.wait()
+            own = common.staged(spark.range(10), name)
+            if first:
+                meet.wait()
+                meet.wait()
+                seen[name] = own.count()
+        if not first:
+            meet.wait()
+
+    threads = [Thread(target=stage, args=(f"t{k}", k == 0)) for k in range(2)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join(60)
+    assert seen == {"t0": 10}
+
+
 def test_targets_stop_at_three_times_the_source(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 1), (None, 500), ("", 0)], "source string, size bigint")
     rows = {r.source: (r.source_no, r.target) for r in mixing.source_targets(sizes).collect()}
@@ -460,8 +591,8 @@ def test_ids_agree_with_tokenizers():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
     texts = ["", " ", "a" * 5000, " " * 3000 + "é<|endoftext|>", "\n\n\t  x\r\n", "😀👩\u200d👧 漢字\u3000かな", "it's we'll I'M"]
+    texts += ["hello <|endoftext|> world", "<|endoftext|><|endoftext|>\n <|endoftext|", "a  <|endoftext|>  b"]
     texts += ["\x00\x01\ufeff", "١٢٣ ½ Ⅷ", "a\u0301e\u0301", "  lead", "tail  ", "\xa0\u2003x", "x\x85y \u2028 z"]
     for text in texts:
         expected = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
@@ -484,6 +615,21 @@ def test_trades_never_lose_and_never_need_more():
         assert len(packing.trade(sizes, [list(b) for b in fitted], 2048)) <= len(fitted)
 
 
+def test_two_small_items_of_any_bin_replace_a_larger_one():
+    # Bin 0 lacks 1. Neither an item nor the pair of the emptiest bin fits, but a pair of the one before does.
+    sizes = np.array([60, 39, 20, 41, 30, 5, 3])
+    traded = packing.trade(sizes, [[0, 1], [2, 3, 4], [5, 6]], 100)
+    assert max(int(sizes[b].sum()) for b in traded) == 100
+    squares = [sum(int(sizes[b].sum()) ** 2 for b in bins) for bins in ([[0, 1], [2, 3, 4], [5, 6]], traded)]
+    assert squares[1] > squares[0] and sorted(k for b in traded for k in b) == list(range(7))
+
+
+def test_ids_of_documents_may_be_text(spark, tmp_path):
+    docs = spark.createDataFrame([("x", "one two"), (None, "three")], "doc_id string, text string")
+    rows = packing.packed_documents(docs, tokenizer_path()).collect()
+    assert {r.doc_id for r in rows} == {"x", None}
+
+
 # --- 9: Jaccard ----------------------------------------------------------------------------------
 
 

@@ -17,9 +17,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    tokenizer = Tokenizer.from_file(tokenizer_path())
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(tokenizer_path())
 
 
 @pytest.mark.parametrize("name", SQL)
@@ -96,14 +94,33 @@ def test_edited_texts_are_right(spark, documents, sf_dir):
     assert sum(r.near_next for r in long) / len(long) < 0.1
 
 
-def test_toxicity_is_found(spark, documents):
-    folder = "/root/testdata/sf0.01"
+def test_toxicity_is_found_in_rows_that_were_held_out(spark):
+    folder = "/root/testdata/sf0.1"
     rows = {r.doc_id: r for r in QUERIES["op5_toxicity"](spark, folder).collect()}
     labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
-    clean = [rows[r.doc_id].predicted for r in labels if r.toxic == 0]
-    toxic = [rows[r.doc_id].predicted for r in labels if r.toxic == 1]
-    assert len(rows) == 1000 and sum(clean) / len(clean) < 0.05 and sum(toxic) / len(toxic) > 0.6
-    assert all(r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1 for r in rows.values())
+    assert len(rows) == 10_000 and all(r.predicted == (r.score >= 0.3) and 0 <= r.score <= 1 for r in rows.values())
+    held = [r for r in labels if rows[r.doc_id].held_out]
+    clean = [rows[r.doc_id].predicted for r in held if r.toxic == 0]
+    toxic = [rows[r.doc_id].predicted for r in held if r.toxic == 1]
+    assert sum(clean) < 0.02 * len(clean) and sum(toxic) > 0.8 * len(toxic)
+
+
+def test_swapped_terms_move_held_out_scores_little(spark):
+    """Held-out texts with a group named at their start: another group, or none, changes scores by little."""
+    from framekeel.llm import toxicity
+    from pyspark.sql import functions as F
+
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.train(docs, labels)
+    held = docs.where("crc32(cast(doc_id as string)) % 4 = 2").where("length(text) < 2000")
+    scores = {}
+    for term in ("people", "women", "muslims", "refugees"):
+        named = held.withColumn("text", F.concat(F.lit(f"About {term}. "), "text"))
+        scores[term] = {r.doc_id: r.score for r in toxicity.score(named, model, "doc_id").collect()}
+    for term in ("women", "muslims", "refugees"):
+        moved = np.array([abs(scores[term][i] - scores["people"][i]) for i in scores["people"]])
+        assert moved.mean() < 0.01 and moved.max() < 0.15
 
 
 def assert_packed(rows, texts, tokenizer, length=2048):
