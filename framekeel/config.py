@@ -11,15 +11,16 @@ class HealthJobConfig:
 
     bucket: str
     checkpoint: str
-    base_path: str = "dataflow/sliding_window_health/"
+    base_path: str
+    module: str
     protocol: str = "gs://"
-    module: str = "monitoring_pb2.AnnotatedMonitoringImage"
     window_period_seconds: int = 60
     window_size_seconds: int = 300
     min_score_threshold: float = 0.66
     max_boxes_to_draw: int = 5
     watermark_delay: str = "0 seconds"
     repeats_within: str | None = None
+    model_version: str | None = None
 
     @property
     def session_gap_seconds(self) -> int:
@@ -32,6 +33,6 @@ class RenderJobConfig:
 
     bucket: str
     checkpoint: str
-    base_path: str = "dataflow/sliding_window_health"
+    base_path: str
+    module: str
     protocol: str = "gs://"
-    module: str = "monitoring_pb2.AnnotatedMonitoringImage"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..contracts import transform
 from .lookups import per_key
 
 # A coefficient below this share of the largest counts as zero.
@@ -16,6 +17,7 @@ NEARLY_REAL = 1e-6
 DAY = 86_400
 
 
+@transform(needs="ts bigint, health_weight double, health_score double", gives="ts bigint, health double")
 def score_by_ts(rows: DataFrame, *keys: str) -> DataFrame:
     """Best positive plus worst negative health score at each ``ts``; a missing side counts 0.
 
@@ -25,6 +27,11 @@ def score_by_ts(rows: DataFrame, *keys: str) -> DataFrame:
     return rows.where(F.col("health_weight") != 0).groupBy(*keys, "ts").agg(_health().alias("health"))
 
 
+def second_health() -> Column:
+    """The health of the detections of a second, null if none of them has a weight."""
+    return F.when(F.count_if(F.col("health_weight") != 0) > 0, _health())
+
+
 def _health() -> Column:
     score, weight = F.col("health_score"), F.col("health_weight")
     number = ~F.isnan(score)
@@ -33,6 +40,7 @@ def _health() -> Column:
     return F.coalesce(best, F.lit(0.0)) + F.coalesce(worst, F.lit(0.0))
 
 
+@transform(needs="ts bigint", gives="cumsum double")
 def running_sum(scores: DataFrame, *keys: str, value: str = "health", chunk_seconds: int = DAY) -> DataFrame:
     """Add ``cumsum``: the running sum of ``value`` by ``ts`` within ``keys``.
 
@@ -60,6 +68,7 @@ def running_sum(scores: DataFrame, *keys: str, value: str = "health", chunk_seco
     )
 
 
+@transform(gives="n bigint, c0 double, c1 double, root double")
 def trend(points: DataFrame, *keys: str, x: str = "ts", y: str = "cumsum") -> DataFrame:
     """Straight line through the points of each key, in one aggregation.
 
@@ -67,7 +76,7 @@ def trend(points: DataFrame, *keys: str, x: str = "ts", y: str = "cumsum") -> Da
     root is in units of ``x``. A single point has no coefficients, a flat line no root.
     """
     fitted = points.groupBy(*keys).agg(*(c.alias(n) for n, c in _line_aggregates(x, y).items()))
-    return _with_line(fitted).select(*keys, "n", "x_min", "x_max", "c0", "c1", "root")
+    return with_line(fitted).select(*keys, "n", "x_min", "x_max", "c0", "c1", "root")
 
 
 def _line_aggregates(x: str, y: str) -> dict[str, Column]:
@@ -82,7 +91,7 @@ def _line_aggregates(x: str, y: str) -> dict[str, Column]:
     }
 
 
-def _with_line(fitted: DataFrame) -> DataFrame:
+def with_line(fitted: DataFrame) -> DataFrame:
     """Add ``c0``, ``c1`` and ``root`` to the aggregates of a line."""
     low, high = F.col("x_min"), F.col("x_max")
     return (
@@ -206,13 +215,13 @@ def nested_records(
     first = F.min(F.struct(*order_id, *(c for c in carry if c not in order_id)))
     records = rows.groupBy(*group, "ts").agg(
         F.sort_array(F.collect_list(detection)).alias("d"),
-        F.when(F.count_if(F.col("health_weight") != 0) > 0, _health()).alias("health"),
+        second_health().alias("health"),
         first.alias("first"),
     )
     whole = Window.partitionBy(*group)
     upto = whole.orderBy("ts").rowsBetween(Window.unboundedPreceding, 0)
     records = records.withColumn("cumsum", F.when(F.col("health").isNotNull(), F.sum("health").over(upto)))
-    lines = _with_line(
+    lines = with_line(
         records.select(
             "*",
             (F.col("ts") == F.max("ts").over(whole)).alias("closing"),

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..contracts import transform
 from ..functions import BoxCols, box_color, display_label, health_weight, percent_intersection
+from .asof import asof_join
 
 MIN_OVERLAP = 0.75
 IMAGE_COLUMNS = ("image_data", "image_tensor")
@@ -46,12 +46,18 @@ def keep_in_area(detections: Column, area: BoxCols, min_overlap: float = MIN_OVE
 def join_calibration(frames: DataFrame, calibrations: DataFrame) -> DataFrame:
     """Add the calibrated area of each frame's device, null where there is none.
 
-    Spark broadcasts the calibrations while they are below its size threshold and shuffles on the
+    Calibrations with ``valid_from`` are versions: each frame gets the one that was in force at its ``ts``. Spark broadcasts the calibrations while they are below its size threshold and shuffles on the
     device beyond it, so no hint is given here.
     """
+    if "valid_from" in calibrations.columns:
+        return asof_join(frames, calibrations, ["device_id"])
     return frames.join(calibrations, "device_id", "left")
 
 
+@transform(
+    needs="device_id int, detections array<struct<class:int,score:double,ymin:double,xmin:double,ymax:double,xmax:double>>",
+    gives="annotations_all struct<num_detections:int>, annotations_filtered struct<num_detections:int>",
+)
 def merge_filtered(
     frames: DataFrame, calibrations: DataFrame, min_overlap: float = MIN_OVERLAP
 ) -> DataFrame:
@@ -65,6 +71,10 @@ def merge_filtered(
     )
 
 
+@transform(
+    needs="annotations_all struct<num_detections:int>, annotations_filtered struct<num_detections:int>",
+    gives="effective struct<num_detections:int>",
+)
 def effective_annotations(frames: DataFrame) -> DataFrame:
     """Add ``effective``: the filtered annotations if any detection is left, otherwise all."""
     use_filtered = F.coalesce(F.col("annotations_filtered.num_detections") > 0, F.lit(False))
@@ -109,14 +119,16 @@ def overlay_boxes(
     def location(d: Column) -> Column:
         return F.struct(*(d[n].alias(n) for n in BoxCols._fields))
 
-    def at(place: Column) -> Column:
-        def there(d: Column) -> Column:
-            return reduce(and_, (d[n] == place[n] for n in BoxCols._fields))
+    def placed(d: Column, i: Column) -> Column:
+        return F.struct(location(d).alias("place"), i.alias("at"))
 
-        same = F.filter(drawn, there)
-        return F.struct(place.alias("place"), same.alias("same"))
+    def group(start: Column, end: Column) -> Column:
+        """The boxes of a run of equal places, in order of position."""
+        run = F.slice("_sorted", start + 1, end - start)
+        same = F.transform(run, lambda r: F.get(drawn, r["at"]))
+        return F.struct(run[0]["at"].alias("at"), run[0]["place"].alias("place"), same.alias("same"))
 
-    def overlay(group: Column) -> Column:
+    def marked(group: Column) -> Column:
         scored = F.filter(group["same"], lambda d: d["score"].isNotNull())
         last = F.try_element_at(group["same"], F.lit(-1))
         flag = F.coalesce(ignored(last), F.lit(False)) if ignored else F.lit(False)
@@ -140,14 +152,27 @@ def overlay_boxes(
             flag.alias("ignored"),
         )
 
-    places = F.array_distinct(F.transform(drawn, location))
+    # Sorted by place and position, equal places are runs: each box is looked at once, however many places there are.
+    n = F.size("_sorted")
+
+    def opens(i: Column) -> Column:
+        return (i == 0) | ~F.get("_sorted", i)["place"].eqNullSafe(F.get("_sorted", i - 1)["place"])
+
+    starts = F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda i: (i < n) & opens(i))
+    runs = F.transform("_starts", lambda start, k: group(start, F.coalesce(F.get("_starts", k + 1), n)))
+    # In order of the first box of each place.
     return (
-        frames.withColumn("_places", F.transform(places, at))
-        .withColumn("overlay", F.transform("_places", overlay))
-        .drop("_places")
+        frames.withColumn("_sorted", F.array_sort(F.transform(drawn, placed)))
+        .withColumn("_starts", starts)
+        .withColumn("overlay", F.transform(F.array_sort(runs), marked))
+        .drop("_sorted", "_starts")
     )
 
 
+@transform(
+    needs="ts bigint, session string, detections array<struct<pos:int,class:int,score:double>>",
+    gives="detection_class int, detection_score double, health_weight double, health_score double",
+)
 def explode_detections(frames: DataFrame, *keep: str) -> DataFrame:
     """One row per detection with its health weight and score; frames without detections vanish."""
     weight = health_weight(F.col("d.class"))
@@ -176,19 +201,23 @@ def postprocess(
 ) -> Column:
     """Raw model output of an image to annotations: class ids start at 1, boxes become structs.
 
-    The arrays keep their full length unless ``cut_to_count``; ``num_detections`` is the model's count.
+    The arrays keep their full length unless ``cut_to_count``; ``num_detections`` is the model's count. No output
+    stops a job: a class that is no number, or too large, is null, which is unknown; a count that is none, or below
+    0, counts as 0, and one above the number of boxes as that number; a list that is too short is filled with nulls.
     """
     rows = F.arrays_zip(boxes.alias("b"), classes.alias("c"), scores.alias("s"))
     found = F.transform(
         rows,
         lambda r, i: F.struct(
             (i + 1).cast("int").alias("pos"),
-            (r["c"].cast("int") + 1).alias("class"),
+            F.try_add(r["c"].try_cast("int"), F.lit(1)).alias("class"),
             r["s"].cast("double").alias("score"),
             *(F.get(r["b"], F.lit(k)).cast("double").alias(n) for k, n in enumerate(BoxCols._fields)),
         ),
     )
-    n = count.cast("int")
+    number = F.nanvl(F.coalesce(count.cast("double"), F.lit(0.0)), F.lit(0.0))
+    size = F.coalesce(F.size(rows), F.lit(0)).cast("double")
+    n = F.greatest(F.least(number, size), F.lit(0.0)).cast("int")
     if cut_to_count:
-        found = F.slice(found, F.lit(1), F.greatest(n, F.lit(0)))
+        found = F.slice(found, F.lit(1), n)
     return annotations(found, strict).withField("num_detections", n)

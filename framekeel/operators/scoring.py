@@ -21,11 +21,14 @@ def score_frames(
     cut_to_count: bool = False,
     strict: bool = False,
     keep_image: bool = False,
+    version: str | None = None,
 ) -> DataFrame:
     """Add ``annotations_all``, ``predict_ms`` and ``predict_images``; the image goes unless ``keep_image``.
 
-    ``load_model`` is called once per task and returns a function from a list of images to a list of
-    ``(boxes, classes, scores, count)``. Images go to the model in batches; turning its output
+    ``load_model`` returns a function from a list of images to a list of ``(boxes, classes, scores, count)``. It is
+    called once per task, or, if the model has a ``version``, about once per Python worker, which keeps the model for
+    later tasks and micro-batches; another version is another model. A result that is no such tuple, or holds what is
+    no number, becomes a frame without these detections and numbers; it does not stop the job. Images go to the model in batches; turning its output
     into annotations happens in Spark expressions. A frame whose image is null keeps null annotations.
     The first frame of a batch has the duration of the model's call and its number of images, the
     others have nulls, so each call counts once.
@@ -47,7 +50,9 @@ def score_frames(
         import numpy as np
         import pyarrow as pa
 
-        model = load_model()
+        from framekeel.operators.models import held
+
+        model = load_model() if version is None else held(version, load_model)
         raw_type = pa.struct(
             [
                 ("boxes", pa.list_(pa.list_(pa.float64()))),
@@ -64,7 +69,28 @@ def score_frames(
             ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
             return whole, ends, pa.array(missing)
 
+        def number(value):
+            try:
+                return float(value)
+            except (TypeError, ValueError, OverflowError):
+                return float("nan")
+
+        def listed(values):
+            return list(values) if np.iterable(values) and not isinstance(values, (str, bytes, dict)) else []
+
+        def repaired(result):
+            """A result of any kind as lists of numbers, NaN for what is none, and boxes of four corners."""
+            boxes, classes, scores, count = result if isinstance(result, (tuple, list)) and len(result) == 4 else ((), (), (), 0)
+            corners = [[number(c) for c in [*listed(b), *[None] * 4][:4]] for b in listed(boxes)]
+            return corners, [number(c) for c in listed(classes)], [number(s) for s in listed(scores)], number(count)
+
         def output(results):
+            try:
+                return packed(results)
+            except (TypeError, ValueError, IndexError, KeyError, OverflowError):
+                return packed([None if r is None else repaired(r) for r in results])
+
+        def packed(results):
             missing = [r is None for r in results]
 
             def part(k):
@@ -92,7 +118,8 @@ def score_frames(
                 results = iter(model(images) if images else [])
                 elapsed = int((time.monotonic() - start) * 1000)
                 first = next((k for k, i in enumerate(every) if i is not None), None)
-                raw = output([None if i is None else next(results) for i in every])
+                # A model that gives too few results gives none for the rest.
+                raw = output([None if i is None else next(results, ()) for i in every])
                 spent, seen = (
                     pa.array([value if k == first else None for k in range(len(every))], pa.int64())
                     for value in (elapsed, len(images))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..contracts import transform
 from ..functions.paths import window_bounds
 
 MICROS = 1_000_000
@@ -37,6 +38,7 @@ def first_per_window(df: DataFrame, key: str, order: list[str], period_seconds:
     )
 
 
+@transform(needs="event_time timestamp", gives="session_start timestamp, session_end timestamp, n_rows bigint")
 def sessions(df: DataFrame, key: str, gap_seconds: int, order_id: str, *carry: str) -> DataFrame:
     """Sessions per key: rows less than ``gap_seconds`` apart belong together.
 

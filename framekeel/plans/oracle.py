@@ -213,9 +213,12 @@ SELECT session, datesegment, cdn_output_path, latest_ts AS ts, user_id, {_REQUES
         "boxes_zip": f"""SELECT vec_id, CAST(i AS INTEGER) AS pos, e[i + 1]::double AS ymin, e[n + i + 1]::double AS xmin,
   e[2 * n + i + 1]::double AS ymax, e[3 * n + i + 1]::double AS xmax
 FROM ({_EMBEDDING}) v, unnest(range(0, n)) AS t(i)""",
-        "boxes_unzip": f"""SELECT vec_id, CAST(n AS INTEGER) AS n_ymin, CAST(n AS INTEGER) AS n_xmin,
-  CAST(n AS INTEGER) AS n_ymax, CAST(n AS INTEGER) AS n_xmax, e[n]::double AS last_ymin, e[2 * n]::double AS last_xmin,
-  e[3 * n]::double AS last_ymax, e[4 * n]::double AS last_xmax FROM ({_EMBEDDING}) v""",
+        "boxes_unzip": "SELECT vec_id, "
+        + ", ".join(
+            f"array_to_string([CAST(round(1000000 * x::double) AS BIGINT) FOR x IN e[{k} * n + 1:{k + 1} * n]], ',') AS {c}"
+            for k, c in enumerate(("ymin", "xmin", "ymax", "xmax"))
+        )
+        + f" FROM ({_EMBEDDING}) v",
         "conform_rejects": f"""WITH {_FRAMES} {_REJECT_LISTS}
 UNION ALL SELECT frame_id, 'user_id' FROM frames WHERE frame_id % 53 = 0
 UNION ALL SELECT frame_id, 'detection_classes' FROM frames
@@ -312,7 +315,10 @@ SELECT session, n, x_min, x_max, round(c0, 6) AS c0, round(c1, 6) AS c1,
         "health_trend_record": f"""WITH {_TREND}
 SELECT session, CASE WHEN n > 1 THEN 2 ELSE 0 END AS n_coef, x_min::double AS domain_min, x_max::double AS domain_max,
   -1.0::double AS window_min, 1.0::double AS window_max,
-  CASE WHEN n > 1 AND abs(c1) > 1e-9 * greatest(abs(c0), abs(c1)) THEN 1 ELSE 0 END AS n_roots, 1 AS degree FROM fit""",
+  CASE WHEN n > 1 AND abs(c1) > 1e-9 * greatest(abs(c0), abs(c1)) THEN 1 ELSE 0 END AS n_roots,
+  round(c0, 6) AS c0, round(c1, 6) AS c1,
+  CASE WHEN abs(c1) > 1e-9 * greatest(abs(c0), abs(c1)) THEN round(x_min + (1 - c0 / c1) / 2 * (x_max - x_min), 0) END AS root,
+  1 AS degree FROM fit""",
         "polynomial_trend": f"""WITH {_TREND}, s AS (
   SELECT session, n, x_min, x_max, sum(u) AS s1, sum(u * u) AS s2, sum(u * u * u) AS s3, sum(u * u * u * u) AS s4,
     sum(cumsum) AS t0, sum(u * cumsum) AS t1, sum(u * u * cumsum) AS t2 FROM scaled GROUP BY session, n, x_min, x_max),
@@ -439,12 +445,12 @@ UNION ALL SELECT 'output frames_without_image', count(*), NULL, NULL FROM arrive
 SELECT * FROM r WHERE reject IS NOT NULL""",
         "archive_paths": f"""WITH {_FRAMES}, w AS (SELECT *, ts // 31536000 * 31536000 AS s FROM frames)
 SELECT 'window=' || s || '_' || (s + 31536000) || '/' AS folder, session, count(*) AS n_frames FROM w GROUP BY s, session""",
-        "flat_archive": f"""WITH {_FRAMES}, w AS (SELECT *, ts // 31536000 * 31536000 AS s FROM frames)
-SELECT 'd' || (user_id % 7) AS session, s || '_' || (s + 31536000) AS "window", count(*) AS n_frames,
-  CAST(sum(frame_id) AS BIGINT) AS frame_id_sum FROM w GROUP BY 1, 2""",
+        "flat_archive": f"""WITH {_FRAMES}
+SELECT session, (ts // {_WINDOW} * {_WINDOW}) || '_' || (ts // {_WINDOW} * {_WINDOW} + {_WINDOW}) AS "window",
+  count(*) AS n_frames, CAST(sum(frame_id) AS BIGINT) AS frame_id_sum FROM frames GROUP BY 1, 2""",
         "no_calibrations": f"WITH {_FRAMES} SELECT frame_id, NULL::double AS c_ymin FROM frames",
-        "list_frames": f"""WITH {_FRAMES} SELECT DISTINCT device_id, strftime(to_timestamp(ts), '%Y') AS stem
-FROM frames WHERE device_id IS NOT NULL""",
+        "list_frames": f"""WITH {_FRAMES} SELECT session, ts, CAST(strlen(min(payload)) AS BIGINT) AS length
+FROM frames GROUP BY session, ts""",
         "drop_images": f"WITH {_FRAMES} SELECT frame_id, session, ts FROM frames",
         "render_order": f"""WITH {_FRAMES}, r AS (
   SELECT session, datesegment, ts, {_FRAME_PATH} AS outpath FROM frames WHERE frame_id % 89 <> 0)

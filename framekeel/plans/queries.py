@@ -97,11 +97,12 @@ def boxes_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def boxes_unzip(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _embedding_boxes(spark, sf_dir)
     arrays = boxes_to_arrays(F.col("boxes"))
-    return rows.select(
-        "vec_id",
-        *(F.size(a).alias("n_" + n) for n, a in arrays.items()),
-        *(F.try_element_at(a, F.lit(-1)).alias("last_" + n) for n, a in arrays.items()),
-    )
+
+    def listed(a):
+        numbers = F.transform(a, lambda x: F.coalesce(F.round(1_000_000 * x).cast("bigint").cast("string"), F.lit("-")))
+        return F.array_join(numbers, ",")
+
+    return rows.select("vec_id", *(listed(a).alias(n) for n, a in arrays.items()))
 
 
 def _raw_records(spark, sf_dir):
@@ -438,6 +439,8 @@ def health_trend_record(spark: SparkSession, sf_dir: str) -> DataFrame:
         t["window"][0].alias("window_min"),
         t["window"][1].alias("window_max"),
         F.coalesce(F.size(t["roots"]), F.lit(0)).alias("n_roots"),
+        *(F.round(F.get(t["coef"], F.lit(k)), 6).alias(f"c{k}") for k in range(2)),
+        F.round(F.get(t["roots"], F.lit(0)), 0).alias("root"),
         t["degree"].alias("degree"),
     )
 
@@ -689,9 +692,7 @@ def stream_fixed_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_sliding_health(spark: SparkSession, sf_dir: str) -> DataFrame:
-    closed = stream_windows.window_stats(
-        _event_stream(spark, sf_dir), "user_id", 5 * HOUR, *_value_stats(), slide_seconds=HOUR
-    )
+    closed = stream_windows.sliding_stats(_event_stream(spark, sf_dir), "user_id", "value", 5 * HOUR, HOUR)
     return _rounded(_drain(spark, closed, "sliding-window"), "total")
 
 
@@ -790,7 +791,7 @@ def _job_messages(spark, sf_dir):
 
 
 def _annotate(spark, sf_dir):
-    config = HealthJobConfig(BUCKET, fresh_dir(spark, "job-checkpoint"), window_period_seconds=WINDOW)
+    config = HealthJobConfig(BUCKET, fresh_dir(spark, "job-checkpoint"), BASE, MODULE, window_period_seconds=WINDOW)
     out = fresh_dir(spark, "job")
     jobs.annotate_and_archive(
         _job_messages(spark, sf_dir),
@@ -850,12 +851,12 @@ def archive_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the archive with a folder per session, of one window, and read it back."""
+    """Write the archive with a folder per session and window, and read it back."""
     base = fresh_dir(spark, "flat-archive")
-    few = tables.frames(spark, sf_dir).withColumn("session", F.concat(F.lit("d"), F.col("user_id") % 7))
-    archive.write_windowed_archive(few, base, 365 * DAY, layout="flat")
+    cores = spark.sparkContext.defaultParallelism
+    archive.write_windowed_archive(tables.frames(spark, sf_dir), base, WINDOW, layout="flat", tasks=cores)
     stored = archive.read_archive(spark, base)
-    return stored.groupBy("session", "window").agg(F.count("*").alias("n_frames"), F.sum("frame_id").alias("frame_id_sum"))
+    return stored.groupBy(F.col("session").cast("string").alias("session"), "window").agg(F.count("*").alias("n_frames"), F.sum("frame_id").alias("frame_id_sum"))
 
 
 def no_calibrations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -865,14 +866,15 @@ def no_calibrations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frame files of devices, one per year of a device, listed."""
+    """Frame files, one per session and second, written and listed with the times of their names."""
     base = fresh_dir(spark, "frame-files")
-    rows = tables.frames(spark, sf_dir, device=True).where(F.col("device_id").isNotNull())
-    stamped = rows.select("device_id", F.col("frame_id").cast("string").alias("value"), F.date_format("event_time", "yyyy").alias("stem"))
-    stamped.write.partitionBy("device_id", "stem").text(f"{base}/txt")
-    listed = frame_files.list_frames(spark, base, "txt")
-    found = F.regexp_extract("path", r"device_id=([0-9]+)/", 1).cast("int")
-    return listed.select(found.alias("device_id"), F.regexp_extract("path", r"stem=([0-9]+)/", 1).alias("stem")).distinct()
+    rows = tables.frames(spark, sf_dir).groupBy("session", "ts").agg(F.min("payload").alias("payload"))
+    path = F.concat(F.lit(f"{base}/"), "session", F.lit("/txt/"), F.col("ts").cast("string"), F.lit(".txt"))
+    files = rows.select(path.alias("path"), F.col("payload").cast("binary").alias("image_data"))
+    frame_files.write_frames(tables.spread(files)).agg(F.sum("length")).collect()
+    listed = frame_files.list_frames(spark, f"{base}/*", "txt")
+    session = F.regexp_extract("path", r"/([^/]+)/txt/[^/]+$", 1)
+    return listed.select(session.alias("session"), "ts", "length")
 
 
 def drop_images(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -889,13 +891,13 @@ def render_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Both jobs in a row: requests of finished sessions, rendered and alerted."""
-    health_config = HealthJobConfig(BUCKET, fresh_dir(spark, "job-checkpoint"), window_period_seconds=WINDOW)
+    health_config = HealthJobConfig(BUCKET, fresh_dir(spark, "job-checkpoint"), BASE, MODULE, window_period_seconds=WINDOW)
     requests, out = fresh_dir(spark, "requests"), fresh_dir(spark, "render")
     jobs.request_renders(_job_messages(spark, sf_dir), health_config, requests).awaitTermination()
     jobs.render_and_alert(
         messages.read_messages(spark, requests),
         lambda: _manifest(spark, sf_dir),
-        RenderJobConfig(BUCKET, fresh_dir(spark, "render-checkpoint")),
+        RenderJobConfig(BUCKET, fresh_dir(spark, "render-checkpoint"), BASE, MODULE),
         out,
     ).awaitTermination()
     sent = messages.decode(spark.read.parquet(f"{out}/alerts"), VIDEO_RENDER_REQUEST)

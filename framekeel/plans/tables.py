@@ -99,7 +99,7 @@ def calibrated_detections(spark: SparkSession, sf_dir: str, *carry: str) -> Data
 def nested_frames(spark: SparkSession, sf_dir: str, *, datesegment: bool = False) -> DataFrame:
     """Frames that carry up to twenty detections each, made of the numbers of a vector; two share a place."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    rows = frames(spark, sf_dir, device=True, datesegment=datesegment)
+    rows = spread(frames(spark, sf_dir, device=True, datesegment=datesegment))
     rows = rows.withColumn("vec_id", F.col("frame_id") % vectors.count()).join(vectors, "vec_id", "left")
 
     def number(k):
@@ -127,6 +127,12 @@ def nested_frames(spark: SparkSession, sf_dir: str, *, datesegment: bool = False
     return rows.withColumn("detections", once).drop("vec_id", "embedding")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` in as many parts as there are cores, if a small file gave it fewer."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The event table as frames of a session per user."""
     return table(spark, sf_dir, "events").withColumn("event_time", F.col("ts").cast("timestamp"))

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.paths import join_path, typed_path, window_stem
@@ -27,12 +31,14 @@ def write_windowed_archive(
     fmt: str = "parquet",
     mode: str = "append",
     keep_images: bool = False,
+    tasks: int | None = None,
 ) -> None:
     """Write frames by key and window.
 
     The rows of a window meet in one task, hence one file, unless there are too many of them:
     the rebalance step splits an oversized window over several tasks. Use the ``window`` layout where
-    one folder per session and minute would be too many; rows are sorted by session inside files.
+    one folder per session and minute would be too many; rows are sorted by session inside files. The rebalance
+    step goes by bytes; give a number of ``tasks`` where folders are so many and small that opening files takes the time.
     """
     rows = frames if keep_images else drop_images(frames)
     rows = with_window(rows, period_seconds).withColumn(
@@ -43,8 +49,9 @@ def write_windowed_archive(
     if key != "session":
         rows = rows.withColumnRenamed(key, "session")
         spread = tuple("session" if c == key else c for c in spread)
+    by = [F.col(c) for c in spread]
     (
-        rows.hint("rebalance", *(F.col(c) for c in spread))
+        (rows.repartition(tasks, *by) if tasks else rows.hint("rebalance", *by))
         .sortWithinPartitions(*columns, "session", "event_time")
         .write.partitionBy(*columns)
         .format(fmt)
@@ -78,6 +85,105 @@ def compact_closed(spark: SparkSession, base_path: str, target: str, closed_befo
     )
 
 
+#: Bytes of a compacted file, about.
+FILE_BYTES = 128 << 20
+_FILES = "window string, path string, rows bigint, bytes bigint, sources array<string>"
+
+
+def _snapshot_number(spark: SparkSession, target: str) -> int:
+    """The number of the last snapshot that is complete, 0 without any."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/_snapshots/*/_SUCCESS")
+    found = hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop) or []
+    return max((int(f.getPath().getParent().getName()) for f in found), default=0)
+
+
+def snapshot_files(spark: SparkSession, target: str, number: int | None = None) -> DataFrame:
+    """The files of the last snapshot, or of one by its number, with their windows, rows, bytes and sources."""
+    last = _snapshot_number(spark, target) if number is None else number
+    if not last:
+        return spark.createDataFrame([], _FILES)
+    return spark.read.schema(_FILES).parquet(f"{target}/_snapshots/{last}")
+
+
+def _copied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Copy the rows of each pack's source files to its one file, a batch of rows at a time."""
+    import pyarrow.parquet as pq
+    from pyarrow import fs
+
+    def opened(uri: str):
+        return fs.FileSystem.from_uri("file:///" + uri[5:].lstrip("/") if uri.startswith("file:/") else uri)
+
+    def instants(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # Spark's timestamps are instants of microseconds.
+        for k, field in enumerate(batch.schema):
+            if pa.types.is_timestamp(field.type):
+                column = batch.column(k).cast(pa.timestamp("us"), safe=False).cast(pa.timestamp("us", "UTC"))
+                batch = batch.set_column(k, field.name, column)
+        return batch
+
+    for batch in batches:
+        sizes, counts = [], []
+        for target, sources in zip(batch.column("path").to_pylist(), batch.column("sources").to_pylist()):
+            files, place = opened(target)
+            files.create_dir(place.rsplit("/", 1)[0], recursive=True)
+            writer, rows = None, 0
+            for source in sources:
+                store, name = opened(source)
+                with store.open_input_file(name) as file:
+                    for part in map(instants, pq.ParquetFile(file).iter_batches(1024)):
+                        writer = writer or pq.ParquetWriter(place, part.schema, filesystem=files)
+                        writer.write_batch(part)
+                        rows += part.num_rows
+            if writer:
+                writer.close()
+            counts.append(rows)
+            sizes.append(files.get_file_info(place).size if writer else 0)
+        columns = [batch.column("window"), batch.column("path"), pa.array(counts, pa.int64()), pa.array(sizes, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*columns, batch.column("sources")], ["window", "path", "rows", "bytes", "sources"])
+
+
+def compact_snapshot(
+    spark: SparkSession, base_path: str, target: str, closed_before: int, file_bytes: int = FILE_BYTES
+) -> None:
+    """Pack the files of an archive's windows that ended by ``closed_before`` into few files, as a new snapshot.
+
+    Files are packed by size within their window, and a task copies a pack to one file, so neither rows nor images are
+    shuffled. The snapshot is a list of files that is complete or not there: a reader sees the one before or this
+    one, a job that fails leaves files that no list names, and a file of the archive that has been packed is not packed
+    again. Files that come later for a window that was packed are packed by the next run.
+    """
+    done = snapshot_files(spark, target)
+    stored = read_archive(spark, base_path)
+    end = F.substring_index("window", "_", -1).try_cast("bigint")
+    files = stored.where(end <= closed_before).select(
+        F.col("window").cast("string").alias("window"),
+        F.col("_metadata.file_path").alias("source"),
+        F.col("_metadata.file_size").alias("size"),
+    )
+    # Of a file only its name and size are read.
+    files = files.distinct().join(done.select(F.explode("sources").alias("source")), "source", "left_anti")
+    in_order = Window.partitionBy("window").orderBy("source").rowsBetween(Window.unboundedPreceding, 0)
+    packed = files.withColumn("pack", F.floor((F.sum("size").over(in_order) - 1) / file_bytes))
+    packs = packed.groupBy("window", "pack").agg(F.sort_array(F.collect_list("source")).alias("sources"))
+    number = _snapshot_number(spark, target) + 1
+    folder = F.concat(F.lit(f"{target}/window="), "window", F.lit(f"/{uuid.uuid4().hex}-"), F.col("pack").cast("string"))
+    packs = packs.select("window", F.concat(folder, F.lit(".parquet")).alias("path"), "sources")
+    # Written first, so that a task that runs again copies the same pack to the same file.
+    plan = f"{target}/_packs/{uuid.uuid4().hex}"
+    packs.write.parquet(plan)
+    packs = spark.read.parquet(plan).repartition(spark.sparkContext.defaultParallelism * 4, "path")
+    copied = packs.mapInArrow(_copied, _FILES)
+    done.unionByName(copied).write.parquet(f"{target}/_snapshots/{number}")
+
+
+def read_snapshot(spark: SparkSession, target: str, number: int | None = None) -> DataFrame:
+    """Archived frames of the last snapshot; a reader that has begun keeps the files it began with."""
+    paths = [r.path for r in snapshot_files(spark, target, number).where("rows > 0").select("path").collect()]
+    if not paths:
+        raise ValueError(f"{target} has no snapshot with rows")
+    return spark.read.option("basePath", target).parquet(*paths)
+
+
 def archived_paths(spark: SparkSession, base_path: str, *keys: str, fmt: str = "parquet") -> DataFrame:
     """What was written: each folder of the archive, by its path below ``base_path``, with its rows.
 

@@ -66,12 +66,59 @@ def decode_protobuf(df: DataFrame, message_name: str, descriptor: str, value: st
     return df.withColumn("message", parsed).withColumn("is_malformed", F.col("message").isNull())
 
 
+def _leaves(schema: T.StructType, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], T.DataType]]:
+    """The fields of a message that are no structs, by their paths."""
+    found = []
+    for field in schema.fields:
+        own = (*path, field.name)
+        nested = isinstance(field.dataType, T.StructType)
+        found += _leaves(field.dataType, own) if nested else [(own, field.dataType)]
+    return found
+
+
+def _as_text(schema: T.StructType) -> T.StructType:
+    """The same message with all its fields as text."""
+    kinds = ((f.name, f.dataType) for f in schema.fields)
+    return T.StructType(
+        [T.StructField(n, _as_text(k) if isinstance(k, T.StructType) else T.StringType()) for n, k in kinds]
+    )
+
+
+def explain_malformed(decoded: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
+    """Add ``problems``: of a malformed message that is JSON, the fields whose values do not have their type.
+
+    Only malformed messages are read again. Null for good ones, and for those that are no JSON at all.
+    """
+    marked = T.StructType([*_as_text(schema).fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    loose = F.when(F.col("is_malformed"), F.from_json(F.col(value).cast("string"), marked, options))
+
+    def wrong(text: Column, kind: T.DataType) -> Column:
+        if isinstance(kind, T.BinaryType):
+            return F.try_to_binary(text, F.lit("base64")).isNull()
+        if isinstance(kind, T.AtomicType):
+            return text.try_cast(kind).isNull()
+        return F.from_json(text, kind).isNull()
+
+    def problem(path: tuple[str, ...], kind: T.DataType) -> Column:
+        text = F.col("_loose." + ".".join(f"`{n}`" for n in path))
+        return F.when(text.isNotNull() & wrong(text, kind), F.lit(".".join(path)))
+
+    found = F.array_compact(F.array(*(problem(*leaf) for leaf in _leaves(schema))))
+    is_json = F.col("_loose").isNotNull() & F.col(f"_loose.{CORRUPT}").isNull()
+    return decoded.withColumn("_loose", loose).withColumn("problems", F.when(is_json, found)).drop("_loose")
+
+
 def with_reject(decoded: DataFrame, required: Sequence[str]) -> DataFrame:
     """Add ``reject``: why a decoded message cannot be used, null if it can.
 
-    ``required`` are fields of the message, such as ``metadata.ts``, that must not be null.
+    ``required`` are fields of the message, such as ``metadata.ts``, that must not be null. With ``problems``, from
+    :func:`explain_malformed`, a message with wrong types is rejected by the names of its fields.
     """
     reason = F.when(F.col("is_malformed"), F.lit("malformed"))
+    if "problems" in decoded.columns:
+        fields = F.when(F.size("problems") > 0, F.concat(F.lit("bad "), F.array_join("problems", ", ")))
+        reason = F.when(F.col("is_malformed"), F.coalesce(fields, F.lit("malformed")))
     for field in required:
         reason = reason.when(F.col(f"message.{field}").isNull(), F.lit(f"no {field}"))
     return decoded.withColumn("reject", reason)

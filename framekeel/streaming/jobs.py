@@ -12,13 +12,13 @@ from ..config import HealthJobConfig, RenderJobConfig
 from ..functions.paths import window_stem
 from ..operators import windows
 from ..operators.metrics import observe_durations
-from ..operators.nested import drop_images, merge_filtered
+from ..operators.nested import drop_images, explode_detections, merge_filtered
 from ..operators.overlay import manifest, overlay_plans
 from ..operators.scoring import score_frames
 from ..plans import render
 from ..schemas import METADATA, MONITORING_IMAGE, VIDEO_RENDER_REQUEST
-from ..sources.messages import decode, publish, with_reject
-from . import runner
+from ..sources.messages import decode, explain_malformed, publish, with_reject
+from . import runner, trends
 from .windows import drop_repeats, session_latest, with_lateness
 
 
@@ -33,7 +33,8 @@ def frames_from_messages(messages: DataFrame) -> DataFrame:
 
     A reject keeps its message as text in ``rejected``, a null body as an empty one.
     """
-    decoded = with_reject(decode(messages, MONITORING_IMAGE), REQUIRED)
+    decoded = explain_malformed(decode(messages, MONITORING_IMAGE), MONITORING_IMAGE)
+    decoded = with_reject(decoded, REQUIRED)
     image, bad = F.col("message.data"), F.col("reject").isNotNull()
     frames = decoded.select(
         "reject",
@@ -63,14 +64,16 @@ def annotate_and_archive(
     other outputs are read from there, without images, so they agree with it also after a lost
     executor or a replay. The durations of the model's calls are metrics ``predict`` of the query's progress.
     With ``config.repeats_within``, frames delivered again within that time are dropped, and so are frames
-    that come later than it. ``calibrations`` is read anew for every batch, so new devices are seen.
+    that come later than it. ``calibrations`` is read anew for every batch, so new devices are seen; with versions
+    (:func:`framekeel.sources.calibrations.read_versions`) each frame gets the one of its time, also in a replay. With
+    ``config.model_version``, Python workers keep the model between tasks and batches.
     """
     frames = frames_from_messages(messages)
     if config.repeats_within:
         good = with_lateness(frames.where("reject IS NULL"), config.repeats_within)
         once = drop_repeats(good, "session", "ts", "device_id")
         frames = once.unionByName(frames.where("reject IS NOT NULL"))
-    scored = score_frames(frames, load_model, keep_image=True)
+    scored = score_frames(frames, load_model, keep_image=True, version=config.model_version)
     scored = observe_durations(scored, "predict_ms", "predict")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -95,11 +98,32 @@ def annotate_and_archive(
             min_score=config.min_score_threshold,
             protocol=config.protocol,
         )
-        _write(manifest(plans, "datesegment", "ts", "overlay"), f"{out}/manifest", batch_id, "datesegment")
+        # Rows are narrow here; a day's meet in one task, unless they are too many, so a day has few files.
+        drawn = manifest(plans, "datesegment", "ts", "overlay").hint("rebalance", F.col("datesegment"))
+        _write(drawn, f"{out}/manifest", batch_id, "datesegment")
 
     return runner.each_batch(scored, write, f"{config.checkpoint}/annotate", trigger=trigger)
 
 
+def health_trends(frames: DataFrame, config: HealthJobConfig, out: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append the health trend of each session's sliding windows, as they close, to the table ``out``.
+
+    ``frames`` is a stream of scored frames with ``annotations_all``, such as :func:`scored_frames`; the windows are
+    those of ``config``.
+    """
+    narrow = with_lateness(frames.select("event_time", "ts", "session", "annotations_all"), config.watermark_delay)
+    found = narrow.select("event_time", "ts", "session", F.col("annotations_all.detections").alias("detections"))
+    rows = explode_detections(found, "event_time")
+    closed = trends.health_trends(rows, "session", config.window_size_seconds, config.window_period_seconds)
+    return runner.to_files(closed, out, f"{config.checkpoint}/trends", trigger=trigger)
+
+
+def scored_frames(messages: DataFrame, load_model: Callable[[], Callable], config: HealthJobConfig) -> DataFrame:
+    """The frames of a stream of messages with ``annotations_all``, without images and rejects."""
+    frames = frames_from_messages(messages).where("reject IS NULL").drop("reject", "rejected")
+    return score_frames(frames, load_model, version=config.model_version)
+
+
 def request_renders(
     messages: DataFrame,
     config: HealthJobConfig,

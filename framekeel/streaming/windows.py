@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..contracts import transform
 from ..functions.paths import window_bounds
 from ..operators.windows import MICROS
 
@@ -31,6 +32,26 @@ def window_stats(
     )
 
 
+def sliding_stats(df: DataFrame, key: str, value: str, size_seconds: int, slide_seconds: int) -> DataFrame:
+    """Count, sum, minimum and maximum of ``value`` per key and sliding window.
+
+    Rows are reduced to one per key and slide first, and these panes to the windows that cover them, so neither rows
+    nor state are copied a window at a time.
+    """
+    if size_seconds % slide_seconds:
+        raise ValueError("the window size must be a multiple of the slide")
+    pane = F.window("event_time", f"{slide_seconds} seconds").alias("pane")
+    panes = df.groupBy(key, pane).agg(
+        F.count(value).alias("n"), F.sum(value).alias("total"), F.min(value).alias("low"), F.max(value).alias("high")
+    )
+    window = F.window(F.window_time("pane"), f"{size_seconds} seconds", f"{slide_seconds} seconds")
+    grouped = panes.groupBy(key, window).agg(
+        F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("low").alias("low"), F.max("high").alias("high")
+    )
+    return grouped.select(key, *window_bounds(F.col("window")), "n", "total", "low", "high")
+
+
+@transform(needs="event_time timestamp", gives="session_start timestamp, session_end timestamp, n_rows bigint")
 def session_latest(df: DataFrame, key: str, gap_seconds: int, order_id: str, *carry: str) -> DataFrame:
     """Sessions with their latest row, in the columns of the table version.
 

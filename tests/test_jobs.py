@@ -35,7 +35,7 @@ def test_frames_to_alerts(spark, tmp_path):
     lacking = ["{}", frame(None, 5, 1), frame("a", None, 1)]
     (inbox / "1.txt").write_text("\n".join([*lines, frame("a", 62, 1, ""), "broken", *lacking]))
     (inbox / "2.txt").write_text(frame("c", 5000, 3))
-    health = HealthJobConfig(bucket="b", checkpoint=str(tmp_path / "cp"))
+    health = HealthJobConfig(bucket="b", base_path="p", module="m", checkpoint=str(tmp_path / "cp"))
     assert health.session_gap_seconds == 120
     out = str(tmp_path / "out")
 
@@ -77,7 +77,7 @@ def test_frames_to_alerts(spark, tmp_path):
         f"media/uploads/PrintSessionAlert/2021/01/01/{s}" for s in "ab"
     }
 
-    config = RenderJobConfig(bucket="b", checkpoint=str(tmp_path / "cp"))
+    config = RenderJobConfig(bucket="b", base_path="p", module="m", checkpoint=str(tmp_path / "cp"))
     jobs.render_and_alert(
         read_messages(spark, requests),
         lambda: manifest.where(F.col("session") != "b"),
@@ -101,7 +101,7 @@ def test_the_last_session_ends_with_a_heartbeat(spark, tmp_path):
     (inbox / "1.txt").write_text("\n".join(frame("only", t, 1) for t in (0, 30, 60)))
 
     def run(name, heartbeat=None):
-        config = HealthJobConfig(bucket="b", checkpoint=str(tmp_path / name), repeats_within="10 minutes")
+        config = HealthJobConfig(bucket="b", base_path="p", module="m", checkpoint=str(tmp_path / name), repeats_within="10 minutes")
         sent = str(tmp_path / f"{name}-requests")
         jobs.request_renders(
             read_messages(spark, str(inbox), fmt="text"), config, sent, heartbeat=heartbeat
@@ -118,7 +118,7 @@ def test_repeated_frames_are_archived_once(spark, tmp_path):
     inbox = tmp_path / "frames"
     inbox.mkdir()
     (inbox / "1.txt").write_text("\n".join([frame("a", 1, 1), frame("a", 1, 1), frame("a", 2, 1), "broken"]))
-    config = HealthJobConfig(bucket="b", checkpoint=str(tmp_path / "cp"), repeats_within="10 minutes")
+    config = HealthJobConfig(bucket="b", base_path="p", module="m", checkpoint=str(tmp_path / "cp"), repeats_within="10 minutes")
     none = spark.createDataFrame([], "device_id int, c_ymin double, c_xmin double, c_ymax double, c_xmax double")
     out = str(tmp_path / "out")
     source = read_messages(spark, str(inbox), fmt="text")
@@ -140,7 +140,7 @@ def test_render_reads_only_the_days_asked_for(spark, tmp_path):
 
 
 def test_no_frames_yet(spark, tmp_path):
-    config = RenderJobConfig(bucket="b", checkpoint=str(tmp_path / "cp"))
+    config = RenderJobConfig(bucket="b", base_path="p", module="m", checkpoint=str(tmp_path / "cp"))
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.txt").write_text('{"cdn_output_path":"p","metadata":{"session":"s","datesegment":"d"}}\nnope')
     nothing = spark.sql("SELECT 's' session, 'd' datesegment, 1L ts, 'f' outpath").where("false")
