@@ -17,9 +17,11 @@ are taken up again, all their pairs across components, in blocks of about ``BLOC
 No partner is capped, and no block holds more than two times ``BLOCK`` classes to speak of.
 
 ``linked_documents`` is the join itself: how many classes and rows each row is linked with. Linked classes share a
-component, so it takes the components' whole sets, in blocks of about ``MEMBERS`` classes and ``MEMBER_GRAMS``
-n-grams, and lets each block meet itself and every other block of its component once. A meeting counts the shared
-n-grams of all its pairs in one product of matrices, so every pair is verified once, and no pair is written.
+component and a prefix n-gram and are of like size, so a component's classes are dealt into blocks of about ``MEMBERS``
+classes and ``MEMBER_GRAMS`` n-grams, by size and by their most frequent prefix n-gram, and two blocks meet only if they
+share a prefix n-gram and their sizes allow a link. A meeting joins its classes on prefix n-grams, applies the three
+filters and verifies the candidates that are left; a pair has one meeting, so it is verified once. Pairs that the
+components were found by are not verified again: their links are added up as they are. No other pair is written.
 
 A document with fewer words than an n-gram is one n-gram of all its words; one without words, or with a null text,
 has none and is linked with nothing. Repeated rows are of one class. A null ``doc_id`` is no component's least unless
@@ -31,6 +33,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +49,9 @@ WIDTH = 5
 PERCENT = 80
 PARTS = 256
 BLOCK = 512
-#: Classes, and n-grams of them, in a block of a component whose links are counted; n-grams in a product of matrices.
-MEMBERS, MEMBER_GRAMS, PRODUCT = 1024, 1 << 18, 4096
+#: Classes, and n-grams of them, in a block of a component whose links are counted; candidates that are filtered at a
+#: time; n-grams in a product of matrices, and how many times cheaper a cell of it is than a pair on its own.
+MEMBERS, MEMBER_GRAMS, MEETINGS, PRODUCT, CHEAPER = 1024, 1 << 18, 1 << 20, 4096, 32
 #: Code points of text for each counter, and the bounds of the table's size.
 CHARS_PER_COUNTER = 64
 MIN_COUNTERS, MAX_COUNTERS = 1 << 16, 1 << 26
@@ -218,8 +222,9 @@ def _linked(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, width: int, pe
     return whole.mapInArrow(similar, "a bigint, b bigint").distinct()
 
 
-def _signatures(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint8).reshape(-1, PARTS).astype(np.int16)
+def _signatures(column: pa.Array | list[bytes]) -> np.ndarray:
+    parts = column if isinstance(column, list) else column.to_pylist()
+    return np.frombuffer(b"".join(parts), dtype=np.uint8).reshape(-1, PARTS).astype(np.int16)
 
 
 def _near(a: np.ndarray, b: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
@@ -299,10 +304,23 @@ def _filtered(x: _Members, y: _Members, i: np.ndarray, j: np.ndarray, percent: i
 # --- the join ------------------------------------------------------------------------------------
 
 
-def _classified(
-    docs: DataFrame, key: Column | None, width: int, percent: int
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The numbered texts, their features, and the classes with their ``component`` and least ``doc_id``."""
+class _Joined(NamedTuple):
+    """The numbered texts, their features, the classes and what the join of these has found."""
+
+    texts: DataFrame
+    features: DataFrame
+    nodes: DataFrame
+    #: Prefix n-grams of several classes: ``node``, ``n``, ``pos``, ``token``.
+    shared: DataFrame
+    #: Pairs (a, b) that were looked at, and those of them that are linked.
+    decided: DataFrame
+    links: DataFrame
+    #: The classes with their ``component`` and least ``doc_id``.
+    labelled: DataFrame
+
+
+def _classified(docs: DataFrame, key: Column | None, width: int, percent: int, hold: bool = False) -> _Joined:
+    """The join up to components; links are written if they are to ``hold``, for those who read them again."""
     doc_id = F.col("doc_id").cast("bigint").alias("doc_id")
     texts = keyed(docs, doc_id, text_of().alias("text"), key=key)
     features = staged(_features(texts, width, percent), "features")
@@ -316,10 +334,12 @@ def _classified(
     pairs = staged(_hub_pairs(shared, percent), "hub-pairs")
     links = staged(_linked(pairs, nodes, texts, width, percent), "hub-links")
     rest = _cross_pairs(shared, components(links), nodes, percent).join(pairs, ["a", "b"], "left_anti")
-    links = links.unionByName(_linked(staged(rest, "cross-pairs"), nodes, texts, width, percent))
+    rest = staged(rest, "cross-pairs")
+    across = _linked(rest, nodes, texts, width, percent)
+    links = links.unionByName(staged(across, "cross-links") if hold else across)
     labels = components(links)
     labelled = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    return texts, features, labelled
+    return _Joined(texts, features, nodes, shared, pairs.unionByName(rest), links, labelled)
 
 
 def _named(features: DataFrame, labelled: DataFrame, *also: str) -> DataFrame:
@@ -336,8 +356,8 @@ def similar_classes(docs: DataFrame, key: Column | None = None, width: int = WID
 
     ``component`` is a number that the rows of a component share; it is null for a row without words.
     """
-    _, features, labelled = _classified(docs, key, width, percent)
-    return _named(features, labelled).select("row_id", "key", "doc_id", "n_shingles", "component", "component_id")
+    found = _classified(docs, key, width, percent)
+    return _named(found.features, found.labelled).select("row_id", "key", "doc_id", "n_shingles", "component", "component_id")
 
 
 # --- all links -----------------------------------------------------------------------------------
@@ -368,60 +388,180 @@ def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return total
 
 
-def _links_of(meeting: list[tuple], alone: bool, percent: int) -> Iterator[tuple[int, int, int]]:
-    """``node``, linked classes and their rows, of a meeting's (side, node, rows, set); a block ``alone`` meets itself."""
-    left, right = ([m for m in meeting if m[0] == side] for side in (0, 1))
-    right = left if alone else right
-    if not left or not right:
-        return
-    n, m = (np.array([len(x[3]) for x in side]) for side in (left, right))
-    overlap = _overlaps([x[3] for x in left], [x[3] for x in right])
-    linked = 100 * overlap >= percent * (n[:, None] + m[None, :] - overlap)
+class _Side:
+    """The classes of a block, in a meeting: (node, rows, prefix, set) each."""
+
+    def __init__(self, classes: list[tuple]):
+        self.node = np.array([c[0] for c in classes], dtype=np.int64)
+        self.rows = np.array([c[1] for c in classes], dtype=np.int64)
+        self.sets = [c[3] for c in classes]
+        self.n = np.array([len(x) for x in self.sets], dtype=np.int64)
+        self.signature = _signatures([_signature(x) for x in self.sets])
+        sizes = [len(c[2]) for c in classes]
+        #: Prefix n-grams with the class and the place each is at, in the order of n-grams.
+        tokens = np.concatenate([c[2] for c in classes])
+        order = np.argsort(tokens, kind="stable")
+        self.token = tokens[order]
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)[order]
+        self.pos = np.concatenate([np.arange(x) for x in sizes])[order]
+
+
+def _candidates(x: _Side, y: _Side, alone: bool, known: list[tuple[int, int]], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a meeting that share a prefix n-gram and pass the filters, without those ``known`` already."""
+    low = np.searchsorted(y.token, x.token, "left")
+    met = np.searchsorted(y.token, x.token, "right") - low
+    candidate = np.zeros((len(x.node), len(y.node)), dtype=bool)
+    ends = np.cumsum(met)
+    first = 0
+    while first < len(met):
+        last = max(first + 1, int(np.searchsorted(ends, ends[first] - met[first] + MEETINGS, "right")))
+        own = np.repeat(np.arange(first, last), met[first:last])
+        starts = np.repeat(ends[first:last] - met[first:last], met[first:last])
+        other = low[own] + np.arange(len(own)) + (ends[first] - met[first]) - starts
+        i, j = x.owner[own], y.owner[other]
+        n, m = x.n[i], y.n[j]
+        keep = 100 * np.minimum(n, m) >= percent * np.maximum(n, m)
+        keep &= np.minimum(n - x.pos[own], m - y.pos[other]) >= least_overlap(n + m, percent)
+        candidate[i[keep], j[keep]] = True
+        first = last
     if alone:
-        np.fill_diagonal(linked, False)
-    for side, other, found in ((left, right, linked), (right, left, linked.T))[: 1 if alone else 2]:
-        classes, rows = found.sum(axis=1), found @ np.array([x[2] for x in other], dtype=np.int64)
-        yield from ((x[1], int(c), int(r)) for x, c, r in zip(side, classes, rows) if c)
+        candidate = np.triu(candidate, 1)
+    if known:
+        at, there = ({node: k for k, node in enumerate(side.node.tolist())} for side in (x, y))
+        for a, b in known:
+            if a in at and b in there:
+                candidate[at[a], there[b]] = False
+            if b in at and a in there:
+                candidate[at[b], there[a]] = False
+    i, j = np.nonzero(candidate)
+    near = [
+        _near(x.signature[i[k : k + 8192]], y.signature[j[k : k + 8192]], x.n[i[k : k + 8192]] + y.n[j[k : k + 8192]], percent)
+        for k in range(0, len(i), 8192)
+    ]
+    keep = np.concatenate(near) if near else np.zeros(0, dtype=bool)
+    return i[keep], j[keep]
+
+
+def _verified(x: _Side, y: _Side, i: np.ndarray, j: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Those of the pairs whose whole sets are similar, counted one by one or, if there are many, in products."""
+    left, right = np.unique(i), np.unique(j)
+    if len(i) * CHEAPER < len(left) * len(right) or len(i) < CHEAPER:
+        shared = np.array([len(np.intersect1d(x.sets[a], y.sets[b], assume_unique=True)) for a, b in zip(i, j)], dtype=np.int64)
+    else:
+        cells = _overlaps([x.sets[a] for a in left], [y.sets[b] for b in right])
+        shared = cells[np.searchsorted(left, i), np.searchsorted(right, j)]
+    keep = 100 * shared >= percent * (x.n[i] + y.n[j] - shared)
+    return i[keep], j[keep]
 
 
-def _link_counts(texts: DataFrame, labelled: DataFrame, width: int, percent: int) -> DataFrame:
+def _links_of(
+    sides: tuple[list[tuple], list[tuple]], known: list[tuple[int, int]], alone: bool, percent: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``node``, linked classes and their rows, of the classes of a meeting; a block ``alone`` meets itself."""
+    if not sides[0] or not (alone or sides[1]):
+        return (np.zeros(0, dtype=np.int64),) * 3
+    x = _Side(sides[0])
+    y = x if alone else _Side(sides[1])
+    i, j = _verified(x, y, *_candidates(x, y, alone, known, percent), percent)
+    node = np.concatenate([x.node[i], y.node[j]])
+    nodes, at = np.unique(node, return_inverse=True)
+    classes = np.bincount(at, minlength=len(nodes))
+    rows = np.zeros(len(nodes), dtype=np.int64)
+    np.add.at(rows, at, np.concatenate([y.rows[j], x.rows[i]]))
+    return nodes, classes, rows
+
+
+def _dealt(joined: _Joined, classes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The classes of components of several with their ``block``, and the pairs of blocks (low, high) that meet.
+
+    Classes whose sizes allow a link are of the same or of neighbouring size buckets. Inside a bucket, classes of one
+    most frequent prefix n-gram stay together; a group too big for a block is split by hash, smaller ones share blocks.
+    """
+    several = per_key(classes, ["component"], F.count(F.lit(1)).alias("all")).where(F.col("all") > 1)
+    several = classes.join(several.select("component"), "component", "left_semi")
+    met = joined.shared.join(several.select("node", "component"), "node")
+    met = staged(met, "component-tokens")
+    counts = per_key(met, ["component", "token"], F.count(F.lit(1)).alias("count"))
+    open_tokens = staged(counts.where(F.col("count") > 1), "open-tokens")
+    met = met.join(open_tokens, ["component", "token"])
+    family = per_key(met, ["node"], F.max(F.struct("count", "token")).alias("best"))
+    family = family.select("node", F.col("best.token").alias("family"))
+    bucket = F.floor(F.log(F.col("n")) / F.lit(math.log(100 / percent) + 1e-3)).alias("bucket")
+    rows = several.join(family, "node").withColumn("bucket", bucket)
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / MEMBERS, F.sum("n") / MEMBER_GRAMS)).cast("int")
+    of_bucket, of_family = ["component", "bucket"], ["component", "bucket", "family"]
+    rows = rows.join(per_key(rows, of_bucket, parts.alias("bins")), of_bucket)
+    rows = rows.join(per_key(rows, of_family, parts.alias("parts")), of_family)
+    shares = F.xxhash64("component", "bucket", F.lit(0), F.pmod(F.xxhash64("family"), F.col("bins")))
+    split = F.xxhash64("component", "bucket", F.lit(1), "family", F.pmod(F.xxhash64("node"), F.col("parts")))
+    dealt = staged(rows.withColumn("block", F.when(F.col("parts") > 1, split).otherwise(shares)), "dealt")
+
+    sizes = F.min("n").alias("least_n"), F.max("n").alias("most_n"), F.count(F.lit(1)).alias("count")
+    held = met.select("component", "token", "node").join(dealt.select("node", "n", "block"), "node")
+    held = staged(held.groupBy("component", "token", "block").agg(*sizes), "block-tokens")
+    others = held.select("component", "token", *(F.col(c).alias(f"other_{c}") for c in ("block", "least_n", "most_n")))
+    meeting = held.join(others, ["component", "token"]).where("block < other_block OR (block = other_block AND count > 1)")
+    meeting = meeting.where(100 * F.col("most_n") >= percent * F.col("other_least_n"))
+    meeting = meeting.where(100 * F.col("other_most_n") >= percent * F.col("least_n"))
+    return dealt, staged(meeting.select(F.col("block").alias("low"), F.col("other_block").alias("high")).distinct(), "meetings")
+
+
+def _link_counts(joined: _Joined, classes: DataFrame, width: int, percent: int) -> DataFrame:
     """``node``, ``linked_classes`` and ``others``, the rows of these, of every class that has a link."""
-    sizes = F.count(F.lit(1)).alias("all"), F.sum("n").alias("grams")
-    several = per_key(labelled, ["component"], *sizes).where(F.col("all") > 1)
-    blocks = F.ceil(F.greatest(F.col("all") / MEMBERS, F.col("grams") / MEMBER_GRAMS)).cast("int")
-    wanted = labelled.join(several.select("component", blocks.alias("blocks")), "component")
+    dealt, meetings = _dealt(joined, classes, percent)
     # Texts are found by any id of the class: all its rows have the same set.
-    wanted = staged(wanted.withColumnRenamed("least", "doc_id"), "members")
-    sets = _shingles(texts, wanted, width, "component", "blocks", "rows", *SAME).dropDuplicates(SAME).drop(*SAME)
-    sets = sets.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    met = sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    meeting = [F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
-    side = (F.col("block") > F.col("other")).cast("int").alias("side")
-    met = met.select("component", *meeting, side, "node", "rows", "shingles")
-    met = met.repartition("component", "low", "high").sortWithinPartitions("component", "low", "high")
+    wanted = dealt.select("node", F.col("least").alias("doc_id"), "block", "rows", *SAME)
+    sets = _shingles(joined.texts, wanted, width, "block", "rows", *SAME).dropDuplicates(SAME).drop(*SAME)
+    sets = sets.join(joined.nodes.select("node", "prefix"), "node")
+    low, high = F.col("low"), F.col("high")
+    # A block that meets itself comes once, as the lower side.
+    sides = F.when(low == high, F.array(F.struct(low.alias("block"), F.lit(0).alias("side")))).otherwise(
+        F.array(F.struct(low.alias("block"), F.lit(0).alias("side")), F.struct(high.alias("block"), F.lit(1).alias("side")))
+    )
+    wanted_at = meetings.select("low", "high", F.inline(sides))
+    columns = ["low", "high", "side", "node", "rows", "prefix", "shingles"]
+    present = sets.join(wanted_at, "block").select(*columns)
+
+    def placed(side: str) -> DataFrame:
+        return dealt.select(F.col("node").alias(side), F.col("block").alias(f"block_{side}"))
+
+    known = joined.decided.join(placed("a"), "a").join(placed("b"), "b")
+    known = known.withColumn("low", F.least("block_a", "block_b")).withColumn("high", F.greatest("block_a", "block_b"))
+    known = known.join(meetings, ["low", "high"], "left_semi")
+    none = (F.lit(None).cast(t).alias(c) for c, t in (("prefix", "array<bigint>"), ("shingles", "binary")))
+    known = known.select("low", "high", F.lit(2).alias("side"), F.col("a").alias("node"), F.col("b").alias("rows"), *none)
+    met = present.unionByName(known).repartition("low", "high").sortWithinPartitions("low", "high")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, waiting = None, []
+        now, sides, known = None, ([], []), []
 
-        def batch_of(key: tuple, meeting: list[tuple]) -> pa.RecordBatch:
-            found = list(_links_of(meeting, key[1] == key[2], percent))
-            columns = [pa.array(x, pa.int64()) for x in (zip(*found) if found else [()] * 3)]
-            return pa.RecordBatch.from_arrays(columns, ["node", "classes", "rows"])
+        def batch_of() -> pa.RecordBatch:
+            found = _links_of(sides, known, now[0] == now[1], percent)
+            return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in found], ["node", "classes", "rows"])
 
         for batch in batches:
-            keys = zip(*(batch.column(c).to_pylist() for c in ("component", "low", "high")))
-            columns = [batch.column(c).to_pylist() for c in ("side", "node", "rows", "shingles")]
-            for key, side, node, rows, raw in zip(keys, *columns):
+            keys = zip(batch.column("low").to_pylist(), batch.column("high").to_pylist())
+            rest = zip(*(batch.column(c).to_pylist() for c in ("side", "node", "rows")))
+            for k, (key, (side, node, rows)) in enumerate(zip(keys, rest)):
                 if key != now:
-                    if waiting:
-                        yield batch_of(now, waiting)
-                    now, waiting = key, []
-                waiting.append((side, node, rows, np.frombuffer(raw, dtype=np.uint64)))
-        if waiting:
-            yield batch_of(now, waiting)
+                    if now is not None:
+                        yield batch_of()
+                    now, sides, known = key, ([], []), []
+                if side == 2:
+                    known.append((node, rows))
+                else:
+                    prefix = batch.column("prefix")[k].values.to_numpy(zero_copy_only=False)
+                    raw = batch.column("shingles")[k].as_py()
+                    sides[side].append((node, rows, prefix.copy(), np.frombuffer(raw, dtype=np.uint64)))
+        if now is not None:
+            yield batch_of()
 
     found = met.mapInArrow(counted, "node bigint, classes bigint, rows bigint")
-    return found.groupBy("node").agg(F.sum("classes").alias("linked_classes"), F.sum("rows").alias("others"))
+    size = classes.select(F.col("node").alias("b"), "rows")
+    both = joined.links.select("a", "b").unionByName(joined.links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    before = both.distinct().join(size, "b").select(F.col("a").alias("node"), F.lit(1).alias("classes"), "rows")
+    totals = F.sum("classes").alias("linked_classes"), F.sum("rows").alias("others")
+    return per_key(found.unionByName(before), ["node"], *totals)
 
 
 def linked_documents(docs: DataFrame, key: Column | None = None, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -430,13 +570,13 @@ def linked_documents(docs: DataFrame, key: Column | None = None, width: int = WI
     ``class_id`` is the least ``doc_id`` of the rows with the same set. The other rows of a class are linked documents,
     too; a row without words has no links.
     """
-    texts, features, labelled = _classified(docs, key, width, percent)
-    sizes = per_key(features.where("n > 0"), SAME, F.count(F.lit(1)).alias("rows"))
-    labelled = staged(labelled.join(sizes, SAME), "labelled")
-    counts = _link_counts(texts, labelled, width, percent)
+    joined = _classified(docs, key, width, percent, hold=True)
+    sizes = per_key(joined.features.where("n > 0"), SAME, F.count(F.lit(1)).alias("rows"))
+    labelled = staged(joined.labelled.join(sizes, SAME), "labelled")
+    counts = _link_counts(joined, labelled, width, percent)
     counted = labelled.join(counts, "node", "left").withColumn("linked_classes", F.coalesce("linked_classes", F.lit(0)))
     counted = counted.withColumn("linked_documents", F.col("rows") - 1 + F.coalesce("others", F.lit(0)))
-    rows = _named(features, counted, "least", "linked_classes", "linked_documents")
+    rows = _named(joined.features, counted, "least", "linked_classes", "linked_documents")
     own_id = F.when(F.col("component").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("class_id")
     numbers = (F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("linked_classes", "linked_documents"))
     return rows.select("row_id", "key", "doc_id", "n_shingles", "component", "component_id", own_id, *numbers)
