@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .oracle import _CALS, _CATS, _CLOSED, _EMBEDDING, _FRAMES, _MODEL, _SCORED, _SESSIONS, _WINDOW
+from .oracle import _CALS, _CATS, _CLOSED, _EMBEDDING, _EVENT_SESSIONS, _FRAMES, _MARK, _MODEL, _SCORED, _SESSIONS, _WINDOW
 
 _HALVES = "(SELECT (min(event_id) + max(event_id)) / 2 FROM events)"
 
@@ -49,6 +49,13 @@ m AS (SELECT max(us) // 1000 - 3600000 AS mark FROM e WHERE NOT last),
 j AS (SELECT user_id, CASE WHEN last AND us <= mark * 1000 THEN mark - us // 1000 END AS late_ms FROM e, m)
 SELECT user_id, count(*) FILTER (WHERE late_ms IS NULL) AS n_kept, count(late_ms) AS n_late, min(late_ms) AS least_ms,
   max(late_ms) AS most_ms FROM j GROUP BY user_id""",
+        "stream_state": f"""WITH c AS (
+  SELECT user_id, epoch_us(ts) // 86400000000 * 86400 AS window_start, value FROM events)
+SELECT user_id, window_start, window_start + 86400 AS window_end, count(value) AS n, round(sum(value), 6) AS total,
+  min(value) AS low, max(value) AS high
+FROM c WHERE (window_start + 86400) * 1000000 > {_MARK} - 10 * 86400000000 GROUP BY user_id, window_start""",
+        "stream_state_sessions": f"""WITH {_EVENT_SESSIONS}
+SELECT * FROM event_sessions WHERE end_us - 1 > {_MARK} - 10 * 86400000000""",
         "decode_problems": f"""WITH {_FRAMES}, r AS (
   SELECT frame_id, CASE WHEN frame_id % 97 = 0 THEN 'malformed'
     WHEN frame_id % 29 = 0 OR frame_id % 19 = 0 OR frame_id % 23 = 0 THEN 'bad ' || concat_ws(', ',

@@ -12,7 +12,8 @@ from ..schemas import MONITORING_IMAGE
 from ..session import fresh_dir
 from ..sources import archive, log, messages
 from ..sources import calibrations as calibration_source
-from ..streaming import jobs, joins, late, runner, trends
+from ..streaming import jobs, joins, late, runner, state, trends
+from ..streaming import windows as stream_windows
 from . import queries, render, tables
 from .tables import DAY, GAP, WINDOW
 
@@ -171,6 +172,43 @@ def stream_late_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stopped(spark, sf_dir, name, delay, aggregate):
+    """The checkpoint of a query that was stopped in the middle of the events' time and went on from its state."""
+    source = tables.table(spark, sf_dir, "events").withColumn("event_time", F.col("ts").cast("timestamp"))
+    micros = F.unix_micros("event_time")
+    low, high = source.agg(F.min(micros), F.max(micros)).first()
+    middle = (low + high) // 2
+    inbox, out, checkpoint = (fresh_dir(spark, f"{name}{part}") for part in ("-events", "", "-checkpoint"))
+    for half in (source.where(micros < middle), source.where(micros >= middle)):
+        half.write.mode("append").parquet(inbox)
+        stream = stream_windows.with_lateness(spark.readStream.schema(source.schema).parquet(inbox), delay)
+        found = aggregate(stream)
+        state.keep_options(found, checkpoint, {"delay": delay})
+        runner.to_files(found, out, checkpoint).awaitTermination()
+    return checkpoint
+
+
+def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows of each user that are still open once all events have been read, from the query's checkpoint."""
+    stats = [f("value").alias(n) for n, f in {"n": F.count, "total": F.sum, "low": F.min, "high": F.max}.items()]
+    checkpoint = _stopped(
+        spark, sf_dir, "state", "10 days", lambda rows: stream_windows.window_stats(rows, "user_id", DAY, *stats)
+    )
+    return queries._rounded(state.open_windows(spark, checkpoint, "n", "total", "low", "high"), "total")
+
+
+def stream_state_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sessions of each user that are still open once all events have been read, with their latest event so far."""
+
+    def sessions(rows):
+        return stream_windows.session_latest(rows, "user_id", queries.EVENT_GAP, "event_id", "event_type", "value")
+
+    checkpoint = _stopped(spark, sf_dir, "state-sessions", "10 days", sessions)
+    found = state.open_sessions(spark, checkpoint, "n_rows", "latest")
+    latest = (F.col(f"latest.{c}").alias(f"latest_{c}") for c in ("event_id", "event_type", "value"))
+    return queries._session_columns(found.select("user_id", "session_start", "session_end", "n_rows", *latest))
+
+
 def decode_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages whose fields have wrong types, field by field, beside those that are no messages at all."""
     rows = tables.frames(spark, sf_dir, device=True, datesegment=True)
@@ -252,6 +290,8 @@ QUERIES = {
     "calibration_versions": calibration_versions,
     "stream_render_join": stream_render_join,
     "stream_late_rejects": stream_late_rejects,
+    "stream_state": stream_state,
+    "stream_state_sessions": stream_state_sessions,
     "decode_problems": decode_problems,
     "score_held_model": score_held_model,
     "broken_outputs": broken_outputs,

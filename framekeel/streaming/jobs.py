@@ -18,7 +18,7 @@ from ..operators.scoring import score_frames
 from ..plans import render
 from ..schemas import METADATA, MONITORING_IMAGE, VIDEO_RENDER_REQUEST
 from ..sources.messages import decode, explain_malformed, publish, with_reject
-from . import runner, trends
+from . import runner, state, trends
 from .windows import drop_repeats, session_latest, with_lateness
 
 
@@ -66,7 +66,8 @@ def annotate_and_archive(
     With ``config.repeats_within``, frames delivered again within that time are dropped, and so are frames
     that come later than it. ``calibrations`` is read anew for every batch, so new devices are seen; with versions
     (:func:`framekeel.sources.calibrations.read_versions`) each frame gets the one of its time, also in a replay. With
-    ``config.model_version``, Python workers keep the model between tasks and batches.
+    ``config.model_version``, Python workers keep the model between tasks and batches. On a checkpoint of other windows,
+    repeats or columns the start is refused (:class:`state.ChangedJob`).
     """
     frames = frames_from_messages(messages)
     if config.repeats_within:
@@ -102,20 +103,26 @@ def annotate_and_archive(
         drawn = manifest(plans, "datesegment", "ts", "overlay").hint("rebalance", F.col("datesegment"))
         _write(drawn, f"{out}/manifest", batch_id, "datesegment")
 
-    return runner.each_batch(scored, write, f"{config.checkpoint}/annotate", trigger=trigger)
+    checkpoint = f"{config.checkpoint}/annotate"
+    options = {"window_period_seconds": config.window_period_seconds, "repeats_within": config.repeats_within}
+    state.keep_options(scored, checkpoint, options)
+    return runner.each_batch(scored, write, checkpoint, trigger=trigger)
 
 
 def health_trends(frames: DataFrame, config: HealthJobConfig, out: str, trigger: dict | None = None) -> StreamingQuery:
     """Append the health trend of each session's sliding windows, as they close, to the table ``out``.
 
     ``frames`` is a stream of scored frames with ``annotations_all``, such as :func:`scored_frames`; the windows are
-    those of ``config``.
+    those of ``config``. On a checkpoint of other windows the start is refused (:class:`state.ChangedJob`).
     """
     narrow = with_lateness(frames.select("event_time", "ts", "session", "annotations_all"), config.watermark_delay)
     found = narrow.select("event_time", "ts", "session", F.col("annotations_all.detections").alias("detections"))
     rows = explode_detections(found, "event_time")
     closed = trends.health_trends(rows, "session", config.window_size_seconds, config.window_period_seconds)
-    return runner.to_files(closed, out, f"{config.checkpoint}/trends", trigger=trigger)
+    checkpoint = f"{config.checkpoint}/trends"
+    options = {n: getattr(config, n) for n in ("window_size_seconds", "window_period_seconds")}
+    state.keep_options(closed, checkpoint, options)
+    return runner.to_files(closed, out, checkpoint, trigger=trigger)
 
 
 def scored_frames(messages: DataFrame, load_model: Callable[[], Callable], config: HealthJobConfig) -> DataFrame:
@@ -135,7 +142,8 @@ def request_renders(
 
     Event time only moves with rows, so when all devices go quiet their last sessions stay open. A
     ``heartbeat``, a stream with a ``timestamp`` such as the rate source, moves it on; frames that come
-    later than the heartbeat and the watermark's delay are then dropped.
+    later than the heartbeat and the watermark's delay are then dropped. On a checkpoint of another gap the start is
+    refused (:class:`state.ChangedJob`).
     """
     carry = [f.name for f in METADATA.fields if f.name not in ("session", "ts")]
     frames = frames_from_messages(messages).where("reject IS NULL")
@@ -151,7 +159,10 @@ def request_renders(
     # A condition on the session itself would move below the watermark, which must see the heartbeat.
     finished = finished.where(F.col("latest_ts").isNotNull())
     requests = render.render_requests(render.latest_metadata(finished))
-    return publish(requests, out, checkpoint=f"{config.checkpoint}/requests", trigger=trigger)
+    checkpoint = f"{config.checkpoint}/requests"
+    options = {"session_gap_seconds": config.session_gap_seconds, "repeats_within": config.repeats_within}
+    state.keep_options(requests, checkpoint, options)
+    return publish(requests, out, checkpoint=checkpoint, trigger=trigger)
 
 
 def render_and_alert(
