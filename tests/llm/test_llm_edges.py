@@ -708,6 +708,47 @@ def test_every_link_inside_families_is_counted(spark, monkeypatch, members):
         assert max(r.linked_classes for r in rows) > 2 and len(rows) == len(texts)
 
 
+@pytest.mark.parametrize("meetings, cheaper", [(1, 1), (5, 0), (1 << 20, 1 << 20)])
+def test_meetings_agree_with_brute_force(monkeypatch, meetings, cheaper):
+    monkeypatch.setattr(jaccard, "MEETINGS", meetings)
+    monkeypatch.setattr(jaccard, "CHEAPER", cheaper)
+    monkeypatch.setattr(jaccard, "PRODUCT", 11)
+    rng = np.random.default_rng(12)
+    bases = [rng.choice(300, 40, replace=False) for _ in range(3)]
+    sets = []
+    for k in range(60):
+        # Up to six members of a family's set go, some others come.
+        own = set(bases[k % 3][rng.random(40) > rng.random() / 8].tolist()) | set(rng.choice(300, rng.integers(0, 3)).tolist())
+        sets.append(np.array(sorted(own), dtype=np.uint64))
+    sets = list({x.tobytes(): x for x in sets}.values())
+    percent, order = 80, rng.permutation(300)
+    classes = []
+    for node, x in enumerate(sets):
+        rare_first = x[np.argsort(order[x.astype(int)])]
+        classes.append((node, node % 4 + 1, rare_first[: jaccard.prefix_size(len(x), percent)].astype(np.int64), x))
+    similar = {
+        (a, b)
+        for a in range(len(sets))
+        for b in range(a)
+        if 100 * len(set(sets[a]) & set(sets[b])) >= percent * len(set(sets[a]) | set(sets[b]))
+    }
+    known = [(a, b) for a, b in sorted(similar) if (a + b) % 5 == 0]
+    blocks = classes[::2], classes[1::2]
+    found = Counter(), Counter()
+    for sides, alone in (((blocks[0], []), True), ((blocks[1], []), True), (blocks, False)):
+        nodes, *numbers = jaccard._links_of(sides, known, alone, percent)
+        for counts, values in zip(found, numbers):
+            counts.update(dict(zip(nodes.tolist(), values.tolist())))
+    left = similar - set(known)
+    assert len(left) > 100 and len(known) > 10
+    assert found[0] == Counter(x for pair in left for x in pair)
+    expected = Counter()
+    for a, b in left:
+        expected.update({a: b % 4 + 1})
+        expected.update({b: a % 4 + 1})
+    assert found[1] == expected
+
+
 def test_links_of_odd_texts(spark, odd_docs, no_docs):
     rows = jaccard.linked_documents(odd_docs).collect()
     assert len(rows) == 14 and jaccard.linked_documents(no_docs).count() == 0
