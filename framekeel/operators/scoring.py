@@ -28,8 +28,8 @@ def score_frames(
     ``load_model`` returns a function from a list of images to a list of ``(boxes, classes, scores, count)``. It is
     called once per task, or, if the model has a ``version``, about once per Python worker, which keeps the model for
     later tasks and micro-batches; another version is another model. A result that is no such tuple, or holds what is
-    no number, becomes a frame without these detections and numbers; it does not stop the job. Images go to the model in batches; turning its output
-    into annotations happens in Spark expressions. A frame whose image is null keeps null annotations.
+    no number, becomes a frame without these detections and numbers; it does not stop the job. Images go to the model
+    in batches; turning its output into annotations happens in Spark expressions. A frame whose image is null keeps null annotations.
     The first frame of a batch has the duration of the model's call and its number of images, the
     others have nulls, so each call counts once.
     """
@@ -50,9 +50,13 @@ def score_frames(
         import numpy as np
         import pyarrow as pa
 
-        from framekeel.operators.models import held
+        if version is None:
+            model = load_model()
+        else:
+            # Workers that keep no model need not have the package.
+            from framekeel.operators.models import held
 
-        model = load_model() if version is None else held(version, load_model)
+            model = held(version, load_model)
         raw_type = pa.struct(
             [
                 ("boxes", pa.list_(pa.list_(pa.float64()))),

@@ -786,7 +786,8 @@ def _job_messages(spark, sf_dir):
     value = messages.encode(image.alias("data"), render.metadata_struct(rows).alias("metadata"))
     cut = F.when(F.col("frame_id") % 97 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
     inbox = fresh_dir(spark, "inbox")
-    rows.select("frame_id", value).select(cut.alias("value")).write.parquet(inbox)
+    # As many files as cores, so that the job's batch, too, is worked off by all of them.
+    tables.spread(rows.select("frame_id", value).select(cut.alias("value"))).write.parquet(inbox)
     return messages.read_messages(spark, inbox)
 
 
