@@ -1,6 +1,7 @@
 """Queries of the operators against SQL, or against brute force where SQL cannot express them."""
 
 import hashlib
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -9,6 +10,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from check import compare
+from framekeel.llm import language
 from framekeel.llm.queries import QUERIES, SQL, tokenizer_path
 from tokenizers import Tokenizer
 
@@ -43,6 +45,56 @@ def test_languages_are_told_apart(spark, documents, sf_dir):
     assert all(0 <= r.score <= 1 for r in rows)
 
 
+def grams(raw):
+    """How often each bucket occurs: runs of two to four bytes inside a word with a space on either side."""
+    found = defaultdict(int)
+    for order in language.ORDERS:
+        for at in range(len(raw) - order + 1):
+            run = raw[at : at + order]
+            if b" " in run[1:-1] or not run.strip():
+                continue
+            value = (int.from_bytes(run, "little") ^ (order * 0x01000193)) * 0x9E3779B1 % 2**32
+            value = (value ^ (value >> 15)) * 0x85EBCA6B % 2**32
+            found[value >> (32 - language.BITS)] += 1
+    return found
+
+
+def test_language_agrees_with_brute_force(spark, sf_dir, monkeypatch):
+    """The sample is all that may be learned, and every score is that of the model on the whole text."""
+    seen, fit = [], language.fit
+
+    def watched(rows):
+        seen.append((rows, fit(rows)))
+        return seen[-1][1]
+
+    monkeypatch.setattr(language, "fit", watched)
+    predicted = {r.doc_id: r for r in QUERIES["op1_language_id"](spark, sf_dir).collect()}
+    [(rows, model)] = seen
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.select("doc_id", "lang", language.letters(docs["text"]).alias("text")).collect()
+    counted = {r.doc_id: grams((r.text or "").encode()) for r in docs}
+    learned = {
+        (r.lang, tuple(sorted(counted[r.doc_id].items())))
+        for r in docs
+        if r.lang is not None and len(r.text or "") > 2 and zlib.crc32(str(r.doc_id).encode()) % 4 != 2
+    }
+    assert {(name, tuple(zip(at.tolist(), n.astype(int).tolist()))) for at, n, name in rows} == learned
+    for doc_id, found in counted.items():
+        r = predicted[doc_id]
+        if not found:
+            assert (r.lang_pred, r.score, r.accepted) == ("und", 0.0, False)
+            continue
+        total = sum(found.values())
+        logits = [
+            (sum(n * float(model.table[at, k]) for at, n in found.items()) / total + model.bias[k]) / model.temperature
+            for k in range(len(model.languages))
+        ]
+        shares = [math.exp(x - max(logits)) for x in logits]
+        best = max(range(len(shares)), key=shares.__getitem__)
+        assert r.score == pytest.approx(shares[best] / sum(shares), abs=1e-5)
+        assert r.lang_pred == model.languages[best] and r.accepted == (r.score >= model.threshold)
+
+
 STRONG = {
     "assign": re.compile(
         r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A
