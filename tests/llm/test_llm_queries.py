@@ -10,7 +10,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from check import compare
-from framekeel.llm import language
+from framekeel.llm import language, toxicity
 from framekeel.llm.queries import QUERIES, SQL, tokenizer_path
 from tokenizers import Tokenizer
 
@@ -157,6 +157,53 @@ def test_toxicity_is_found_in_rows_that_were_held_out(spark):
     assert sum(clean) < 0.02 * len(clean) and sum(toxic) > 0.8 * len(toxic)
 
 
+def test_toxicity_agrees_with_brute_force(spark, sf_dir, monkeypatch):
+    """The weights are where the plain loss is least, and every score is the sum over a whole text's distinct words."""
+    seen, fit, train = {}, toxicity.fit, toxicity.train
+
+    def watched_fit(rows, n_features, prior_shift):
+        seen["fit"] = rows, n_features, prior_shift, fit(rows, n_features, prior_shift)
+        return seen["fit"][-1]
+
+    def watched_train(*tables):
+        seen["model"] = train(*tables)
+        return seen["model"]
+
+    monkeypatch.setattr(toxicity, "fit", watched_fit)
+    monkeypatch.setattr(toxicity, "train", watched_train)
+    scores = {r.doc_id: r.score for r in QUERIES["op5_toxicity"](spark, sf_dir).collect()}
+    rows, n, shift, (weights, bias) = seen["fit"]
+    held, swapped = np.zeros((len(rows), n)), []
+    for k, r in enumerate(rows):
+        held[k, r.own] = 1
+        for lost, brought in zip(r.lost, r.brought):
+            if lost or brought:
+                swapped.append(np.zeros(n))
+                swapped[-1][brought] += 1
+                swapped[-1][lost] -= 1
+    label, moves = np.array([r.label for r in rows]), np.array(swapped).reshape(len(swapped), n)
+
+    def loss(w, b):
+        logit = held @ w + b
+        change = (moves @ w) ** 2
+        ridge = toxicity.RIDGE / 2 / len(rows) * (w**2).sum()
+        return (np.logaddexp(0, logit) - label * logit).mean() + ridge + toxicity.COUNTERFACTUAL * (change.mean() if len(change) else 0)
+
+    step = 1e-4
+    for k in range(n):
+        aside = np.zeros(n)
+        aside[k] = step
+        assert abs(loss(weights + aside, bias - shift) - loss(weights - aside, bias - shift)) / (2 * step) < 1e-3
+    assert abs(loss(weights, bias - shift + step) - loss(weights, bias - shift - step)) / (2 * step) < 1e-3
+
+    known = dict(zip(seen["model"].hashes.tolist(), weights))
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for r in docs.select("doc_id", toxicity.letters(docs["text"]).alias("text")).collect():
+        found = {h for word in set((r.text or "").split()) for h in toxicity.features(word).tolist()}
+        logit = bias + sum(known.get(h, 0.0) for h in found)
+        assert scores[r.doc_id] == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-6)
+
+
 def test_swapped_terms_move_held_out_scores_little(spark):
     """Held-out texts with a group named at their start: another group, or none, changes scores by little."""
     from framekeel.llm import toxicity
