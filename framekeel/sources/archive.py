@@ -18,7 +18,15 @@ LAYOUTS = {
     "session": ("datesegment", "session", "window"),
     "flat": ("session", "window"),
     "window": ("window",),
+    "bucket": ("bucket", "window"),
 }
+#: Folders that the sessions of a window are dealt to in the `bucket` layout.
+BUCKETS = 8
+
+
+def session_bucket(session: Column, buckets: int = BUCKETS) -> Column:
+    """The bucket of a session in the `bucket` layout."""
+    return F.pmod(F.xxhash64(session), F.lit(buckets)).cast("int")
 
 
 def write_windowed_archive(
@@ -32,23 +40,27 @@ def write_windowed_archive(
     mode: str = "append",
     keep_images: bool = False,
     tasks: int | None = None,
+    buckets: int = BUCKETS,
 ) -> None:
     """Write frames by key and window.
 
     The rows of a window meet in one task, hence one file, unless there are too many of them:
     the rebalance step splits an oversized window over several tasks. Use the ``window`` layout where
-    one folder per session and minute would be too many; rows are sorted by session inside files. The rebalance
-    step goes by bytes; give a number of ``tasks`` where folders are so many and small that opening files takes the time.
+    one folder per session and minute would be too many; rows are sorted by session inside files. The ``bucket`` layout
+    deals the sessions of a window to ``buckets`` folders, so there are as many files for few sessions as for many, and
+    :func:`read_sessions` reads the folders of some sessions only; ``session`` and ``flat`` make a file per session and
+    window, which grow in number with the sessions. The rebalance step goes by bytes; give a number of ``tasks`` where folders are so many and small that opening files takes the time.
     """
     rows = frames if keep_images else drop_images(frames)
     rows = with_window(rows, period_seconds).withColumn(
         "window", window_stem(F.col("window_start"), F.col("window_end"))
     )
     columns = LAYOUTS[layout]
-    spread = (key, "window_start") if "session" in columns else ("window_start",)
     if key != "session":
         rows = rows.withColumnRenamed(key, "session")
-        spread = tuple("session" if c == key else c for c in spread)
+    if "bucket" in columns:
+        rows = rows.withColumn("bucket", session_bucket(F.col("session"), buckets))
+    spread = (*(c for c in columns if c in ("session", "bucket")), "window_start")
     by = [F.col(c) for c in spread]
     (
         (rows.repartition(tasks, *by) if tasks else rows.hint("rebalance", *by))
@@ -65,6 +77,13 @@ def read_archive(spark: SparkSession, base_path: str, fmt: str = "parquet") -> D
     return spark.read.format(fmt).load(base_path)
 
 
+def read_sessions(spark: SparkSession, base_path: str, *sessions: str, buckets: int = BUCKETS) -> DataFrame:
+    """Archived frames of some sessions from the ``bucket`` layout; other buckets' folders are not read."""
+    wanted = spark.range(1).select(*(session_bucket(F.lit(s), buckets) for s in sessions)).first()
+    stored = read_archive(spark, base_path)
+    return stored.where(F.col("bucket").isin(*set(wanted)) & F.col("session").isin(*sessions))
+
+
 def compact_closed(spark: SparkSession, base_path: str, target: str, closed_before: int) -> None:
     """Write the windows of a frame job's archive that ended by ``closed_before`` (epoch seconds) to ``target``.
 

@@ -3,6 +3,7 @@ import json
 from pyspark.sql import functions as F
 
 from framekeel.operators.windows import assign_event_time
+from framekeel.plans import queries
 from framekeel.sources import archive
 from framekeel.sources.calibrations import read_calibrations
 from framekeel.sources.frames import list_frames
@@ -34,6 +35,26 @@ def test_reading_one_window_skips_the_others(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(session" in plan
 
 
+def test_files_do_not_grow_in_number_with_the_sessions(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "fresh_dir", lambda spark, name: str(tmp_path / name))
+    found = queries.flat_archive(spark, sf_dir)
+    windows = found.select("window").distinct().count()
+    files = list((tmp_path / "flat-archive").rglob("*.parquet"))
+    assert len(files) <= archive.BUCKETS * windows < found.count()
+
+
+def test_reading_sessions_skips_other_buckets(spark, tmp_path):
+    base = str(tmp_path / "a")
+    names = F.concat(F.lit("0"), (F.col("frame_id") % 97).cast("string"))
+    rows = frames(spark).withColumn("session", F.when(F.col("frame_id") != 5, names))
+    archive.write_windowed_archive(rows, base, 60, layout="bucket")
+    assert archive.read_archive(spark, base).where("session IS NULL").count() == 1
+    stored = archive.read_sessions(spark, base, "07", "011")
+    assert sorted(r["frame_id"] for r in stored.collect()) == [k for k in range(400) if k % 97 in (7, 11)]
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(bucket" in plan or "PartitionFilters: [bucket" in plan
+
+
 def test_json_container(spark, tmp_path):
     base = str(tmp_path / "a")
     archive.write_windowed_archive(frames(spark), base, 60, layout="window", fmt="json")
