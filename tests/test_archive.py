@@ -6,7 +6,7 @@ from framekeel.operators.windows import assign_event_time
 from framekeel.plans import queries
 from framekeel.sources import archive
 from framekeel.sources.calibrations import read_calibrations
-from framekeel.sources.frames import list_frames
+from framekeel.sources.frames import list_frames, pack_frames
 
 
 def frames(spark):
@@ -108,6 +108,18 @@ def test_frame_listing_reads_no_content(spark, tmp_path):
     assert "content" not in listed._jdf.queryExecution().optimizedPlan().toString().split("Relation")[0]
 
 
+def test_packed_frames_are_listed_from_few_files(spark, sf_dir, tmp_path, monkeypatch):
+    rows = [("b/s1/jpg/7.jpg", b"abc"), ("b/s2/jpg/x.jpg", b"a"), ("b/s2/jpg/9.txt", b"a"), ("b/8.jpg", b""), (None, b"a"), ("b/6.jpg", None)]
+    pack_frames(spark.createDataFrame(rows, "path string, image_data binary"), str(tmp_path / "jpg"))
+    listed = list_frames(spark, str(tmp_path), packed=True)
+    assert sorted((r["path"], r["ts"], r["length"]) for r in listed.collect()) == [("b/s1/jpg/7.jpg", 7, 3), ("b/s2/jpg/x.jpg", None, 1)]
+    plan = listed._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan[plan.index("ReadSchema") :]
+    monkeypatch.setattr(queries, "fresh_dir", lambda spark, name: str(tmp_path / name))
+    assert queries.list_frames(spark, sf_dir).count() > 1000
+    assert len([f for f in (tmp_path / "frame-files").rglob("*") if f.is_file()]) < 100
+
+
 def test_no_calibration_at_all(spark, tmp_path):
     assert read_calibrations(spark, str(tmp_path / "nothing")).collect() == []
 
