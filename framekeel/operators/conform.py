@@ -11,6 +11,13 @@ from pyspark.sql import types as T
 from ..schemas import TELEMETRY_LISTS
 
 
+def _always_fits(kind: T.DataType, wanted: T.DataType) -> bool:
+    """Whether every value has a cast: any number is a floating one, and any atom a text."""
+    if isinstance(wanted, T.StringType):
+        return isinstance(kind, T.AtomicType)
+    return isinstance(kind, T.NumericType) and isinstance(wanted, (T.FloatType, T.DoubleType))
+
+
 def _checked(
     df: DataFrame, schema: T.StructType, lists: Iterable[str], count: str
 ) -> tuple[list[Column], Column]:
@@ -26,7 +33,10 @@ def _checked(
             continue
         source, wanted = F.col(field.name), field.dataType
         value = source.try_cast(wanted)
-        if df.schema[field.name].dataType == wanted:
+        kind = df.schema[field.name].dataType
+        if kind == wanted or _always_fits(kind, wanted):
+            bad = F.lit(False)
+        elif isinstance(wanted, T.ArrayType) and isinstance(kind, T.ArrayType) and _always_fits(kind.elementType, wanted.elementType):
             bad = F.lit(False)
         elif isinstance(wanted, T.ArrayType):
             lost = F.exists(

@@ -29,9 +29,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def frames(spark: SparkSession, sf_dir: str, *, device: bool = False, datesegment: bool = False) -> DataFrame:
-    """One frame per order; its session is the customer."""
+def frames(
+    spark: SparkSession, sf_dir: str, *, device: bool = False, datesegment: bool = False, spread_out: bool = False
+) -> DataFrame:
+    """One frame per order; its session is the customer. With ``spread_out``, orders of a small file go to all cores."""
     orders = table(spark, sf_dir, "orders")
+    if spread_out:
+        # The scan is asked for its parts, as asking the joins for theirs would run them.
+        orders = spread(orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"))
     event_time = F.col("o_orderdate").cast("timestamp")
     out = orders.select(
         F.col("o_orderkey").alias("frame_id"),
@@ -99,32 +104,40 @@ def calibrated_detections(spark: SparkSession, sf_dir: str, *carry: str) -> Data
 def nested_frames(spark: SparkSession, sf_dir: str, *, datesegment: bool = False) -> DataFrame:
     """Frames that carry up to twenty detections each, made of the numbers of a vector; two share a place."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    rows = spread(frames(spark, sf_dir, device=True, datesegment=datesegment))
-    rows = rows.withColumn("vec_id", F.col("frame_id") % vectors.count()).join(vectors, "vec_id", "left")
-
-    def number(k):
-        return F.abs(F.get("embedding", k.cast("int")).cast("double"))
+    rows = frames(spark, sf_dir, device=True, datesegment=datesegment, spread_out=True)
 
     def share(x):
         return x - F.floor(x)
 
-    def detection(i):
-        corner = F.floor((i - 1) / 2) * 4
-        ymin, xmin, height, width = (share(number(corner + k)) / 2 for k in range(4))
-        return F.struct(
-            i.cast("int").alias("pos"),
-            (F.floor(number(i + 43) * 1000) % 7).cast("int").alias("class"),
-            share(number(i + 39) * 10).alias("score"),
-            ymin.alias("ymin"),
-            xmin.alias("xmin"),
-            (ymin + height).alias("ymax"),
-            (xmin + width).alias("xmax"),
-        )
-
-    numbers = F.filter(F.sequence(F.lit(0).cast("bigint"), F.col("frame_id") % 21), lambda i: i > 0)
+    def all_of(vector):
+        """Twenty detections, of which a frame carries the first ones."""
+
+        def number(k):
+            return F.abs(F.get(vector, F.lit(k)).cast("double"))
+
+        def detection(i):
+            corner = (i - 1) // 2 * 4
+            ymin, xmin, height, width = (share(number(corner + k)) / 2 for k in range(4))
+            return F.struct(
+                F.lit(i).alias("pos"),
+                (F.floor(number(i + 43) * 1000) % 7).cast("int").alias("class"),
+                share(number(i + 39) * 10).alias("score"),
+                ymin.alias("ymin"),
+                xmin.alias("xmin"),
+                (ymin + height).alias("ymax"),
+                (xmin + width).alias("xmax"),
+            )
+
+        return F.array(*(detection(i) for i in range(1, 21)))
+
+    # Worked out once a vector, not once a frame.
+    found = vectors.select("vec_id", all_of(F.col("embedding")).alias("found"))
+    rows = rows.withColumn("vec_id", F.col("frame_id") % vectors.count()).join(found, "vec_id", "left")
+    n = F.greatest(F.col("frame_id") % 21, F.lit(0)).cast("int")
+    unknown = all_of(F.lit(None).cast("array<float>"))
+    first = F.slice(F.coalesce(F.col("found"), unknown), F.lit(1), n)
     # A generator of one element is worked out once, however often later steps use the array.
-    once = F.explode(F.array(F.transform(numbers, detection)))
-    return rows.withColumn("detections", once).drop("vec_id", "embedding")
+    return rows.withColumn("detections", F.explode(F.array(first))).drop("vec_id", "found")
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from framekeel.operators import exploded, nested
+from framekeel.operators.conform import conform
 from framekeel.operators.overlay import frame_overlays
+from framekeel.plans import queries, tables
 from framekeel.schemas import DETECTIONS
 
 AREA = ["c_ymin", "c_xmin", "c_ymax", "c_xmax"]
@@ -226,3 +228,20 @@ def test_frames_without_image_are_set_aside(spark):
 def test_drop_images(spark):
     rows = spark.sql("SELECT 1 a, 'x' image_data")
     assert nested.drop_images(rows).columns == ["a"]
+
+
+def test_detections_are_worked_out_per_vector_and_not_per_frame(spark, sf_dir):
+    rows = tables.nested_frames(spark, sf_dir)
+    assert "lambdafunction" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    sizes = {r["frame_id"]: len(r["detections"]) for r in rows.select("frame_id", "detections").collect()}
+    assert all(n == key % 21 for key, n in sizes.items())
+
+
+def test_lists_that_always_fit_are_not_looked_through(spark, sf_dir):
+    plan = queries.conform_good(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("exists(") == 1
+    schema = T.StructType([T.StructField("num_detections", T.IntegerType()), T.StructField("detection_scores", T.ArrayType(T.FloatType()))])
+    rows = spark.createDataFrame([(3, [1e300, float("nan"), None]), (1, [])], "num_detections int, detection_scores array<double>")
+    good, rejects = conform(rows, schema)
+    assert good.count() == 1 and [r["feature"] for r in rejects.collect()] == ["detection_scores"]
+    assert good.first()["detection_scores"][0] == float("inf")
