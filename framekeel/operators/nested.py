@@ -124,9 +124,14 @@ def overlay_boxes(
 
     def group(start: Column, end: Column) -> Column:
         """The boxes of a run of equal places, in order of position."""
-        run = F.slice("_sorted", start + 1, end - start)
-        same = F.transform(run, lambda r: F.get(drawn, r["at"]))
-        return F.struct(run[0]["at"].alias("at"), run[0]["place"].alias("place"), same.alias("same"))
+        # Through a list of one, the run is cut out once.
+        run = F.array(F.slice("_sorted", start + 1, end - start))
+
+        def of_run(r: Column) -> Column:
+            same = F.transform(r, lambda b: F.get(drawn, b["at"]))
+            return F.struct(r[0]["at"].alias("at"), r[0]["place"].alias("place"), same.alias("same"))
+
+        return F.transform(run, of_run)[0]
 
     def marked(group: Column) -> Column:
         scored = F.filter(group["same"], lambda d: d["score"].isNotNull())
@@ -205,19 +210,23 @@ def postprocess(
     stops a job: a class that is no number, or too large, is null, which is unknown; a count that is none, or below
     0, counts as 0, and one above the number of boxes as that number; a list that is too short is filled with nulls.
     """
-    rows = F.arrays_zip(boxes.alias("b"), classes.alias("c"), scores.alias("s"))
-    found = F.transform(
-        rows,
-        lambda r, i: F.struct(
-            (i + 1).cast("int").alias("pos"),
-            F.try_add(r["c"].try_cast("int"), F.lit(1)).alias("class"),
-            r["s"].cast("double").alias("score"),
-            *(F.get(r["b"], F.lit(k)).cast("double").alias(n) for k, n in enumerate(BoxCols._fields)),
-        ),
-    )
-    number = F.nanvl(F.coalesce(count.cast("double"), F.lit(0.0)), F.lit(0.0))
-    size = F.coalesce(F.size(rows), F.lit(0)).cast("double")
-    n = F.greatest(F.least(number, size), F.lit(0.0)).cast("int")
-    if cut_to_count:
-        found = F.slice(found, F.lit(1), n)
-    return annotations(found, strict).withField("num_detections", n)
+    def made(rows: Column) -> Column:
+        number = F.nanvl(F.coalesce(count.cast("double"), F.lit(0.0)), F.lit(0.0))
+        size = F.coalesce(F.size(rows), F.lit(0)).cast("double")
+        n = F.greatest(F.least(number, size), F.lit(0.0)).cast("int")
+
+        def detection(r: Column, i: Column) -> Column:
+            label = F.try_add(r["c"].try_cast("int"), F.lit(1))
+            return F.struct(
+                (i + 1).cast("int").alias("pos"),
+                label.alias("class"),
+                r["s"].cast("double").alias("score"),
+                *(F.get(r["b"], F.lit(k)).cast("double").alias(n) for k, n in enumerate(BoxCols._fields)),
+                health_weight(label, strict).alias("health_weight"),
+            )
+
+        counted = F.slice(rows, F.lit(1), n) if cut_to_count else rows
+        return F.struct(n.alias("num_detections"), F.transform(counted, detection).alias("detections"))
+
+    # Through a list of one, the zipped lists are worked out once.
+    return F.transform(F.array(F.arrays_zip(boxes.alias("b"), classes.alias("c"), scores.alias("s"))), made)[0]
