@@ -88,11 +88,19 @@ def score_frames(
             corners = [[number(c) for c in [*listed(b), *[None] * 4][:4]] for b in listed(boxes)]
             return corners, [number(c) for c in listed(classes)], [number(s) for s in listed(scores)], number(count)
 
+        def sound(result):
+            try:
+                packed([result])
+                return result
+            except (TypeError, ValueError, IndexError, KeyError, OverflowError):
+                return repaired(result)
+
         def output(results):
             try:
                 return packed(results)
             except (TypeError, ValueError, IndexError, KeyError, OverflowError):
-                return packed([None if r is None else repaired(r) for r in results])
+                # Only those results are changed that do not fit by themselves.
+                return packed([None if r is None else sound(r) for r in results])
 
         def packed(results):
             missing = [r is None for r in results]
@@ -101,37 +109,40 @@ def score_frames(
                 return [None if r is None else r[k] for r in results]
 
             flat, ends, none = lists(part(0), missing)
-            corners = np.concatenate(
-                [np.empty(0, dtype=np.int64), *(np.full(len(p), np.shape(p)[1]) for p in part(0) if p is not None and len(p))]
-            )
+            filled = [p for p in part(0) if p is not None and len(p)]
+            corners = np.repeat(np.array([np.shape(p)[1] for p in filled], dtype=np.int64), [len(p) for p in filled])
             inner = np.concatenate([[0], np.cumsum(corners)]).astype(np.int32)
+            if inner[-1] != len(flat):
+                raise ValueError("boxes are no lists of numbers")
             boxes = pa.ListArray.from_arrays(pa.array(inner), pa.array(flat))
             columns = [pa.ListArray.from_arrays(pa.array(ends), boxes, mask=none)]
             for k in (1, 2):
                 flat, ends, none = lists(part(k), missing)
+                if ends[-1] != len(flat):
+                    raise ValueError("classes or scores are no numbers")
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat), mask=none))
             columns.append(pa.array([None if c is None else float(c) for c in part(3)], pa.float64()))
             return pa.StructArray.from_arrays(columns, fields=list(raw_type), mask=none)
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, batch_size):
-                batch = whole.slice(at, batch_size)
-                every = batch.column(image).to_pylist()
-                images = [i for i in every if i is not None]
+        for batch in batches:
+            # The model gets its images in batches of its own; rows come out as they came in.
+            every = batch.column(image).to_pylist()
+            found, spent, seen = [], [None] * len(every), [None] * len(every)
+            for at in range(0, len(every), batch_size):
+                part = every[at : at + batch_size]
+                images = [i for i in part if i is not None]
                 start = time.monotonic()
                 results = iter(model(images) if images else [])
                 elapsed = int((time.monotonic() - start) * 1000)
-                first = next((k for k, i in enumerate(every) if i is not None), None)
+                first = next((at + k for k, i in enumerate(part) if i is not None), None)
+                if first is not None:
+                    spent[first], seen[first] = elapsed, len(images)
                 # A model that gives too few results gives none for the rest.
-                raw = output([None if i is None else next(results, ()) for i in every])
-                spent, seen = (
-                    pa.array([value if k == first else None for k in range(len(every))], pa.int64())
-                    for value in (elapsed, len(images))
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(f) for f in carried), raw, spent, seen],
-                    names=[*carried, "raw", "predict_ms", "predict_images"],
-                )
+                found.extend(None if i is None else next(results, ()) for i in part)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(f) for f in carried), output(found), pa.array(spent, pa.int64()), pa.array(seen, pa.int64())],
+                names=[*carried, "raw", "predict_ms", "predict_images"],
+            )
 
     scored = frames.mapInArrow(predict, schema)
     raw = F.col("raw")

@@ -201,3 +201,26 @@ def test_no_model_output_stops_the_job(spark):
     assert overlay.overlay_plans(merged, bucket="b", base_path="p", module="m").count() == len(BROKEN) + 1
     rows_form = nested.explode_detections(frame_rows, "frame_id")
     assert rows_form.where("detection_class IS NULL AND health_weight IS NOT NULL").count() == 0
+
+
+def test_a_broken_result_leaves_its_neighbours_as_they_are(spark):
+    good = ([[0.1, 0.2, 0.3]], [3], [0.9], 1)
+
+    def load():
+        return lambda images: [good if bytes(i) == b"g" else "broken" for i in images]
+
+    rows = [(k, b"b" if k in (1, 200) else None if k == 7 else b"g") for k in range(300)]
+    images = spark.createDataFrame(rows, "id int, image_data binary").coalesce(1)
+    scored = score_frames(images, load, batch_size=64)
+    found = {r.id: r for r in scored.collect()}
+    assert found[7].annotations_all is None and found[1].annotations_all.num_detections == 0
+    boxes = [found[k].annotations_all.detections[0] for k in found if k not in (1, 7, 200)]
+    # A box of three corners has no fourth one, whether or not another frame's result is broken.
+    assert len(boxes) == 297 and all((b.ymax, b.xmax) == (0.3, None) for b in boxes)
+    assert [found[k].predict_images for k in sorted(found) if found[k].predict_images] == [63, 64, 64, 64, 44]
+
+
+def test_raw_output_is_worked_out_once(spark):
+    images = spark.createDataFrame([(1, b"g")], "id int, image_data binary")
+    plan = score_frames(images, lambda: lambda images: [()])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("arrays_zip") == 1
