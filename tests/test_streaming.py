@@ -1,3 +1,4 @@
+import json
 import time
 
 import pytest
@@ -135,3 +136,23 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
     run()
     assert failed == [1]
     assert sorted(r["ts"] for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_sliding_state_does_not_grow_with_the_keys(spark, tmp_path):
+    source, schema = str(tmp_path / "in"), "event_time timestamp, session string, value decimal(10,2)"
+    key = F.when(F.col("id") % 1001 != 0, F.concat(F.lit("s"), F.col("id") % 1001))
+    value = F.when(F.col("id") % 5 != 0, F.col("id") - 2000)
+    rows = spark.range(4004).select(
+        F.timestamp_seconds(F.col("id") % 7 * 47).alias("event_time"), key.alias("session"), value.cast("decimal(10,2)").alias("value")
+    )
+    rows.coalesce(1).write.parquet(source)
+    end = spark.range(1).selectExpr("timestamp_seconds(10000) event_time", "'end' session", "cast(1 as decimal(10,2)) value")
+    end.coalesce(1).write.mode("append").parquet(source)
+    timed = streams.with_lateness(spark.readStream.schema(schema).parquet(source))
+    closed, query = drain(spark, streams.sliding_stats(timed, "session", "value", 300, 60), tmp_path)
+    expected = windows.sliding_stats(rows, "session", "value", 300, 60).drop("mean")
+    assert closed.dtypes == expected.dtypes and expected.count() > 5000
+    got = closed.where("NOT session <=> 'end'").collect()
+    assert sorted(map(repr, got)) == sorted(map(repr, expected.collect()))
+    updated = [json.loads(p.json)["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress]
+    assert sum(updated) <= 12 * streams.BUCKETS
