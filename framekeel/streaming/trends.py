@@ -1,10 +1,11 @@
 """Health trend per session and sliding window, for streams and tables alike.
 
 Three aggregations in a chain, each on the windows of the one before: the health of each second, the sums of a pane
-of one slide, and the windows that a pane lies in. State holds a row per open second, pane and window, never one per
-detection, and a detection is not copied into the windows that cover it. The running sum needs the points in order;
-a pane's points are folded to six sums that say what the line through the running sum needs, and sums of panes in
-order add up to those of their window, so a window keeps a few numbers per pane.
+of one slide, and the windows that a pane lies in. State holds a row per open second and pane, and one per open window
+and bucket of keys, never one per detection, and a detection is not copied into the windows that cover it. The running
+sum needs the points in order; a pane's points are folded to six numbers that say what the line through the running sum
+needs, and those of panes in order add up to those of their window, so a window keeps a few numbers per pane. They are
+means and sums about the means, as plain sums of squares lose the digits that a flat line's root needs.
 """
 
 from __future__ import annotations
@@ -14,14 +15,18 @@ from pyspark.sql import functions as F
 
 from ..contracts import transform
 from ..operators.health import second_health, with_line
+from .windows import covering_windows, later_panes
 
-_SUMS = "struct<n:bigint,t:double,tt:double,total:double,area:double,moment:double,first:bigint,last:bigint>"
+_SUMS = "struct<n:bigint,t:double,tt:double,total:double,c:double,tc:double,first:bigint,last:bigint>"
 
 
-def _sums(n, t, tt, total, area, moment, first, last) -> Column:
-    """Number, sum and sum of squares of the times; sums of the health, the running sum, and time by running sum."""
-    names = ("n", "t", "tt", "total", "area", "moment", "first", "last")
-    return F.struct(*(c.alias(name) for c, name in zip((n, t, tt, total, area, moment, first, last), names))).cast(_SUMS)
+def _sums(n, t, tt, total, c, tc, first, last) -> Column:
+    """Number of points, mean time and its squares; sum of the health, mean running sum, and its products with time.
+
+    Squares and products are summed about the means.
+    """
+    names = ("n", "t", "tt", "total", "c", "tc", "first", "last")
+    return F.struct(*(v.alias(name) for v, name in zip((n, t, tt, total, c, tc, first, last), names))).cast(_SUMS)
 
 
 def _nothing() -> Column:
@@ -33,15 +38,16 @@ def _fold_points(points: Column, start: Column) -> Column:
     """The sums of a pane's points (ts, health) in order, with times counted from ``start``."""
 
     def step(s: Column, p: Column) -> Column:
-        t = (p["ts"] - start).cast("double")
-        total = s["total"] + p["health"]
+        n, total = s["n"] + 1, s["total"] + p["health"]
+        later = (p["ts"] - start).cast("double") - s["t"]
+        c = s["c"] + (total - s["c"]) / n
         return _sums(
-            s["n"] + 1,
-            s["t"] + t,
-            s["tt"] + t * t,
+            n,
+            s["t"] + later / n,
+            s["tt"] + later * later * (s["n"] / n),
             total,
-            s["area"] + total,
-            s["moment"] + t * total,
+            c,
+            s["tc"] + later * (total - c),
             F.coalesce(s["first"], p["ts"]),
             p["ts"],
         )
@@ -52,22 +58,30 @@ def _fold_points(points: Column, start: Column) -> Column:
 def _fold_panes(panes: Column, start: Column) -> Column:
     """The sums of a window from those of its panes (start, sums) in order, with times counted from ``start``."""
 
+    def time(p: Column) -> Column:
+        return p["sums"]["t"] + (p["start"] - start)
+
     def step(s: Column, p: Column) -> Column:
-        own, shift = p["sums"], (p["start"] - start).cast("double")
+        own = p["sums"]
+        n = s["n"] + own["n"]
         # The pane's running sum goes on from where the ones before it ended.
-        t = own["t"] + shift * own["n"]
+        later, share = time(p) - s["t"], own["n"] / n
+        further = own["c"] + s["total"]
+        c = s["c"] + (further - s["c"]) * share
         return _sums(
-            s["n"] + own["n"],
-            s["t"] + t,
-            s["tt"] + own["tt"] + 2 * shift * own["t"] + shift * shift * own["n"],
+            n,
+            s["t"] + later * share,
+            s["tt"] + own["tt"] + later * later * share * s["n"],
             s["total"] + own["total"],
-            s["area"] + own["area"] + s["total"] * own["n"],
-            s["moment"] + own["moment"] + shift * own["area"] + s["total"] * t,
-            F.coalesce(s["first"], own["first"]),
+            c,
+            s["tc"] + own["tc"] + later * (further - c) * own["n"],
+            s["first"],
             own["last"],
         )
 
-    return F.aggregate(panes, _nothing(), step)
+    first = panes[0]["sums"]
+    rest = (first[name] for name in ("tt", "total", "c", "tc", "first", "last"))
+    return F.aggregate(later_panes(panes), _sums(first["n"], time(panes[0]), *rest), step)
 
 
 @transform(
@@ -89,22 +103,19 @@ def health_trends(rows: DataFrame, key: str, size_seconds: int, slide_seconds: i
     pane = F.window(F.window_time("second"), f"{slide_seconds} seconds").alias("pane")
     panes = seconds.groupBy(key, pane).agg(F.sort_array(F.collect_list(point)).alias("points"))
     start = F.unix_timestamp("pane.start")
-    panes = panes.select(key, "pane", F.struct(start.alias("start"), _fold_points(F.col("points"), start).alias("sums")).alias("folded"))
-    window = F.window(F.window_time("pane"), f"{size_seconds} seconds", f"{slide_seconds} seconds")
-    windows = panes.groupBy(key, window.alias("window")).agg(F.sort_array(F.collect_list("folded")).alias("panes"))
-    begin = F.unix_timestamp("window.start")
-    # Through a list of one, the sums are worked out once.
-    sums = F.transform(F.array(_fold_panes(F.col("panes"), begin)), lambda s: s)[0]
-    found = windows.select(key, begin.alias("window_start"), F.unix_timestamp("window.end").alias("window_end"), sums.alias("s"))
+    panes = panes.select(key, "pane", _fold_points(F.col("points"), start).alias("sums"))
+
+    def fold(own: Column, begin: Column) -> Column:
+        return F.struct(_fold_panes(own, begin).alias("s"))
+
+    found = covering_windows(panes, key, size_seconds, slide_seconds, fold)
     found = found.select("*", F.col("s.n").alias("n"), F.col("s.first").alias("x_min"), F.col("s.last").alias("x_max"))
-    spread = F.col("n") * F.col("s.tt") - F.col("s.t") * F.col("s.t")
-    slope = (F.col("n") * F.col("s.moment") - F.col("s.t") * F.col("s.area")) / F.when(F.col("n") > 1, spread)
     found = found.withColumns(
         {
             "total": F.col("s.total"),
-            "slope": slope,
-            "x_mean": F.col("window_start") + F.col("s.t") / F.col("n"),
-            "y_mean": F.col("s.area") / F.col("n"),
+            "slope": F.col("s.tc") / F.when(F.col("n") > 1, F.col("s.tt")),
+            "x_mean": F.col("window_start") + F.col("s.t"),
+            "y_mean": F.col("s.c"),
         }
     )
     return with_line(found).select(key, "window_start", "window_end", "n", "x_min", "x_max", "total", "c0", "c1", "root")

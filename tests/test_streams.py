@@ -266,3 +266,23 @@ def test_versions_are_different_models():
         held(version, lambda version=version: calls.append(version) or (lambda images: version))
     assert calls == ["a", "b", "c", "b"] and len(_held) == KEPT
     _held.clear()
+
+
+def test_state_of_trends_does_not_grow_with_the_keys(spark, tmp_path):
+    source = str(tmp_path / "in")
+    weight, score = "if(id % 13 < 6, -0.5D, 1.0D) health_weight", "(id % 13 - 6) / 8.0D health_score"
+    rows = spark.range(2002).selectExpr("concat('s', id % 1001) session", "id % 7 * 47 ts", weight, score)
+    rows.coalesce(1).write.parquet(source)
+    spark.createDataFrame([("end", 10_000, 1.0, 1.0)], DETECTION).coalesce(1).write.mode("append").parquet(source)
+    timed = streams.with_lateness(windows.assign_event_time(spark.readStream.schema(DETECTION).parquet(source)))
+    closed, query = drain(spark, trends.health_trends(timed, "session", 300, 60), tmp_path)
+    expected = rounded(batch_trends(rows).collect())
+    assert rounded(closed.where("session <> 'end'").collect()) == expected and len(expected) > 5000
+    updated = [json.loads(p.json)["stateOperators"][0]["numRowsUpdated"] for p in query.recentProgress]
+    assert sum(updated) <= 12 * streams.BUCKETS
+
+
+def test_trend_of_an_almost_flat_line_keeps_its_digits(spark):
+    rows = spark.createDataFrame([("a", 17_990, 1.0, 1000.0), ("a", 17_999, 1.0, 0.0001)], DETECTION)
+    found = trends.health_trends(windows.assign_event_time(rows), "session", 18_000, 3600).where("window_start = 0").first()
+    assert found.c1 == pytest.approx((1000.0 + 0.0001 - 1000.0) / 2, rel=1e-9)
