@@ -64,7 +64,15 @@ def render_manifest(
     sessions are read on: if the manifest is partitioned by ``datesegment``, other days are skipped. They are
     reduced to one row per session before the join, so requests for the same session do not multiply.
     """
-    per_session = requested_frames(requests, frames).groupBy("datesegment", "session").agg(
+    listed = requested_frames(requests, frames)
+    return listed_manifest(requests, listed, bucket=bucket, base_path=base_path, module=module, protocol=protocol)
+
+
+def listed_manifest(
+    requests: DataFrame, listed: DataFrame, *, bucket: str, base_path: str, module: str, protocol: str = "gs://"
+) -> DataFrame:
+    """:func:`render_manifest` from the frames of requested sessions only, such as :func:`render_frames` lists."""
+    per_session = listed.groupBy("datesegment", "session").agg(
         F.count("*").alias("frame_count"),
         F.min("ts").alias("first_ts"),
         F.max("ts").alias("last_ts"),

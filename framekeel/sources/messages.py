@@ -48,7 +48,8 @@ def decode(df: DataFrame, schema: T.StructType, value: str = "value", mode: str
     parsed = F.from_json(text, marked, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
     bad = F.col("_parsed").isNull() | F.col(f"_parsed.{CORRUPT}").isNotNull()
     return (
-        df.withColumn("_parsed", parsed)
+        # A filter on the message would parse it again, many times over; past a generator of one element it does not.
+        df.withColumn("_parsed", F.explode(F.array(parsed)))
         .withColumn("is_malformed", bad)
         .withColumn(
             "message",

@@ -172,33 +172,40 @@ def render_and_alert(
     out: str,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Turn published requests into render manifests, ordered frame lists and alerts below ``out``."""
+    """Turn published requests into render manifests, ordered frame lists and alerts below ``out``.
+
+    A micro-batch is decoded once, into ``requests``, and the frame manifest is read once, into the frame lists. The
+    other outputs are made from these, so counts agree with the lists also if the manifest grows meanwhile.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        decoded = decode(batch, VIDEO_RENDER_REQUEST)
-        good = decoded.where(~F.col("is_malformed")).select(
+        def written(rows: DataFrame, name: str) -> DataFrame:
+            return batch.sparkSession.read.schema(rows.schema).parquet(runner.batch_path(f"{out}/{name}", batch_id))
+
+        decoded = decode(batch, VIDEO_RENDER_REQUEST).select(
             "value",
             F.col("message.cdn_output_path").alias("cdn_output_path"),
             F.col("message.metadata.session").alias("session"),
             F.col("message.metadata.datesegment").alias("datesegment"),
+            "is_malformed",
         )
-        frames = frame_manifest()
-        renders = render.render_manifest(
+        _write(decoded, f"{out}/requests", batch_id)
+        stored = written(decoded, "requests")
+        good = stored.where(~F.col("is_malformed")).drop("is_malformed")
+        listed = render.render_frames(good, frame_manifest())
+        render.write_render_frames(listed, runner.batch_path(f"{out}/frames", batch_id), "overwrite")
+        renders = render.listed_manifest(
             good,
-            frames,
+            written(listed, "frames"),
             bucket=config.bucket,
             base_path=config.base_path,
             module=config.module,
             protocol=config.protocol,
         )
         _write(renders, f"{out}/renders", batch_id)
-        # Alerts and frame lists are for what was rendered, so they come from there.
-        reader = batch.sparkSession.read.schema(renders.schema)
-        written = render.alerts(reader.parquet(runner.batch_path(f"{out}/renders", batch_id)))
-        _write(written.select("value"), f"{out}/alerts", batch_id)
-        listed = render.render_frames(written, frames)
-        render.write_render_frames(listed, runner.batch_path(f"{out}/frames", batch_id), "overwrite")
-        _write(decoded.where("is_malformed").select("value"), f"{out}/malformed", batch_id)
+        # Alerts are for what was rendered, so they come from there.
+        _write(render.alerts(written(renders, "renders")).select("value"), f"{out}/alerts", batch_id)
+        _write(stored.where("is_malformed").select("value"), f"{out}/malformed", batch_id)
 
     return runner.each_batch(requests, write, f"{config.checkpoint}/render", trigger=trigger)
 

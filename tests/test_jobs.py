@@ -1,4 +1,5 @@
 import json
+import random
 
 from pyspark.sql import functions as F
 
@@ -150,3 +151,26 @@ def test_no_frames_yet(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out/renders")).first()["frame_count"] == 0
     assert spark.read.parquet(str(tmp_path / "out/malformed")).count() == 1
     assert spark.read.parquet(str(tmp_path / "out/alerts")).count() == 0
+
+
+def test_counts_and_frame_lists_agree_if_the_manifest_changes(spark, tmp_path):
+    config = RenderJobConfig(bucket="b", base_path="p", module="m", checkpoint=str(tmp_path / "cp"))
+    (tmp_path / "in").mkdir()
+    asked = [f'{{"cdn_output_path":"p{n}","metadata":{{"session":"{s}","datesegment":"d"}}}}' for n, s in enumerate("aabx")]
+    (tmp_path / "in" / "1.txt").write_text("\n".join([*asked, "nope"]))
+    # Each time it is read, other frames are there.
+    there = F.udf(lambda: random.random() < 0.5, "boolean").asNondeterministic()
+    frames = spark.range(3000).selectExpr("substr('abc', 1 + id % 3, 1) session", "'d' datesegment", "id ts", "concat('f', id) outpath")
+    out = str(tmp_path / "out")
+    jobs.render_and_alert(
+        read_messages(spark, str(tmp_path / "in"), fmt="text"), lambda: frames.where(there()), config, out
+    ).awaitTermination()
+    listed = [(r["session"], r["ts"]) for r in spark.read.parquet(f"{out}/frames").collect()]
+    counts = {session: sum(s == session for s, _ in listed) for session in "abx"}
+    renders = spark.read.parquet(f"{out}/renders").collect()
+    assert sorted((r["cdn_output_path"], r["frame_count"]) for r in renders) == [
+        (f"p{n}", counts[s]) for n, s in enumerate("aabx")
+    ]
+    assert counts["a"] > 0 and counts["x"] == 0 and len(listed) == counts["a"] + counts["b"]
+    assert sorted(r["value"] for r in spark.read.parquet(f"{out}/alerts").collect()) == asked[:3]
+    assert [r["value"] for r in spark.read.parquet(f"{out}/malformed").collect()] == ["nope"]

@@ -171,3 +171,13 @@ def test_null_images_pass_the_model_by(spark):
     got = {r["id"]: r for r in score_frames(frames.coalesce(1), load).collect()}
     assert got[1]["annotations_all"]["num_detections"] == 0
     assert (got[2]["annotations_all"], got[2]["predict_ms"]) == (None, None)
+
+
+def test_a_filter_on_a_message_does_not_parse_it_again(spark):
+    sent = spark.createDataFrame([('{"session":"a","ts":1}',), ('{"session":"a"}',), ("broken",), (None,)], "value string")
+    found = messages.with_reject(messages.decode(sent, T.StructType.fromDDL("session string, ts bigint")), ["ts"])
+    good = found.where("reject IS NULL").select("message.*")
+    assert [r.asDict() for r in good.collect()] == [{"session": "a", "ts": 1}]
+    assert [r["reject"] for r in found.collect()] == [None, "no ts", "malformed", "malformed"]
+    plan = good._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
